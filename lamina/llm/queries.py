@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, url_filters
+from . import mixing, quality, sharding, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "ring_shard", "hops")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, the base rule, and the robust outlier verdict."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the host rules, else by the default globs."""
     return url_filters.filter_urls(table(spark, sf_dir, "pages"))
@@ -46,7 +51,7 @@ FROM s LEFT JOIN fit ON fit.page_id = s.page_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op9_url_filters, op10_mixing)}
+    return {f.__name__: f for f in (op3_sharding, op5_quality_rules, op9_url_filters, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
