@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding, url_filters
+from . import mixing, quality, sharding, simhash, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and the smallest doc_id of its near-duplicate group."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the host rules, else by the default globs."""
     return url_filters.filter_urls(table(spark, sf_dir, "pages"))
@@ -51,7 +56,7 @@ FROM s LEFT JOIN fit ON fit.page_id = s.page_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_quality_rules, op9_url_filters, op10_mixing)}
+    return {f.__name__: f for f in (op3_sharding, op5_quality_rules, op6_simhash, op9_url_filters, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
