@@ -42,7 +42,7 @@ def spill(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lamina/{label}-{uuid.uuid4().hex}"
     schema = df.schema
-    writer = df.write.option("compression", "zstd")
+    writer = df.write.option("compression", "snappy")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     del df, writer
     free(spark)
