@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding, simhash, url_filters
+from . import mixing, packing, quality, sharding, simhash, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,18 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file() -> str:
+    """Where the public byte-level BPE file is; asked for here so that the rest imports without it."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' pieces in sequences of at most 1024 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL judged by the host rules, else by the default globs."""
     return url_filters.filter_urls(table(spark, sf_dir, "pages"))
@@ -56,7 +68,7 @@ FROM s LEFT JOIN fit ON fit.page_id = s.page_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_quality_rules, op6_simhash, op9_url_filters, op10_mixing)}
+    return {f.__name__: f for f in (op3_sharding, op5_quality_rules, op6_simhash, op8_packing, op9_url_filters, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
