@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, sharding, simhash, url_filters
+from . import line_dedup, mixing, packing, quality, sharding, simhash, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document's text when later repeats of passages are deleted, as a digest."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.octet_length("text").cast("long").alias("kept_bytes"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 23 under the law `rows`."""
     out = sharding.shard(table(spark, sf_dir, "documents"), 24)
@@ -53,6 +59,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "repeats", "part")
 
 
+_OP1 = r"""
+WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+s AS (SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+             row_number() OVER (PARTITION BY doc_id ORDER BY i) AS p, count(*) OVER (PARTITION BY doc_id) AS n,
+             coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i), 1000000000) AS next_i
+      FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+g AS (SELECT doc_id, p, 3 AS k, n, string_agg(line, chr(10)) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS gram FROM s
+      UNION ALL SELECT doc_id, p, 1, n, line FROM s WHERE words >= 50),
+later AS (SELECT doc_id, p, k FROM g WHERE p + k - 1 <= n QUALIFY row_number() OVER (PARTITION BY k, gram ORDER BY doc_id, p) > 1),
+dead AS (SELECT DISTINCT s.doc_id, s.p, s.i, s.next_i FROM s JOIN later ON later.doc_id = s.doc_id AND s.p BETWEEN later.p AND later.p + later.k - 1),
+runs AS (SELECT doc_id, count(*) AS n_runs FROM (SELECT doc_id, p - row_number() OVER (PARTITION BY doc_id ORDER BY p) AS run FROM dead GROUP BY doc_id, p) GROUP BY doc_id, run),
+n_runs AS (SELECT doc_id, count(*) AS n_runs FROM runs GROUP BY doc_id),
+marked AS (SELECT l.doc_id, l.i, l.line, bool_or(dead.p IS NOT NULL) AS gone FROM l LEFT JOIN dead ON dead.doc_id = l.doc_id AND l.i >= dead.i AND l.i < dead.next_i GROUP BY ALL),
+kept AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_runs, 0) AS n_runs,
+       strlen(kept.text)::BIGINT AS kept_bytes, sha256(kept.text) AS kept_sha256
+FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN n_runs ON n_runs.doc_id = d.doc_id
+"""
+
 _OP9 = r"""
 WITH u AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 s AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
@@ -68,8 +93,8 @@ FROM s LEFT JOIN fit ON fit.page_id = s.page_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_sharding, op5_quality_rules, op6_simhash, op8_packing, op9_url_filters, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_sharding, op5_quality_rules, op6_simhash, op8_packing, op9_url_filters, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filters": _OP9}
+    return {"op1_line_dedup": _OP1, "op9_url_filters": _OP9}
