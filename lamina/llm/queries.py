@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality, sharding, simhash, url_filters
+from . import embedding_dedup, line_dedup, mixing, packing, quality, sharding, simhash, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "ring_shard", "hops")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, the base rule, and the robust outlier verdict."""
     return quality.judge(table(spark, sf_dir, "documents"))
@@ -93,7 +98,7 @@ FROM s LEFT JOIN fit ON fit.page_id = s.page_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_sharding, op5_quality_rules, op6_simhash, op8_packing, op9_url_filters, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op8_packing, op9_url_filters, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
