@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
 from bisect import insort
 from collections.abc import Iterator
@@ -43,6 +44,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.fast = self._fast(path)
 
+    @classmethod
+    def of(cls, path: str) -> Encoder:
+        """One encoder for a worker process: a Python worker runs many tasks, and each new copy of the vocabulary would stay in its memory."""
+        known = vars(sys).setdefault("_lamina_encoders", {})
+        if path not in known:
+            known[path] = cls(path)
+        return known[path]
+
     @staticmethod
     def _fast(path: str):
         import tiktoken
@@ -77,7 +86,7 @@ def pieces(docs: DataFrame, tokenizer: str, keep: list[str], capacity: int = CAP
     k = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer)
+        encode = Encoder.of(tokenizer)
         end = np.array([END], "<u4").tobytes()
         for b in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
