@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, line_dedup, mixing, packing, quality, sharding, simhash, url_filters
+from . import embedding_dedup, katz, line_dedup, mixing, packing, quality, sharding, simhash, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", "n_runs", F.octet_length("text").cast("long").alias("kept_bytes"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document under a model of those whose crc32(doc_id) mod 7 is not 2."""
+    held = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % 7 == 2
+    return katz.score(table(spark, sf_dir, "documents"), held)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 23 under the law `rows`."""
     out = sharding.shard(table(spark, sf_dir, "documents"), 24)
@@ -98,7 +104,7 @@ FROM s LEFT JOIN fit ON fit.page_id = s.page_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op8_packing, op9_url_filters, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_katz, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op8_packing, op9_url_filters, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
