@@ -226,8 +226,8 @@ class Block:
         key = mix(self.vocab[word])
         bucket = home(ctx, (key >> np.uint64(48)) % np.maximum(pieces[ctx], 1).astype(np.uint64)).astype(np.int64)
         self.key, self.ctx, self.word = key & _MASK, ctx, word
-        # every piece of a context is asked for its sums, with or without bigrams
-        own = np.unique(ctx)
+        # every piece of a known context is asked for its sums, with or without known bigrams
+        own = np.unique(before[self.count[before] > 0])
         reps = pieces[own]
         ask_ctx = np.repeat(own, reps)
         ask_piece = np.arange(len(ask_ctx)) - np.repeat(np.cumsum(reps) - reps, reps)

@@ -94,16 +94,17 @@ def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int =
 
     marks = spill(src.mapInArrow(select, f"doc_id {id_type}, __key long, h long, grams {_GRAMS}"), "lines-marks")
     again = spill(marks.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "lines-again")
-    spots = marks.join(again, "h").select("doc_id", "__key", F.explode("grams").alias("g"))
+    spots = marks.join(again.hint("merge"), "h").select("doc_id", "__key", F.explode("grams").alias("g"))
     spots = spill(spots.select("doc_id", "__key", "g.at", "g.lines", "g.gram"), "lines-spots")
     place = F.struct("doc_id", "__key", "at")
     first = spill(spots.groupBy("gram").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "lines-first")
-    later = spots.join(first, "gram").filter(~place.eqNullSafe(F.col("first")))
+    later = spots.join(first.hint("merge"), "gram").filter(~place.eqNullSafe(F.col("first")))
     spans = later.groupBy("__key").agg(F.collect_set(F.struct("at", "lines")).alias("__spans"))  # of one document
-    joined = docs.join(spill(spans, "lines-spans"), "__key", "left").select(*keep, *[F.col("text").alias("__text")], "__spans")
+    joined = docs.join(spill(spans, "lines-spans").hint("merge"), "__key", "left").select(*keep, *[F.col("text").alias("__text")], "__spans")
     names = [c for c in keep if c != "text"]
     joined = joined.select(*names, "__text", "__spans")
     k = len(names)
+    # merge joins at every size: a broadcast where the right side happens to be small would hide what a large input costs
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
