@@ -144,6 +144,8 @@ def blocks(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def split_by(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(bucket, places of its rows in their order)."""
+    if not len(bucket):
+        return
     order = np.argsort(bucket, kind="stable")
     values, starts = np.unique(bucket[order], return_index=True)
     for v, s, e in zip(values.tolist(), starts.tolist(), [*starts[1:].tolist(), len(order)], strict=True):
