@@ -5,7 +5,8 @@ that hold its own n-grams, and they answer in the order of the question. So all
 distinct n-gram of a block, and nothing that grows with the corpus is ever in one place.
 
 1. Blocks: tokens as numbers into the block's own vocabulary; words are 64-bit hashes.
-2. Unigrams: buckets by word add up counts, keep them as the table's part `m`, and answer with them (`r`).
+2. Unigrams: buckets by word add up counts, keep them as the table's part `m`, and answer with them and with the
+   word's number (`r`). Numbers follow the counts within each bucket, so frequent words have small ones.
 3. Bigrams: buckets by context add up counts, keep them (`m`), and answer with each count and, for each context, with
    what its backoff weight is made of: how many successors have counts 1 to K, all counts, and the sum
    of the successors' unigram probabilities. A context too frequent for one bucket is split over several by
@@ -32,8 +33,6 @@ BLOCK, UNI_BUCKET, BI_BUCKET = 2_500_000, 400_000, 1_500_000
 K = 5
 #: No word has a blank, so this stands for the end, which is also the context of a text's first token.
 END = b" "
-_KEY_BYTES = 6
-_MASK = np.uint64((1 << 8 * _KEY_BYTES) - 1)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -52,6 +51,15 @@ def unpack(data: bytes, *types: str) -> list[np.ndarray]:
     return out
 
 
+def planes(a: np.ndarray) -> np.ndarray:
+    """64-bit numbers as eight rows of bytes; the rows of high bytes, mostly zero, compress to nothing."""
+    return np.ascontiguousarray(np.asarray(a, "<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def unplanes(a: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(a.reshape(8, -1).T).view("<u8").ravel()
+
+
 def mix(a: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads them (splitmix64)."""
     a = a.astype(np.uint64)
@@ -188,13 +196,16 @@ def unigrams(corpus: DataFrame) -> DataFrame:
         parts = [unpack(d, "<u8", "<u4") for d in t.column("data").to_pylist()]
         keys, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         counts = np.bincount(inv, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+        known = counts > 0
+        number = np.empty(len(keys), np.int64)
+        number[np.lexsort((keys, -counts))] = np.arange(len(keys)) * n + bucket
         rows, at = [], 0
         for block, p in zip(asked, parts, strict=True):
-            rows.append(("r", bucket, block, pack(counts[inv[at : at + len(p[0])]].astype("<u4")), None))
+            own = inv[at : at + len(p[0])]
+            rows.append(("r", bucket, block, pack(counts[own].astype("<u4"), planes(number[own])), None))
             at += len(p[0])
-        known = counts > 0
         rows.append(("n", bucket, None, None, _count_stats(counts)))
-        rows.append(("m", bucket, None, pack(keys[known], counts[known].astype("<u4")), None))
+        rows.append(("m", bucket, None, pack(keys[known], counts[known].astype("<u4"), planes(number[known])), None))
         return _rows(rows)
 
     return corpus.select("block", "vocab").mapInArrow(ask, "bucket int, block long, data binary").groupBy("bucket").applyInArrow(answer, _ANSWER)
@@ -207,9 +218,10 @@ class Block:
         self.docs, self.held, self.lens = row["docs"], np.array(row["held"]), np.array(row["lens"], np.int64)
         self.tokens = unpack(row["tokens"], "<u4")[0].astype(np.int64)
         self.vocab, _ = unpack(row["vocab"], "<u8", "<u4")
-        self.count = np.zeros(len(self.vocab), np.int64)
+        self.count, self.number = np.zeros(len(self.vocab), np.int64), np.zeros(len(self.vocab), np.uint64)
         for k, at in split_by(self.vocab % np.uint64(uni_buckets)):
-            self.count[at] = unpack(answers[k], "<u4")[0]
+            count, number = unpack(answers[k], "<u4", "u1")
+            self.count[at], self.number[at] = count, unplanes(number)
 
     def questions(self, uni: Unigrams, buckets: int, share: int) -> None:
         """Distinct known bigrams, dealt to buckets: self.parts holds (bucket, contexts, runs, places of the bigrams)."""
@@ -224,10 +236,9 @@ class Block:
         train = np.repeat(~self.held, self.lens)[both]
         self.seen = np.bincount(self.inv[train], minlength=len(self.pairs)).astype("<u4")
         pieces = -(-self.count // share)  # of a context; its successors are split over as many buckets
-        home = lambda c, piece: mix(self.vocab[c] + np.uint64(0x9E3779B97F4A7C15) * piece.astype(np.uint64)) % np.uint64(buckets)
-        key = mix(self.vocab[word])
-        bucket = home(ctx, (key >> np.uint64(48)) % np.maximum(pieces[ctx], 1).astype(np.uint64)).astype(np.int64)
-        self.key, self.ctx, self.word = key & _MASK, ctx, word
+        home = lambda c, piece: mix(self.number[c] + np.uint64(0x9E3779B97F4A7C15) * piece.astype(np.uint64)) % np.uint64(buckets)
+        bucket = home(ctx, (mix(self.number[word]) >> np.uint64(32)) % np.maximum(pieces[ctx], 1).astype(np.uint64)).astype(np.int64)
+        self.ctx, self.word = ctx, word
         # every piece of a known context is asked for its sums, with or without known bigrams
         own = np.unique(before[self.count[before] > 0])
         reps = pieces[own]
@@ -247,8 +258,7 @@ class Block:
 
 
 def _question(b: Block, contexts: np.ndarray, runs: np.ndarray, at: np.ndarray) -> bytes:
-    low = b.key[at].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES]
-    return pack(b.vocab[contexts], runs.astype("<u4"), low, b.seen[at], b.p1[b.word[at]].astype("<f4"))
+    return pack(planes(b.number[contexts]), runs.astype("<u4"), planes(b.number[b.word[at]]), b.seen[at], b.p1[b.word[at]].astype("<f4"))
 
 
 def bigrams(corpus: DataFrame, uni_answers: DataFrame, uni: Unigrams, uni_buckets: int, buckets: int, share: int) -> DataFrame:
@@ -262,13 +272,11 @@ def bigrams(corpus: DataFrame, uni_answers: DataFrame, uni: Unigrams, uni_bucket
 
     def answer(t: pa.Table) -> pa.Table:
         bucket, asked = t.column("bucket")[0].as_py(), t.column("block").to_pylist()
-        parts = [unpack(d, "<u8", "<u4", "u1", "<u4", "<f4") for d in t.column("data").to_pylist()]
+        parts = [unpack(d, "u1", "<u4", "u1", "<u4", "<f4") for d in t.column("data").to_pylist()]
+        parts = [(unplanes(c), runs, unplanes(w), seen, p1) for c, runs, w, seen, p1 in parts]
         contexts, cinv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         ctx = np.repeat(cinv, np.concatenate([p[1] for p in parts]))
-        low = np.concatenate([p[2] for p in parts]).reshape(-1, _KEY_BYTES)
-        key = np.zeros((len(low), 8), np.uint8)
-        key[:, :_KEY_BYTES] = low
-        key = key.view("<u8").ravel()
+        key = np.concatenate([p[2] for p in parts])
         seen, p1 = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])
         order = np.lexsort((key, ctx))
         new = np.concatenate([[True], (ctx[order][1:] != ctx[order][:-1]) | (key[order][1:] != key[order][:-1])]) if len(order) else np.zeros(0, bool)
@@ -289,7 +297,7 @@ def bigrams(corpus: DataFrame, uni_answers: DataFrame, uni: Unigrams, uni_bucket
             rows.append(("r", bucket, block, pack(r[gram[at : at + n]].astype("<u4"), *[s[own] for s in sums], total[own], lower[own]), None))
             at, cat = at + n, cat + m
         rows.append(("n", bucket, None, None, _count_stats(r)))
-        rows.append(("m", bucket, None, pack(contexts, np.bincount(c, minlength=len(contexts)).astype("<u4"), low[first][known], rk.astype("<u4")), None))
+        rows.append(("m", bucket, None, pack(planes(contexts), np.bincount(c, minlength=len(contexts)).astype("<u4"), planes(key[first][known]), rk.astype("<u4")), None))
         return _rows(rows)
 
     asked = corpus.groupBy("block").cogroup(uni_answers.filter("kind = 'r'").groupBy("block")).applyInArrow(ask, "bucket int, block long, data binary")
