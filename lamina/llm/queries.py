@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, katz, line_dedup, mixing, packing, quality, sharding, simhash, url_filters
+from . import embedding_dedup, katz, line_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without bytes in repeated 400-byte strings, as a digest."""
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file() -> str:
     """Where the public byte-level BPE file is; asked for here so that the rest imports without it."""
     import public_tokenizers
@@ -104,7 +109,7 @@ FROM s LEFT JOIN fit ON fit.page_id = s.page_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_katz, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op8_packing, op9_url_filters, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_katz, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op7_substring_dedup, op8_packing, op9_url_filters, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
