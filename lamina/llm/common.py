@@ -51,6 +51,19 @@ def spill(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     return out
 
 
+def spill_bucketed(df: DataFrame, label: str, column: str, buckets: int) -> DataFrame:
+    """spill(), with the rows of each of so many hashes of the column in files of their own: grouping the result by the column, also together with another table, doesn't move it again."""
+    spark = df.sparkSession
+    name = f"lamina_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/lamina/{label}-{name}"
+    df.write.option("compression", "snappy").option("path", path).bucketBy(buckets, column).saveAsTable(name)
+    out = spark.table(name).select("*")
+    out.schema  # resolved: the files are all it needs from here on
+    spark.sql(f"DROP TABLE {name}")
+    free(spark)
+    return out
+
+
 def drop_spilled(df: DataFrame) -> None:
     """Delete a table that spill() wrote and nothing reads any more."""
     spark, path = df.sparkSession, df._lamina_path

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, spill
+from .common import buckets_for, spill, spill_bucketed
 
 #: Tokens of a block, and vocabulary entries or tokens of a bucket, about.
 BLOCK, UNI_BUCKET, BI_BUCKET = 2_500_000, 400_000, 1_500_000
@@ -122,11 +122,18 @@ def blocks(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
         def emit():
             tokens = np.concatenate(arrays)
+            # frequent words get small numbers, which compress; the end keeps 0
+            uses = np.bincount(tokens, minlength=len(words))
+            uses[0] = len(tokens) + 1
+            order = np.argsort(-uses, kind="stable")
+            rank = np.empty(len(words), np.int64)
+            rank[order] = np.arange(len(words))
+            tokens = rank[tokens]
             train = np.repeat(~np.array(held), lens)
             counts = np.bincount(tokens[train], minlength=len(words)).astype("<u4")
-            vocab = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))
+            vocab = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))[order]
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 24) + made], pa.int64()), pa.array([ids], pa.list_(arrow_id) if arrow_id else None), pa.array([held]), pa.array([lens], pa.list_(pa.int32())), pa.array([pack(tokens.astype("<u4"))]), pa.array([pack(vocab, counts)]), pa.array([len(vocab)], pa.int64())],
+                [pa.array([(part << 24) + made], pa.int64()), pa.array([ids], pa.list_(arrow_id) if arrow_id else None), pa.array([held]), pa.array([lens], pa.list_(pa.int32())), pa.array([pack(planes(tokens))]), pa.array([pack(vocab, counts)]), pa.array([len(vocab)], pa.int64())],
                 ["block", "docs", "held", "lens", "tokens", "vocab", "entries"],
             )
 
@@ -216,7 +223,7 @@ class Block:
 
     def __init__(self, row: dict, answers: dict[int, bytes], uni_buckets: int):
         self.docs, self.held, self.lens = row["docs"], np.array(row["held"]), np.array(row["lens"], np.int64)
-        self.tokens = unpack(row["tokens"], "<u4")[0].astype(np.int64)
+        self.tokens = unplanes(unpack(row["tokens"], "u1")[0]).astype(np.int64)
         self.vocab, _ = unpack(row["vocab"], "<u8", "<u4")
         self.count, self.number = np.zeros(len(self.vocab), np.int64), np.zeros(len(self.vocab), np.uint64)
         for k, at in split_by(self.vocab % np.uint64(uni_buckets)):
@@ -294,7 +301,7 @@ def bigrams(corpus: DataFrame, uni_answers: DataFrame, uni: Unigrams, uni_bucket
         for block, p in zip(asked, parts, strict=True):
             n, m = len(p[3]), len(p[0])
             own = cinv[cat : cat + m]
-            rows.append(("r", bucket, block, pack(r[gram[at : at + n]].astype("<u4"), *[s[own] for s in sums], total[own], lower[own]), None))
+            rows.append(("r", bucket, block, pack(r[gram[at : at + n]].astype("<u4"), *[s[own] for s in sums], total[own], lower[own].astype("<f4")), None))
             at, cat = at + n, cat + m
         rows.append(("n", bucket, None, None, _count_stats(r)))
         rows.append(("m", bucket, None, pack(planes(contexts), np.bincount(c, minlength=len(contexts)).astype("<u4"), planes(key[first][known]), rk.astype("<u4")), None))
@@ -319,7 +326,8 @@ def score(docs: DataFrame, held) -> DataFrame:
     scores are 0.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    corpus = spill(blocks(docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held"))), "lm-blocks")
+    files = 2 * max(24, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    corpus = spill_bucketed(blocks(docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held"))), "lm-blocks", "block", files)
     entries, tokens = corpus.agg(F.coalesce(F.sum("entries"), F.lit(0)), F.coalesce(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()
     uni_buckets, buckets = buckets_for(entries, UNI_BUCKET), buckets_for(tokens, BI_BUCKET)
     one = spill(unigrams(corpus), "lm-unigrams", ["kind"])
@@ -338,7 +346,7 @@ def score(docs: DataFrame, held) -> DataFrame:
         r = np.zeros(len(b.pairs), np.int64)
         m, total_c, lower = np.zeros((K, len(b.vocab))), np.zeros(len(b.vocab)), np.zeros(len(b.vocab))
         for k, contexts, _, at in b.parts:
-            got = unpack(answers[k], "<u4", *["<u4"] * K, "<u8", "<f8")
+            got = unpack(answers[k], "<u4", *["<u4"] * K, "<u8", "<f4")
             r[at] = got[0]
             for x in range(K):
                 m[x, contexts] += got[1 + x]
