@@ -39,7 +39,9 @@ def _base_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         size = max(n, 1 << 16)
         inverse = pow(_BASE, -1, 1 << 64)
-        _powers[:] = [np.cumprod(np.concatenate([[1], np.full(size - 1, b, np.uint64)]).astype(np.uint64), dtype=np.uint64) for b in (_BASE, inverse)]
+        steps = np.ones((2, size), np.uint64)
+        steps[0, 1:], steps[1, 1:] = np.uint64(_BASE), np.uint64(inverse)
+        _powers[:] = list(np.cumprod(steps, 1, dtype=np.uint64))
     return _powers[0][:n], _powers[1][:n]
 
 
