@@ -63,3 +63,12 @@ def test_anchor_ranges_cover_all_starts():
         starts = [s for a, b in zip(lo, hi, strict=True) for s in range(a, b + 1)]
         assert starts == list(range(max(0, n - 39)))
         assert all(a <= q <= a + 28 and b <= q <= b + 28 for q, a, b in zip(p, lo, hi, strict=True))
+
+
+def test_anchors_are_few_and_follow_the_text():
+    rng = np.random.default_rng(6)
+    data = bytes(rng.integers(97, 120, 20_000).astype(np.uint8))
+    h, p, _, _ = S.anchors(data, 400, 120)
+    assert len(h) < 3 * len(data) / (400 - 120 + 2) and len(set(h.tolist())) == len(h)
+    h2, p2, _, _ = S.anchors(b"xyz" + data[5000:], 400, 120)
+    assert set(h2[p2 > 400].tolist()) <= set(h.tolist())
