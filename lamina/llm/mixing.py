@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,14 +40,15 @@ def fill(sources: DataFrame, max_epochs: float) -> DataFrame:
     return s.withColumn("target", F.coalesce(F.least(F.col("level") * F.col("weight"), F.col("cap")), F.col("cap"))).drop("cap", "total", "level")
 
 
-def mix(docs: DataFrame, seed: int = 7, max_epochs: float = 3.0, weights=(1.0, 2.0, 3.0)) -> DataFrame:
-    """How often each document is taken: (doc_id, source, text_hash, size, source_size, target, repeats, part, taken).
+def mix(docs: DataFrame, keep: list[str] | None = None, seed: int = 7, max_epochs: float = 3.0, weights=(1.0, 2.0, 3.0)) -> DataFrame:
+    """How often each document is taken: (keep..., size, source_size, target, repeats, part, taken).
 
     Size: words of the text (null: 0). Sources, by code point and null last, weigh 1, 2, 3, repeating.
     Each document is taken floor(target / source_size) whole times. For the fraction left, the documents
     of a source stand in the order of a seeded hash of (doc_id, text): those before the cut are taken once more, the one
     on the cut with as many of its words as are missing (`part`). So a source's taken words are its target
-    rounded down, and no document exceeds max_epochs times its size when that is whole.
+    rounded down, and no document exceeds max_epochs times its size when that is whole. A document without a word is
+    taken as often as others, for no words.
 
     Null sources are a source of their own. Texts without a word have size 0 and are taken 0 words. Rows that
     repeat (doc_id, text) stand next to each other in the order, each counting by itself. An
@@ -52,9 +57,13 @@ def mix(docs: DataFrame, seed: int = 7, max_epochs: float = 3.0, weights=(1.0, 2
     A source's order is not sorted as a whole: its documents fall into 2**12 cells by the hash's first
     bits, sizes are summed by (source, cell), and only the cell that holds the cut is sorted.
     """
+    keep = list(keep or ["doc_id"])
     h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    base = docs.select("doc_id", "source", h.alias("h"), word_count().alias("size"))
-    base = spill(base.withColumn("cell", F.shiftrightunsigned("h", 64 - CELL_BITS).cast("int")), "mix-sizes")
+    rows = docs.select(*keep, F.col("doc_id").alias("__id"), F.col("source").alias("__source"), h.alias("__h"), word_count().alias("size"))
+    rows = rows.withColumn("__cell", F.shiftrightunsigned("__h", 64 - CELL_BITS).cast("int"))
+    if "text" not in keep:
+        rows = spill(rows, "mix-sizes")
+    base = rows.select(F.col("__source").alias("source"), F.col("__cell").alias("cell"), "size")
     by_cell = spill(base.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"), F.count("*").alias("n")), "mix-cells")
     sources = by_cell.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
     nth = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
@@ -67,10 +76,41 @@ def mix(docs: DataFrame, seed: int = 7, max_epochs: float = 3.0, weights=(1.0, 2
     cells = by_cell.join(plan, by_cell["source"].eqNullSafe(plan["s"])).drop("source")
     cells = cells.withColumn("before", running)
     cells = spill(cells.withColumn("room", F.col("cut") - F.col("before")).select("s", F.col("cell").alias("c"), "source_size", "target", "repeats", "room", "cell_size"), "mix-room")
-    j = base.join(cells, base["source"].eqNullSafe(cells["s"]) & (base["cell"] == cells["c"])).drop("s", "c")
+    j = rows.join(cells.hint("merge"), F.col("__source").eqNullSafe(F.col("s")) & (F.col("__cell") == F.col("c"))).drop("s", "c")
     whole = j.filter("room <= 0 or room >= cell_size").withColumn("part", F.when(F.col("room") <= 0, 0).otherwise(F.col("size")).cast("long"))
     cut = j.filter("room > 0 and room < cell_size")
-    pos = F.sum("size").over(Window.partitionBy("source", "cell").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1))
+    pos = F.sum("size").over(Window.partitionBy("__source", "__cell").orderBy("__h", "__id", "size").rowsBetween(Window.unboundedPreceding, -1))
     cut = cut.withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - F.coalesce(pos, F.lit(0)))).cast("long"))
     out = whole.unionByName(cut)
-    return out.select("doc_id", "source", F.col("h").alias("text_hash"), "size", "source_size", "target", "repeats", "part", (F.col("repeats") * F.col("size") + F.col("part")).alias("taken"))
+    return out.select(*keep, "size", "source_size", "target", "repeats", "part", (F.col("repeats") * F.col("size") + F.col("part")).alias("taken"))
+
+
+def first_words(text: str, n: int) -> str:
+    """The text up to the end of its n-th word."""
+    end = 0
+    for k, m in enumerate(re.finditer(WORD, text), 1):
+        end = m.end()
+        if k == n:
+            break
+    return text[:end]
+
+
+def mixed_documents(docs: DataFrame, keep: list[str], **options) -> DataFrame:
+    """The mix itself: rows keep... (doc_id, text, source among them) as often as they are taken; a partial repetition is the first words of the text.
+
+    At most one document of a source is taken in part.
+    """
+    m = mix(docs, keep, **options)
+    copies = F.col("repeats") + F.when((F.col("part") == F.col("size")) & (F.col("part") > 0), 1).otherwise(0)
+    whole = m.withColumn("__n", copies.cast("int")).filter("__n > 0").select(*keep, F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*keep)
+    part = m.filter("part > 0 and part < size").select(*keep, "part")
+    at, k = keep.index("text"), len(keep)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = b.columns[:k]
+            cols[at] = pa.array([first_words(t, n) for t, n in zip(b.column(at).to_pylist(), b.column(k).to_pylist(), strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays(cols, keep)
+
+    head = ", ".join(f"`{c}` {part.schema[c].dataType.simpleString()}" for c in keep)
+    return whole.unionByName(part.mapInArrow(cut, head))

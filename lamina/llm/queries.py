@@ -108,8 +108,15 @@ FROM s LEFT JOIN fit ON fit.page_id = s.page_id
 """.replace("GLOBS", " OR ".join(f"host || path GLOB '{g}'" for g in url_filters.DEFAULT_BLOCK))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_katz, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op7_substring_dedup, op8_packing, op9_url_filters, op10_mixing)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_katz, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op7_substring_dedup, op8_packing, op9_url_filters, op10_mixing, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
