@@ -1,6 +1,6 @@
 """All queries of the engine's own operators."""
 
-from . import text_queries  # noqa: F401
+from . import layout_queries, text_queries  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
