@@ -40,24 +40,8 @@ def fill(sources: DataFrame, max_epochs: float) -> DataFrame:
     return s.withColumn("target", F.coalesce(F.least(F.col("level") * F.col("weight"), F.col("cap")), F.col("cap"))).drop("cap", "total", "level")
 
 
-def mix(docs: DataFrame, keep: list[str] | None = None, seed: int = 7, max_epochs: float = 3.0, weights=(1.0, 2.0, 3.0)) -> DataFrame:
-    """How often each document is taken: (keep..., size, source_size, target, repeats, part, taken).
-
-    Size: words of the text (null: 0). Sources, by code point and null last, weigh 1, 2, 3, repeating.
-    Each document is taken floor(target / source_size) whole times. For the fraction left, the documents
-    of a source stand in the order of a seeded hash of (doc_id, text): those before the cut are taken once more, the one
-    on the cut with as many of its words as are missing (`part`). So a source's taken words are its target
-    rounded down, and no document exceeds max_epochs times its size when that is whole. A document without a word is
-    taken as often as others, for no words.
-
-    Null sources are a source of their own. Texts without a word have size 0 and are taken 0 words. Rows that
-    repeat (doc_id, text) stand next to each other in the order, each counting by itself. An
-    empty table gives an empty result. The result depends on the rows and the seed only.
-
-    A source's order is not sorted as a whole: its documents fall into 2**12 cells by the hash's first
-    bits, sizes are summed by (source, cell), and only the cell that holds the cut is sorted.
-    """
-    keep = list(keep or ["doc_id"])
+def _shares(docs: DataFrame, keep: list[str], seed: int = 7, max_epochs: float = 3.0, weights=(1.0, 2.0, 3.0)) -> tuple[DataFrame, DataFrame]:
+    """Rows with size, source_size, target, repeats, part, again: those outside their source's cut cell, and those in it."""
     h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
     rows = docs.select(*keep, F.col("doc_id").alias("__id"), F.col("source").alias("__source"), h.alias("__h"), word_count().alias("size"))
     rows = rows.withColumn("__cell", F.shiftrightunsigned("__h", 64 - CELL_BITS).cast("int"))
@@ -72,17 +56,42 @@ def mix(docs: DataFrame, keep: list[str] | None = None, seed: int = 7, max_epoch
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = plan.select(F.col("source").alias("s"), "source_size", "target", F.floor(ratio).cast("long").alias("repeats"))
     plan = plan.withColumn("cut", F.floor(F.col("target") - F.col("repeats") * F.col("source_size")).cast("long"))
+    # the cell of each source in which the cut falls, and how many words of it are still taken
     running = F.coalesce(F.sum("cell_size").over(Window.partitionBy("s").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cells = by_cell.join(plan, by_cell["source"].eqNullSafe(plan["s"])).drop("source")
-    cells = cells.withColumn("before", running)
-    cells = spill(cells.withColumn("room", F.col("cut") - F.col("before")).select("s", F.col("cell").alias("c"), "source_size", "target", "repeats", "room", "cell_size"), "mix-room")
-    j = rows.join(cells.hint("merge"), F.col("__source").eqNullSafe(F.col("s")) & (F.col("__cell") == F.col("c"))).drop("s", "c")
-    whole = j.filter("room <= 0 or room >= cell_size").withColumn("part", F.when(F.col("room") <= 0, 0).otherwise(F.col("size")).cast("long"))
-    cut = j.filter("room > 0 and room < cell_size")
-    pos = F.sum("size").over(Window.partitionBy("__source", "__cell").orderBy("__h", "__id", "size").rowsBetween(Window.unboundedPreceding, -1))
+    cells = by_cell.join(plan, by_cell["source"].eqNullSafe(plan["s"])).withColumn("room", F.col("cut") - running)
+    cells = cells.filter("room >= 0 and room < cell_size").select(F.col("s").alias("__s"), F.col("cell").alias("cut_cell"), "room")
+    plan = spill(plan.join(cells, plan["s"].eqNullSafe(cells["__s"]), "left").select("s", "source_size", "target", "repeats", F.coalesce("cut_cell", F.lit(-1)).alias("cut_cell"), "room"), "mix-cut")
+    # one row for each source: Spark broadcasts it while it is small, and else splits the large sources of a merge join
+    j = rows.join(plan, F.col("__source").eqNullSafe(F.col("s"))).drop("s")
+    whole = j.filter("__cell <> cut_cell").withColumn("part", F.when(F.col("__cell") < F.col("cut_cell"), F.col("size")).otherwise(0).cast("long"))
+    whole = whole.withColumn("again", (F.col("__cell") < F.col("cut_cell")).cast("int"))
+    cut = j.filter("__cell = cut_cell")
+    pos = F.sum("size").over(Window.partitionBy("__source").orderBy("__h", "__id", "size").rowsBetween(Window.unboundedPreceding, -1))
     cut = cut.withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("room") - F.coalesce(pos, F.lit(0)))).cast("long"))
-    out = whole.unionByName(cut)
-    return out.select(*keep, "size", "source_size", "target", "repeats", "part", (F.col("repeats") * F.col("size") + F.col("part")).alias("taken"))
+    cut = cut.withColumn("again", ((F.col("part") == F.col("size")) & (F.col("size") > 0)).cast("int"))
+    return whole, cut
+
+
+def mix(docs: DataFrame, keep: list[str] | None = None, **options) -> DataFrame:
+    """How often each document is taken: (keep..., size, source_size, target, repeats, part, taken).
+
+    Size: words of the text (null: 0). Sources, by code point and null last, weigh 1, 2, 3, repeating.
+    Each document is taken floor(target / source_size) whole times. For the fraction left, the documents
+    of a source stand in the order of a seeded hash of (doc_id, text): those before the cut are taken once more, the one
+    on the cut with as many of its words as are missing (`part`). So a source's taken words are its target
+    rounded down, and no document exceeds max_epochs times its size when that is whole. A document without a word is
+    taken as often as others, for no words.
+
+    Null sources are a source of their own. Rows that repeat (doc_id, text) stand next to each other in the order, each
+    counting by itself. An empty table gives an empty result. The result depends on the rows and the seed only.
+
+    A source's order is not sorted as a whole: its documents fall into 2**12 cells by the hash's first
+    bits, sizes are summed by (source, cell), and only the cell that holds the cut is sorted. Texts are not shuffled.
+    """
+    keep = list(keep or ["doc_id"])
+    whole, cut = _shares(docs, keep, **options)
+    taken = (F.col("repeats") * F.col("size") + F.col("part")).alias("taken")
+    return whole.unionByName(cut).select(*keep, "size", "source_size", "target", "repeats", "part", taken)
 
 
 def first_words(text: str, n: int) -> str:
@@ -100,10 +109,12 @@ def mixed_documents(docs: DataFrame, keep: list[str], **options) -> DataFrame:
 
     At most one document of a source is taken in part.
     """
-    m = mix(docs, keep, **options)
-    copies = F.col("repeats") + F.when((F.col("part") == F.col("size")) & (F.col("part") > 0), 1).otherwise(0)
-    whole = m.withColumn("__n", copies.cast("int")).filter("__n > 0").select(*keep, F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*keep)
-    part = m.filter("part > 0 and part < size").select(*keep, "part")
+    whole, cut_rows = _shares(docs, keep, **options)
+    names = [*keep, "repeats", "again"]
+    rows = whole.select(names).unionByName(cut_rows.select(names))
+    copies = rows.withColumn("__n", (F.col("repeats") + F.col("again")).cast("int")).filter("__n > 0")
+    copies = copies.select(*keep, F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*keep)
+    part = cut_rows.filter("part > 0 and part < size").select(*keep, "part")
     at, k = keep.index("text"), len(keep)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,4 +124,4 @@ def mixed_documents(docs: DataFrame, keep: list[str], **options) -> DataFrame:
             yield pa.RecordBatch.from_arrays(cols, keep)
 
     head = ", ".join(f"`{c}` {part.schema[c].dataType.simpleString()}" for c in keep)
-    return whole.unionByName(part.mapInArrow(cut, head))
+    return copies.unionByName(part.mapInArrow(cut, head))
