@@ -118,7 +118,7 @@ def header(spark, d):
 _REASON = rf"""
 WITH l AS ({_LINES}),
 v AS (SELECT doc_id, line_no, 1 + line_no // 4 AS page, CASE WHEN line_no % 4 = 0 THEN 40.0 ELSE 150.0 + 180.0 * (line_no % 4) END AS y0,
-      {strip_sql("CASE line_no % 9 WHEN 1 THEN '12 of 40' WHEN 2 THEN 'xi' WHEN 3 THEN '--' WHEN 4 THEN 'Table 3.1 ' || left(line, 40) WHEN 5 THEN 'Acme Pty Ltd ' || left(line, 50) WHEN 6 THEN '' WHEN 7 THEN 'Figure 2.1' || line ELSE left(line, 400) END")} AS t FROM l),
+      {strip_sql("CASE line_no % 9 WHEN 1 THEN '12 of 40' WHEN 2 THEN 'xi' WHEN 3 THEN '--' WHEN 4 THEN 'Table 3.1 ' || line WHEN 5 THEN 'Acme Pty Ltd ' || line WHEN 6 THEN '' WHEN 7 THEN 'Figure 2.1' || line ELSE line END")} AS t FROM l),
 r AS (SELECT t FROM v GROUP BY t HAVING count(*) > 20)
 SELECT doc_id, line_no, CASE
   WHEN t = '' THEN 'blank'
@@ -133,7 +133,7 @@ END AS reason FROM v"""
 
 @query("noncontent_reason", _REASON)
 def reason(spark, d):
-    t = F.expr("CASE line_no % 9 WHEN 1 THEN '12 of 40' WHEN 2 THEN 'xi' WHEN 3 THEN '--' WHEN 4 THEN concat('Table 3.1 ', left(line, 40)) WHEN 5 THEN concat('Acme Pty Ltd ', left(line, 50)) WHEN 6 THEN '' WHEN 7 THEN concat('Figure 2.1', line) ELSE left(line, 400) END")
+    t = F.expr("CASE line_no % 9 WHEN 1 THEN '12 of 40' WHEN 2 THEN 'xi' WHEN 3 THEN '--' WHEN 4 THEN concat('Table 3.1 ', line) WHEN 5 THEN concat('Acme Pty Ltd ', line) WHEN 6 THEN '' WHEN 7 THEN concat('Figure 2.1', line) ELSE line END")
     y0 = F.when(F.col("line_no") % 4 == 0, 40.0).otherwise(150.0 + 180.0 * (F.col("line_no") % 4))
     v = lines(spark, d).select("doc_id", "line_no", F.expr("1 + line_no div 4").alias("page"), y0.alias("y0"), T.strip(t).alias("t"))
     repeated = v.groupBy("t").count().filter("count > 20").select("t", F.lit(True).alias("again"))
@@ -142,12 +142,12 @@ def reason(spark, d):
 
 
 @query("data_table_predicate", rf"""
-WITH m AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '|a|b|c|' || chr(10) || '|---|---|---|' || chr(10) || '|11|22|33|' || chr(10) || '|44|55|66|' WHEN 1 THEN '|Contents|x|y|' || chr(10) || text WHEN 2 THEN '|a|b|c|' || chr(10) || '|d|e|f|' || chr(10) || left(text, 60) ELSE text END AS md FROM documents),
+WITH m AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '|a|b|c|' || chr(10) || '|---|---|---|' || chr(10) || '|11|22|33|' || chr(10) || '|44|55|66|' WHEN 1 THEN '|Contents|x|y|' || chr(10) || text WHEN 2 THEN '|a|b|c|' || chr(10) || '|d|e|f|' || chr(10) || text ELSE text END AS md FROM documents),
 l AS (SELECT doc_id, md, list_filter(string_split({strip_sql('md')}, chr(10)), lambda x: NOT starts_with(x, '|---') AND length({strip_sql('x')}) > 5) AS dl FROM m),
 c AS (SELECT doc_id, md, len(dl) AS n, len(list_filter(dl, lambda x: length(x) - length(replace(x, '|', '')) >= 3)) AS s, len(regexp_extract_all(md, '[\p{{L}}\p{{N}}]')) AS a, length(md) - length(replace(md, '|', '')) AS pipes FROM l)
 SELECT doc_id, (md <> '' AND NOT regexp_matches(lower(md), 'foreword|contents|table of contents|record of updates|abbreviations and acronyms') AND NOT (n > 0 AND (s / n < 0.2 OR (n < 3 AND s < 2))) AND NOT (pipes > 0 AND a / pipes > 50)) AS data_table FROM c""")
 def data_table(spark, d):
-    md = F.expr("CASE doc_id % 4 WHEN 0 THEN '|a|b|c|\n|---|---|---|\n|11|22|33|\n|44|55|66|' WHEN 1 THEN concat('|Contents|x|y|\n', text) WHEN 2 THEN concat('|a|b|c|\n|d|e|f|\n', left(text, 60)) ELSE text END")
+    md = F.expr("CASE doc_id % 4 WHEN 0 THEN '|a|b|c|\n|---|---|---|\n|11|22|33|\n|44|55|66|' WHEN 1 THEN concat('|Contents|x|y|\n', text) WHEN 2 THEN concat('|a|b|c|\n|d|e|f|\n', text) ELSE text END")
     return table(spark, d, "documents").select("doc_id", P.is_data_table(md).alias("data_table"))
 
 
