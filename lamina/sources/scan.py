@@ -11,6 +11,7 @@ from xml.etree import ElementTree
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 SUPPORTED = (".pdf", ".docx", ".txt", ".md")
 
@@ -84,7 +85,7 @@ def texts(df: DataFrame, readers=None) -> tuple[DataFrame, DataFrame]:
     Plain text is decoded in the JVM, with what isn't UTF-8 replaced; Python sees only the other formats.
     """
     readers = readers or READERS
-    plain = df.filter(F.col("ext").isin(".txt", ".md")).select("path", F.decode("content", "UTF-8").alias("text"), F.lit(None).cast("string").alias("error"))
+    plain = df.filter(F.col("ext").isin(".txt", ".md")).select("path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"), F.lit(None).cast("string").alias("error"))
     unknown = df.filter(~F.col("ext").isin(".txt", ".md", *readers)).select("path", F.lit(None).cast("string").alias("text"), F.concat(F.lit("unsupported format "), "ext").alias("error"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -103,10 +104,13 @@ def texts(df: DataFrame, readers=None) -> tuple[DataFrame, DataFrame]:
 
 
 def json_files(spark: SparkSession, root: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, bad files' rows) of JSON artifacts, an object or an array of objects in each file."""
-    r = spark.read.schema(f"{schema}, _corrupt_record string").option("multiLine", "true").option("mode", "PERMISSIVE").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(root)
-    r = r.withColumn("file", F.input_file_name())
-    return r.filter("_corrupt_record is null").drop("_corrupt_record"), r.filter("_corrupt_record is not null").select("file", "_corrupt_record")
+    """(file and rows, bad files as file and text) of JSON artifacts, an object or an array of objects in each file."""
+    whole = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root)
+    whole = whole.select(F.input_file_name().alias("file"), F.trim("value").alias("value"))
+    good = F.try_parse_json("value").isNotNull()
+    rows = F.when(F.col("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
+    parsed = whole.filter(good).select("file", F.explode(F.from_json(rows, ArrayType(StructType.fromDDL(schema)))).alias("r"))
+    return parsed.select("file", "r.*"), whole.filter(~good)
 
 
 def text_lines(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
