@@ -208,7 +208,9 @@ def dedup_substrings(docs: DataFrame, keep: list[str] | None = None, length: int
                 cols = list(zip(*rows, strict=True)) or [()] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 6 + [pa.binary()], strict=True)], ["h", "m", "n", "key", "lo", "p", "data"])
 
-    cutout = spill(fetched.select("key", "data", "segs").mapInArrow(fetch, "h long, m long, n long, key long, lo long, p long, data binary").withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(n)).cast("int")), "sub-segments")
+    # anchors with many segments have a bucket each, so that several of them don't meet in one task
+    bucket = F.when(F.col("m") > BUCKET // 4, n + F.pmod(F.xxhash64("h"), F.lit(1 << 30))).otherwise(F.pmod(F.xxhash64("h"), F.lit(n))).cast("int")
+    cutout = spill(fetched.select("key", "data", "segs").mapInArrow(fetch, "h long, m long, n long, key long, lo long, p long, data binary").withColumn("bucket", bucket), "sub-segments")
 
     def build(t: pa.Table) -> pa.Table:
         h, count, key, lo, p = (t.column(c).to_numpy() for c in ("h", "n", "key", "lo", "p"))
