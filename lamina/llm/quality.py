@@ -27,6 +27,8 @@ MIN_GROUP = 200
 #: Squared distances beyond this are outliers. For six normal statistics about one document in 10**9 is as far.
 CUTOFF = 50.0
 BINS = 400
+#: Groups whose estimates are broadcast at most (some 400 bytes each), and salts of a join with more.
+SMALL, SALTS = 20_000, 32
 
 
 def n_repeat_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -160,8 +162,16 @@ def fit_mcd(rows: DataFrame, keys: list[str], p: int = len(FEATURES)) -> DataFra
 
 
 def _join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Left rows with the right columns by keys; b has a row for each key that a has. Keys aren't null."""
-    return a.join(b, keys)
+    """Left rows with the right columns by keys; b, a row for each group, has one for each key that a has. Keys aren't null.
+
+    Up to SMALL groups are broadcast. More are joined by key and salt, so that a group with a third of the rows is
+    spread over tasks, and a sum by group that follows still starts within each task.
+    """
+    if b.limit(SMALL + 1).count() <= SMALL:
+        return a.join(F.broadcast(b), keys)
+    a = a.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    b = b.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return a.join(b, [*keys, "__salt"]).drop("__salt")
 
 
 def _bin(d):
@@ -218,7 +228,8 @@ def judge(docs: DataFrame, keep: list[str] | None = None, cutoff: float = CUTOFF
     xs = [f"x{i}" for i in range(len(FEATURES))]
     rows = spill(good.filter("grp is not null").select("grp", *xs), "mcd-rows")
     params = fit_mcd(rows, ["grp"])
-    judged = good.join(params.select("grp", "mu", "prec", "factor"), "grp", "left").withColumn("distance", _distance(len(xs)) * F.col("factor"))
+    missing = good.filter("grp is null").withColumn("distance", F.lit(None).cast("double"))
+    judged = _join(good.filter("grp is not null"), params.select("grp", "mu", "prec", "factor"), ["grp"]).withColumn("distance", _distance(len(xs)) * F.col("factor"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    out = judged.select(*keep, *names, "distance").unionByName(stats.filter("base_failed").select(*keep, *names, F.lit(None).cast("double").alias("distance")))
+    out = judged.select(*keep, *names, "distance").unionByName(missing.select(*keep, *names, "distance")).unionByName(stats.filter("base_failed").select(*keep, *names, F.lit(None).cast("double").alias("distance")))
     return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff))
