@@ -40,12 +40,12 @@ def spill(df: DataFrame, label: str, partition_by: list[str] | None = None) -> D
     puts a plain scan under later joins, so that AQE can split their skewed partitions.
     """
     spark = df.sparkSession
+    free(spark)  # what the step before left: its plan is collectable only now
     path = f"{shared_dir(spark)}/lamina/{label}-{uuid.uuid4().hex}"
     schema = df.schema
     writer = df.write.option("compression", "snappy")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     del df, writer
-    free(spark)
     out = spark.read.schema(schema).parquet(path)
     out._lamina_path = path
     return out
@@ -60,7 +60,6 @@ def spill_bucketed(df: DataFrame, label: str, column: str, buckets: int) -> Data
     out = spark.table(name).select("*")
     out.schema  # resolved: the files are all it needs from here on
     spark.sql(f"DROP TABLE {name}")
-    free(spark)
     return out
 
 

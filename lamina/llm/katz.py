@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, spill, spill_bucketed
+from .common import buckets_for, free, spill, spill_bucketed
 
 #: Tokens of a block, and vocabulary entries or tokens of a bucket, about.
 BLOCK, UNI_BUCKET, BI_BUCKET = 2_500_000, 400_000, 1_500_000
@@ -368,5 +368,6 @@ def score(docs: DataFrame, held) -> DataFrame:
             "train_tokens": np.full(len(b.lens), total, np.int64), "base_score": by_doc(base), "score": by_doc(np.log10(p)),
         })
 
+    free(docs.sparkSession)
     answers = one.filter("kind = 'r'").select("block", "bucket", "data", F.lit(1).alias("level")).unionByName(two.filter("kind = 'r'").select("block", "bucket", "data", F.lit(2).alias("level")))
     return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
