@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import gc
 import shutil
 import tempfile
@@ -71,6 +72,17 @@ def drop_spilled(df: DataFrame) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def trim() -> None:
+    """Give freed memory of this Python worker back to the system: workers live on, and large arrays leave gaps that the allocator keeps."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def buckets_for(rows: int, per_bucket: int, least: int = 48) -> int:
     """How many hash buckets hold about per_bucket rows each; grows with the rows."""
     return max(least, -(-rows // per_bucket))

@@ -25,10 +25,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, free, spill, spill_bucketed
+from .common import buckets_for, free, spill, spill_bucketed, trim
 
 #: Tokens of a block, and vocabulary entries or tokens of a bucket, about.
-BLOCK, UNI_BUCKET, BI_BUCKET = 2_500_000, 400_000, 1_500_000
+BLOCK, UNI_BUCKET, BI_BUCKET = 1_500_000, 300_000, 1_000_000
 #: Counts up to K are discounted.
 K = 5
 #: No word has a blank, so this stands for the end, which is also the context of a text's first token.
@@ -138,7 +138,7 @@ def blocks(docs: DataFrame, block: int = BLOCK) -> DataFrame:
             )
 
         ids, held, lens, arrays, n = fresh()
-        for b in batches:
+        for b in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             for d, t, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 own = [words[w] for w in (t or "").encode().lower().split()]
                 own.append(0)
@@ -151,8 +151,12 @@ def blocks(docs: DataFrame, block: int = BLOCK) -> DataFrame:
                     yield emit()
                     made += 1
                     ids, held, lens, arrays, n = fresh()
+                    trim()
         if ids:
             yield emit()
+        words.clear()
+        arrays.clear()
+        trim()
 
     return docs.select("doc_id", "text", "held").mapInArrow(run, f"block long, docs array<{id_type}>, held array<boolean>, lens array<int>, tokens binary, vocab binary, entries long")
 
@@ -274,10 +278,13 @@ def bigrams(corpus: DataFrame, uni_answers: DataFrame, uni: Unigrams, uni_bucket
         b = _block(left, right, uni_buckets)
         b.questions(uni, buckets, share)
         rows = [(k, left.column("block")[0].as_py(), _question(b, c, runs, at)) for k, c, runs, at in b.parts]
+        del b
+        trim()
         cols = list(zip(*rows, strict=True)) or [()] * 3
         return pa.table({"bucket": pa.array(cols[0], pa.int32()), "block": pa.array(cols[1], pa.int64()), "data": pa.array(cols[2], pa.binary())})
 
     def answer(t: pa.Table) -> pa.Table:
+        trim()  # what the bucket before left
         bucket, asked = t.column("bucket")[0].as_py(), t.column("block").to_pylist()
         parts = [unpack(d, "u1", "<u4", "u1", "<u4", "<f4") for d in t.column("data").to_pylist()]
         parts = [(unplanes(c), runs, unplanes(w), seen, p1) for c, runs, w, seen, p1 in parts]
@@ -338,6 +345,7 @@ def score(docs: DataFrame, held) -> DataFrame:
     d2 = discounts([0, *_total_stats(two)[2:]])
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        trim()
         level = right.column("level").to_numpy()
         b = _block(left, right.filter(pa.array(level == 1)), uni_buckets)
         b.questions(uni, buckets, share)
