@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, drop_spilled, spill
+from .common import buckets_for, spill
 from .katz import mix
 
 LENGTH, GRAM = 400, 120
@@ -186,14 +186,13 @@ def dedup_substrings(docs: DataFrame, keep: list[str] | None = None, length: int
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.binary()], strict=True)], ["h", "key", "p", "lo", "hi", "seg"])
 
     marked = spill(texts.filter(F.length("data") >= length).mapInArrow(mark, "h long, key long, p long, lo long, hi long, seg binary"), "sub-anchors")
-    again = spill(marked.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "sub-again")
-    met = spill(marked.join(again.hint("merge"), "h"), "sub-met")
-    drop_spilled(marked)
+    # equal segments are summed up before anything is joined: a passage in a third of all documents is one row from each task
     one = F.min(F.struct("key", "lo", "hi", "p")).alias("one")
-    segs = spill(met.groupBy("h", "seg").agg(F.count("*").alias("n"), one), "sub-segs")
-    # segments found twice: every string in them is repeated
-    twice = met.join(segs.filter("n > 1").select("h", "seg").hint("merge"), ["h", "seg"]).select("key", F.col("lo").alias("a"), F.col("hi").alias("b"))
-    # others are compared with the different segments of their anchor
+    segs = spill(marked.groupBy("h", "seg").agg(F.count("*").alias("n"), one), "sub-segs")
+    # segments found twice: every string in them is repeated. The left side is in the documents' order, so a frequent
+    # segment comes from many tasks and its part of the join can be split
+    twice = marked.join(segs.filter("n > 1").select("h", "seg").hint("merge"), ["h", "seg"]).select("key", F.col("lo").alias("a"), F.col("hi").alias("b"))
+    # segments found once are compared with the other segments of their anchor
     sizes = segs.groupBy("h").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter("m > 1 and least = 1").select("h", "m")
     open_ = spill(segs.join(spill(sizes, "sub-sizes").hint("merge"), "h").select("h", "m", "n", "one.*"), "sub-open")
     wanted = open_.groupBy("key").agg(F.collect_list(F.struct("h", "m", "n", "lo", "hi", "p")).alias("segs"))  # of one document
