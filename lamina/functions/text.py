@@ -65,9 +65,12 @@ def word_windows(c: Column, size: int, overlap: int) -> Column:
     """Windows of `size` words, each starting size - overlap after the last; the last one may lie within its predecessor."""
     if not 0 <= overlap < size:
         raise ValueError("0 <= overlap < size is needed, else windows never advance")
-    words = F.filter(F.split(c, r"\s+"), lambda w: w != "")
-    starts = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1, F.lit(size - overlap))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, F.lit(size)), " "))
+    def cut(words: Column) -> Column:
+        starts = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1, F.lit(size - overlap))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, F.lit(size)), " "))
+
+    # the words bound once, as the only element of an array: named in the inner function they would be cut anew for each window
+    return F.transform(F.array(F.filter(F.split(c, r"\s+"), lambda w: w != "")), cut)[0]
 
 
 def sentences(c: Column) -> Column:
