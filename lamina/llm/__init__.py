@@ -2,10 +2,3 @@
 
 Nothing outside this subpackage imports it; the queries are in ``queries.py``.
 """
-
-import sys
-
-from pyspark import cloudpickle
-
-# functions that run on executors carry their code: executors need no copy of this package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
