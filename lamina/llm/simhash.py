@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, components, spill, union_find
+from .common import buckets_for, components, drop_spilled, spill, union_find
 
 SEED = 42
 #: Bits of a segment. A fingerprint is a point with one coordinate, the number of 1 bits, for each segment.
@@ -19,24 +19,34 @@ SEGMENT = 2
 BLOCK = 4096
 #: Points that one task's bucket of cells holds, about.
 BUCKET = 60_000
+#: Lowest shingle hashes of a text under which texts meet. Of two texts that share 4/5 of their shingles, each of the lowest
+#: hashes of both together is a shared one with probability 0.8 at least: with 20 a pair is missed once in 10**14.
+LOWEST = 20
+#: Bits that two texts may differ in to be compared (see similar_texts()). At similarity 0.8 the mean is about 10, the deviation 3.
+FAR = 24
+#: Of LOWEST hashes of each, two texts must have so many in common to be compared: at 0.8 fewer than 6 of 20 have probability 2 in 10**7.
+COMMON = 6
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """64-bit fingerprint of a whole text: A-Z lower-cased, words between [\\x20\\x09-\\x0D], shingles with repeats.
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of each shingle of a whole text, with repeats: A-Z lower-cased, words between [\\x20\\x09-\\x0D].
 
-    A bit is 1 if it is set in over half of the shingles' XXH64 (seed 42). Fewer words than a shingle: the
-    whole sequence is the one shingle; no word: zero.
+    Fewer words than a shingle: the whole sequence is the one shingle; no word: none.
     """
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
+    digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(line, SEED)
+        return np.array([digest(line, SEED)], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = (ends - np.diff(ends, prepend=0)).tolist()
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(line[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=False)], np.uint64)
+    return np.array([digest(line[a:b], SEED) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=False)], np.uint64)
+
+
+def majority(h: np.ndarray) -> int:
+    """The 64 bits that are set in over half of the hashes; none: zero."""
     n = len(h)
     bits = np.zeros(64, np.int64)
     for at in range(0, n, 65536):
@@ -45,6 +55,11 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * bits > n).tolist())
 
 
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """64-bit fingerprint of a whole text: a bit is 1 if it is set in over half of the shingles' hashes."""
+    return majority(shingle_hashes(text, shingle))
+
+
 def with_fingerprint(docs: DataFrame, keep: list[str]) -> DataFrame:
     """(keep..., fp): fp is the fingerprint's 64 bits as a long; one narrow pass."""
     src = docs.select(*keep, "text")
@@ -155,3 +170,89 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, distance: in
     least = by_fp.groupBy("c").agg(F.min("id").alias("component_id"))
     groups = spill(by_fp.join(least, "c").select("fp", "component_id"), "sim-groups")
     return rows.join(groups, "fp").select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Jaccard similarity of two sets of hashes is 0.8 at least; in integers."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 5 * both >= 4 * (len(a) + len(b) - both)
+
+
+def with_sketch(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
+    """(keep..., sid, n, fp, low): a digest of the set of shingle hashes, its size, its 64 majority bits and its lowest hashes.
+
+    low has as many hashes as two similar sets can differ in, plus one (then none is missed), but LOWEST at most.
+    """
+    src = docs.select(*keep, "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sid, n, fp, low = [], [], [], []
+            for t in b.column(len(keep)).to_pylist():
+                h = np.unique(shingle_hashes(t, shingle))
+                sid.append(xxhash.xxh3_64_intdigest(h.tobytes()))
+                n.append(len(h))
+                fp.append(majority(h))
+                low.append(h[: min(LOWEST, len(h) // 5 + 1)].view(np.int64).tolist())
+            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sid, n, fp)]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *longs, pa.array(low, pa.list_(pa.int64()))], [*keep, "sid", "n", "fp", "low"])
+
+    head = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep)
+    return src.mapInArrow(run, f"{head}, sid long, n long, fp long, low array<long>")
+
+
+def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """Those pairs (u, v) of points (sid, __key, low) whose texts in docs (__key, text) are similar."""
+    for c in ("u", "v"):
+        pairs = pairs.join(points.select(F.col("sid").alias(c), F.col("low").alias(f"low_{c}")).hint("merge"), c)
+    short = F.least(F.size("low_u"), F.size("low_v")) < LOWEST
+    pairs = spill(pairs.filter(short | (F.size(F.array_intersect("low_u", "low_v")) >= COMMON)).select("u", "v"), "sim-pairs")
+    ends = pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid"))).distinct()
+    ends = spill(points.select("sid", "__key").join(ends, "sid"), "sim-ends")
+    some = spill(docs.select("__key", "text").join(ends, "__key").dropDuplicates(["__key"]).select("sid", "text"), "sim-texts")
+    left = spill(pairs.join(some.select(F.col("sid").alias("u"), F.col("text").alias("a")).hint("merge"), "u"), "sim-left")
+    both = left.join(some.select(F.col("sid").alias("v"), F.col("text").alias("b")).hint("merge"), "v").select("u", "v", "a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            last, x, ok = None, None, []
+            for s, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                if x is None or s != last:
+                    last, x = s, np.unique(shingle_hashes(s, shingle))
+                ok.append(_similar(x, np.unique(shingle_hashes(t, shingle))))
+            rows = pa.array(np.flatnonzero(ok))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows)], ["u", "v"])
+
+    out = spill(both.mapInArrow(run, "u long, v long"), "sim-verified")
+    for x in (some, left):
+        drop_spilled(x)
+    return out
+
+
+def similar_texts(docs: DataFrame, keep: list[str], shingle: int = 5) -> DataFrame:
+    """Groups of similar texts: (keep..., group) for each row; keep has a column __key that stands for a row's text and id.
+
+    Texts are linked whose sets of shingles have a Jaccard similarity of 0.8 at least, computed on whole texts; a
+    group is what links reach. Equal sets are one point. Texts meet in the cells of their lowest hashes: first each
+    with the smallest of the cell, which ties groups of any size at the cost of one comparison a member, and then all
+    pairs of a cell that are not tied yet. Compared are those whose fingerprints differ in at most FAR bits and that have
+    COMMON lowest hashes in common. Texts without a word are equal to each other.
+    """
+    rows = spill(with_sketch(docs, keep, shingle), "sim-sketch")
+    points = spill(rows.groupBy("sid").agg(F.min("__key").alias("__key"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("low").alias("low")), "sim-points")
+    placed = spill(points.select("sid", "n", "fp", F.explode("low").alias("h")), "sim-placed")
+    heads = spill(placed.groupBy("h").agg(F.min(F.struct("sid", "n", "fp")).alias("head"), F.count("*").alias("c")).filter("c > 1").drop("c"), "sim-heads")
+    cells = spill(placed.join(heads.hint("merge"), "h"), "sim-cells")
+    near = (5 * F.least("n", "m") >= 4 * F.greatest("n", "m")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fq"))) <= FAR)
+    stars = cells.select("sid", "n", "fp", F.col("head.sid").alias("v"), F.col("head.n").alias("m"), F.col("head.fp").alias("fq")).filter(F.col("sid") != F.col("v")).filter(near)
+    tied = _verified(stars.select(F.col("sid").alias("u"), "v").distinct(), points, docs, shingle)
+    cc = spill(components(tied), "sim-tied")
+    cells = cells.drop("head").join(cc.hint("merge"), cells["sid"] == cc["id"], "left").select("h", "sid", "n", "fp", F.coalesce("component", "sid").alias("c"))
+    cells = spill(cells, "sim-cells")
+    mixed = spill(cells.groupBy("h").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("h"), "sim-mixed")
+    cells = spill(cells.join(mixed.hint("merge"), "h"), "sim-mixed-cells")
+    a, b = cells, cells.select("h", F.col("sid").alias("v"), F.col("n").alias("m"), F.col("fp").alias("fq"), F.col("c").alias("d"))
+    pairs = a.join(b.hint("merge"), "h").filter((F.col("c") != F.col("d")) & (F.col("sid") < F.col("v")) & near)
+    links = tied.unionByName(_verified(pairs.select(F.col("sid").alias("u"), "v").distinct(), points, docs, shingle))
+    cc = spill(components(links), "sim-cc")
+    return rows.join(cc.hint("merge"), rows["sid"] == cc["id"], "left").select(*keep, F.coalesce("component", "sid").alias("group"))
