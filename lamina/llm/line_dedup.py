@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import spill
 
-#: A repeated passage has MIN_LINES lines in a row or is one line of MIN_WORDS words.
+#: A repeated passage has MIN_LINES lines in a row or is one line of MIN_WORDS words; with short_runs, any run of lines of MIN_WORDS words together.
 MIN_LINES, MIN_WORDS = 3, 50
 _GRAMS = "array<struct<at:int,lines:int,gram:binary>>"
 
@@ -24,13 +24,14 @@ def lines_of(text: str | None) -> tuple[list[str], list[int]]:
     return lines, [i for i, x in enumerate(lines) if x.strip(" \t\x0b\x0c\r")]
 
 
-def fingerprints(text: str | None, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> list[tuple[int, int, list[tuple[int, int, bytes]]]]:
+def fingerprints(text: str | None, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, short_runs: bool = False) -> list[tuple[int, int, list[tuple[int, int, bytes]]]]:
     """Selected line hashes of a text: (hash, place, grams).
 
     In each window of min_lines lines the smallest hash is selected, the rightmost of equal ones. Which it is depends
     on the window's lines alone, so two equal windows anywhere select equal fingerprints: none is missed.
     grams: the windows that selected it, that is its context to the left and right, as (place of the first
-    line, lines, digest of the lines). Lines of min_words words are windows of their own. Places count lines with a word.
+    line, lines, digest of the lines). Lines of min_words words are windows of their own; with short_runs, so are runs of fewer than
+    min_lines lines with min_words words together. Places count lines with a word.
     """
     lines, at = lines_of(text)
     full = [lines[i].encode() for i in at]
@@ -44,6 +45,14 @@ def fingerprints(text: str | None, min_lines: int = MIN_LINES, min_words: int =
     for i, x in enumerate(full):
         if len(x) >= 2 * min_words - 1 and len(x.split()) >= min_words:
             out.setdefault(i, []).append((i, 1, xxhash.xxh3_128_digest(x)))
+    if short_runs:
+        words = [len(x.split()) for x in full]
+        for n in range(2, min_lines):
+            for i in range(len(full) - n + 1):
+                if sum(words[i : i + n]) >= min_words:
+                    low = min(hashes[i : i + n])
+                    best = i + max(k for k, h in enumerate(hashes[i : i + n]) if h == low)
+                    out.setdefault(best, []).append((i, n, xxhash.xxh3_128_digest(b"\n".join(full[i : i + n]))))
     return [(hashes[i] - (1 << 63), i, grams) for i, grams in out.items()]
 
 
@@ -64,10 +73,11 @@ def cut_lines(text: str | None, spans: list[tuple[int, int]]) -> tuple[str | Non
     return "\n".join(x for x, g in zip(lines, gone, strict=True) if not g), len(lines), sum(gone), runs
 
 
-def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, short_runs: bool = False) -> DataFrame:
     """Delete later repeats of passages: (keep..., text, n_lines, n_removed, n_runs), one row for each row.
 
-    A line goes if it lies in a passage (min_lines lines in a row, or one line of min_words words) that occurs at an
+    A line goes if it lies in a passage (min_lines lines in a row, or one line of min_words words, or, with short_runs, any run of
+    lines of min_words words together) that occurs at an
     earlier (doc_id, place), the same document included. Runs of any length are unions of such passages: the
     windows around each joined fingerprint overlap to both sides. Blank lines don't count as lines; one goes if
     the line before it goes. Passages are judged on the input, not on what is left. Null texts stay null, empty ones
@@ -85,7 +95,7 @@ def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int =
         for b in batches:
             rows, hs, grams = [], [], []
             for r, text in enumerate(b.column(2).to_pylist()):
-                for h, _, g in fingerprints(text, min_lines, min_words):
+                for h, _, g in fingerprints(text, min_lines, min_words, short_runs):
                     rows.append(r)
                     hs.append(h)
                     grams.append([{"at": a, "lines": n, "gram": d} for a, n, d in g])
