@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, components, drop_spilled, spill, union_find
+from .common import buckets_for, components, spill, union_find
 
 SEED = 42
 #: Bits of a segment. A fingerprint is a point with one coordinate, the number of 1 bits, for each segment.
@@ -19,13 +19,16 @@ SEGMENT = 2
 BLOCK = 4096
 #: Points that one task's bucket of cells holds, about.
 BUCKET = 60_000
-#: Lowest shingle hashes of a text under which texts meet. Of two texts that share 4/5 of their shingles, each of the lowest
-#: hashes of both together is a shared one with probability 0.8 at least: with 20 a pair is missed once in 10**14.
-LOWEST = 20
-#: Bits that two texts may differ in to be compared (see similar_texts()). At similarity 0.8 the mean is about 10, the deviation 3.
-FAR = 24
-#: Of LOWEST hashes of each, two texts must have so many in common to be compared: at 0.8 fewer than 6 of 20 have probability 2 in 10**7.
-COMMON = 6
+#: Min-hashes of a text's set of shingles: BANDS cells of ROWS values each. Two sets with similarity 0.8 share a cell with
+#: probability 0.8**3 in each band, so a pair is missed in all 20 once in 2 * 10**6; sets that share little hardly ever meet.
+BANDS, ROWS = 20, 3
+#: Bits that the fingerprints of two similar texts may differ in. At similarity 0.8 the mean is about 10, the deviation 3. Sets of fewer
+#: than FEW shingles are compared without this bound, as theirs spread more.
+FAR, FEW = 24, 16
+#: Texts, and shingle hashes, that one side of a comparison holds at most, about, and hashes of a task's bucket.
+SIDE, SIDE_HASHES, BUCKET_HASHES = 1024, 300_000, 2_000_000
+_rng = np.random.default_rng(SEED)
+_FACTORS, _OFFSETS = (_rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -172,87 +175,134 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, distance: in
     return rows.join(groups, "fp").select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Jaccard similarity of two sets of hashes is 0.8 at least; in integers."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 5 * both >= 4 * (len(a) + len(b) - both)
+def cells_of(hashes: np.ndarray) -> list[int]:
+    """The set's cell in each band: a digest of ROWS min-hashes."""
+    low = np.full(BANDS * ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
+    for at in range(0, len(hashes), 4096):
+        x = hashes[at : at + 4096, None] * _FACTORS + _OFFSETS  # multiplying spreads low bits upwards only: fold the high half down
+        low = np.minimum(low, ((x ^ (x >> np.uint64(32))) * _FACTORS[::-1]).min(0))
+    return [xxhash.xxh3_64_intdigest(low[i * ROWS : (i + 1) * ROWS].tobytes(), i) - (1 << 63) for i in range(BANDS)]
 
 
 def with_sketch(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
-    """(keep..., sid, n, fp, low): a digest of the set of shingle hashes, its size, its 64 majority bits and its lowest hashes.
-
-    low has as many hashes as two similar sets can differ in, plus one (then none is missed), but LOWEST at most.
-    """
+    """(keep..., sid, n, cells): 128 bits that stand for the set of shingle hashes, its size and its cells (none for a text without a word)."""
     src = docs.select(*keep, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sid, n, fp, low = [], [], [], []
+            sid, n, cells = [], [], []
             for t in b.column(len(keep)).to_pylist():
                 h = np.unique(shingle_hashes(t, shingle))
-                sid.append(xxhash.xxh3_64_intdigest(h.tobytes()))
+                sid.append(xxhash.xxh3_128_digest(h.tobytes()))
                 n.append(len(h))
-                fp.append(majority(h))
-                low.append(h[: min(LOWEST, len(h) // 5 + 1)].view(np.int64).tolist())
-            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (sid, n, fp)]
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *longs, pa.array(low, pa.list_(pa.int64()))], [*keep, "sid", "n", "fp", "low"])
+                cells.append(cells_of(h) if len(h) else [])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(sid, pa.binary()), pa.array(n, pa.int64()), pa.array(cells, pa.list_(pa.int64()))], [*keep, "sid", "n", "cells"])
 
     head = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep)
-    return src.mapInArrow(run, f"{head}, sid long, n long, fp long, low array<long>")
+    return src.mapInArrow(run, f"{head}, sid binary, n long, cells array<long>")
 
 
-def _verified(pairs: DataFrame, points: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
-    """Those pairs (u, v) of points (sid, __key, low) whose texts in docs (__key, text) are similar."""
-    for c in ("u", "v"):
-        pairs = pairs.join(points.select(F.col("sid").alias(c), F.col("low").alias(f"low_{c}")).hint("merge"), c)
-    short = F.least(F.size("low_u"), F.size("low_v")) < LOWEST
-    pairs = spill(pairs.filter(short | (F.size(F.array_intersect("low_u", "low_v")) >= COMMON)).select("u", "v"), "sim-pairs")
-    ends = pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid"))).distinct()
-    ends = spill(points.select("sid", "__key").join(ends, "sid"), "sim-ends")
-    some = spill(docs.select("__key", "text").join(ends, "__key").dropDuplicates(["__key"]).select("sid", "text"), "sim-texts")
-    left = spill(pairs.join(some.select(F.col("sid").alias("u"), F.col("text").alias("a")).hint("merge"), "u"), "sim-left")
-    both = left.join(some.select(F.col("sid").alias("v"), F.col("text").alias("b")).hint("merge"), "v").select("u", "v", "a", "b")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            last, x, ok = None, None, []
-            for s, t in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                if x is None or s != last:
-                    last, x = s, np.unique(shingle_hashes(s, shingle))
-                ok.append(_similar(x, np.unique(shingle_hashes(t, shingle))))
-            rows = pa.array(np.flatnonzero(ok))
-            yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(1).take(rows)], ["u", "v"])
+def similar_pairs(sets: list[np.ndarray], fp: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of sets, one from each side, with Jaccard similarity 0.8 at least; equal sides: each pair once.
 
-    out = spill(both.mapInArrow(run, "u long, v long"), "sim-verified")
-    for x in (some, left):
-        drop_spilled(x)
-    return out
+    The sum of differences of segments' popcounts bounds the fingerprints' distance from below; what that and the distance leave is
+    compared exactly, by the products of the sets' rows over those shingles that at least two sets hold.
+    """
+    same = one is two
+    size = np.array([len(s) for s in sets], np.int64)
+    u = unary(fp)
+    far = np.bitwise_count(u[one][:, None] ^ u[two]) <= FAR
+    far &= np.bitwise_count(fp[one][:, None] ^ fp[two]) <= FAR
+    far |= np.minimum(size[one][:, None], size[two]) < FEW
+    far &= 5 * np.minimum(size[one][:, None], size[two]) >= 4 * np.maximum(size[one][:, None], size[two])
+    if same:
+        far = np.triu(far, 1)
+    a, b = np.nonzero(far)
+    if len(a) <= 64:
+        both = np.array([len(np.intersect1d(sets[one[x]], sets[two[y]], assume_unique=True)) for x, y in zip(a, b, strict=True)], np.int64)
+    else:
+        rows, cols = np.unique(a), np.unique(b)
+        used = np.unique(np.concatenate([one[rows], two[cols]]))
+        values, at, count = np.unique(np.concatenate([sets[i] for i in used]), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(used)), size[used])
+        shared = np.cumsum(count > 1) - 1
+        live = count[at] > 1
+        owner, at = owner[live], shared[at[live]]
+        left, right = np.searchsorted(used, one[rows]), np.searchsorted(used, two[cols])
+        product = np.zeros((len(rows), len(cols)), np.float32)  # whole numbers below 2**24: exact
+        step = max(1, 4_000_000 // len(used))
+        for lo in range(0, int((count > 1).sum()), step):
+            part = (at >= lo) & (at < lo + step)
+            m = np.zeros((len(used), step), np.float32)
+            m[owner[part], at[part] - lo] = 1
+            product += m[left] @ m[right].T
+        both = product[np.searchsorted(rows, a), np.searchsorted(cols, b)].astype(np.int64)
+    ok = 9 * both >= 4 * (size[one[a]] + size[two[b]])
+    return one[a[ok]], two[b[ok]]
+
+
+def _links_of(pieces: DataFrame, shingle: int) -> DataFrame:
+    """Links (u, v) between similar texts of a piece, as spanning forests: rows (bucket, piece, side, sid, text).
+
+    Side 0 is compared with side 1, and side 2 with itself.
+    """
+    def compare(t: pa.Table) -> pa.Table:
+        piece, side = (t.column(x).to_numpy() for x in ("piece", "side"))
+        sid, where, ident = np.unique(np.array(t.column("sid").to_pylist(), "S16"), return_index=True, return_inverse=True)
+        texts = t.column("text")
+        sets = [np.unique(shingle_hashes(texts[int(i)].as_py(), shingle)) for i in where]
+        fp = np.array([majority(s) for s in sets], np.uint64)
+        us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        order = np.argsort(piece, kind="stable")
+        cuts = np.flatnonzero(np.concatenate([[True], piece[order][1:] != piece[order][:-1], [True]]))
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            rows = order[lo:hi]
+            first, second, whole = (np.unique(ident[rows[side[rows] == s]]) for s in range(3))
+            for one, two in ((first, second), (whole, whole)):
+                u, v = similar_pairs(sets, fp, one, two)
+                us.append(u)
+                vs.append(v)
+        root = union_find(len(sid), np.concatenate(us), np.concatenate(vs))
+        linked = np.flatnonzero(root != np.arange(len(sid)))
+        whole = lambda x: pa.array([v.ljust(16, b"\0") for v in x.tolist()], pa.binary())  # noqa: E731  numpy drops closing zero bytes
+        return pa.table({"u": whole(sid[linked]), "v": whole(sid[root[linked]])})
+
+    return pieces.groupBy("bucket").applyInArrow(compare, "u binary, v binary")
 
 
 def similar_texts(docs: DataFrame, keep: list[str], shingle: int = 5) -> DataFrame:
-    """Groups of similar texts: (keep..., group) for each row; keep has a column __key that stands for a row's text and id.
+    """Groups of similar texts: (keep..., group) for each row; keep has a column __key that stands for a row.
 
     Texts are linked whose sets of shingles have a Jaccard similarity of 0.8 at least, computed on whole texts; a
-    group is what links reach. Equal sets are one point. Texts meet in the cells of their lowest hashes: first each
-    with the smallest of the cell, which ties groups of any size at the cost of one comparison a member, and then all
-    pairs of a cell that are not tied yet. Compared are those whose fingerprints differ in at most FAR bits and that have
-    COMMON lowest hashes in common. Texts without a word are equal to each other.
+    group is what links reach. Equal sets are one point, and texts without a word are equal to each other. Points meet in cells
+    of min-hashes; cells with the same points are one. A cell is cut into blocks of bounded size: each is compared
+    with itself and with the cell's head, which ties a group of copies of any size at a cost that grows with its members, and in
+    cells that hold more than one group after that, each block with each other. Tasks return spanning forests, no pairs.
     """
     rows = spill(with_sketch(docs, keep, shingle), "sim-sketch")
-    points = spill(rows.groupBy("sid").agg(F.min("__key").alias("__key"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("low").alias("low")), "sim-points")
-    placed = spill(points.select("sid", "n", "fp", F.explode("low").alias("h")), "sim-placed")
-    heads = spill(placed.groupBy("h").agg(F.min(F.struct("sid", "n", "fp")).alias("head"), F.count("*").alias("c")).filter("c > 1").drop("c"), "sim-heads")
-    cells = spill(placed.join(heads.hint("merge"), "h"), "sim-cells")
-    near = (5 * F.least("n", "m") >= 4 * F.greatest("n", "m")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fq"))) <= FAR)
-    stars = cells.select("sid", "n", "fp", F.col("head.sid").alias("v"), F.col("head.n").alias("m"), F.col("head.fp").alias("fq")).filter(F.col("sid") != F.col("v")).filter(near)
-    tied = _verified(stars.select(F.col("sid").alias("u"), "v").distinct(), points, docs, shingle)
+    points = spill(rows.groupBy("sid").agg(F.min("__key").alias("__key"), F.first("n").alias("n"), F.first("cells").alias("cells")), "sim-points")
+    placed = points.select("sid", "n", F.explode("cells").alias("cell"))
+    mark = lambda i: F.xxhash64(F.lit(i), "sid")
+    cells = placed.groupBy("cell").agg(F.count("*").alias("c"), F.sum("n").alias("hashes"), F.bit_xor(mark(1)).alias("s1"), F.bit_xor(mark(2)).alias("s2"), F.min(mark(3)).alias("head")).filter("c > 1")
+    blocks = F.ceil(F.greatest(F.col("c") / SIDE, F.col("hashes") / SIDE_HASHES)).cast("int")
+    cells = spill(cells.groupBy("s1", "s2", "c", "hashes", "head").agg(F.min("cell").alias("cell")).select("cell", "head", blocks.alias("blocks")), "sim-cells")
+    members = spill(placed.join(cells.hint("merge"), "cell").select("cell", "sid", "n", "blocks", (mark(3) == F.col("head")).alias("first"), F.pmod(mark(4), "blocks").cast("int").alias("block")), "sim-members")
+    ends = points.select("sid", "__key").join(members.select("sid").distinct(), "sid")
+    texts = spill(docs.select("__key", "text").join(ends.hint("merge"), "__key").dropDuplicates(["__key"]).select("sid", "text"), "sim-texts")
+
+    def links(pieces: DataFrame) -> DataFrame:
+        n = buckets_for(pieces.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], BUCKET_HASHES)
+        dealt = pieces.select("sid", "piece", "side", F.pmod(F.xxhash64("piece"), F.lit(n)).cast("int").alias("bucket"))
+        return spill(_links_of(dealt.join(texts.hint("merge"), "sid"), shingle), "sim-links")
+
+    own = members.withColumn("b", F.explode(F.when(F.col("first"), F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))))
+    tied = links(own.select("sid", "n", F.xxhash64("cell", "b").alias("piece"), F.lit(2).alias("side")))
     cc = spill(components(tied), "sim-tied")
-    cells = cells.drop("head").join(cc.hint("merge"), cells["sid"] == cc["id"], "left").select("h", "sid", "n", "fp", F.coalesce("component", "sid").alias("c"))
-    cells = spill(cells, "sim-cells")
-    mixed = spill(cells.groupBy("h").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("h"), "sim-mixed")
-    cells = spill(cells.join(mixed.hint("merge"), "h"), "sim-mixed-cells")
-    a, b = cells, cells.select("h", F.col("sid").alias("v"), F.col("n").alias("m"), F.col("fp").alias("fq"), F.col("c").alias("d"))
-    pairs = a.join(b.hint("merge"), "h").filter((F.col("c") != F.col("d")) & (F.col("sid") < F.col("v")) & near)
-    links = tied.unionByName(_verified(pairs.select(F.col("sid").alias("u"), "v").distinct(), points, docs, shingle))
-    cc = spill(components(links), "sim-cc")
-    return rows.join(cc.hint("merge"), rows["sid"] == cc["id"], "left").select(*keep, F.coalesce("component", "sid").alias("group"))
+    large = members.filter("blocks > 1").join(cc.hint("merge"), members["sid"] == cc["id"], "left").select("cell", "sid", "n", "blocks", "block", F.coalesce("component", "sid").alias("c"))
+    mixed = large.groupBy("cell").agg(F.min("c").alias("a"), F.max("c").alias("b")).filter("a <> b").select("cell")
+    large = spill(large.join(mixed.hint("merge"), "cell"), "sim-large")
+    other = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other <> block")
+    piece = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"), F.lit("pair")).alias("piece")
+    rest = links(other.select("sid", "n", piece, (F.col("block") > F.col("other")).cast("int").alias("side")))
+    groups = spill(components(tied.unionByName(rest)), "sim-cc")
+    return rows.join(groups.hint("merge"), rows["sid"] == groups["id"], "left").select(*keep, F.coalesce("component", "sid").alias("group"))

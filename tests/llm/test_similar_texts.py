@@ -55,3 +55,33 @@ def test_stage_keeps_one_of_each_group(spark):
 def test_rows_without_id(spark):
     docs = spark.createDataFrame([(None, "a b c d e f", "en", "s", 11), (7, "A b c d e f", "en", "s", 11), (None, "x y z", "en", "s", 5), (None, "x  y z", "en", "s", 6)], "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted((r.doc_id or 0, r.text[0]) for r in P.simhash_near_dedup(spark, docs, "").collect()) == [(0, "x"), (7, "A")]
+
+
+def test_small_blocks_and_order_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "SIDE", 4)  # many blocks a cell
+    rng = np.random.default_rng(3)
+    base = [f"b{x}" for x in range(60)]
+    rows = []
+    for i in range(60):  # near copies of one text, half of them not similar to one another
+        words = list(base)
+        for at in rng.integers(0, 60, int(rng.integers(0, 5))):
+            words[at] = f"y{rng.integers(0, 10**6)}"
+        rows.append((i, " ".join(words), "en", "s", 1))
+    rows += [(100, rows[0][1], "en", "t", 1), (100, rows[0][1], "fr", None, 2), (0, rows[0][1], "de", "u", 3), (0, rows[0][1], None, "a", 3)]
+    cols = "doc_id long, text string, lang string, source string, n_chars long"
+    want = sorted({rows[g][0] for g in brute_groups([r[1] for r in rows])})
+    got = [sorted(map(str, map(tuple, P.simhash_near_dedup(spark, spark.createDataFrame(x, cols).repartition(n), "").collect()))) for x, n in ((rows, 3), (rows[::-1], 5))]
+    assert got[0] == got[1] and sorted(int(r.split(",")[0][1:]) for r in got[0]) == want
+
+
+def test_pairs_equal_direct_count():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 200).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(base, int(rng.integers(100, 200)), replace=False), rng.integers(0, 2**63, int(rng.integers(0, 30))).astype(np.uint64)])) for _ in range(120)] + [base[:3], base[:4], base[:5]]
+    fp = np.array([simhash.majority(s) for s in sets], np.uint64)
+    at = np.arange(len(sets))
+    want = {(a, b) for a in at for b in at if a < b and 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
+    a, b = simhash.similar_pairs(sets, fp, at, at)
+    assert want and set(zip(a.tolist(), b.tolist(), strict=True)) == want
+    a, b = simhash.similar_pairs(sets, fp, at[:50], at[50:])
+    assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(x, y) for x, y in want if x < 50 <= y}
