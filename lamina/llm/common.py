@@ -41,14 +41,15 @@ def free(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def spill(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and read it back.
+def spill(df: DataFrame, label: str, partition_by: list[str] | None = None, tidy: bool = True) -> DataFrame:
+    """Write df as a Parquet table in the shared folder and read it back; tidy: free shuffle files of the steps before first.
 
     This cuts lineage: a lost executor costs the tasks it ran, not the jobs before. It also
     puts a plain scan under later joins, so that AQE can split their skewed partitions.
     """
     spark = df.sparkSession
-    free(spark)  # what the step before left: its plan is collectable only now
+    if tidy:
+        free(spark)  # what the step before left: its plan is collectable only now
     path = f"{shared_dir(spark)}/lamina/{label}-{uuid.uuid4().hex}"
     schema = df.schema
     writer = df.write.option("compression", "snappy")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +21,14 @@ SEGMENT = 2
 BLOCK = 4096
 #: Points that one task's bucket of cells holds, about.
 BUCKET = 60_000
+#: What a point's key costs, moved and sorted, in comparisons of two points.
+KEY_COST = 1000
 #: Min-hashes of a text's set of shingles: BANDS cells of ROWS values each. Two sets with similarity 0.8 share a cell with
 #: probability 0.8**3 in each band, so a pair is missed in all 20 once in 2 * 10**6; sets that share little hardly ever meet.
 BANDS, ROWS = 20, 3
+#: Sets up to SMALL shingles have min-hashes under as many functions; sets from LARGE on have the least hash of each of as many parts of
+#: the range, which takes a sorted set no time. Similar sets are both of one kind at least, as 4/5 of SMALL is LARGE.
+SMALL, LARGE = 160, 128
 #: Bits that the fingerprints of two similar texts may differ in. At similarity 0.8 the mean is about 10, the deviation 3. Sets of fewer
 #: than FEW shingles are compared without this bound, as theirs spread more.
 FAR, FEW = 24, 16
@@ -29,6 +36,9 @@ FAR, FEW = 24, 16
 SIDE, SIDE_HASHES, BUCKET_HASHES = 1024, 300_000, 2_000_000
 _rng = np.random.default_rng(SEED)
 _FACTORS, _OFFSETS = (_rng.integers(0, 1 << 63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+_EDGES = np.array([(i << 64) // (BANDS * ROWS) for i in range(BANDS * ROWS)], np.uint64)
+#: Where a part without a hash looks for one: the same order for all sets.
+_ELSEWHERE = np.stack([_rng.permutation(BANDS * ROWS) for _ in range(BANDS * ROWS)])
 
 
 def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
@@ -84,11 +94,32 @@ def unary(fp: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
     return np.packbits(out, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def cell_masks(distance: int, segment: int = SEGMENT) -> list[int]:
-    """Bit masks of distance + 1 groups of segments. Points within that Manhattan distance agree on all coordinates of one group at least."""
+def cell_masks(distance: int, groups: int, segment: int = SEGMENT) -> list[int]:
+    """The segments are cut into `groups`; a bit mask for each choice of groups - distance of them.
+
+    Points within that Manhattan distance differ in `distance` groups at most, so they agree on all coordinates of one choice at least.
+    """
     n = 64 // segment
-    cuts = [n * g // (distance + 1) for g in range(distance + 2)]
-    return [((1 << (b - a) * segment) - 1) << a * segment for a, b in zip(cuts, cuts[1:], strict=False)]
+    cuts = [n * g // groups for g in range(groups + 1)]
+    each = [((1 << (b - a) * segment) - 1) << a * segment for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [sum(c) for c in combinations(each, groups - distance)]
+
+
+def groups_for(points: int, distance: int, segment: int = SEGMENT) -> int:
+    """Into how many groups the segments of so many points are best cut.
+
+    More groups make more keys for a point, of more coordinates each, so that fewer points that are far apart share a cell. Of two
+    unrelated points a segment's popcounts are equal with probability `alike`, and all of a choice with a power of that. Pairs grow
+    with the square of the points and keys don't; so the best number grows with the points, and pairs for a
+    point stay within a small factor of its keys.
+    """
+    alike = sum(comb(segment, k) ** 2 for k in range(segment + 1)) / 4**segment
+
+    def cost(groups: int) -> float:
+        keys, shared = comb(groups, distance), alike ** (64 / segment * (groups - distance) / groups)
+        return keys * KEY_COST + keys * points * shared / 2
+
+    return min(range(distance + 1, 64 // segment + 1), key=cost)
 
 
 def _links(x: np.ndarray, y: np.ndarray, ux: np.ndarray, uy: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,15 +135,15 @@ def _links(x: np.ndarray, y: np.ndarray, ux: np.ndarray, uy: np.ndarray, distanc
     return np.concatenate(out_a or [np.zeros(0, np.int64)]), np.concatenate(out_b or [np.zeros(0, np.int64)])
 
 
-def link_fingerprints(points: DataFrame, distance: int = 4, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
+def link_fingerprints(points: DataFrame, distance: int = 4, block: int = BLOCK, bucket: int = BUCKET, groups: int | None = None) -> DataFrame:
     """Edges (u, v) between distinct fingerprints (fp, id), u and v their ids, whose components are those of all links.
 
-    Grid range-join: a point falls into one cell for each group of coordinates, and any two points within
-    the distance share a cell. Cells are dealt to tasks by hash; one of more than `block` points is cut into
+    Grid range-join: a point falls into one cell for each choice of groups of coordinates, and any two points within
+    the distance share a cell; the number of groups follows the number of points (groups_for()). Cells are dealt to tasks by hash; one of more than `block` points is cut into
     blocks and each pair of blocks is a cell of its own, so a cell of any size is compared whole, in
     bounded pieces. Each piece returns a spanning forest of its links, not the pairs.
     """
-    masks = cell_masks(distance)
+    masks = cell_masks(distance, groups or groups_for(points.count(), distance))
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,13 +206,30 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, distance: in
     return rows.join(groups, "fp").select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _small_min(hashes: np.ndarray) -> np.ndarray:
+    """Least values of a set under each of the functions; of multiplied numbers the high half is random, so it is folded down."""
+    x = hashes[:, None] * _FACTORS + _OFFSETS
+    return ((x ^ (x >> np.uint64(32))) * _FACTORS[::-1]).min(0)
+
+
+def _large_min(hashes: np.ndarray) -> np.ndarray:
+    """Least hash in each part of the range, of a sorted set; an empty part takes that of another."""
+    at = np.searchsorted(hashes, _EDGES)
+    full = at < np.append(at[1:], len(hashes))
+    low = hashes[np.minimum(at, len(hashes) - 1)]
+    for i in np.flatnonzero(~full):
+        low[i] = hashes[at[_ELSEWHERE[i][full[_ELSEWHERE[i]]][0]]]
+    return low
+
+
 def cells_of(hashes: np.ndarray) -> list[int]:
-    """The set's cell in each band: a digest of ROWS min-hashes."""
-    low = np.full(BANDS * ROWS, np.uint64(0xFFFFFFFFFFFFFFFF))
-    for at in range(0, len(hashes), 4096):
-        x = hashes[at : at + 4096, None] * _FACTORS + _OFFSETS  # multiplying spreads low bits upwards only: fold the high half down
-        low = np.minimum(low, ((x ^ (x >> np.uint64(32))) * _FACTORS[::-1]).min(0))
-    return [xxhash.xxh3_64_intdigest(low[i * ROWS : (i + 1) * ROWS].tobytes(), i) - (1 << 63) for i in range(BANDS)]
+    """The cells of a sorted set, one in each band for each kind it is of: digests of ROWS least values."""
+    kinds = [(0, _small_min)] * (0 < len(hashes) <= SMALL) + [(BANDS, _large_min)] * (len(hashes) >= LARGE)
+    out = []
+    for first, f in kinds:
+        low = f(hashes)
+        out += [xxhash.xxh3_64_intdigest(low[i * ROWS : (i + 1) * ROWS].tobytes(), first + i) - (1 << 63) for i in range(BANDS)]
+    return out
 
 
 def with_sketch(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
@@ -195,7 +243,7 @@ def with_sketch(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
                 h = np.unique(shingle_hashes(t, shingle))
                 sid.append(xxhash.xxh3_128_digest(h.tobytes()))
                 n.append(len(h))
-                cells.append(cells_of(h) if len(h) else [])
+                cells.append(cells_of(h))
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(sid, pa.binary()), pa.array(n, pa.int64()), pa.array(cells, pa.list_(pa.int64()))], [*keep, "sid", "n", "cells"])
 
     head = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep)
@@ -218,7 +266,7 @@ def similar_pairs(sets: list[np.ndarray], fp: np.ndarray, one: np.ndarray, two:
     if same:
         far = np.triu(far, 1)
     a, b = np.nonzero(far)
-    if len(a) <= 64:
+    if len(a) <= 16:
         both = np.array([len(np.intersect1d(sets[one[x]], sets[two[y]], assume_unique=True)) for x, y in zip(a, b, strict=True)], np.int64)
     else:
         rows, cols = np.unique(a), np.unique(b)
@@ -230,8 +278,9 @@ def similar_pairs(sets: list[np.ndarray], fp: np.ndarray, one: np.ndarray, two:
         owner, at = owner[live], shared[at[live]]
         left, right = np.searchsorted(used, one[rows]), np.searchsorted(used, two[cols])
         product = np.zeros((len(rows), len(cols)), np.float32)  # whole numbers below 2**24: exact
-        step = max(1, 4_000_000 // len(used))
-        for lo in range(0, int((count > 1).sum()), step):
+        width = int((count > 1).sum())
+        step = max(1, min(width, 4_000_000 // len(used)))
+        for lo in range(0, width, step):
             part = (at >= lo) & (at < lo + step)
             m = np.zeros((len(used), step), np.float32)
             m[owner[part], at[part] - lo] = 1

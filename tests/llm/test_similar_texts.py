@@ -85,3 +85,16 @@ def test_pairs_equal_direct_count():
     assert want and set(zip(a.tolist(), b.tolist(), strict=True)) == want
     a, b = simhash.similar_pairs(sets, fp, at[:50], at[50:])
     assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(x, y) for x, y in want if x < 50 <= y}
+
+
+def test_similar_sets_share_a_cell():
+    rng = np.random.default_rng(5)
+    for n in (1, 4, 20, 126, 127, 128, 159, 160, 161, 400):
+        for _ in range(100):
+            both = (8 * n + 8) // 9  # of two sets of n with similarity 0.8 or a little more
+            own = n - both
+            h = rng.integers(0, 2**63, both + 2 * own).astype(np.uint64) * np.uint64(2)
+            a, b = np.unique(h[: both + own]), np.unique(np.concatenate([h[:both], h[both + own :]]))
+            assert set(simhash.cells_of(a)) & set(simhash.cells_of(b))
+    big = np.unique(rng.integers(0, 2**63, 160).astype(np.uint64))
+    assert set(simhash.cells_of(big[:128])) & set(simhash.cells_of(big)) and not simhash.cells_of(big[:0])
