@@ -8,8 +8,8 @@ distinct n-gram of a block, and nothing that grows with the corpus is ever in on
 2. Unigrams: buckets by word add up counts, keep them as the table's part `m`, and answer with them and with the
    word's number (`r`). Numbers follow the counts within each bucket, so frequent words have small ones.
 3. Bigrams: buckets by context add up counts, keep them (`m`), and answer with each count and, for each context, with
-   what its backoff weight is made of: how many successors have counts 1 to K, all counts, and the sum
-   of the successors' unigram probabilities. A context too frequent for one bucket is split over several by
+   what its backoff weight is made of, in whole numbers: how many successors have counts 1 to K, all counts, and the same of
+   the successors' unigram counts. A context too frequent for one bucket is split over several by
    successor; a block asks all of them, and adds.
 4. Scores: each token's probability by recursion, bigram, else weight times unigram, else weight times unknown word.
 """
@@ -93,9 +93,9 @@ class Unigrams:
     def __init__(self, total: int, types: int, n: list[int]):
         self.total, self.types = total, types
         d = discounts(n)
-        kept = total - sum((1 - d[r]) * r * n[r] for r in range(1, K + 1))
-        self.d, self.over = d, total if kept < total else total + 1
-        self.unknown = 1 - kept / self.over if total else 1.0
+        freed = sum((1 - d[r]) * r * n[r] for r in range(1, K + 1))
+        self.d, self.over = d, total if freed > 0 else total + 1
+        self.unknown = (freed + self.over - total) / self.over
 
     def p(self, c: np.ndarray) -> np.ndarray:
         p = np.where(c > K, 1.0, self.d[np.minimum(c, K)]) * c / max(self.over, 1)
@@ -179,6 +179,11 @@ def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table({"kind": pa.array(cols[0], pa.string()), "bucket": pa.array(cols[1], pa.int32()), "block": pa.array(cols[2], pa.int64()), "data": pa.array(cols[3], pa.binary()), "stats": pa.array(cols[4], pa.list_(pa.int64()))})
 
 
+def _added(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of whole numbers by place: exact below 2**53."""
+    return np.bincount(at, values, n).astype(np.int64)
+
+
 def _count_stats(counts: np.ndarray) -> list[int]:
     """[sum, distinct, n1 .. n(K+1)] of the counts above zero."""
     by = np.bincount(np.minimum(counts[counts > 0], K + 2).astype(np.int64), minlength=K + 3)
@@ -206,17 +211,17 @@ def unigrams(corpus: DataFrame) -> DataFrame:
         bucket, asked = t.column("bucket")[0].as_py(), t.column("block").to_pylist()
         parts = [unpack(d, "<u8", "<u4") for d in t.column("data").to_pylist()]
         keys, inv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        counts = np.bincount(inv, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
+        counts = _added(inv, np.concatenate([p[1] for p in parts]), len(keys))
         known = counts > 0
         number = np.empty(len(keys), np.int64)
         number[np.lexsort((keys, -counts))] = np.arange(len(keys)) * n + bucket
         rows, at = [], 0
         for block, p in zip(asked, parts, strict=True):
             own = inv[at : at + len(p[0])]
-            rows.append(("r", bucket, block, pack(counts[own].astype("<u4"), planes(number[own])), None))
+            rows.append(("r", bucket, block, pack(planes(counts[own]), planes(number[own])), None))
             at += len(p[0])
         rows.append(("n", bucket, None, None, _count_stats(counts)))
-        rows.append(("m", bucket, None, pack(keys[known], counts[known].astype("<u4"), planes(number[known])), None))
+        rows.append(("m", bucket, None, pack(keys[known], planes(counts[known]), planes(number[known])), None))
         return _rows(rows)
 
     return corpus.select("block", "vocab").mapInArrow(ask, "bucket int, block long, data binary").groupBy("bucket").applyInArrow(answer, _ANSWER)
@@ -231,8 +236,7 @@ class Block:
         self.vocab, _ = unpack(row["vocab"], "<u8", "<u4")
         self.count, self.number = np.zeros(len(self.vocab), np.int64), np.zeros(len(self.vocab), np.uint64)
         for k, at in split_by(self.vocab % np.uint64(uni_buckets)):
-            count, number = unpack(answers[k], "<u4", "u1")
-            self.count[at], self.number[at] = count, unplanes(number)
+            self.count[at], self.number[at] = map(unplanes, unpack(answers[k], "u1", "u1"))
 
     def questions(self, uni: Unigrams, buckets: int, share: int) -> None:
         """Distinct known bigrams, dealt to buckets: self.parts holds (bucket, contexts, runs, places of the bigrams)."""
@@ -269,7 +273,7 @@ class Block:
 
 
 def _question(b: Block, contexts: np.ndarray, runs: np.ndarray, at: np.ndarray) -> bytes:
-    return pack(planes(b.number[contexts]), runs.astype("<u4"), planes(b.number[b.word[at]]), b.seen[at], b.p1[b.word[at]].astype("<f4"))
+    return pack(planes(b.number[contexts]), runs.astype("<u4"), planes(b.number[b.word[at]]), b.seen[at], planes(b.count[b.word[at]]))
 
 
 def bigrams(corpus: DataFrame, uni_answers: DataFrame, uni: Unigrams, uni_buckets: int, buckets: int, share: int) -> DataFrame:
@@ -286,32 +290,33 @@ def bigrams(corpus: DataFrame, uni_answers: DataFrame, uni: Unigrams, uni_bucket
     def answer(t: pa.Table) -> pa.Table:
         trim()  # what the bucket before left
         bucket, asked = t.column("bucket")[0].as_py(), t.column("block").to_pylist()
-        parts = [unpack(d, "u1", "<u4", "u1", "<u4", "<f4") for d in t.column("data").to_pylist()]
-        parts = [(unplanes(c), runs, unplanes(w), seen, p1) for c, runs, w, seen, p1 in parts]
+        parts = [unpack(d, "u1", "<u4", "u1", "<u4", "u1") for d in t.column("data").to_pylist()]
+        parts = [(unplanes(c), runs, unplanes(w), seen, unplanes(of_word)) for c, runs, w, seen, of_word in parts]
         contexts, cinv = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         ctx = np.repeat(cinv, np.concatenate([p[1] for p in parts]))
         key = np.concatenate([p[2] for p in parts])
-        seen, p1 = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])
+        seen, of_word = (np.concatenate([p[i] for p in parts]) for i in (3, 4))
         order = np.lexsort((key, ctx))
         new = np.concatenate([[True], (ctx[order][1:] != ctx[order][:-1]) | (key[order][1:] != key[order][:-1])]) if len(order) else np.zeros(0, bool)
         gram = np.empty(len(order), np.int64)
         gram[order] = np.cumsum(new) - 1
         first = order[new]
-        r = np.bincount(gram, seen, len(first)).astype(np.int64)
+        r = _added(gram, seen, len(first))
         known = r > 0
         c = ctx[first][known]
         rk = r[known]
-        sums = [np.bincount(c[rk == x], minlength=len(contexts)).astype("<u4") for x in range(1, K + 1)]
-        total = np.bincount(c, rk, len(contexts)).astype("<u8")
-        lower = np.bincount(c, p1[first][known].astype(np.float64), len(contexts))
+        uk = of_word[first][known]  # the successors' unigram counts
+        number_of = lambda which: np.bincount(c[which], minlength=len(contexts))
+        above = np.where(uk > K, uk, 0)
+        sums = np.stack([*(number_of(rk == x) for x in range(1, K + 1)), _added(c, rk, len(contexts)), *(number_of(uk == x) for x in range(1, K + 1)), _added(c, above, len(contexts))])
         rows, at, cat = [], 0, 0
         for block, p in zip(asked, parts, strict=True):
             n, m = len(p[3]), len(p[0])
             own = cinv[cat : cat + m]
-            rows.append(("r", bucket, block, pack(r[gram[at : at + n]].astype("<u4"), *[s[own] for s in sums], total[own], lower[own].astype("<f4")), None))
+            rows.append(("r", bucket, block, pack(planes(r[gram[at : at + n]]), planes(sums[:, own].ravel())), None))
             at, cat = at + n, cat + m
         rows.append(("n", bucket, None, None, _count_stats(r)))
-        rows.append(("m", bucket, None, pack(planes(contexts), np.bincount(c, minlength=len(contexts)).astype("<u4"), planes(key[first][known]), rk.astype("<u4")), None))
+        rows.append(("m", bucket, None, pack(planes(contexts), np.bincount(c, minlength=len(contexts)).astype("<u4"), planes(key[first][known]), planes(rk)), None))
         return _rows(rows)
 
     asked = corpus.groupBy("block").cogroup(uni_answers.filter("kind = 'r'").groupBy("block")).applyInArrow(ask, "bucket int, block long, data binary")
@@ -323,17 +328,18 @@ def _block(left: pa.Table, right: pa.Table, uni_buckets: int) -> Block:
     return Block(row, dict(zip(right.column("bucket").to_pylist(), right.column("data").to_pylist(), strict=True)), uni_buckets)
 
 
-def score(docs: DataFrame, held) -> DataFrame:
-    """Score every document: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), log10.
+def score(docs: DataFrame, held, with_tokens: bool = False) -> DataFrame:
+    """Score every document: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score[, token_scores]), log10.
 
     `held` is a boolean column; documents where it is false or null are learned from. A-Z are lower-cased; a text is its
     words and one end. base_score adds one to every count; score is that of the Katz model. Both
     give the words not seen in training one probability together. Null and empty texts are their end alone. Rows
     that repeat count and are scored one by one; an empty table gives an empty result; with nothing to learn from, all
-    scores are 0.
+    scores are 0. Very long texts are blocks of their own, scored whole; columns other than doc_id and text are not read.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    files = 2 * max(24, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # scoring runs one task for each bucket of blocks: they follow the shuffles' width and the input's splits
+    files = min(100_000, max(48, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions()))
     corpus = spill_bucketed(blocks(docs.select("doc_id", "text", F.coalesce(held, F.lit(False)).alias("held"))), "lm-blocks", "block", files)
     entries, tokens = corpus.agg(F.coalesce(F.sum("entries"), F.lit(0)), F.coalesce(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0))).first()
     uni_buckets, buckets = buckets_for(entries, UNI_BUCKET), buckets_for(tokens, BI_BUCKET)
@@ -352,30 +358,32 @@ def score(docs: DataFrame, held) -> DataFrame:
         second = right.filter(pa.array(level == 2))
         answers = dict(zip(second.column("bucket").to_pylist(), second.column("data").to_pylist(), strict=True))
         r = np.zeros(len(b.pairs), np.int64)
-        m, total_c, lower = np.zeros((K, len(b.vocab))), np.zeros(len(b.vocab)), np.zeros(len(b.vocab))
+        sums = np.zeros((2 * K + 2, len(b.vocab)), np.int64)
         for k, contexts, _, at in b.parts:
-            got = unpack(answers[k], "<u4", *["<u4"] * K, "<u8", "<f4")
-            r[at] = got[0]
-            for x in range(K):
-                m[x, contexts] += got[1 + x]
-            total_c[contexts] += got[K + 1]
-            lower[contexts] += got[K + 2]
-        kept = total_c - sum((1 - d2[x + 1]) * (x + 1) * m[x] for x in range(K))
-        over = np.where(kept < total_c, total_c, total_c + 1)
-        weight = np.where(total_c > 0, (1 - kept / over) / np.maximum(1 - lower, uni.unknown * 1e-3), 1.0)
+            found, part = unpack(answers[k], "u1", "u1")
+            r[at] = unplanes(found)
+            sums[:, contexts] += unplanes(part).astype(np.int64).reshape(len(sums), -1)
+        total_c, ranks = sums[K], np.arange(1, K + 1)
+        freed = ((1 - d2[1:]) * ranks) @ sums[:K]
+        over = total_c + (freed <= 0)
+        # what is free for words that don't follow: whole numbers are subtracted before anything is rounded, so a context that
+        # has nearly all words behind it loses no digits, and what is left is at least the unknown word's share
+        rest = (uni.over - sums[-1] - (uni.d[1:] * ranks) @ sums[K + 1 : -1]) / max(uni.over, 1)
+        weight = np.where(total_c > 0, (freed + (over - total_c)) / np.maximum(over, 1) / rest, 1.0)
         p = weight[b.before] * b.p1[b.tokens]
         ctx = b.ctx
         seen = np.where(r > K, 1.0, d2[np.minimum(r, K)]) * r / over[ctx]
-        p[b.at] = np.where(r > 0, seen, weight[ctx] * b.p1[b.word].astype(np.float32))[b.inv]
+        p[b.at] = np.where(r > 0, seen, weight[ctx] * b.p1[b.word])[b.inv]
         starts = np.cumsum(b.lens) - b.lens
         by_doc = lambda x: np.add.reduceat(x, starts)
         c = b.count[b.tokens]
         base = np.log10((c + 1) / (total + types + 1))
+        each = {"token_scores": pa.ListArray.from_arrays(pa.array(np.append(starts, len(p)).astype(np.int32)), pa.array(np.log10(p)))} if with_tokens else {}
         return pa.table({
             "doc_id": left.column("docs").combine_chunks().flatten(), "held_out": pa.array(b.held), "n_tokens": b.lens, "n_known": by_doc((c > 0).astype(np.int64)),
-            "train_tokens": np.full(len(b.lens), total, np.int64), "base_score": by_doc(base), "score": by_doc(np.log10(p)),
+            "train_tokens": np.full(len(b.lens), total, np.int64), "base_score": by_doc(base), "score": by_doc(np.log10(p)), **each,
         })
 
     free(docs.sparkSession)
     answers = one.filter("kind = 'r'").select("block", "bucket", "data", F.lit(1).alias("level")).unionByName(two.filter("kind = 'r'").select("block", "bucket", "data", F.lit(2).alias("level")))
-    return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return corpus.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double" + ", token_scores array<double>" * with_tokens)

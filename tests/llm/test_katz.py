@@ -26,7 +26,7 @@ def brute(docs, held):
     kept = sum(d(d1, r) * r for r in uni.values())
     over = total if kept < total else total + 1
     unknown = 1 - kept / over if total else 1.0
-    p1 = lambda w: float(np.float32(d(d1, uni[w]) * uni[w] / over)) if w in uni else unknown
+    p1 = lambda w: d(d1, uni[w]) * uni[w] / over if w in uni else unknown
 
     def ctx(v):
         succ = {w: r for (a, w), r in bi.items() if a == v}
@@ -69,11 +69,11 @@ def test_equals_direct_model_and_is_normalised(spark, monkeypatch, block, share)
     score, base, p, uni, total = brute(docs, held)
     assert len(got) == len(docs)
     for i, _ in docs:
-        assert got[i].score == pytest.approx(score[i], abs=1e-4)
+        assert got[i].score == pytest.approx(score[i], abs=1e-9)
         assert got[i].base_score == pytest.approx(base[i], abs=1e-9)
         assert got[i].train_tokens == total
     for v in ["<e>", "a", "t", "never"]:
-        assert sum(p(v, w) for w in [*uni, "never"]) == pytest.approx(1, abs=1e-5)
+        assert sum(p(v, w) for w in [*uni, "never"]) == pytest.approx(1, abs=1e-12)
     assert got[100].n_tokens == 1 and got[102].n_known == 2
 
 
@@ -96,3 +96,28 @@ def test_discounts_fall_back():
     for n in ([0] * 7, [0, 5, 0, 0, 0, 0, 0], [0, 10, 50, 3, 2, 1, 1], [0, 100, 40, 20, 12, 8, 6]):
         d = katz.discounts(n)
         assert (d[1:] > 0).all() and (d[1:] < 1).all()
+
+
+def test_own_probabilities_are_normalised(spark):
+    docs = make(60, 5) + [(70 + i, "a " + " ".join(WORDS) + " a") for i in range(3)] + [(80, " ".join(f"a {w}" for w in WORDS))]  # all words follow a
+    seen = sorted({w for _, t in docs for w in t.split()})
+    asked = [(1000 + k, f"{v} {w}".strip()) for k, (v, w) in enumerate((v, w) for v in ("a", "t", "zzz") for w in [*seen, "zzz", ""])]
+    df = spark.createDataFrame([(i, t, i >= 1000) for i, t in docs + asked], "doc_id long, text string, h boolean")
+    got = {r.doc_id: r.token_scores for r in katz.score(df, F.col("h"), with_tokens=True).collect()}
+    n = len(seen) + 2
+    for c in range(3):  # the second token of each: every known word, an unknown one, the end
+        assert sum(10 ** got[1000 + c * n + k][1] for k in range(n)) == pytest.approx(1, abs=1e-12)
+    assert sum(10 ** got[1000 + k][0] for k in (0,)) < 1
+
+
+def test_counts_above_32_bits(spark):
+    words = np.array([5, 6, 7], np.uint64)
+    rows = [(b, katz.pack(words, np.array([4_000_000_000, 1, 0], "<u4")), 3) for b in range(3)]
+    out = katz.unigrams(spark.createDataFrame(rows, "block long, vocab binary, entries long")).collect()
+    counts = {}
+    for r in out:
+        if r.kind == "r":
+            count, _ = map(katz.unplanes, katz.unpack(bytes(r.data), "u1", "u1"))
+            counts.update(zip((words[words % np.uint64(48) == r.bucket]).tolist(), count.tolist(), strict=True))
+    assert counts == {5: 12_000_000_000, 6: 3, 7: 0}
+    assert sum(r.stats[0] for r in out if r.kind == "n") == 12_000_000_003
