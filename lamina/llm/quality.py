@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations_with_replacement
+from math import exp, lgamma, log
 from operator import eq
 
 import numpy as np
@@ -18,17 +19,47 @@ WINDOW = 8
 #: Names of the transformed statistics, and the least standard deviation that each is taken to have. Many
 #: groups have a statistic that is constant for most documents; without a floor any other value would be infinitely far.
 FEATURES = {"log_words": 0.25, "word_length": 0.08, "symbols": 0.25, "dup_lines": 0.25, "repeats": 0.2, "doubled": 0.1}
-#: Statistics are integers in units of 1/SCALE, so that sums of products are exact and the same in any order.
-SCALE = 1024
-#: Share of a group's documents that the determinant is minimised over, and concentration steps.
-SUPPORT, STEPS = 0.75, 4
-#: Groups with fewer documents use their language's estimate, and those the estimate over all documents.
-MIN_GROUP = 200
-#: Squared distances beyond this are outliers. For six normal statistics about one document in 10**9 is as far.
-CUTOFF = 50.0
-BINS = 400
-#: Groups whose estimates are broadcast at most (some 400 bytes each), and salts of a join with more.
+#: Statistics are integers in units of 1/SCALE, so that sums of products are exact and the same in any order; they fit 64 bits for 10**12 documents.
+SCALE = 256
+#: Share of a group's documents that the determinant is minimised over; concentration steps from each start, and in all at most.
+SUPPORT, FIRST_STEPS, STEPS = 0.75, 2, 12
+#: Steps end when no group's log determinant moves by more.
+STILL = 0.01
+#: Documents that the estimate of a group's language counts for in the group's own, and that of all documents in a language's.
+PRIOR = 100
+#: Share of a normal group's documents that reweighting keeps, and share of those that may be taken for outliers.
+REWEIGHT, OUTLIERS = 0.975, 1e-6
+#: Bins of squared distances: BIN_STEPS to a factor of e.
+BINS, BIN_STEPS = 2400, 100
+#: Groups whose estimates are broadcast at most (some 600 bytes each), and salts of a join with more.
 SMALL, SALTS = 20_000, 32
+#: Starts of the concentration steps.
+STARTS = 4
+
+
+def chi2_cdf(x: float, p: int) -> float:
+    """Share of a chi-square of p degrees below x: the series of the incomplete gamma function."""
+    a, t = p / 2, x / 2
+    term = total = 1 / a
+    k = 0
+    while term > 1e-17 * total:
+        k += 1
+        term *= t / (a + k)
+        total += term
+    return total * exp(a * log(t) - t - lgamma(a)) if x > 0 else 0.0
+
+
+def chi2_quantile(share: float, p: int) -> float:
+    low, high = 0.0, 1000.0
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi2_cdf(mid, p) < share else (low, mid)
+    return high
+
+
+def consistency(share: float, p: int) -> float:
+    """By what the covariance of a normal sample's nearest share must be multiplied to be that of the whole."""
+    return share / chi2_cdf(chi2_quantile(share, p), p + 2)
 
 
 def n_repeat_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -91,31 +122,74 @@ def with_features(stats: DataFrame) -> DataFrame:
     return stats.withColumns({f"x{i}": F.round(x * SCALE).cast("long") for i, x in enumerate(raw)})
 
 
-def _moments(p: int, prefix: str = "") -> list:
-    out = [F.count("*").alias("n")]
-    out += [F.sum(f"x{i}").cast("decimal(38,0)").alias(f"s{i}") for i in range(p)]
-    return out + [F.sum(F.col(f"x{i}").cast("decimal(18,0)") * F.col(f"x{j}").cast("decimal(18,0)")).alias(f"s{i}_{j}") for i, j in combinations_with_replacement(range(p), 2)]
+def _moments(rows: DataFrame, keys: list[str], p: int) -> DataFrame:
+    """(keys, n, sums, products): counts, sums and sums of products of x0.. by group, whole numbers."""
+    pairs = list(combinations_with_replacement(range(p), 2))
+    out = rows.groupBy(*keys).agg(F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(p)], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i, j in pairs])
+    return out.select(*keys, "n", F.array(*[f"s{i}" for i in range(p)]).alias("sums"), F.array(*[f"s{i}_{j}" for i, j in pairs]).alias("products"))
+
+
+def mean_and_cov(n: int, sums: list[int], products: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Of n rows, from their sums and sums of products in units of 1/SCALE; n = 0: zeros."""
+    p = len(sums)
+    n = max(n, 1)
+    cov = np.zeros((p, p))
+    for (i, j), v in zip(combinations_with_replacement(range(p), 2), products, strict=True):
+        cov[i, j] = cov[j, i] = (v * n - sums[i] * sums[j]) / n / n / SCALE**2  # exact integers first, so that nothing cancels
+    return np.array([x / n / SCALE for x in sums]), cov
+
+
+def shrunk(n: int, mu: np.ndarray, cov: np.ndarray, above_mu: np.ndarray, above_cov: np.ndarray, prior: float = PRIOR) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of n documents together with `prior` more that are spread as the estimate above: one law for any n."""
+    w, d = n / (n + prior), mu - above_mu
+    return w * mu + (1 - w) * above_mu, w * cov + (1 - w) * above_cov + w * (1 - w) * np.outer(d, d)
+
+
+def scaled(scale: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """Covariance with these scales and the correlations of a second matrix."""
+    spread = np.sqrt(np.diag(signs))
+    ok = spread > 0
+    r = np.eye(len(scale))
+    r[np.ix_(ok, ok)] = signs[np.ix_(ok, ok)] / np.outer(spread[ok], spread[ok])
+    return r * np.outer(scale, scale)
+
+
+_PARAMS = "key string, start int, n long, mu array<double>, cov array<double>, prec array<double>, logdet double"
+
+
+def _params(rows: list[tuple], floors: np.ndarray, factor: float = 1.0) -> pa.RecordBatch:
+    """Rows (key, start, n, mu, cov) with the inverse and the log determinant of the covariance, times factor, with its floors."""
+    out: list[list] = [[] for _ in range(7)]
+    for key, start, n, mu, cov in rows:
+        full = factor * cov + np.diag(floors**2)
+        for c, v in zip(out, (key, start, n, mu.tolist(), cov.ravel().tolist(), np.linalg.inv(full).ravel().tolist(), float(np.linalg.slogdet(full)[1])), strict=True):
+            c.append(v)
+    many = pa.list_(pa.float64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.string(), pa.int32(), pa.int64(), many, many, many, pa.float64()), strict=True)], ["key", "start", "n", "mu", "cov", "prec", "logdet"])
+
 
+def _estimates(moments: DataFrame, tree: DataFrame, floors: np.ndarray, factor: float = 1.0) -> DataFrame:
+    """Parameters of each (key, start) from its sums, shrunk towards those of the key above; level by level, a small row for each group."""
+    p = len(floors)
 
-def _estimate(moments: DataFrame, keys: list[str], p: int, floors: np.ndarray) -> DataFrame:
-    """(keys, n, mu, prec) of each group from its sums; a matrix of p by p each, row by row, no group's documents."""
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            t = b.to_pydict()
-            mus, precs = [], []
-            for r in range(b.num_rows):
-                n = t["n"][r]
-                mu = np.array([float(t[f"s{i}"][r]) / n for i in range(p)]) / SCALE
-                cov = np.zeros((p, p))
-                for i, j in combinations_with_replacement(range(p), 2):
-                    # exact integers first, so that nothing cancels
-                    cov[i, j] = cov[j, i] = float(int(t[f"s{i}_{j}"][r]) * n - int(t[f"s{i}"][r]) * int(t[f"s{j}"][r])) / n / n / SCALE**2
-                mus.append(mu.tolist())
-                precs.append(np.linalg.inv(cov + np.diag(floors**2)).ravel().tolist())
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keys))), b.column(len(keys)), pa.array(mus, pa.list_(pa.float64())), pa.array(precs, pa.list_(pa.float64()))], [*keys, "n", "mu", "prec"])
-
-    head = ", ".join(f"`{k}` {moments.schema[k].dataType.simpleString()}" for k in keys)
-    return moments.select(*keys, "n", *[c for c in moments.columns if c not in (*keys, "n")]).mapInArrow(run, f"{head}, n long, mu array<double>, prec array<double>")
+            rows = []
+            for r in b.to_pylist():
+                mu, cov = mean_and_cov(r["n"], r["sums"], r["products"])
+                if r["above_mu"] is not None:
+                    mu, cov = shrunk(r["n"], mu, cov, np.array(r["above_mu"]), np.array(r["above_cov"]).reshape(p, p))
+                rows.append((r["key"], r["start"], r["n"], mu, cov))
+            yield _params(rows, floors, factor)
+
+    placed = moments.join(tree, "key")
+    none = F.lit(None).cast("array<double>")
+    levels = [placed.filter("level = 0").select("key", "start", "n", "sums", "products", none.alias("above_mu"), none.alias("above_cov")).mapInArrow(run, _PARAMS)]
+    for k in (1, 2):
+        above = levels[-1].select(F.col("key").alias("above"), "start", F.col("mu").alias("above_mu"), F.col("cov").alias("above_cov"))
+        own = placed.filter(F.col("level") == k).join(above, ["above", "start"]).select("key", "start", "n", "sums", "products", "above_mu", "above_cov")
+        levels.append(own.mapInArrow(run, _PARAMS))
+    return levels[0].unionByName(levels[1]).unionByName(levels[2])
 
 
 def _distance(p: int):
@@ -127,109 +201,133 @@ def _distance(p: int):
     return total
 
 
-def fit_mcd(rows: DataFrame, keys: list[str], p: int = len(FEATURES)) -> DataFrame:
-    """Minimum covariance determinant of each group: (keys, n, mu, prec, factor), over rows (keys, x0..).
+def _join(a: DataFrame, b: DataFrame, few: bool) -> DataFrame:
+    """Left rows with the right columns by key; b has a row for each key and start.
 
-    Starts at each group's medians with absolute deviations for scale, and then takes concentration
-    steps: the SUPPORT share of the group nearest by Mahalanobis distance gives the next mean and covariance,
-    which lowers the determinant each time (Rousseeuw and Van Driessen 1999). A step is one pass over the small
-    statistics: a histogram of distances per group finds the share's bound, then sums are taken within it, so a
-    group of any size is only ever pre-aggregated. factor scales distances so that their median
-    is that of a chi-square of p degrees. Keys are not null.
-    """
-    floors = np.array(list(FEATURES.values()))[:p]
-    xs = [f"x{i}" for i in range(p)]
-    # values are integers, so the exact median needs a count for each distinct value only
-    med = spill(rows.groupBy(*keys).agg(F.count("*").alias("n"), *[F.median(x).alias(f"m{x}") for x in xs]), "mcd-median")
-    dev = _join(rows, med, keys).select(*keys, *[F.abs(F.col(x) - F.col(f"m{x}")).alias(x) for x in xs])
-    mad = dev.groupBy(*keys).agg(*[F.median(x).alias(f"d{x}") for x in xs])
-    start = _join(mad, med, keys)
-    var = [F.pow(1.4826 * F.col(f"dx{i}") / SCALE, 2) + float(floors[i] ** 2) for i in range(p)]
-    prec = F.array(*[(1.0 / var[i]) if i == j else F.lit(0.0) for i in range(p) for j in range(p)])
-    params = spill(start.select(*keys, "n", F.array(*[F.col(f"mx{i}") / SCALE for i in range(p)]).alias("mu"), prec.alias("prec")), "mcd-start")
-    for _ in range(STEPS):
-        far = _binned(_join(rows, params.select(*keys, "mu", "prec"), keys), p)
-        bound = spill(_quantile(far, keys, SUPPORT), "mcd-bound")
-        near = _join(rows, _join(params.select(*keys, "mu", "prec"), bound, keys), keys).withColumn("bin", _bin(_distance(p))).filter("bin <= q")
-        params = spill(_estimate(near.groupBy(*keys).agg(*_moments(p)), keys, p, floors), "mcd-step")
-    half = _quantile(_binned(_join(rows, params.select(*keys, "mu", "prec"), keys), p), keys, 0.5)
-    chi_median = p * (1 - 2 / (9 * p)) ** 3
-    middle = F.exp((F.col("q") + 0.5) / 20.0 - 6.0)
-    n = med.select(*keys, "n")
-    # distances may shrink by the factor but not grow: floors already hold them down
-    out = _join(_join(params.select(*keys, "mu", "prec"), half, keys), n, keys)
-    return spill(out.select(*keys, "n", "mu", "prec", F.least(F.lit(1.0), F.lit(chi_median) / middle).alias("factor")), "mcd")
-
-
-def _join(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Left rows with the right columns by keys; b, a row for each group, has one for each key that a has. Keys aren't null.
-
-    Up to SMALL groups are broadcast. More are joined by key and salt, so that a group with a third of the rows is
+    Few keys are broadcast: their number is counted. More are joined by key and salt, so that a group with a third of the rows is
     spread over tasks, and a sum by group that follows still starts within each task.
     """
-    if b.limit(SMALL + 1).count() <= SMALL:
-        return a.join(F.broadcast(b), keys)
+    if few:
+        return a.join(F.broadcast(b), "key")
     a = a.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     b = b.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return a.join(b, [*keys, "__salt"]).drop("__salt")
+    return a.join(b, ["key", "__salt"]).drop("__salt")
 
 
 def _bin(d):
-    """Logarithmic bins of squared distances, 20 to a factor of e."""
-    return F.least(F.lit(BINS), F.greatest(F.lit(0), F.floor((F.log(d + 1e-9) + 6.0) * 20.0))).cast("int")
+    """Logarithmic bins of squared distances."""
+    return F.least(F.lit(BINS), F.greatest(F.lit(0), F.floor((F.log(d + 1e-9) + 6.0) * BIN_STEPS))).cast("int")
 
 
-def _binned(df: DataFrame, p: int) -> DataFrame:
-    return df.withColumn("bin", _bin(_distance(p)))
+def _quantile(far: DataFrame, share: float) -> DataFrame:
+    """(key, start, q): the first bin up to which a group has the share of its rows."""
+    hist = far.groupBy("key", "start", "bin").agg(F.count("*").alias("c"))
+    pairs = hist.groupBy("key", "start").agg(F.sum("c").alias("t"), F.array_sort(F.collect_list(F.struct("bin", "c"))).alias("h"))  # BINS + 1 entries at most
+    folded = F.aggregate("h", F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).alias("q")), lambda a, x: F.struct((a["sum"] + x["c"]).alias("sum"), F.when((a["q"] < 0) & (a["sum"] + x["c"] >= share * F.col("t")), x["bin"]).otherwise(a["q"]).alias("q")))
+    return pairs.select("key", "start", folded["q"].alias("q"))
 
 
-def _quantile(far: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """(keys, q): the first bin up to which a group has the share of its rows."""
-    hist = far.groupBy(*keys, "bin").agg(F.count("*").alias("c"))
-    pairs = hist.groupBy(*keys).agg(F.sum("c").alias("t"), F.array_sort(F.collect_list(F.struct("bin", "c"))).alias("h"))  # BINS + 1 entries at most
-    folded = F.aggregate("h", F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).alias("q")), lambda a, x: F.struct((a["sum"] + x["c"]).alias("sum"), F.when((a["q"] < 0) & (a["sum"] + x["c"] >= share * F.col("t")), x["bin"]).otherwise(a["q"]).alias("q")))
-    return pairs.select(*keys, folded["q"].alias("q"))
+def fit_mcd(rows: DataFrame, p: int = len(FEATURES)) -> DataFrame:
+    """Minimum covariance determinant of each group: (key, mu, prec), over rows (grp, lang, x0..), grp and lang not null.
+
+    Groups lie in languages and these in the whole (key `*`); each is estimated from all of its documents and
+    shrunk towards the one above by PRIOR documents' weight, whatever its size. Four starts (medians with absolute deviations; these with the
+    correlations of tanh of the scores, or of their spatial signs; mean and covariance: after Hubert, Rousseeuw and Verdonck 2012) take
+    FIRST_STEPS concentration steps each (Rousseeuw and Van Driessen 1999): the SUPPORT share nearest by Mahalanobis distance gives the next
+    mean and covariance. The start with the least determinant goes on until determinants are still. The estimate is then made
+    consistent with a normal sample and reweighted once: mean and covariance of all documents within the REWEIGHT quantile.
+    A step is two passes over small integers: a histogram of distances by group finds the share's bound (to 1 % of the distance), then
+    sums are taken within it; a group of any size is only ever pre-aggregated.
+    """
+    floors = np.array(list(FEATURES.values()))[:p]
+    xs = [f"x{i}" for i in range(p)]
+    tree = rows.select(F.explode(F.array(F.struct(F.col("grp").alias("key"), F.col("lang").alias("above"), F.lit(2).alias("level")), F.struct(F.col("lang").alias("key"), F.lit("*").alias("above"), F.lit(1).alias("level")), F.struct(F.lit("*").alias("key"), F.lit(None).cast("string").alias("above"), F.lit(0).alias("level")))).alias("t")).select("t.*").distinct()
+    tree = spill(tree, "mcd-tree", tidy=False)
+    few = tree.count() * STARTS <= SMALL
+    every = rows.select(F.explode(F.array("grp", "lang", F.lit("*"))).alias("key"), *xs)
+    # values are integers, so the exact median needs a count for each distinct value only
+    med = spill(every.groupBy("key").agg(F.array(*[F.median(x).cast("double") for x in xs]).alias("m")), "mcd-median", tidy=False)
+    dev = _join(every, med, few).select("key", *[F.abs(F.col(x) - F.col("m")[i]).alias(x) for i, x in enumerate(xs)])
+    mad = dev.groupBy("key").agg(F.array(*[F.greatest(F.median(x) * 1.4826, F.lit(float(floors[i] * SCALE))) for i, x in enumerate(xs)]).alias("s"))
+    med = spill(med.join(mad, "key"), "mcd-scale", tidy=False)
+    z = [(F.col(x) - F.col("m")[i]) / F.col("s")[i] for i, x in enumerate(xs)]
+    size = F.sqrt(sum((v * v for v in z), F.lit(0.0)))
+    views = [[F.tanh(v) for v in z], [F.when(size > 0, v / size).otherwise(0.0) for v in z], [F.col(x) / SCALE for x in xs]]
+    seen = _join(every, med, few).select("key", F.explode(F.array(*[F.struct(F.lit(k + 1).alias("start"), *[F.round(v * SCALE).cast("long").alias(x) for v, x in zip(view, xs, strict=True)]) for k, view in enumerate(views)])).alias("v")).select("key", "v.*")
+    seen = _moments(seen, ["key", "start"], p).join(med, "key")
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                mu, cov = mean_and_cov(r["n"], r["sums"], r["products"])
+                m, s = np.array(r["m"]) / SCALE, np.array(r["s"]) / SCALE
+                if r["start"] == STARTS - 1:
+                    out += [(r["key"], 0, r["n"], m, np.diag(s**2)), (r["key"], r["start"], r["n"], mu, cov)]
+                else:
+                    out.append((r["key"], r["start"], r["n"], m, scaled(s, cov + (np.outer(mu, mu) if r["start"] == 2 else 0))))
+            yield _params(out, floors)
+
+    params = spill(seen.mapInArrow(begin, _PARAMS), "mcd-start", tidy=False)
+    for step in range(STEPS):
+        at = params.select("key", "start", "mu", "prec")
+        bound = spill(_quantile(_join(every, at, few).select("key", "start", _bin(_distance(p)).alias("bin")), SUPPORT).join(at, ["key", "start"]), "mcd-bound", tidy=False)
+        near = _join(every, bound, few).filter(_bin(_distance(p)) <= F.col("q"))
+        moments = spill(_moments(near, ["key", "start"], p), "mcd-moments", tidy=False)
+        after = _estimates(moments, tree, floors)
+        if step == FIRST_STEPS - 1:  # only the best start of each group goes on
+            after = spill(after, "mcd-step", tidy=False)
+            after = after.groupBy("key").agg(F.min_by(F.struct(*[c for c in after.columns if c != "key"]), F.struct("logdet", "start")).alias("b")).select("key", F.lit(0).alias("start"), *[f"b.{c}" for c in after.columns if c not in ("key", "start")])
+        after = spill(after, "mcd-step", tidy=False)
+        if step >= FIRST_STEPS:
+            moved = after.join(params.select("key", F.col("logdet").alias("was")), "key").agg(F.max(F.abs(F.col("logdet") - F.col("was")))).first()[0]
+            params = after
+            if moved is None or moved <= STILL:
+                break
+        params = after
+    scale = consistency(SUPPORT, p)
+
+    def widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _params([(r["key"], 0, r["n"], np.array(r["mu"]), np.array(r["cov"]).reshape(p, p)) for r in b.to_pylist()], floors, scale)
+
+    wide = spill(params.mapInArrow(widened, _PARAMS).select("key", "start", "mu", "prec"), "mcd-wide", tidy=False)
+    inside = _join(every, wide, few).filter(_distance(p) <= chi2_quantile(REWEIGHT, p))
+    # a group without a document inside has its estimate from above alone
+    moments = _moments(inside, ["key", "start"], p)
+    none = F.array(*[F.lit(0).cast("long")] * p), F.array(*[F.lit(0).cast("long")] * (p * (p + 1) // 2))
+    moments = tree.select("key").join(moments, "key", "left").select("key", F.lit(0).alias("start"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("sums", none[0]).alias("sums"), F.coalesce("products", none[1]).alias("products"))
+    return spill(_estimates(spill(moments, "mcd-moments", tidy=False), tree, floors, consistency(REWEIGHT, p)).select("key", "mu", "prec"), "mcd", tidy=False)
 
 
 def groups(stats: DataFrame) -> DataFrame:
-    """Adds grp, the group a document is judged in: its language and source where these have MIN_GROUP documents; else its
-    language's documents of such small sources together; else all that is left; null if that is fewer than MIN_GROUP too.
+    """Adds grp, the language and source a document is judged in, and lang_key, its language. Nulls are a language and a source of their own."""
+    one = lambda c: F.coalesce(F.concat(F.lit("="), F.col(f"__{c}")), F.lit("-"))
+    return stats.withColumn("grp", F.to_json(F.struct(one("lang").alias("l"), one("source").alias("s")))).withColumn("lang_key", F.to_json(F.struct(one("lang").alias("l"))))
 
-    Nulls are a language and a source of their own.
-    """
-    one = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
-    stats = stats.withColumn("g1", F.to_json(F.struct(one("lang").alias("l"), one("source").alias("s")))).withColumn("g2", one("lang"))
-    sizes = spill(stats.groupBy("g1", "g2").agg(F.count("*").alias("n1")), "mcd-sizes")  # a row for each language and source
-    small = sizes.filter(F.col("n1") < MIN_GROUP)
-    by_lang = small.groupBy("g2").agg(F.sum("n1").alias("n2"))
-    rest = by_lang.filter(F.col("n2") < MIN_GROUP).agg(F.coalesce(F.sum("n2"), F.lit(0))).first()[0]
-    named = sizes.join(by_lang, "g2", "left").select(
-        "g1",
-        F.when(F.col("n1") >= MIN_GROUP, F.col("g1")).when(F.col("n2") >= MIN_GROUP, F.col("g2")).when(F.lit(rest >= MIN_GROUP), F.lit("*")).alias("grp"),
-    )
-    return stats.join(spill(named, "mcd-groups"), "g1").drop("g1", "g2")
-
-
-def judge(docs: DataFrame, keep: list[str] | None = None, cutoff: float = CUTOFF) -> DataFrame:
+
+def judge(docs: DataFrame, keep: list[str] | None = None, outliers: float = OUTLIERS) -> DataFrame:
     """Judge every document: (keep..., n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, distance, kept).
 
     base_failed: under 20 words, or over 30 % of the words in repeated 8-word windows. Of the others, the robust squared
-    Mahalanobis distance of the transformed statistics within the document's group (see groups()) decides; kept is
-    distance <= cutoff. distance is null where the base rule failed or there is no group: such documents are not outliers. Only
+    Mahalanobis distance of the transformed statistics within the document's language and source (see fit_mcd()) decides: kept is
+    distance <= the 1 - outliers quantile of a chi-square. distance is null where the base rule failed. Only
     documents that pass the base rule shape the estimates. Null and empty texts have no words and fail the base
-    rule; repeated rows are judged alike; an empty table gives an empty result.
+    rule; repeated rows are judged alike; an empty table gives an empty result. Whole texts of any length are read, one at a time. Of other columns
+    only those in keep are read, and keep can't hold names of the result.
     """
     keep = list(keep or ["doc_id"])
-    own = [c for c in ("lang", "source") if c not in keep]
-    stats = with_stats(docs, [*keep, *own])
+    # under names of their own, so that columns of the input can't clash
+    src = docs.select(*keep, F.col("lang").alias("__lang"), F.col("source").alias("__source"), *[] if "text" in keep else ["text"])
+    stats = with_stats(src, [*keep, "__lang", "__source"])
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     stats = spill(with_features(stats).withColumn("base_failed", failed), "quality-stats")
     good = groups(stats.filter(~F.col("base_failed")))
     xs = [f"x{i}" for i in range(len(FEATURES))]
-    rows = spill(good.filter("grp is not null").select("grp", *xs), "mcd-rows")
-    params = fit_mcd(rows, ["grp"])
-    missing = good.filter("grp is null").withColumn("distance", F.lit(None).cast("double"))
-    judged = _join(good.filter("grp is not null"), params.select("grp", "mu", "prec", "factor"), ["grp"]).withColumn("distance", _distance(len(xs)) * F.col("factor"))
+    rows = spill(good.select("grp", F.col("lang_key").alias("lang"), *xs), "mcd-rows")
+    params = fit_mcd(rows)
+    few = params.count() <= SMALL
+    judged = _join(good.withColumn("key", F.col("grp")), params, few).withColumn("distance", _distance(len(xs)))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    out = judged.select(*keep, *names, "distance").unionByName(missing.select(*keep, *names, "distance")).unionByName(stats.filter("base_failed").select(*keep, *names, F.lit(None).cast("double").alias("distance")))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("distance"), F.lit(0.0)) <= cutoff))
+    out = judged.select(*keep, *names, "distance").unionByName(stats.filter("base_failed").select(*keep, *names, F.lit(None).cast("double").alias("distance")))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= chi2_quantile(1 - outliers, len(xs))))

@@ -187,20 +187,64 @@ def test_outliers(spark):
     assert all(r.kept for (i, _), r in got.items() if i is not None and i < 600 and i != 3)
     assert not any(r.kept for (i, _), r in got.items() if i is not None and i >= 5000)
     assert quality.judge(frame(spark, rows).limit(0)).count() == 0
-    assert quality.judge(frame(spark, rows[:20])).filter("kept").count() == 20  # too few for a group
+    # few documents are judged as well, by what there is: a table of 21, and a source with 5 in a language with 600
+    few = {r.doc_id: r.kept for r in quality.judge(frame(spark, [*rows[:20], rows[600]])).collect()}
+    assert not few.pop(5000) and all(few.values())
+    small = [(i, t, lang, "tiny") for i, t, lang, _ in [*rows[:4], rows[600]]]
+    got = {r.doc_id: r.kept for r in quality.judge(frame(spark, [*rows[4:600], *small, (7000, rows[7][1], "new", "new"), (7001, rows[601][1], "newer", "new")])).collect()}
+    assert not got.pop(5000) and not got.pop(7001) and all(got.values())
 
 
-def test_mcd_equals_direct_steps(spark):
+def direct_mcd(x, rng, p, floors):
+    """Least determinant over many random starts, with exact shares."""
+    h, best = int(np.ceil(quality.SUPPORT * len(x))), None
+    for _ in range(200):
+        part = x[rng.choice(len(x), p + 1, replace=False)]
+        for _ in range(30):
+            mu, cov = part.mean(0), np.cov(part.T, bias=True) + np.diag(floors**2)
+            d = ((x - mu) @ np.linalg.inv(cov) * (x - mu)).sum(1)
+            part = x[np.argsort(d, kind="stable")[:h]]
+        det = np.linalg.det(np.cov(part.T, bias=True) + np.diag(floors**2))
+        if best is None or det < best[0]:
+            best = det, part
+    mu, cov = best[1].mean(0), np.cov(best[1].T, bias=True) * quality.consistency(quality.SUPPORT, p) + np.diag(floors**2)
+    w = x[((x - mu) @ np.linalg.inv(cov) * (x - mu)).sum(1) <= quality.chi2_quantile(quality.REWEIGHT, p)]
+    return w.mean(0), np.linalg.inv(np.cov(w.T, bias=True) * quality.consistency(quality.REWEIGHT, p) + np.diag(floors**2))
+
+
+def test_mcd_equals_direct_mcd(spark):
     rng = np.random.default_rng(7)
-    x = np.rint(rng.multivariate_normal([0, 0], [[1, 0.5], [0.5, 2]], 500) * quality.SCALE).astype(int)
-    x[:50] += 20 * quality.SCALE
-    df = spark.createDataFrame([("g", int(a), int(b)) for a, b in x], "grp string, x0 long, x1 long")
-    r = quality.fit_mcd(df, ["grp"], 2).first()
-    prec = np.array(r.prec).reshape(2, 2)
-    clean = x[50:] / quality.SCALE
-    d = ((clean - r.mu) @ prec * (clean - r.mu)).sum(1)
-    assert np.abs(np.array(r.mu)).max() < 0.3 and np.median(d) < 5
-    assert (((x[:50] / quality.SCALE - r.mu) @ prec * (x[:50] / quality.SCALE - r.mu)).sum(1) > 100).all()
+    rows, want = [], {}
+    for g, (cov, far) in {"a": ([[1, 0.9], [0.9, 2]], 120), "b": ([[4, -1], [-1, 0.5]], 0)}.items():
+        x = rng.multivariate_normal([0, 0], cov, 600)
+        x[:far] = rng.multivariate_normal([3, -6], np.eye(2) * 0.2, far)  # a fifth lies together, off the others' axis
+        x = np.rint(x * quality.SCALE).astype(int)
+        rows += [(g, g, int(a), int(b)) for a, b in x]
+        want[g] = direct_mcd(x / quality.SCALE, rng, 2, np.array(list(quality.FEATURES.values()))[:2])
+    df = spark.createDataFrame(rows, "grp string, lang string, x0 long, x1 long").withColumn("lang", F.concat("lang", F.lit("!")))
+    quality_prior, quality.shrunk.__defaults__ = quality.shrunk.__defaults__, (1e-9,)  # groups by themselves
+    try:
+        got = {r.key: r for r in quality.fit_mcd(df.repartition(3), 2).collect()}
+    finally:
+        quality.shrunk.__defaults__ = quality_prior
+    for g, (mu, prec) in want.items():
+        assert np.abs(np.array(got[g].mu) - mu).max() < 0.05
+        assert np.abs(np.array(got[g].prec).reshape(2, 2) / prec - 1).max() < 0.1
+
+
+def test_chi_square():
+    x = np.random.default_rng(13).normal(size=(200_000, 6))
+    d = (x * x).sum(1)
+    assert abs((d <= 7.84).mean() - quality.chi2_cdf(7.84, 6)) < 0.005
+    assert quality.chi2_quantile(0.5, 2) == pytest.approx(2 * np.log(2)) and quality.chi2_cdf(38.0, 6) == pytest.approx(1 - np.exp(-19) * (1 + 19 + 19**2 / 2))
+    near = x[d <= np.quantile(d, 0.75)]
+    assert abs((near * near).mean() * quality.consistency(0.75, 6) - 1) < 0.02
+
+
+def test_shrinking():
+    n, mu, cov = 7, np.array([1.0, 2.0]), np.eye(2)
+    m, c = quality.shrunk(n, mu, cov, np.zeros(2), 2 * np.eye(2), 7)
+    assert np.allclose(m, mu / 2) and np.allclose(c, 1.5 * np.eye(2) + np.outer(mu, mu) / 4)
 
 
 # simhash
@@ -243,12 +287,30 @@ def brute_components(fps, ids, distance):
     return [least.get(find(k)) for k in range(len(fps))]
 
 
-@pytest.mark.parametrize("block", [4096, 8])
-def test_near_duplicates(spark, monkeypatch, block):
+def test_cells_follow_the_points():
+    from lamina.llm.simhash import cell_masks, groups_for
+
+    assert [groups_for(n, 4) for n in (10**5, 10**7, 10**9, 10**11)] == [5, 6, 7, 10]
+    met = [n * (3 / 8) ** (32 * (g - 4) / g) for n in (10**6, 10**7, 10**8, 10**9, 10**10, 10**11) for g in [groups_for(n, 4)]]
+    assert max(met) < 5 * simhash.KEY_COST  # unrelated points in a cell, whatever the number of points
+    rng = np.random.default_rng(12)
+    x = rng.integers(0, 2**63, 300).astype(np.uint64)
+    for groups in (5, 6, 8):
+        masks = [np.uint64(m) for m in cell_masks(4, groups)]
+        for v in x:
+            near = v
+            for b in rng.choice(64, 4, replace=False):
+                near ^= np.uint64(1 << int(b))
+            u, w = simhash.unary(np.array([v, near]))
+            assert any((u ^ w) & m == 0 for m in masks)
+
+
+@pytest.mark.parametrize(("block", "groups"), [(4096, None), (8, 6), (4096, 8)])
+def test_near_duplicates(spark, monkeypatch, block, groups):
     rng = np.random.default_rng(8)
     rows = sample(2, 60)
     rows += [(2000 + i, " ".join(w if rng.random() > 0.02 else "zz" for w in ("q%d " * 60 % tuple(range(60))).split()), "en", "a") for i in range(80)]
-    monkeypatch.setattr(simhash.link_fingerprints, "__defaults__", (4, block, 200))
+    monkeypatch.setattr(simhash.link_fingerprints, "__defaults__", (4, block, 200, groups))
     got = simhash.near_duplicates(frame(spark, rows), ["doc_id", "n", "text"]).collect()
     fps = [brute_fingerprint(t) for _, t, *_ in rows]
     want = Counter(zip([r[0] for r in rows], [f"{f:016x}" for f in fps], brute_components(fps, [r[0] for r in rows], 4), strict=True))
