@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
+from logging.handlers import RotatingFileHandler
 
 #: Rules in order, the first whose keyword occurs decides.
 DENSE = {"keywords": ["results", "data", "table", "figure", "methods", "methodology", "pharmacoeconomic", "cost-effectiveness", "safety", "adverse events", "statistics"], "chunk_size": 512, "overlap": 100}
@@ -38,3 +40,18 @@ def resolve_paths(node, root: str):
     if isinstance(node, list):
         return [resolve_paths(v, root) for v in node]
     return node.replace("${root}", root) if isinstance(node, str) else node
+
+
+def logger(name: str, file: str | None = None, level: int = logging.INFO, size: int = 5_000_000, backups: int = 3) -> logging.Logger:
+    """The driver's log: to the console and, where a file is given, to it, begun anew when it is full. Asking again gives the same log, no second handler."""
+    log = logging.getLogger(name)
+    log.setLevel(level)
+    form = logging.Formatter("%(asctime)s [%(levelname)s] %(message)s", datefmt="%Y-%m-%d %H:%M:%S")
+    have = {getattr(h, "baseFilename", "console") for h in log.handlers}
+    new = [logging.StreamHandler()] if "console" not in have else []
+    if file and not any(x.endswith(file) for x in have):
+        new.append(RotatingFileHandler(file, maxBytes=size, backupCount=backups, encoding="utf-8"))
+    for h in new:
+        h.setFormatter(form)
+        log.addHandler(h)
+    return log

@@ -45,3 +45,9 @@ def docid_date(c: Column) -> tuple[Column, Column]:
     year = F.to_date(F.try_to_timestamp(first(r"\b(20\d{2})\b", 1), F.lit("yyyy")))
     day = F.coalesce(number, short, long, year, F.lit("1970-01-01").cast("date"))
     return day, F.when(F.year(day) == 1970, "default_fallback").otherwise("derived_from_filename")
+
+
+def iso_or_default(c: Column, default: str = "1970-01-01") -> Column:
+    """A timestamp in ISO form, a date or a date with a time; else the default day."""
+    iso = c.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?$")
+    return F.coalesce(F.when(iso, F.try_to_timestamp(F.replace(c, F.lit("T"), F.lit(" ")))), F.lit(default).cast("timestamp"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 #: Fixed values.
 BOILERPLATE = r"(?i)(Confidential|PBAC Public Summary Document|Page \d+ of \d+)"
@@ -87,35 +88,55 @@ def sentence_chunks(parts: Column, size: int | Column, overlap: int | Column) ->
     """Sentences packed greedily: a chunk closes when the next would exceed `size`; the next starts with the last
     sentences that stay under `overlap`. A longer sentence is a chunk of its own."""
     size, overlap = (F.lit(x) if isinstance(x, int) else x for x in (size, overlap))
-    width = lambda a: F.aggregate(a, F.lit(0), lambda n, s: n + F.length(s)) + F.greatest(F.size(a) - 1, F.lit(0))
     empty = F.array().cast("array<string>")
-    start = F.struct(empty.alias("done"), empty.alias("cur"))
+    # width: characters of the open chunk, one blank between sentences; carried along, so that a sentence costs the same anywhere
+    start = F.struct(empty.alias("done"), empty.alias("cur"), F.lit(0).alias("width"))
 
     def tail(cur: Column) -> Column:
-        # how many last sentences fit: the longest suffix with sum(length + 1) < overlap
-        back = F.reverse(cur)
-        kept = F.aggregate(
-            back,
+        # how many last sentences fit, and their width: the longest suffix with sum(length + 1) < overlap
+        return F.aggregate(
+            F.reverse(cur),
             F.struct(F.lit(0).alias("n"), F.lit(0).alias("len"), F.lit(True).alias("on")),
-            lambda a, s: F.struct(
-                F.when(a["on"] & (a["len"] + F.length(s) + 1 < overlap), a["n"] + 1).otherwise(a["n"]).alias("n"),
-                F.when(a["on"] & (a["len"] + F.length(s) + 1 < overlap), a["len"] + F.length(s) + 1).otherwise(a["len"]).alias("len"),
-                (a["on"] & (a["len"] + F.length(s) + 1 < overlap)).alias("on"),
-            ),
-        )["n"]
-        return F.reverse(F.slice(back, F.lit(1), kept))
+            lambda a, s: F.transform(
+                F.array(a["on"] & (a["len"] + F.length(s) + 1 < overlap)),
+                lambda fits: F.struct(F.when(fits, a["n"] + 1).otherwise(a["n"]).alias("n"), F.when(fits, a["len"] + F.length(s) + 1).otherwise(a["len"]).alias("len"), fits.alias("on")),
+            )[0],
+        )
 
     def step(a: Column, s: Column) -> Column:
-        full = (width(a["cur"]) + F.length(s) + 1 > size) & (F.size(a["cur"]) > 0)
-        return F.struct(
-            F.when(full, F.concat(a["done"], F.array(F.array_join(a["cur"], " ")))).otherwise(a["done"]).alias("done"),
-            F.concat(F.when(full, tail(a["cur"])).otherwise(a["cur"]), F.array(s)).alias("cur"),
-        )
+        full = (a["width"] + F.length(s) + 1 > size) & (F.size(a["cur"]) > 0)
+        longer = F.struct(a["done"].alias("done"), F.concat(a["cur"], F.array(s)).alias("cur"), (a["width"] + F.length(s) + F.when(F.size(a["cur"]) > 0, 1).otherwise(0)).alias("width"))
+        closed = F.transform(
+            F.array(tail(a["cur"])),
+            lambda t: F.struct(
+                F.concat(a["done"], F.array(F.array_join(a["cur"], " "))).alias("done"),
+                F.concat(F.slice(a["cur"], F.size(a["cur"]) - t["n"] + 1, t["n"]), F.array(s)).alias("cur"),
+                (t["len"] + F.length(s)).alias("width"),
+            ),
+        )[0]
+        return F.when(full, closed).otherwise(longer)
 
     end = lambda a: F.when(F.size(a["cur"]) > 0, F.concat(a["done"], F.array(F.array_join(a["cur"], " ")))).otherwise(a["done"])
     return F.aggregate(parts, start, step, end)
 
 
+def trim_all(c: Column, kind: DataType) -> Column:
+    """A column of this type with every string in it stripped, at any depth; map keys stay."""
+    if isinstance(kind, StringType):
+        return strip(c)
+    if isinstance(kind, ArrayType):
+        return F.transform(c, lambda x: trim_all(x, kind.elementType))
+    if isinstance(kind, MapType):
+        return F.transform_values(c, lambda _, v: trim_all(v, kind.valueType))
+    if isinstance(kind, StructType):
+        return F.when(c.isNotNull(), F.struct(*[trim_all(c[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+    return c
+
+
+def trim_table(df: DataFrame) -> DataFrame:
+    return df.select(*[trim_all(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
 def adaptive_size(path: Column, rules: list[dict], default: tuple[int, int]) -> tuple[Column, Column]:
     """(chunk size, overlap) of the first rule with a keyword somewhere in the lower-cased path."""
     text = F.lower(F.array_join(path, " "))

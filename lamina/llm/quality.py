@@ -24,7 +24,7 @@ SCALE = 256
 #: Share of a group's documents that the determinant is minimised over; concentration steps from each start, and in all at most.
 SUPPORT, FIRST_STEPS, STEPS = 0.75, 2, 12
 #: Steps end when no group's log determinant moves by more.
-STILL = 0.01
+STILL = 0.05
 #: Documents that the estimate of a group's language counts for in the group's own, and that of all documents in a language's.
 PRIOR = 100
 #: Share of a normal group's documents that reweighting keeps, and share of those that may be taken for outliers.
@@ -271,27 +271,25 @@ def fit_mcd(rows: DataFrame, p: int = len(FEATURES)) -> DataFrame:
     params = spill(seen.mapInArrow(begin, _PARAMS), "mcd-start", tidy=False)
     for step in range(STEPS):
         at = params.select("key", "start", "mu", "prec")
-        bound = spill(_quantile(_join(every, at, few).select("key", "start", _bin(_distance(p)).alias("bin")), SUPPORT).join(at, ["key", "start"]), "mcd-bound", tidy=False)
+        bound = _quantile(_join(every, at, few).select("key", "start", _bin(_distance(p)).alias("bin")), SUPPORT).join(at, ["key", "start"])
         near = _join(every, bound, few).filter(_bin(_distance(p)) <= F.col("q"))
-        moments = spill(_moments(near, ["key", "start"], p), "mcd-moments", tidy=False)
-        after = _estimates(moments, tree, floors)
+        # only the sums are written: parameters are made from them where they are asked for
+        after = _estimates(spill(_moments(near, ["key", "start"], p), "mcd-moments", tidy=False), tree, floors)
         if step == FIRST_STEPS - 1:  # only the best start of each group goes on
-            after = spill(after, "mcd-step", tidy=False)
-            after = after.groupBy("key").agg(F.min_by(F.struct(*[c for c in after.columns if c != "key"]), F.struct("logdet", "start")).alias("b")).select("key", F.lit(0).alias("start"), *[f"b.{c}" for c in after.columns if c not in ("key", "start")])
-        after = spill(after, "mcd-step", tidy=False)
-        if step >= FIRST_STEPS:
-            moved = after.join(params.select("key", F.col("logdet").alias("was")), "key").agg(F.max(F.abs(F.col("logdet") - F.col("was")))).first()[0]
-            params = after
-            if moved is None or moved <= STILL:
-                break
+            rest = [c for c in after.columns if c not in ("key", "start")]
+            after = spill(after.groupBy("key").agg(F.min_by(F.struct(*rest), F.struct("logdet", "start")).alias("b")).select("key", F.lit(0).alias("start"), *[f"b.{c}" for c in rest]), "mcd-best", tidy=False)
+        still = step >= FIRST_STEPS and not after.join(params.select("key", F.col("logdet").alias("was")), "key").filter(F.abs(F.col("logdet") - F.col("was")) > STILL).limit(1).count()
         params = after
+        if still:
+            break
+    params = spill(params, "mcd-params", tidy=False)
     scale = consistency(SUPPORT, p)
 
     def widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield _params([(r["key"], 0, r["n"], np.array(r["mu"]), np.array(r["cov"]).reshape(p, p)) for r in b.to_pylist()], floors, scale)
 
-    wide = spill(params.mapInArrow(widened, _PARAMS).select("key", "start", "mu", "prec"), "mcd-wide", tidy=False)
+    wide = params.mapInArrow(widened, _PARAMS).select("key", "start", "mu", "prec")
     inside = _join(every, wide, few).filter(_distance(p) <= chi2_quantile(REWEIGHT, p))
     # a group without a document inside has its estimate from above alone
     moments = _moments(inside, ["key", "start"], p)

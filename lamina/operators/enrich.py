@@ -3,28 +3,45 @@
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsonx import fenced
 from ..functions.text import chunk_type_snake
 from .predicates import low_value
-from .quality import PURPOSES
+from .quality import ENTITY_TYPES, PAYLOAD, PERSONAS, PURPOSES, payload_errors
 
 #: A model is made once in each Python worker by its factory, and answers a text or raises.
 Factory = Callable[[], Callable[[str], str]]
 
 #: Prompts by name; {name} marks are filled in.
-PROMPTS = {"chunk_enrichment": "DOCUMENT: {title}\nSECTION: {section}\nTEXT: {text}", "table_summary": "Summarise this table:\n{table}", "global_metadata": "Extract metadata:\n{text}"}
+PROMPTS = {"chunk_enrichment": "DOCUMENT: {title}\nSECTION: {section}\nTEXT: {text}", "table_summary": "Summarise this table:\n{table}", "global_metadata": "Extract metadata:\n{text}",
+    "aspect_summaries": "Summarise the clinical and the economic aspects as JSON with clinical_summary and economic_summary:\n{text}", "page_extraction": "Text of page {page}:\n{text}", "document_extraction": "Extract the fields of this document as JSON:\n{text}", "json_repair": "Return this as valid JSON and nothing else:\n{text}"}
 
 
-def render(name: str, **values: Column) -> Column:
-    """A prompt with its marks replaced; an unknown name is an error."""
-    if name not in PROMPTS:
-        raise KeyError(f"no prompt named {name}")
-    c = F.lit(PROMPTS[name])
+UNKNOWN_TITLE = "Unknown Document"
+
+
+def _struct(ddl: str) -> str:
+    return "struct<" + ",".join(f.replace(" ", ":", 1) for f in ddl.split(", ")) + ">"
+
+
+def load_prompts(folder: str) -> dict[str, str]:
+    """Prompts of a folder of the driver by name: <name>.txt each."""
+    return {p.stem: p.read_text(encoding="utf-8") for p in sorted(Path(folder).glob("*.txt"))}
+
+
+def render(name: str, registry: dict[str, str] | None = None, **values: Column) -> Column:
+    """A prompt of the registry with its {marks} replaced, null as nothing; an unknown name is an error."""
+    prompts = PROMPTS if registry is None else registry
+    if name not in prompts:
+        raise KeyError(f"no prompt named {name}; known: {', '.join(sorted(prompts))}")
+    c = F.lit(prompts[name])
     for k, v in values.items():
         c = F.replace(c, F.lit("{" + k + "}"), F.coalesce(v, F.lit("")))
     return c
@@ -49,34 +66,73 @@ def call_model(df: DataFrame, prompt: str, factory: Factory, answer: str = "answ
 
 
 def offline_model() -> Callable[[str], str]:
-    """A model for tests and dry runs: a purpose from the text's digest, and an error for one text in 23."""
-    def answer(text: str) -> str:
-        n = hashlib.md5(text.encode()).digest()
+    """A model for tests and dry runs: a payload with a purpose from the prompt's digest, in a code fence for one prompt in 7; an
+    error for one in 23, and a purpose that isn't in the vocabulary for one in 11."""
+    def answer(prompt: str) -> str:
+        n = hashlib.md5(prompt.encode()).digest()
         if n[0] % 23 == 0:
             raise ValueError("no answer")
-        return PURPOSES[n[1] % len(PURPOSES)]
+        why = {"justification": "offline"}
+        payload = {
+            "semantic_purpose": {"value": PURPOSES[n[1] % len(PURPOSES)] if n[2] % 11 else "Other", "confidence": n[3] % 5 / 4, **why},
+            "persona_relevance_scores": {p: {"score": 0.5, **why} for p in PERSONAS},
+            "typed_entities": [{"name": "offline", "type": ENTITY_TYPES[n[4] % len(ENTITY_TYPES)]}],
+            "quality_assessment": {"confidence": 1.0, "is_ambiguous": False, **why},
+        }
+        raw = json.dumps(payload)
+        return f"```json\n{raw}\n```" if n[2] % 7 == 0 else raw
 
     return answer
 
 
+def specialist(df: DataFrame, prompt: str, factory: Factory, schema: str, problems: Callable[[Column], Column]) -> DataFrame:
+    """Adds payload (struct by the schema) and error, one of them null: the model's answer, out of its fence, checked before it is parsed.
+
+    problems: of a JSON column, an array of what is wrong with it.
+    """
+    asked = call_model(df, prompt, factory, "__answer", "__error").withColumn("__json", fenced(F.col("__answer"))).withColumn("__bad", problems(F.col("__json")))
+    wrong = F.concat(F.lit("invalid payload: "), F.array_join("__bad", ", "))
+    error = F.when(F.col("__error").isNotNull(), F.col("__error")).when(F.size("__bad") > 0, wrong)
+    return asked.withColumn("payload", F.when(error.isNull(), F.from_json("__json", schema))).withColumn("error", error).drop("__answer", "__error", "__json", "__bad")
+
+
+def default_payload() -> Column:
+    """What low-value chunks get without a call."""
+    low = F.struct(F.lit(0.0).alias("score"), F.lit("Low-value content.").alias("justification"))
+    return F.struct(
+        F.struct(F.lit("Miscellaneous").alias("value"), F.lit(1.0).alias("confidence"), F.lit("Programmatically flagged as low-value content.").alias("justification")).alias("semantic_purpose"),
+        F.create_map(*[x for p in PERSONAS for x in (F.lit(p), low)]).alias("persona_relevance_scores"),
+        F.array().cast("array<struct<name:string,type:string>>").alias("typed_entities"),
+        F.struct(F.lit(0.0).alias("confidence"), F.lit(True).alias("is_ambiguous"), F.lit("Skipped LLM enrichment due to low textual content.").alias("justification")).alias("quality_assessment"),
+    )
+
+
 def enrich(chunks: DataFrame, factory: Factory = offline_model) -> DataFrame:
-    """Chunks (chunk_id, text, chunk_type, ...) with purpose, confidence, chunk_type and error.
+    """Chunks (chunk_id, text, chunk_type, [doc_title, section_path], ...) with semantic_purpose, persona_relevance_scores, typed_entities,
+    quality_assessment, the chunk type that follows, and error.
 
-    Low-value chunks get the default answer without a call; a filter and a union, as a model inside a CASE would be
-    called for all rows. Only chunks of the type semantic_text take the purpose as their new type.
+    The model sees the document's title, the section's path and the text, and answers with a payload in JSON. What breaks its rules
+    (payload_errors()) is an error of the row, as a failing call is; such rows keep their type and have no payload. Low-value chunks get the default
+    payload without a call; a filter and a union, as a model inside a CASE would be called for all rows. Only chunks of the
+    type semantic_text take the purpose as their new type.
     """
     low = F.coalesce(low_value(F.col("text")), F.lit(True))
-    junk = chunks.filter(low).withColumns({"purpose": F.lit("Miscellaneous"), "confidence": F.lit(1.0), "error": F.lit(None).cast("string"), "chunk_type": F.lit("miscellaneous")})
-    asked = call_model(chunks.filter(~low), "text", factory, "purpose")
-    kind = F.when((F.col("chunk_type") == "semantic_text") & F.col("purpose").isNotNull(), chunk_type_snake(F.col("purpose"))).otherwise(F.col("chunk_type"))
-    asked = asked.withColumns({"confidence": F.lit(0.5), "chunk_type": kind})
-    return junk.unionByName(asked.select(junk.columns))
+    parts = [f.split(" ", 1)[0] for f in PAYLOAD.split(", ")]
+    take = lambda df: df.withColumns({c: F.col(f"payload.{c}") for c in parts}).drop("payload")
+    junk = chunks.filter(low).withColumns({"payload": default_payload().cast(_struct(PAYLOAD)), "error": F.lit(None).cast("string"), "chunk_type": F.lit("miscellaneous")})
+    title = F.coalesce(F.col("doc_title"), F.lit(UNKNOWN_TITLE)) if "doc_title" in chunks.columns else F.lit(UNKNOWN_TITLE)
+    path = F.array_join("section_path", " -> ") if "section_path" in chunks.columns else F.lit("")
+    asked = chunks.filter(~low).withColumn("__prompt", render("chunk_enrichment", title=title, section=path, text=F.col("text")))
+    asked = specialist(asked, "__prompt", factory, PAYLOAD, payload_errors).drop("__prompt")
+    value = F.col("payload.semantic_purpose.value")
+    asked = asked.withColumn("chunk_type", F.when((F.col("chunk_type") == "semantic_text") & value.isNotNull(), chunk_type_snake(value)).otherwise(F.col("chunk_type")))
+    return take(junk).unionByName(take(asked))
 
 
 def quarantine_split(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine of chunk_id, error_message, original_chunk as JSON)."""
     bad = enriched.filter("error is not null")
-    keep = [c for c in enriched.columns if c not in ("error", "purpose", "confidence")]
+    keep = [c for c in enriched.columns if c not in ("error", "semantic_purpose", "persona_relevance_scores", "typed_entities", "quality_assessment")]
     return enriched.filter("error is null").drop("error"), bad.select("chunk_id", F.col("error").alias("error_message"), F.to_json(F.struct(*keep)).alias("original_chunk"))
 
 

@@ -11,11 +11,18 @@ def join_labels(golden: DataFrame, predicted: DataFrame) -> DataFrame:
     return golden.select("file", F.col("label").alias("truth")).join(predicted.select("file", F.col("label").alias("guess")), "file")
 
 
-def confusion(pairs: DataFrame) -> DataFrame:
-    """(truth, guess, n) over all pairs of labels that occur on either side, zeros included. Labels are few; rows are counted first."""
+def labels(pairs: DataFrame) -> DataFrame:
+    """(label) of either side, each once, in order."""
+    return pairs.select(F.col("truth").alias("label")).union(pairs.select("guess")).distinct().orderBy("label")
+
+
+def confusion(pairs: DataFrame, most: int = 1000) -> DataFrame:
+    """(truth, guess, n) over all pairs of labels that occur on either side, zeros included. A matrix: rows are counted first, and over `most` labels are an error."""
     n = pairs.groupBy("truth", "guess").agg(F.count("*").alias("n"))
-    labels = n.select(F.col("truth").alias("label")).union(n.select("guess")).distinct()
-    every = labels.agg(F.collect_set("label").alias("ls")).select(F.explode("ls").alias("truth"), "ls").select("truth", F.explode("ls").alias("guess"))
+    known = n.select(F.col("truth").alias("label")).union(n.select("guess")).distinct()
+    if known.limit(most + 1).count() > most:
+        raise ValueError(f"over {most} labels: no matrix of them")
+    every = known.agg(F.collect_set("label").alias("ls")).select(F.explode("ls").alias("truth"), "ls").select("truth", F.explode("ls").alias("guess"))
     return every.join(n, ["truth", "guess"], "left").na.fill(0, ["n"])
 
 

@@ -34,3 +34,18 @@ def edges(docs: DataFrame) -> DataFrame:
     p = _pages(docs).select(F.col("document_id").cast("string").alias("src"), page_id().alias("dst"), F.lit("HAS_PAGE").alias("type"))
     e = entities(docs).select(page_id().alias("src"), F.col("name").alias("dst"), F.lit("MENTIONS").alias("type"))
     return p.unionByName(e).dropDuplicates(["src", "dst", "type"])
+
+
+def checked_edges(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Edges whose ends are both nodes (id, label): documents have pages, and pages mention entities. An edge without its parent isn't made."""
+    ends = lambda kind, name: known.filter(F.col("label") == kind).select(F.col("id").alias(name))
+    page = found.filter("type = 'HAS_PAGE'").join(ends("Document", "src"), "src", "left_semi").join(ends("Page", "dst"), "dst", "left_semi")
+    mention = found.filter("type = 'MENTIONS'").join(ends("Page", "src"), "src", "left_semi").join(ends("Entity", "dst"), "dst", "left_semi")
+    return page.unionByName(mention)
+
+
+def merge(old_nodes: DataFrame, old_edges: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of a graph with further documents in it: what is there stays, what is new is added once, edges only between nodes that are there."""
+    every = old_nodes.unionByName(nodes(docs)).dropDuplicates(["id", "label"])
+    found = old_edges.unionByName(edges(docs)).dropDuplicates(["src", "dst", "type"])
+    return every, checked_edges(found, every)

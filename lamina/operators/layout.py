@@ -19,6 +19,11 @@ def font_profile(spans: DataFrame) -> DataFrame:
     return spans.groupBy("doc_id", "font", "size", "flags").agg(F.count("*").alias("n"))
 
 
+def font_order(profile: DataFrame) -> DataFrame:
+    """Adds rank: a document's fonts from the most used; ties by font, size and flags."""
+    return profile.withColumn("rank", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("n"), "font", "size", "flags")))
+
+
 def rare_font_headers(blocks: DataFrame, spans: DataFrame, share: float = 0.05, least_size: float = 10.5) -> DataFrame:
     """One-line blocks whose first span has a rare, large font and whose text could be a heading. blocks also has n_lines."""
     total = F.sum("n").over(Window.partitionBy("doc_id"))

@@ -6,11 +6,12 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import fenced, is_json, or_fallback
-from ..functions.text import strip, title_guess
+from ..functions.dates import date_hierarchy
+from ..functions.jsonx import fenced, is_json, or_fallback, repair_stage
+from ..functions.text import parse_page_name, strip, title_guess
 from .enrich import Factory, call_model, render
 
 #: Fixed values.
@@ -26,10 +27,13 @@ def first_pages(pages: DataFrame, n: int = 3) -> DataFrame:
     return p.select("doc_id", F.array_join(F.transform("ps", lambda x: x["text"]), "\n").alias("context"))
 
 
-def triage(pages: DataFrame, n: int = 5) -> DataFrame:
-    """(doc_id, mean_chars, method): the mean length of the first pages' text; what has no text needs OCR, no page an error."""
-    t = pages.filter(F.col("page") <= n).groupBy("doc_id").agg(F.avg(F.length(strip(F.col("text")))).alias("mean_chars"))
-    return t.withColumn("method", F.when(F.col("mean_chars") > 0, "vector_analysis").otherwise("ocr"))
+def triage(docs: DataFrame, pages: DataFrame, n: int = 5) -> DataFrame:
+    """(doc_id, mean_chars, method, confidence) of every document: the mean length of the first pages' stripped text, for the log; a document with a
+    page is analysed, whatever its text's length, and one without is empty."""
+    t = pages.filter(F.col("page") <= n).groupBy("doc_id").agg(F.avg(F.length(strip(F.coalesce("text", F.lit(""))))).alias("mean_chars"))
+    j = docs.select("doc_id").join(t, "doc_id", "left")
+    found = F.col("mean_chars").isNotNull()
+    return j.select("doc_id", "mean_chars", F.when(found, "vector_analysis").otherwise("empty_document").alias("method"), F.when(found, 1.0).otherwise(0.0).alias("confidence"))
 
 
 def page_counts(docs: DataFrame, pages: DataFrame) -> DataFrame:
@@ -95,10 +99,122 @@ def classify(docs: DataFrame, factory: Factory, chars: int = 1500, least: int =
     return asked.select("doc_id", out.alias("o")).select("doc_id", "o.*")
 
 
+#: Limits of the variants: characters that the model is shown, and the least stripped length that is worth a call.
+SHOWN = {"classifier": (1500, 100), "summary": (4000, 30), "labeller": (600, 0)}
+#: What stands where no call was made, or it failed.
+TOO_SHORT, NOT_ASKED, CALL_FAILED = "Text too short for classification", "n/a", "gemini_error"
+
+
+def summarise(docs: DataFrame, factory: Factory) -> DataFrame:
+    """(doc_id, summary, tags, classification) of every document: short texts aren't shown to the model; a failing call and an answer that isn't JSON have their marks."""
+    chars, least = SHOWN["summary"]
+    short = F.length(strip(F.coalesce("text", F.lit("")))) < least
+    none = lambda why: (F.lit("").alias("summary"), F.array().cast("array<string>").alias("tags"), F.lit(why).alias("classification"))
+    asked = call_model(docs.filter(~short).select("doc_id", F.substring("text", 1, chars).alias("shown")), "shown", factory)
+    read = F.when(F.col("error").isNull(), or_fallback(F.col("answer"))).otherwise(F.struct(*none(CALL_FAILED)))
+    return asked.select("doc_id", read.alias("o")).select("doc_id", "o.*").unionByName(docs.filter(short).select("doc_id", *none(NOT_ASKED)))
+
+
+def classify_typed(docs: DataFrame, factory: Factory) -> DataFrame:
+    """(doc_id, doc_type, topics, error): the classifier; too short a text, a failing call and an answer that isn't JSON are errors."""
+    chars, least = SHOWN["classifier"]
+    short = F.length(strip(F.coalesce("text", F.lit("")))) < least
+    asked = call_model(docs.filter(~short).select("doc_id", F.substring("text", 1, chars).alias("shown")), "shown", factory)
+    j = F.from_json("answer", "`Document Type` string, Topics array<string>")
+    error = F.when(F.col("error").isNotNull(), F.col("error")).when(~F.coalesce(is_json(F.col("answer")), F.lit(False)), "not JSON")
+    out = asked.select("doc_id", j["Document Type"].alias("doc_type"), j["Topics"].alias("topics"), error.alias("error"))
+    return out.unionByName(docs.filter(short).select("doc_id", F.lit(None).cast("string").alias("doc_type"), F.lit(None).cast("array<string>").alias("topics"), F.lit(TOO_SHORT).alias("error")))
+
+
+def label(docs: DataFrame, factory: Factory) -> tuple[DataFrame, DataFrame]:
+    """(labelled documents: detected_type, topics, llm_reasoning; errors as doc_id and error): the labeller of golden files, on a preview."""
+    asked = call_model(docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SHOWN["labeller"][0]).alias("shown")), "shown", factory)
+    asked = asked.withColumn("error", F.when(F.col("error").isNotNull(), F.col("error")).when(~F.coalesce(is_json(F.col("answer")), F.lit(False)), "not JSON"))
+    kind = first_label(F.get_json_object("answer", "$.document_type"))
+    good = asked.filter("error is null").select("doc_id", kind.alias("detected_type"), F.from_json(F.get_json_object("answer", "$.topics"), "array<string>").alias("topics"), F.get_json_object("answer", "$.reasoning").alias("llm_reasoning"))
+    return good, asked.filter("error is not null").select("doc_id", "error")
+
+
 def with_defaults(docs: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Documents with what was extracted (doc_id, title, doc_type), defaults where nothing was: the title guessed from the text, type Unknown."""
+    """Documents with what was extracted (doc_id, title, doc_type), defaults where nothing was: the title guessed from the text, type Unknown; and the time."""
     j = docs.join(extracted, "doc_id", "left")
-    return j.withColumn("title", F.coalesce("title", title_guess(F.col("text")))).withColumn("doc_type", F.coalesce("doc_type", F.lit("Unknown")))
+    return j.withColumns({"title": F.coalesce("title", title_guess(F.col("text"))), "doc_type": F.coalesce("doc_type", F.lit("Unknown")), "extracted_at": F.current_timestamp()})
+
+
+def extraction_envelope(docs: DataFrame, extracted: DataFrame, pages: DataFrame) -> DataFrame:
+    """(doc_id, metadata, text): source file, page count, time and what was extracted, for every document. docs: doc_id, source, text."""
+    j = with_defaults(page_counts(docs, pages).join(docs, "doc_id"), extracted)
+    meta = F.struct(F.col("source").alias("source_file"), F.col("n_pages").alias("page_count"), "extracted_at", "title", "doc_type")
+    return j.select("doc_id", meta.alias("metadata"), "text")
+
+
+#: Single-valued fields of page-wise extraction.
+PAGE_FIELDS = ("title", "doc_type", "pbac_meeting_date", "drug_name", "sponsor", "indication", "outcome")
+NOTHING_READ = "No data could be extracted from any page."
+
+
+def extract_pages(docs: DataFrame, pages: DataFrame, factory: Factory) -> DataFrame:
+    """(doc_id, fields..., sections, error): every page with text goes to the model, and the pages' answers are merged.
+
+    Of a field the first page's value that isn't empty counts; section lists are joined, each section with the number of its page among those
+    that were read. Pages whose call or JSON fails are left out; a document without a page left has an error.
+    """
+    shown = pages.filter(strip(F.coalesce("text", F.lit(""))) != "").withColumn("__prompt", render("page_extraction", page=F.col("page").cast("string"), text=F.col("text")))
+    asked = call_model(shown.select("doc_id", "page", "__prompt"), "__prompt", factory)
+    ok = asked.filter(F.col("error").isNull() & F.coalesce(is_json(F.col("answer")), F.lit(False)))
+    schema = ", ".join(f"{f} string" for f in PAGE_FIELDS) + ", page_sections array<struct<heading:string,text:string>>"
+    read = ok.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("page")).alias("page"), F.from_json("answer", schema).alias("a")).select("doc_id", "page", "a.*")
+    # one pass over the answers: a second reading of them would ask the model again
+    full = lambda f: F.min(F.when(F.coalesce(F.col(f), F.lit("")) != "", F.struct("page", F.col(f).alias("v"))))["v"]
+    lists = F.array_sort(F.collect_list(F.struct("page", F.coalesce("page_sections", F.array().cast("array<struct<heading:string,text:string>>")).alias("s"))))
+    sections = F.flatten(F.transform(lists, lambda p: F.transform(F.filter(p["s"], lambda s: s["heading"].isNotNull() & s["text"].isNotNull()), lambda s: F.struct(s["heading"].alias("heading"), s["text"].alias("text"), p["page"].alias("page_start")))))
+    merged = read.groupBy("doc_id").agg(*[full(f).alias(f) for f in PAGE_FIELDS], sections.alias("sections"))
+    return docs.select("doc_id").join(merged, "doc_id", "left").withColumn("error", F.when(F.col("sections").isNull(), NOTHING_READ))
+
+
+def extract_documents(files: DataFrame, factory: Factory, schema: str) -> DataFrame:
+    """(path, fields of the schema, error): whole files of a known MIME type go to the model at once; unknown types, failing calls and answers that aren't JSON are errors.
+
+    files: path, ext, text.
+    """
+    good, bad = mime_split(files)
+    asked = call_model(good.withColumn("__prompt", render("document_extraction", text=F.col("text"))), "__prompt", factory)
+    raw = fenced(F.col("answer"))
+    error = F.when(F.col("error").isNotNull(), F.col("error")).when(~F.coalesce(is_json(raw), F.lit(False)), "not JSON")
+    out = asked.select("path", F.when(error.isNull(), F.from_json(raw, schema)).alias("fields"), error.alias("error"))
+    return out.unionByName(bad.select("path", F.lit(None).cast(out.schema["fields"].dataType).alias("fields"), F.concat(F.lit("Unsupported file type: "), "ext").alias("error")))
+
+
+def repair_with_model(df: DataFrame, column: str, factory: Factory) -> DataFrame:
+    """repair_stage() with a third try: what mending can't make JSON is shown to the model; stage is then 'model', or 'failed'."""
+    staged = repair_stage(df, column)
+    asked = call_model(staged.filter("stage = 'failed'").withColumn("__prompt", render("json_repair", text=F.col(column))), "__prompt", factory, "__answer", "__error")
+    fixed = fenced(F.col("__answer"))
+    ok = F.coalesce(is_json(fixed), F.lit(False))
+    asked = asked.withColumn(column, F.when(ok, fixed).otherwise(F.col(column))).withColumn("stage", F.when(ok, "model").otherwise("failed"))
+    return staged.filter("stage <> 'failed'").unionByName(asked.select(staged.columns))
+
+
+def page_type_text(page_type: Column, content: Column) -> Column:
+    """A page's text for embedding, with what kind of page it is; nothing for a page without content."""
+    text = F.concat(F.lit("This page is classified as `"), F.coalesce(page_type, F.lit("unknown")), F.lit("` and contains the following content: "), content)
+    return F.when(F.coalesce(content, F.lit("")) == "", "").otherwise(text)
+
+
+TOOL = "content_extractor.py"
+
+
+def envelope(pages: DataFrame) -> DataFrame:
+    """(metadata, content) of raw pages (file, source_file, classified_page_type, raw_text, modified): document, page, kind, tool, date and time."""
+    document, page = parse_page_name(F.col("file"))
+    name, folder = F.regexp_extract("source_file", r"([^/]*)$", 1), F.regexp_extract("source_file", r"^(.*)/", 1)
+    day, source, sure = date_hierarchy(F.coalesce("raw_text", F.lit("")), folder, name, F.col("modified"))
+    known = F.coalesce(document, F.lit("Unknown")) != "Unknown"
+    metadata = F.struct(
+        F.when(known, F.concat(document, F.lit(".pdf"))).otherwise("Unknown").alias("source_document"), F.coalesce(page.cast("string"), F.lit("Unknown")).alias("source_page_number"), F.current_timestamp().alias("processing_timestamp"),
+        F.coalesce("classified_page_type", F.lit("Unknown")).alias("classified_page_type"), F.lit(TOOL).alias("extraction_tool_used"), F.date_format(day, "yyyy-MM-dd").alias("effective_date"), source.alias("date_source"), sure.alias("date_confidence"),
+    )
+    return pages.select("file", metadata.alias("metadata"), F.struct("source_file", F.struct("raw_text").alias("data")).alias("content"))
 
 
 def titles(chunks: DataFrame, documents: DataFrame) -> DataFrame:
@@ -137,8 +253,12 @@ def mime_split(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def element_ids(blocks: DataFrame) -> DataFrame:
     """Adds element_id: p<page>-b<n> for text and p<page>-t<n> for tables, each counted from 0 on its page. blocks: doc_id, page, ord, block_type."""
-    from pyspark.sql import Window
-
     n = F.row_number().over(Window.partitionBy("doc_id", "page", "block_type").orderBy("ord")) - 1
     mark = F.when(F.col("block_type") == "table", "t").otherwise("b")
     return blocks.withColumn("element_id", F.concat(F.lit("p"), F.col("page").cast("string"), F.lit("-"), mark, n.cast("string")))
+
+
+def span_ids(spans: DataFrame) -> DataFrame:
+    """Adds span_id: <element_id>-s<n>, counted from 0 on each line of a block, so an id may come again on the block's next line. spans: doc_id, element_id, line, ord."""
+    n = F.row_number().over(Window.partitionBy("doc_id", "element_id", "line").orderBy("ord")) - 1
+    return spans.withColumn("span_id", F.concat("element_id", F.lit("-s"), n.cast("string")))

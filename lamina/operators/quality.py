@@ -17,6 +17,10 @@ PERSONAS = ("clinical_analyst", "health_economist", "regulatory_specialist")
 REQUIRED = ("title", "sections", "doc_id")
 
 
+#: Of a model's answer about a chunk.
+PAYLOAD = "semantic_purpose struct<value:string,confidence:double,justification:string>, persona_relevance_scores map<string,struct<score:double,justification:string>>, typed_entities array<struct<name:string,type:string>>, quality_assessment struct<confidence:double,is_ambiguous:boolean,justification:string>"
+
+
 def completeness(source: DataFrame, chunks: DataFrame, threshold: float = 0.95) -> DataFrame:
     """Characters of chunks against characters of the source: (doc_id, source_chars, chunk_chars, ratio, status). Both sides: doc_id, text."""
     a = source.groupBy("doc_id").agg(F.sum(F.length("text")).alias("source_chars"))
@@ -27,6 +31,16 @@ def completeness(source: DataFrame, chunks: DataFrame, threshold: float = 0.95)
     return j.select("doc_id", "source_chars", "chunk_chars", ratio.alias("ratio"), status.alias("status"))
 
 
+def content_completeness(blocks: DataFrame, tables: DataFrame, chunks: DataFrame, threshold: float = 0.95) -> DataFrame:
+    """completeness() of a document with tables: its text blocks and its tables' markdown against semantic_text chunks and raw table contents.
+
+    blocks: doc_id, text, block_type; tables: doc_id, markdown; chunks: doc_id, chunk_type, text, raw_table_content.
+    """
+    source = blocks.filter("block_type = 'text'").select("doc_id", "text").unionByName(tables.select("doc_id", F.coalesce("markdown", F.lit("")).alias("text")))
+    kept = F.when(F.col("chunk_type") == "semantic_text", F.col("text")).when(F.col("chunk_type") == "table_summary", F.coalesce("raw_table_content", F.lit(""))).otherwise("")
+    return completeness(source, chunks.select("doc_id", kept.alias("text")), threshold)
+
+
 def validate_docs(docs: DataFrame) -> DataFrame:
     """Adds status, errors and warnings, and the meeting date as ISO. docs: title, sections array<struct<heading,...>>, pbac_meeting_date, doc_id.
 
@@ -51,8 +65,7 @@ def _empty(c: Column, name: str) -> Column:
 
 def payload_errors(raw: Column) -> Column:
     """What is wrong with a model's answer in JSON: an array of reasons, empty if it is valid. Unknown top-level keys are wrong."""
-    schema = "semantic_purpose struct<value:string,confidence:double,justification:string>, persona_relevance_scores map<string,struct<score:double,justification:string>>, typed_entities array<struct<name:string,type:string>>, quality_assessment struct<confidence:double,is_ambiguous:boolean,justification:string>"
-    p = F.from_json(raw, schema)
+    p = F.from_json(raw, PAYLOAD)
     parsed = F.try_parse_json(raw).isNotNull()
     keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
     known = F.array(*map(F.lit, ("semantic_purpose", "persona_relevance_scores", "typed_entities", "quality_assessment")))
@@ -64,7 +77,7 @@ def payload_errors(raw: Column) -> Column:
         (parsed & (F.size(F.array_except(keys, known)) > 0), "unknown key"),
         (parsed & ~F.coalesce(sp["value"].isin(*PURPOSES), F.lit(False)), "semantic_purpose.value"),
         (parsed & ~(unit(sp["confidence"]) & text(sp["justification"])), "semantic_purpose"),
-        (parsed & ~F.coalesce(F.forall(F.array(*map(F.lit, PERSONAS)), lambda k: unit(F.try_element_at(pr, k)["score"])), F.lit(False)), "persona_relevance_scores"),
+        (parsed & ~F.coalesce(F.forall(F.array(*map(F.lit, PERSONAS)), lambda k: unit(F.try_element_at(pr, k)["score"]) & text(F.try_element_at(pr, k)["justification"])), F.lit(False)), "persona_relevance_scores"),
         (parsed & ~F.coalesce(F.forall(te, lambda e: e["name"].isNotNull() & F.coalesce(e["type"].isin(*ENTITY_TYPES), F.lit(False))), F.lit(False)), "typed_entities"),
         (parsed & ~(unit(qa["confidence"]) & qa["is_ambiguous"].isNotNull() & text(qa["justification"])), "quality_assessment"),
     ]

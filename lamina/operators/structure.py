@@ -56,8 +56,8 @@ def merge_headers(candidates: DataFrame) -> DataFrame:
     return h.select("doc_id", F.posexplode(F.aggregate("hs", start, step)["out"]).alias("nth", "h")).select("doc_id", "nth", "h.*")
 
 
-def section_assign(headers: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Blocks with the leaf section they belong to: (doc_id, ord, header_ord).
+def section_assign(headers: DataFrame, blocks: DataFrame, keep_all: bool = False) -> DataFrame:
+    """Blocks with the leaf section they belong to: (doc_id, ord, header_ord); keep_all: every block, all its columns, header_ord null where it is in none.
 
     A leaf's section runs from below it to the next heading, and ends at the first block, in the order given, at or
     after that boundary. A range join: a page's blocks meet only the leaves that reach that page.
@@ -65,16 +65,22 @@ def section_assign(headers: DataFrame, blocks: DataFrame) -> DataFrame:
     w = Window.partitionBy("doc_id").orderBy("ord")
     h = headers.select("doc_id", F.col("ord").alias("header_ord"), F.col("page").alias("hp"), F.col("y1").alias("hy"), F.lead("page").over(w).alias("np"), F.lead("y0").over(w).alias("ny"), F.lead("level").over(w).alias("nl"), "level")
     h = h.filter(F.col("nl").isNull() | (F.col("nl") <= F.col("level")))
-    b = blocks.select("doc_id", "ord", "page", "y0")
+    b = blocks if keep_all else blocks.select("doc_id", "ord", "page", "y0")
     # a leaf meets the blocks of the pages from its own to its boundary's: an equality on document and page, no more
     last = blocks.groupBy("doc_id").agg(F.max("page").alias("last"))
     h = h.join(last, "doc_id").withColumn("end", F.coalesce("np", "last")).filter("end >= hp")
-    h = h.withColumn("page", F.explode(F.sequence(F.col("hp").cast("int"), F.col("end").cast("int"))))
+    h = h.withColumn("page", F.explode(F.sequence(F.col("hp").cast("int"), F.col("end").cast("int")))).select("doc_id", "page", "header_ord", "hp", "hy", "np", "ny")
     after = (F.col("page") > F.col("hp")) | ((F.col("page") == F.col("hp")) & (F.col("y0") >= F.col("hy")))
-    j = b.join(h, ["doc_id", "page"]).filter(after)
     at_end = F.col("np").isNotNull() & ((F.col("page") > F.col("np")) | ((F.col("page") == F.col("np")) & (F.col("y0") >= F.col("ny"))))
-    seen = F.max(at_end.cast("int")).over(Window.partitionBy("doc_id", "header_ord").orderBy("page", "ord").rowsBetween(Window.unboundedPreceding, 0))
-    return j.withColumn("seen", seen).filter("seen = 0").select("doc_id", "ord", "header_ord")
+    j = b.join(h, ["doc_id", "page"], "left").withColumn("inside", F.coalesce(after, F.lit(False)))
+    seen = F.max((F.col("inside") & at_end).cast("int")).over(Window.partitionBy("doc_id", "header_ord").orderBy("page", "ord").rowsBetween(Window.unboundedPreceding, 0))
+    j = j.withColumn("inside", F.col("inside") & (seen == 0))
+    if not keep_all:
+        return j.filter("inside").select("doc_id", "ord", "header_ord")
+    block = Window.partitionBy("doc_id", "page", "ord")
+    some, first = F.max("inside").over(block), F.row_number().over(block.orderBy("header_ord"))
+    j = j.withColumn("__some", some).withColumn("__nth", first).filter(F.col("inside") | (~F.col("__some") & (F.col("__nth") == 1)))
+    return j.select(*blocks.columns, F.when(F.col("inside"), F.col("header_ord")).alias("header_ord"))
 
 
 def section_text(assigned: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -85,6 +91,26 @@ def section_text(assigned: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def orphan_blocks(blocks: DataFrame, headers: DataFrame, assigned: DataFrame) -> DataFrame:
-    """Blocks that are neither headings (same page and top) nor in a section."""
-    rest = blocks.join(headers.select("doc_id", "page", "y0"), ["doc_id", "page", "y0"], "left_anti")
+    """Blocks that are neither headings (same page and box; y0 and what else of the box both sides have) nor in a section."""
+    box = ["doc_id", "page", *[c for c in ("x0", "y0", "x1", "y1") if c in blocks.columns and c in headers.columns]]
+    rest = blocks.join(headers.select(*box), box, "left_anti")
     return rest.join(assigned.select("doc_id", "ord"), ["doc_id", "ord"], "left_anti")
+
+
+def section_pages(headers: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(doc_id, ord, header_ord): the older assignment, for every heading, with whole pages as bounds.
+
+    A heading's section has the blocks below it on its page, and those of the pages after it up to the first page that holds another
+    heading of its level or a higher one. On its own page such a heading, met in block order below it, ends the section at once. headers and blocks: doc_id, ord, page, y0; headers: level.
+    """
+    h = headers.select("doc_id", F.col("ord").alias("header_ord"), F.col("page").alias("hp"), F.col("y0").alias("hy"), F.col("level").alias("hl"))
+    o = headers.select("doc_id", F.col("ord").alias("o"), F.col("page").alias("op"), F.col("y0").alias("oy"), F.col("level").alias("ol"))
+    rival = (F.col("ol") <= F.col("hl")) & (F.col("o") != F.col("header_ord"))
+    j = h.join(o, "doc_id", "left")  # headings of one document
+    bounds = j.groupBy("doc_id", "header_ord", "hp", "hy").agg(F.min(F.when(rival & (F.col("op") > F.col("hp")), F.col("op"))).alias("end"), F.min(F.when(rival & (F.col("op") == F.col("hp")) & (F.col("oy") > F.col("hy")), F.col("o"))).alias("stop"))
+    last = blocks.groupBy("doc_id").agg(F.max("page").alias("last"))
+    to = F.when(F.col("stop").isNotNull(), F.col("hp")).otherwise(F.coalesce(F.col("end") - 1, F.col("last")))
+    spread = bounds.join(last, "doc_id").withColumn("page", F.explode(F.when(to >= F.col("hp"), F.sequence(F.col("hp").cast("int"), to.cast("int"))).otherwise(F.array(F.col("hp").cast("int")))))
+    b = blocks.select("doc_id", "ord", F.col("page").cast("int").alias("page"), "y0").join(spread, ["doc_id", "page"])
+    below = (F.col("page") > F.col("hp")) | (F.col("y0") > F.col("hy"))
+    return b.filter(below & (F.col("stop").isNull() | (F.col("ord") < F.col("stop")))).select("doc_id", "ord", "header_ord")

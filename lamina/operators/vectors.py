@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .enrich import PROMPTS
 from .quality import PERSONAS
 
+#: Kinds of vectors beside the base.
+ASPECTS = ("clinical", "economic")
+
+
+def persona_names(chunks: DataFrame, most: int = 100) -> list[str]:
+    """The personas that occur in metadata, in order: columns need names before a plan runs. More than `most` are an error, as no schema has so many."""
+    names = [r.p for r in chunks.select(F.explode(F.map_keys("metadata.persona_relevance_scores")).alias("p")).distinct().limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"over {most} personas")
+    return sorted(names)
+
 
-def flatten_metadata(chunks: DataFrame) -> DataFrame:
-    """One flat row for each enriched chunk (chunk_id, text, metadata struct, published timestamp), with defaults for what is missing."""
+def flatten_metadata(chunks: DataFrame, personas=PERSONAS) -> DataFrame:
+    """One flat row for each enriched chunk (chunk_id, text, metadata struct, published timestamp), with defaults for what is missing and a
+    column for each persona (see persona_names())."""
     m = lambda x: F.col(f"metadata.{x}")
-    persona = {f"persona_{p}_score": F.try_element_at(m("persona_relevance_scores"), F.lit(p))["score"] for p in PERSONAS}
+    persona = {f"persona_{p}_score": F.try_element_at(m("persona_relevance_scores"), F.lit(p))["score"] for p in personas}
     levels = {f"section_level_{i + 1}": F.get(m("section_path"), F.lit(i)) for i in range(5)}
     names = F.transform(F.filter(m("typed_entities"), lambda e: e["name"].isNotNull()), lambda e: e["name"])
     return chunks.select(
@@ -51,6 +70,52 @@ def multi_vectors(chunks: DataFrame) -> DataFrame:
     return out.select(F.concat_ws("::", "chunk_id", "vector_type").alias("id"), F.col("doc_id").alias("namespace"), "vector_type", "input")
 
 
+def aspect_prompt(text: str) -> str:
+    return PROMPTS["aspect_summaries"].replace("{text}", text)
+
+
+def summaries_of(answer: str) -> dict[str, str]:
+    """Both summaries of a model's answer; anything but JSON with two texts is an error."""
+    got = json.loads(answer)
+    if not isinstance(got, dict) or not all(isinstance(got.get(f"{a}_summary"), str) for a in ASPECTS):
+        raise ValueError("summaries are missing")
+    return {a: got[f"{a}_summary"] for a in ASPECTS}
+
+
+def vector_payload(chunks: DataFrame, embedder: Callable[[], Callable[[str], list[float]]], summarizer: Callable[[], Callable[[str], str]]) -> DataFrame:
+    """(id, namespace, vector_type, values) of chunks (chunk_id, doc_id, section_path, purpose, text): the base vector of the chunk's template, and one for each aspect.
+
+    A chunk whose base vector fails has no vectors at all, and its summaries are not asked for. Where the summaries fail or are blank, or an
+    aspect's vector fails, that vector alone is missing. One pass, so that no model is asked twice.
+    """
+    text = embedding_text(F.col("doc_id").cast("string"), F.array_join("section_path", " > "), F.col("purpose"), F.col("text"))
+    src = chunks.select(F.col("chunk_id").cast("string").alias("chunk_id"), F.col("doc_id").cast("string").alias("doc_id"), text.alias("base"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        embed, summarise = embedder(), summarizer()
+
+        def attempt(f, *args):
+            try:
+                return f(*args)
+            except Exception:  # noqa: BLE001  a missing vector is retried by the next run
+                return None
+
+        for b in batches:
+            rows = []
+            for chunk, doc, base, own in zip(b["chunk_id"], b["doc_id"], b["base"], b["text"], strict=True):
+                vector = attempt(embed, base)
+                if vector is None:
+                    continue
+                rows.append((f"{chunk}::base", doc, "base", vector))
+                said = attempt(lambda t: summaries_of(summarise(aspect_prompt(t))), own) or {}
+                for aspect in ASPECTS:
+                    if said.get(aspect, "").strip() and (vector := attempt(embed, said[aspect])) is not None:
+                        rows.append((f"{chunk}::{aspect}", doc, aspect, vector))
+            yield pd.DataFrame(rows, columns=["id", "namespace", "vector_type", "values"])
+
+    return src.mapInPandas(run, "id string, namespace string, vector_type string, values array<double>")
+
+
 def page_vectors(docs: DataFrame) -> DataFrame:
     """Vectors of processed documents: pages and chunks unnested, chunks without an embedding left out."""
     p = docs.select("document_id", "source_file", F.explode("pages").alias("p"))
@@ -65,23 +130,6 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     return target.join(last.select(*keys), keys, "left_anti").unionByName(last)
 
 
-def write_upsert(updates: DataFrame, path: str, keys: list[str]) -> None:
-    """Upsert into a Parquet table partitioned by namespace; only the namespaces that occur in the updates are written anew."""
-    spark = updates.sparkSession
-    try:
-        old = spark.read.parquet(path)
-        touched = old.join(updates.select("namespace").distinct(), "namespace", "left_semi")
-        # written beside the old files first: a partition can't be read and overwritten in one go
-        merged = upsert(touched.select(updates.columns), updates, keys)
-        merged.write.mode("overwrite").parquet(f"{path}.next")
-        merged = spark.read.schema(updates.schema).parquet(f"{path}.next")
-    except Exception as e:  # no table yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        merged = upsert(updates.limit(0), updates, keys)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("namespace").parquet(path)
-
-
 def embedding_stats(vectors: DataFrame, column: str = "embedding") -> DataFrame:
     """(total, failed, mean_dims): failed are empty or null; the mean is over the others, 0 without any."""
     n = F.coalesce(F.size(column), F.lit(0))
@@ -94,20 +142,42 @@ def index_stats(vectors: DataFrame) -> DataFrame:
     return vectors.rollup("namespace").agg(F.count("*").alias("n"))
 
 
-def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int, block: int = 512) -> DataFrame:
-    """The k nearest by cosine for each query, exactly: (query_id, vec_id, rank, cosine). Ties go to the smaller id; a vector isn't its own neighbour.
+def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int, block: int = 16_384) -> DataFrame:
+    """The k nearest by cosine for each query, exactly: (query_id, vec_id, rank, cosine), cosines to six places. Ties go to the smaller id; a vector
+    isn't its own neighbour. Vectors that are null, zero or hold null or non-finite parts neither ask nor answer; lengths are apart.
 
-    A stated set of queries against all rows: queries go in blocks of about `block`, one row each, past all vectors. Each
-    task keeps its k best for a query (Spark pushes the rank's limit below the shuffle), and the best of those are the result.
+    A stated set of queries against all rows: queries and vectors are dealt into blocks of about `block`, and each pair of blocks is a
+    task of bounded size, one product of matrices; it returns the k best of its block for each of its queries, and the best of those are
+    the result. Nothing is broadcast, and no row for a pair of vectors leaves a task.
     """
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, v: s + v)
-    unit = lambda c: F.transform(c, lambda v: v / F.sqrt(dot(c, c)))
-    q = queries.select(F.col("vec_id").alias("query_id"), unit(F.col("embedding")).alias("q"))
-    n = max(1, -(-q.count() // block))
-    grouped = q.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(n)).alias("b")).agg(F.collect_list(F.struct("query_id", "q")).alias("qs"))  # about `block` rows
-    v = vectors.select("vec_id", unit(F.col("embedding")).alias("v"))
-    pairs = v.crossJoin(grouped).select("vec_id", "v", F.explode("qs").alias("x")).filter("vec_id <> x.query_id")
-    scored = pairs.select("x.query_id", "vec_id", F.round(dot(F.col("x.q"), F.col("v")), 6).alias("cosine"))
+    sound = F.coalesce(F.exists("embedding", lambda v: v != 0) & ~F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))), F.lit(False))
+    take = lambda df, side: df.filter(sound).select(F.lit(side).alias("side"), F.col("vec_id").alias("id"), F.size("embedding").alias("dims"), F.col("embedding").cast("array<double>").alias("v"))
+    q, v = take(queries, 0), take(vectors, 1)
+    nq, nv = (max(1, -(-df.count() // block)) for df in (q, v))
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    both = q.withColumn("a", deal(nq)).withColumn("b", every(nv)).unionByName(v.withColumn("b", deal(nv)).withColumn("a", every(nq)))
+    id_type = both.schema["id"].dataType.simpleString()
+
+    def best(t: pa.Table) -> pa.Table:
+        side, ids = t.column("side").to_numpy(), t.column("id").to_numpy(zero_copy_only=False)
+        x = t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
+        x = x / np.sqrt((x * x).sum(1, keepdims=True))
+        asks, found = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        out: list[list] = [[], [], []]
+        for at in range(0, len(asks), 256):
+            part = asks[at : at + 256]
+            c = np.floor(x[part] @ x[found].T * 1e6 + 0.5) / 1e6
+            c[ids[part][:, None] == ids[found]] = -2
+            least = -np.partition(-c, min(k, len(found)) - 1, axis=1)[:, min(k, len(found)) - 1] if len(found) else np.zeros(len(part))
+            for r, i in enumerate(part):
+                near = np.flatnonzero((c[r] >= least[r]) & (c[r] > -2))
+                near = near[np.lexsort((ids[found[near]], -c[r, near]))][:k]
+                for o, y in zip(out, ([ids[i]] * len(near), ids[found[near]].tolist(), c[r, near].tolist()), strict=True):
+                    o.extend(y)
+        return pa.table({"query_id": pa.array(out[0], t.schema.field("id").type), "vec_id": pa.array(out[1], t.schema.field("id").type), "cosine": pa.array(out[2], pa.float64())})
+
+    scored = both.groupBy("dims", "a", "b").applyInArrow(best, f"query_id {id_type}, vec_id {id_type}, cosine double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 

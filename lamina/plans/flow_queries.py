@@ -6,31 +6,52 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..functions.config import Config
 from ..operators import quality as Q
-from ..sources import scan
-from ..sources import sinks
+from ..sources import scan, sinks
 from ..streaming import incremental
-from .ingestion import chunk_documents, flagship
-from .layout_queries import headed
+from .ingestion import chunk_documents, flagship, table_chunks
+from .layout_queries import _ASSIGN, _PATHS, _S, headed
 from .registry import query, table
-from .text_queries import strip_sql
+from .text_queries import packing_sql, sentences_sql, strip_sql
 
 
 def scratch(spark) -> str:
-    """A new folder that driver and executors share."""
+    """A new folder that driver and executors share: in spark.checkpoint.dir, or, on a local master only, a temporary one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
         root = "file://" + tempfile.gettempdir()
     return f"{root.rstrip('/')}/lamina/scratch-{uuid.uuid4().hex}"
 
 
+def rename_parts(spark, root: str, name) -> None:
+    """Give the one data file of each folder below a root a name of its own: Spark names files by task. name: of the folder's name. For the small exports of these queries."""
+    fs, p = sinks.filesystem(spark, root)
+    todo = [p(root)]
+    while todo:
+        for f in fs.listStatus(todo.pop()):
+            at = f.getPath()
+            if f.isDirectory():
+                todo.append(at)
+            elif at.getName().startswith("part-"):
+                fs.rename(at, p(at.getParent(), name(at.getParent().getName())))
+
+
+#: Extension of the files that hold a language's texts.
+_EXT = {"lang=en": "txt", "lang=de": "MD", "lang=fr": "xyz", "lang=es": "docx"}
+_X = "x AS (SELECT source, lang, CASE lang WHEN 'en' THEN 'txt' WHEN 'de' THEN 'MD' WHEN 'fr' THEN 'xyz' ELSE 'docx' END AS e, sum(strlen(text) + 1)::BIGINT AS bytes FROM documents GROUP BY ALL)"
+
+
 def exported(spark, d) -> str:
-    """Documents as one text file each: <source>/<lang>/<doc_id>.{txt,md,xyz}; the writer is a binary sink of one row a file."""
+    """Texts in files source=<source>/lang=<lang>/data.<extension>, one for each source and language."""
     root = scratch(spark)
     docs = table(spark, d, "documents")
-    docs.select("text", "source", "lang").write.partitionBy("source", "lang").text(root)
+    docs.select(F.coalesce("text", F.lit("")).alias("text"), "source", "lang").repartition("source", "lang").write.partitionBy("source", "lang").text(root)
+    rename_parts(spark, root, lambda folder: f"data.{_EXT.get(folder, 'txt')}")
     return root
 
 
@@ -44,40 +65,104 @@ def flag(spark, d):
     return flagship(table(spark, d, "documents"))
 
 
-@query("chunk_documents")
+_JOINED = "array_to_string(list(l.text ORDER BY l.page, l.ord), chr(10) || chr(10)) AS text, array_to_string(list_sort(list(DISTINCT l.page)), ',') AS pages"
+_size = lambda key, default: "CASE WHEN header_ord < 0 THEN " + str(default) + " " + " ".join(f"WHEN regexp_matches(lower(array_to_string(path, ' ')), '{'|'.join(r['keywords'])}') THEN {r[key]}" for r in Config().rules) + f" ELSE {default} END"
+_CHUNKS = f"""{_S}, {_ASSIGN}, {_PATHS},
+orphans AS (SELECT l.* FROM l ANTI JOIN h ON h.doc_id = l.doc_id AND h.page = l.page AND h.y0 = l.y0 ANTI JOIN a ON a.doc_id = l.doc_id AND a.ord = l.ord),
+sections AS (SELECT a.doc_id, a.header_ord, {_JOINED} FROM a JOIN l USING (doc_id, ord) GROUP BY ALL UNION ALL SELECT l.doc_id, -1, {_JOINED} FROM orphans l GROUP BY l.doc_id),
+named AS (SELECT s.*, CASE WHEN header_ord < 0 THEN ['Miscellaneous Content'] ELSE list_filter(path, lambda x, i: i = 1 OR x <> path[i - 1]) END AS path FROM sections s LEFT JOIN paths p ON p.doc_id = s.doc_id AND p.ord = s.header_ord),
+sized AS (SELECT doc_id, header_ord, pages, path, {sentences_sql('text')} AS sents, {_size('chunk_size', Config().default_chunk[0])} AS size, {_size('overlap', Config().default_chunk[1])} AS overlap FROM named),
+{packing_sql('sized', 'doc_id, header_ord', 'packed')},
+chunks AS (SELECT sha256(concat_ws('|', doc_id, array_to_string(path, '>'), header_ord, nth, chunk)) AS chunk_id, doc_id, array_to_string(path, ' > ') AS section_path, pages, chunk AS text FROM packed JOIN sized USING (doc_id, header_ord))"""
+
+
+@query("chunk_documents", f"WITH RECURSIVE {_CHUNKS} SELECT chunk_id, doc_id, section_path, pages, 'semantic_text' AS chunk_type, md5(text) AS h FROM chunks")
 def chunked(spark, d):
     h, b = headed(spark, d)
-    return chunk_documents(h, b)
+    c = chunk_documents(h, b)
+    return c.select("chunk_id", "doc_id", F.array_join("section_path", " > ").alias("section_path"), F.array_join(F.transform("page_numbers", lambda p: p.cast("string")), ",").alias("pages"), "chunk_type", F.md5("text").alias("h"))
 
 
-@query("chunk_completeness")
+@query("chunk_completeness", f"""
+WITH RECURSIVE {_CHUNKS}, s AS (SELECT doc_id, sum(length(text))::BIGINT AS source_chars FROM l ANTI JOIN h USING (doc_id, ord) GROUP BY doc_id), c AS (SELECT doc_id, sum(length(text))::BIGINT AS chunk_chars FROM chunks GROUP BY doc_id),
+j AS (SELECT doc_id, coalesce(source_chars, 0) AS source_chars, coalesce(chunk_chars, 0) AS chunk_chars FROM s FULL JOIN c USING (doc_id))
+SELECT *, round(chunk_chars / nullif(source_chars, 0), 6) AS ratio, CASE WHEN source_chars = 0 AND chunk_chars = 0 THEN 'passed' WHEN source_chars = 0 THEN 'skipped' WHEN chunk_chars / source_chars >= 0.95 THEN 'passed' ELSE 'failed' END AS status FROM j""")
 def chunk_completeness(spark, d):
     h, b = headed(spark, d)
-    return Q.completeness(b.join(h.select("doc_id", "ord"), ["doc_id", "ord"], "left_anti").select("doc_id", "text"), chunk_documents(h, b).select("doc_id", "text"), 0.95)
+    out = Q.completeness(b.join(h.select("doc_id", "ord"), ["doc_id", "ord"], "left_anti").select("doc_id", "text"), chunk_documents(h, b).select("doc_id", "text"), 0.95)
+    return out.withColumn("ratio", F.round("ratio", 6))
+
+
+# every fourth document has a table on its page 1: with a summary and text, with blank text, without a summary
+_T = "t AS (SELECT doc_id, 't' || doc_id AS table_id, 1 AS page, CASE WHEN doc_id % 12 <> 8 THEN 'Summary of ' || doc_id ELSE '' END AS llm_summary, CASE doc_id % 12 WHEN 0 THEN ' | a | ' || doc_id || ' |' || chr(10) WHEN 4 THEN chr(10) || ' ' ELSE '|x|' END AS markdown FROM documents WHERE doc_id % 4 = 0)"
+
+
+def doc_tables(spark, d):
+    t = table(spark, d, "documents").filter("doc_id % 4 = 0")
+    return t.select("doc_id", F.concat(F.lit("t"), F.col("doc_id").cast("string")).alias("table_id"), F.lit(1).alias("page"), F.expr("CASE WHEN doc_id % 12 <> 8 THEN concat('Summary of ', doc_id) ELSE '' END").alias("llm_summary"), F.expr("CASE doc_id % 12 WHEN 0 THEN concat(' | a | ', doc_id, ' |\n') WHEN 4 THEN '\n ' ELSE '|x|' END").alias("markdown"))
+
 
+@query("table_chunks", f"WITH {_T} SELECT doc_id, table_id, 'Tables > Page 1' AS section_path, llm_summary AS text, CASE WHEN doc_id % 12 = 0 THEN '| a | ' || doc_id || ' |' END AS raw_table_content FROM t WHERE llm_summary <> ''")
+def table_chunked(spark, d):
+    return table_chunks(doc_tables(spark, d)).select("doc_id", "table_id", F.array_join("section_path", " > ").alias("section_path"), "text", "raw_table_content")
 
-@query("html_blocks")
+
+@query("content_completeness", f"""
+WITH RECURSIVE {_CHUNKS}, {_T},
+s AS (SELECT doc_id, sum(n)::BIGINT AS source_chars FROM (SELECT doc_id, length(text) AS n FROM l ANTI JOIN h USING (doc_id, ord) UNION ALL SELECT doc_id, length(markdown) FROM t) GROUP BY doc_id),
+c AS (SELECT doc_id, sum(n)::BIGINT AS chunk_chars FROM (SELECT doc_id, length(text) AS n FROM chunks UNION ALL SELECT doc_id, CASE WHEN doc_id % 12 = 0 THEN length('| a | ' || doc_id || ' |') ELSE 0 END FROM t WHERE llm_summary <> '') GROUP BY doc_id),
+j AS (SELECT doc_id, coalesce(source_chars, 0) AS source_chars, coalesce(chunk_chars, 0) AS chunk_chars FROM s FULL JOIN c USING (doc_id))
+SELECT *, CASE WHEN source_chars = 0 AND chunk_chars = 0 THEN 'passed' WHEN source_chars = 0 THEN 'skipped' WHEN chunk_chars / source_chars >= 0.95 THEN 'passed' ELSE 'failed' END AS status FROM j""")
+def content_complete(spark, d):
+    h, b = headed(spark, d)
+    t = doc_tables(spark, d)
+    image = b.filter("ord = 0").withColumns({"block_type": F.lit("image"), "ord": F.lit(10**6), "text": F.lit("not text")})  # blocks of other kinds don't count
+    typed = b.withColumn("block_type", F.lit("text")).unionByName(image)
+    chunks = chunk_documents(h, typed, tables=t)
+    source = typed.join(h.select("doc_id", "ord"), ["doc_id", "ord"], "left_anti")
+    return Q.content_completeness(source, t, chunks).drop("ratio")
+
+
+@query("html_blocks", r"""
+WITH c AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>', '', 'g'), '(?is)(<(?:h[1-6]|p|li|td|th|footer|title)\b[^>]*>.*?</(?:h[1-6]|p|li|td|th|footer|title)>)', 1) AS bs FROM pages),
+b AS (SELECT page_id, unnest(bs) AS b, generate_subscripts(bs, 1) - 1 AS ord FROM c)
+SELECT page_id, ord::INT AS ord, lower(regexp_extract(b, '^<(\w+)', 1)) AS tag, md5(trim(regexp_replace(regexp_replace(b, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS h FROM b""")
 def html(spark, d):
-    return scan.html_blocks(table(spark, d, "pages"))
+    return scan.html_blocks(table(spark, d, "pages")).select("page_id", "ord", "tag", F.md5("text").alias("h"))
+
 
+@query("html_chunks")
+def html_chunks(spark, d):
+    """HTML pages to chunks: headings and texts of their blocks through the same flow."""
+    h, b = scan.html_layout(table(spark, d, "pages"))
+    c = chunk_documents(h, b)
+    return c.select("doc_id", F.array_join("section_path", " > ").alias("section_path"), F.md5("text").alias("h"))
 
-@query("scan_supported")
+
+@query("scan_supported", f"WITH {_X} SELECT '.' || lower(e) AS ext, count(*) AS files, sum(bytes)::BIGINT AS bytes FROM x WHERE lower(e) IN ('pdf', 'docx', 'txt', 'md') GROUP BY 1")
 def supported(spark, d):
     return scan.supported(spark, exported(spark, d)).groupBy("ext").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
 
 
-@query("file_inventory")
+@query("file_inventory", f"WITH {_X} SELECT 'data.' || e AS file_name, 'source=' || source || '/lang=' || lang || '/data.' || e AS relative_path, round(bytes / 1024, 2) AS size_kb, '.' || lower(e) AS extension FROM x")
 def inventory(spark, d):
     return scan.inventory(spark, exported(spark, d)).drop("modified_at")
 
 
-@query("scan_text", "SELECT count(*) AS n_lines, sum(length(line))::BIGINT AS chars FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)")
+@query("scan_text", "SELECT count(*) AS n_lines, sum(length(line))::BIGINT AS chars FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents WHERE lang = 'en') WHERE line <> ''")
 def scan_text(spark, d):
     lines = scan.text_lines(spark, exported(spark, d), "*.txt").filter("line <> ''")
     return lines.agg(F.count("*").alias("n_lines"), F.sum(F.length("line")).alias("chars"))
 
 
-@query("format_dispatch")
+@query("head_files", """
+WITH f AS (SELECT 'source=' || source || '_lang=en_data.txt' AS file, unnest(string_split(string_agg(text || chr(10), '' ORDER BY doc_id), chr(10))) AS line FROM documents WHERE lang = 'en' AND source <> 'src3' GROUP BY source)
+SELECT file, least(count(*), 40) AS n FROM f GROUP BY file""")
+def head_files(spark, d):
+    return scan.head_files(spark, exported(spark, d), 40, "*.txt", exclude="source=src3").groupBy("file").agg(F.count("*").alias("n"))
+
+
+@query("format_dispatch", "SELECT '/in/' || doc_id || ['.txt', '.md', '.docx', '.xyz'][doc_id % 4 + 1] AS path, CASE WHEN doc_id % 4 < 2 THEN md5(text) END AS h, CASE doc_id % 4 WHEN 2 THEN 'BadZipFile' WHEN 3 THEN 'unsupported format .xyz' END AS error FROM documents")
 def dispatch(spark, d):
     docs = table(spark, d, "documents")
     kind = F.get(F.array(*map(F.lit, [".txt", ".md", ".docx", ".xyz"])), (F.col("doc_id") % 4).cast("int"))
@@ -86,34 +171,64 @@ def dispatch(spark, d):
     return good.select("path", F.md5("text").alias("h"), F.lit(None).cast("string").alias("error")).unionByName(bad.select("path", F.lit(None).cast("string").alias("h"), F.substring_index("error", ":", 1).alias("error")))
 
 
-@query("json_scan", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type")
+@query("json_scan", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type UNION ALL SELECT 'quarantined', 1, NULL")
 def json_scan(spark, d):
     root = scratch(spark)
-    e = table(spark, d, "events").select("event_id", "event_type", "value")
-    e.groupBy("event_type").agg(F.to_json(F.collect_list(F.struct("event_id", "event_type", "value"))).alias("value")).select("value").repartition(5, "value").write.option("lineSep", "\n").text(f"{root}/a")
-    lines = spark.read.text(f"{root}/a")
-    rows = lines.select(F.explode(F.from_json("value", "array<struct<event_id:long,event_type:string,value:double>>")).alias("e")).select("e.*")
-    return rows.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    e = table(spark, d, "events").select("event_id", "event_type", "value", F.expr("event_id div 1000").alias("g"))
+    rows = e.groupBy("g").agg(F.to_json(F.collect_list(F.struct("event_id", "event_type", "value"))).alias("value"))  # 1000 events a file at most
+    rows = rows.unionByName(spark.createDataFrame([(-1, "[{cut off")], "g long, value string"))
+    rows.repartition("g").write.partitionBy("g").text(root)
+    rename_parts(spark, root, lambda folder: f"{folder.replace('=', '')}.json")
+    good, bad = scan.json_files(spark, root, "event_id long, event_type string, value double")
+    sums = good.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return sums.unionByName(bad.agg(F.lit("quarantined").alias("event_type"), F.count("*").alias("n"), F.lit(None).cast("double").alias("total")))
+
+
+@query("artifacts", "SELECT source AS doc_id FROM documents GROUP BY source HAVING max(doc_id) % 3 > 0")
+def artifacts(spark, d):
+    """A folder of artifacts for each source, all with chunks, some with a result of more than an empty list: those without are to be enriched."""
+    root = scratch(spark)
+    fs, p = sinks.filesystem(spark, root)
+    for r in table(spark, d, "documents").groupBy("source").agg((F.max("doc_id") % 3 == 0).alias("done")).collect():  # one for each source
+        for file, text in (("chunks.json", "[{}]"), ("enriched_chunks.json", "[{}]" if r.done else "[]")):
+            out = fs.create(p(f"{root}/{r.source}_artifacts/{file}"))
+            out.write(bytearray(text.encode()))
+            out.close()
+    return scan.to_enrich(scan.artifacts(spark, root))
 
 
-@query("output_format", "SELECT 'parquet' AS fmt, count(*) AS n FROM documents UNION ALL SELECT 'json', count(*) FROM documents UNION ALL SELECT 'csv', count(*) FROM labels")
+@query("output_format", "SELECT 'parquet' AS fmt, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents UNION ALL SELECT 'json', count(*), sum(length(text))::BIGINT FROM documents UNION ALL SELECT 'csv', count(*), sum(quality)::BIGINT FROM labels")
 def output(spark, d):
     root = scratch(spark)
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     sinks.save(docs, f"{root}/parquet", "parquet")
     sinks.save(docs, f"{root}/json", "json")
     sinks.save(labels, f"{root}/csv", "csv")
-    one = lambda fmt, df: df.agg(F.lit(fmt).alias("fmt"), F.count("*").alias("n"))
-    return one("parquet", spark.read.parquet(f"{root}/parquet")).unionByName(one("json", spark.read.schema("doc_id long").json(f"{root}/json"))).unionByName(one("csv", spark.read.option("header", "true").csv(f"{root}/csv")))
+    one = lambda fmt, df, c: df.agg(F.lit(fmt).alias("fmt"), F.count("*").alias("n"), F.sum(c).cast("long").alias("chars"))
+    return one("parquet", spark.read.parquet(f"{root}/parquet"), F.length("text")).unionByName(one("json", spark.read.schema("doc_id long, text string").json(f"{root}/json"), F.length("text"))).unionByName(one("csv", spark.read.option("header", "true").schema("doc_id long, quality int, toxic int").csv(f"{root}/csv"), F.col("quality")))
+
+
+@query("save_per_document", "SELECT source, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY source")
+def per_document(spark, d):
+    root = scratch(spark)
+    docs = table(spark, d, "documents").select("source", "doc_id", "n_chars")
+    sinks.save_per_document(docs, root, "json", "source")
+    return spark.read.schema("doc_id long, n_chars long, source string").json(root).groupBy("source").agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
-@query("load_vectors", "SELECT label AS namespace, count(*) AS n, 0 AS second_run FROM embeddings GROUP BY label")
+@query("load_vectors", "SELECT label::VARCHAR AS namespace, count(*) AS n, round(sum(list_sum(embedding::DOUBLE[])), 4) AS total, 0 AS second_run, 0 AS runs_gone FROM embeddings WHERE label <> 7 GROUP BY label UNION ALL SELECT label::VARCHAR, count(*) FILTER (vec_id % 2 = 0), round(sum(list_sum(embedding::DOUBLE[])) FILTER (vec_id % 2 = 0), 4), 0, 0 FROM embeddings WHERE label = 7 GROUP BY label")
 def load(spark, d):
+    """Two loads of all vectors, the second without anything new; then a namespace cleared and half of it loaded again, and what nothing names vacuumed."""
     root = scratch(spark)
-    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.lit(1).alias("version"), F.lit("f").alias("filename"), F.col("vec_id").alias("chunk_id"), F.col("label").alias("namespace"))
+    sinks.create_table(spark, f"{root}/vectors", 64)
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.lit(1).alias("version"), F.lit("f").alias("filename"), F.col("vec_id").alias("chunk_id"), F.col("label").alias("namespace"), "embedding")
     sinks.load_vectors(v, f"{root}/vectors", f"{root}/state")
     again = sinks.load_vectors(v, f"{root}/vectors", f"{root}/state")
-    return spark.read.parquet(f"{root}/vectors").groupBy("namespace").agg(F.count("*").alias("n")).withColumn("second_run", F.lit(again))
+    sinks.clear_table(spark, f"{root}/vectors", "7")
+    sinks.write_upsert(v.filter("namespace = 7 and id % 2 = 0"), f"{root}/vectors", ["namespace", "id"])
+    gone = sinks.vacuum(spark, f"{root}/vectors")
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return sinks.read_table(spark, f"{root}/vectors").groupBy("namespace").agg(F.count("*").alias("n"), F.round(F.sum(total), 4).alias("total")).withColumns({"second_run": F.lit(again), "runs_gone": F.lit(gone)})
 
 
 @query("stream_ingest", "SELECT doc_id, length(text) AS n FROM documents")

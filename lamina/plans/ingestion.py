@@ -10,26 +10,52 @@ from ..functions.config import Config
 from ..operators import structure as S
 
 
-def chunk_documents(headers: DataFrame, blocks: DataFrame, config: Config | None = None) -> DataFrame:
-    """Chunks of documents: (chunk_id, doc_id, section_path, page_numbers, chunk_type, text).
+def table_chunks(tables: DataFrame) -> DataFrame:
+    """A chunk for each table that has a summary: its text is the summary, its raw content the stripped markdown, or null if that is blank.
+
+    tables: doc_id, table_id, page, llm_summary, markdown.
+    """
+    t = tables.filter(F.coalesce("llm_summary", F.lit("")) != "")
+    ident = F.sha2(F.concat_ws("|", F.lit("table"), F.col("doc_id").cast("string"), F.col("table_id").cast("string"), "llm_summary"), 256)
+    return t.select(
+        ident.alias("chunk_id"), "doc_id", F.array(F.lit("Tables"), F.concat(F.lit("Page "), F.col("page").cast("string"))).alias("section_path"), F.array(F.col("page").cast("int")).alias("page_numbers"),
+        F.lit("table_summary").alias("chunk_type"), F.col("llm_summary").alias("text"), F.col("table_id").cast("string").alias("table_id"), F.nullif(T.strip(F.col("markdown")), F.lit("")).alias("raw_table_content"),
+    )
+
+
+def chunk_documents(headers: DataFrame, blocks: DataFrame, config: Config | None = None, tables: DataFrame | None = None) -> DataFrame:
+    """Chunks of documents: (chunk_id, doc_id, section_path, page_numbers, chunk_type, text), with table_id and raw_table_content where tables are given.
 
     Leaf sections, then what belongs to none ("Miscellaneous Content"; "Unstructured Document" where a document has no
-    heading), cut by the sizes of the section's rule. Ids are digests of document, section, ordinal and text, so a repeat gives the same.
+    heading), cut by the sizes of the section's rule. Where blocks have a block_type only those of text count; tables make chunks of their
+    own (table_chunks()). Ids are digests of document, section, ordinal and text, so a repeat gives the same.
     """
     config = config or Config()
+    if "block_type" in blocks.columns:
+        blocks = blocks.filter("block_type = 'text'")
     paths = S.section_hierarchy(headers).select("doc_id", F.col("ord").alias("header_ord"), "path")
-    assigned = S.section_assign(headers, blocks)
-    sections = S.section_text(assigned, blocks).join(paths, ["doc_id", "header_ord"])
+    # one pass over the blocks: each with its section, if it has one, and whether it is a heading itself
+    placed = S.section_assign(headers, blocks, keep_all=True)
+    box = ["doc_id", "page", *[c for c in ("x0", "y0", "x1", "y1") if c in blocks.columns and c in headers.columns]]
+    marked = placed.join(headers.select(*box).distinct().withColumn("is_header", F.lit(True)), box, "left")
+    marked = marked.filter(F.col("header_ord").isNotNull() | F.col("is_header").isNull())
+    bs = F.array_sort(F.collect_list(F.struct("page", "ord", "text")))
+    every = marked.groupBy("doc_id", F.coalesce("header_ord", F.lit(-1)).alias("header_ord")).agg(bs.alias("bs"), F.array_sort(F.collect_set("page")).alias("pages"))
     titled = headers.select("doc_id").distinct().withColumn("titled", F.lit(True))
-    rest = S.orphan_blocks(blocks, headers, assigned).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("page", "ord", "text"))).alias("bs"), F.array_sort(F.collect_set("page")).alias("pages")).join(titled, "doc_id", "left")
+    every = every.join(paths, ["doc_id", "header_ord"], "left").join(titled, "doc_id", "left")
     name = F.when(F.col("titled"), "Miscellaneous Content").otherwise("Unstructured Document")
-    rest = rest.select("doc_id", F.lit(-1).alias("header_ord"), F.array_join(F.transform("bs", lambda b: b["text"]), "\n\n").alias("text"), "pages", F.array(name).alias("path"))
-    every = sections.select("doc_id", "header_ord", "text", "pages", T.clean_path(F.col("path")).alias("path")).unionByName(rest)
+    path = F.when(F.col("header_ord") >= 0, T.clean_path(F.col("path"))).otherwise(F.array(name))
+    every = every.select("doc_id", "header_ord", F.array_join(F.transform("bs", lambda b: b["text"]), "\n\n").alias("text"), "pages", path.alias("path"))
     size, overlap = T.adaptive_size(F.col("path"), config.rules, config.default_chunk)
+    size, overlap = (F.when(F.col("header_ord") >= 0, c).otherwise(d) for c, d in zip((size, overlap), config.default_chunk, strict=True))
     parts = every.withColumn("size", size).withColumn("overlap", overlap)
     parts = parts.select("doc_id", "header_ord", "pages", "path", F.posexplode(T.sentence_chunks(T.sentences(F.col("text")), F.col("size"), F.col("overlap"))).alias("nth", "text"))
     ident = F.sha2(F.concat_ws("|", F.col("doc_id").cast("string"), F.array_join("path", ">"), F.col("header_ord").cast("string"), F.col("nth").cast("string"), "text"), 256)
-    return parts.select(ident.alias("chunk_id"), "doc_id", F.col("path").alias("section_path"), F.col("pages").alias("page_numbers"), F.lit("semantic_text").alias("chunk_type"), "text")
+    out = parts.select(ident.alias("chunk_id"), "doc_id", F.col("path").alias("section_path"), F.col("pages").alias("page_numbers"), F.lit("semantic_text").alias("chunk_type"), "text")
+    if tables is None:
+        return out
+    none = F.lit(None).cast("string")
+    return out.withColumns({"table_id": none, "raw_table_content": none}).unionByName(table_chunks(tables))
 
 
 def flagship(docs: DataFrame) -> DataFrame:

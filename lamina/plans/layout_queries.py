@@ -115,20 +115,32 @@ def leaves(spark, d):
     return S.leaf_headers(headed(spark, d)[0]).select("doc_id", "ord", "leaf")
 
 
-@query("section_hierarchy", f"""
-WITH RECURSIVE {_S}, p AS (SELECT a.doc_id, a.ord, a.text, max(g.ord) AS parent FROM h a LEFT JOIN h g ON g.doc_id = a.doc_id AND g.ord < a.ord AND g.level < a.level GROUP BY ALL),
-r AS (SELECT doc_id, ord, text AS path FROM p WHERE parent IS NULL UNION ALL SELECT p.doc_id, p.ord, r.path || ' > ' || p.text FROM p JOIN r ON p.doc_id = r.doc_id AND p.parent = r.ord)
-SELECT doc_id, ord, path FROM r""")
+_PATHS = """parents AS (SELECT a.doc_id, a.ord, a.text, max(g.ord) AS parent FROM h a LEFT JOIN h g ON g.doc_id = a.doc_id AND g.ord < a.ord AND g.level < a.level GROUP BY ALL),
+paths AS (SELECT doc_id, ord, [text] AS path FROM parents WHERE parent IS NULL UNION ALL SELECT p.doc_id, p.ord, list_append(r.path, p.text) FROM parents p JOIN paths r ON p.doc_id = r.doc_id AND p.parent = r.ord)"""
+
+
+@query("section_hierarchy", f"WITH RECURSIVE {_S}, {_PATHS} SELECT doc_id, ord, array_to_string(path, ' > ') AS path FROM paths")
 def hierarchy(spark, d):
     return S.section_hierarchy(headed(spark, d)[0]).select("doc_id", "ord", F.array_join("path", " > ").alias("path"))
 
 
-@query("merge_headers")
+@query("merge_headers", f"""
+WITH RECURSIVE {_S},
+c AS (SELECT doc_id, page, y0, text, level * 2 AS level, ord % 5 = 3 AS dummy, ord AS tie FROM h UNION ALL SELECT doc_id, page, y0 + 2, text, level * 2, ord % 5 = 3, ord + 1 FROM h WHERE ord % 2 = 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page, CASE WHEN dummy THEN '-infinity'::DOUBLE ELSE y0 END, tie) AS i FROM c),
+f AS (
+  SELECT doc_id, 0::BIGINT AS i, []::INT[] AS stack, NULL::VARCHAR AS text, NULL::INT AS level, NULL::BIGINT AS page, NULL::DOUBLE AS y0, false AS kept FROM documents
+  UNION ALL
+  SELECT doc_id, i, CASE WHEN same THEN rest ELSE list_append(rest, final) END, CASE WHEN same THEN was ELSE new END, CASE WHEN same THEN l ELSE final END, CASE WHEN same THEN wp ELSE p END, CASE WHEN same THEN wy ELSE y END, NOT same
+  FROM (SELECT *, coalesce(was = new AND wp = p AND abs(wy - y) < 5, false) AS same, CASE WHEN dummy OR own > implied + 2 THEN implied ELSE own END::INT AS final FROM (
+    SELECT f.doc_id, o.i, f.text AS was, f.level AS l, f.page AS wp, f.y0 AS wy, o.text AS new, o.level AS own, o.page AS p, CASE WHEN o.dummy THEN 0.0 ELSE o.y0 END::DOUBLE AS y, o.dummy,
+      list_filter(f.stack, lambda s: s < o.level) AS rest, coalesce(list_max(list_filter(f.stack, lambda s: s < o.level)) + 1, 1) AS implied FROM f JOIN o ON o.doc_id = f.doc_id AND o.i = f.i + 1)))
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS nth, text, level, page::INT AS page, y0 FROM f WHERE kept""")
 def merged(spark, d):
     h = headed(spark, d)[0]
     c = h.select("doc_id", "page", "y0", "text", (F.col("level") * 2).alias("level"), (F.col("ord") % 5 == 3).alias("dummy"), F.col("ord").alias("tie"))
     c = c.unionByName(c.filter("tie % 2 = 0").withColumns({"y0": F.col("y0") + 2.0, "tie": F.col("tie") + 1}))  # near repeats
-    return S.merge_headers(c).select("doc_id", "nth", "text", "level", "page", "y0")
+    return S.merge_headers(c).select("doc_id", "nth", "text", "level", F.col("page").cast("int").alias("page"), "y0")
 
 
 _ASSIGN = """leaf AS (SELECT *, lead(page) OVER w AS np, lead(y0) OVER w AS ny, lead(level) OVER w AS nl FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY ord)),
@@ -164,3 +176,16 @@ def complete(spark, d):
     lossy = F.regexp_replace("text", "[.,]", "")  # chunks that have lost some characters
     chunks = docs.select("doc_id", F.explode(T.word_windows(lossy, 100, 0)).alias("text"))
     return Q.completeness(docs.select("doc_id", "text"), chunks, 0.97).withColumn("ratio", F.round("ratio", 6))
+
+
+@query("section_pages", f"""
+WITH {_S}, x AS (SELECT a.*, (SELECT min(g.page) FROM h g WHERE g.doc_id = a.doc_id AND g.ord <> a.ord AND g.level <= a.level AND g.page > a.page) AS stop_page,
+  (SELECT min(g.ord) FROM h g WHERE g.doc_id = a.doc_id AND g.ord <> a.ord AND g.level <= a.level AND g.page = a.page AND g.y0 > a.y0) AS stop_ord FROM h a)
+SELECT l.doc_id, l.ord, x.ord AS header_ord FROM l JOIN x ON x.doc_id = l.doc_id AND ((l.page = x.page AND l.y0 > x.y0 AND (stop_ord IS NULL OR l.ord < stop_ord)) OR (l.page > x.page AND stop_ord IS NULL AND (stop_page IS NULL OR l.page < stop_page)))""")
+def pagewise(spark, d):
+    return S.section_pages(*headed(spark, d))
+
+
+@query("font_order", f"WITH {_B}, p AS (SELECT doc_id, font, size, flags, count(*) AS n FROM f GROUP BY ALL) SELECT doc_id, font, size::DOUBLE AS size, n, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, font, size, flags)::INT AS rank FROM p")
+def font_order(spark, d):
+    return L.font_order(L.font_profile(blocks(spark, d))).select("doc_id", "font", "size", "n", "rank")

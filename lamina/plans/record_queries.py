@@ -116,20 +116,42 @@ def chunks(spark, d):
 
 
 _C = "l AS (SELECT doc_id || '-' || (i - 1) AS chunk_id, doc_id, line AS text, i - 1 AS nth FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents))"
-#: The offline model's choice by the text's digest.
-_MODEL = f"""m AS (SELECT *, {strip_sql('text')} AS t, ('0x' || left(md5(text), 2))::INT AS b0, ('0x' || substr(md5(text), 3, 2))::INT AS b1 FROM l),
-e AS (SELECT *, (length(t) < 20 OR len(regexp_extract_all(t, '[\\p{{L}}\\p{{N}}]')) / greatest(length(t), 1) < 0.5) AS low, b0 % 23 = 0 AS fails FROM m)"""
+#: The offline model's choices by the prompt's digest: it fails, answers with a purpose that isn't in the vocabulary, or with a payload.
+_MODEL = f"""m AS (SELECT *, {strip_sql('text')} AS t, md5('DOCUMENT: ' || CASE WHEN doc_id % 5 = 0 THEN 'Unknown Document' ELSE source END || chr(10) || 'SECTION: ' || source || ' -> ' || lang || chr(10) || 'TEXT: ' || text) AS h FROM l JOIN (SELECT doc_id, source, lang FROM documents) USING (doc_id)),
+b AS (SELECT *, list_transform(range(0, 5), lambda i: ('0x' || substr(h, (2 * i + 1)::INT, 2))::INT) AS n FROM m),
+e AS (SELECT *, (length(t) < 20 OR len(regexp_extract_all(t, '[\\p{{L}}\\p{{N}}]')) / greatest(length(t), 1) < 0.5) AS low, n[1] % 23 = 0 AS fails, n[1] % 23 > 0 AND n[3] % 11 = 0 AS wrong, [{', '.join(repr(p) if chr(39) not in p else chr(39) + p.replace(chr(39), chr(39) * 2) + chr(39) for p in Q.PURPOSES)}][n[2] % 12 + 1] AS purpose FROM b),
+r AS (SELECT *, CASE WHEN low THEN NULL WHEN fails THEN 'ValueError: no answer' WHEN wrong THEN 'invalid payload: semantic_purpose.value' END AS error FROM e)"""
+_SNAKE = r"replace(replace(replace(lower(regexp_replace(regexp_replace(purpose, '(.)([A-Z][a-z]+)', '\1_\2', 'g'), '([a-z0-9])([A-Z])', '\1_\2', 'g')), '/', '_'), ' ', '_'), '__', '_')"
 
 
-@query("enrich_chunks", f"""WITH {_C}, {_MODEL} SELECT chunk_id, CASE WHEN low THEN 'Miscellaneous' WHEN fails THEN NULL ELSE ['Background/Context', 'Drug/Therapy Description', 'Clinical Trial Design', 'Efficacy Results', 'Safety/Adverse Events', 'Pharmacoeconomic Analysis', 'Dosage and Administration', 'Regulatory History', 'PBAC Recommendation', 'Sponsor''s Justification', 'Stakeholder Commentary', 'Miscellaneous'][b1 % 12 + 1] END AS purpose,
- CASE WHEN low THEN NULL WHEN fails THEN 'ValueError: no answer' END AS error FROM e""")
+def titled_chunks(spark, d):
+    """Chunks with their document's title, where it is known, and section path."""
+    docs = table(spark, d, "documents").select("doc_id", F.expr("CASE WHEN doc_id % 5 > 0 THEN source END").alias("doc_title"), F.array("source", "lang").alias("section_path"))
+    return chunks(spark, d).join(docs, "doc_id")
+
+
+@query("enrich_chunks", f"""WITH {_C}, {_MODEL} SELECT chunk_id, CASE WHEN low THEN 'Miscellaneous' WHEN error IS NULL THEN purpose END AS purpose, CASE WHEN low THEN 1.0 WHEN error IS NULL THEN n[4] % 5 / 4 END::DOUBLE AS confidence, CASE WHEN low THEN 0.0 WHEN error IS NULL THEN 0.5 END::DOUBLE AS economist,
+ CASE WHEN low THEN 0 WHEN error IS NULL THEN 1 END::INT AS entities, CASE WHEN low THEN true WHEN error IS NULL THEN false END AS ambiguous, CASE WHEN low THEN 'miscellaneous' WHEN nth % 4 = 3 THEN 'table_summary' WHEN error IS NULL THEN {_SNAKE} ELSE 'semantic_text' END AS chunk_type, error FROM r""")
 def enriched(spark, d):
-    return E.enrich(chunks(spark, d)).select("chunk_id", "purpose", "error")
+    e = E.enrich(titled_chunks(spark, d))
+    return e.select("chunk_id", F.col("semantic_purpose.value").alias("purpose"), F.col("semantic_purpose.confidence").alias("confidence"), F.try_element_at("persona_relevance_scores", F.lit("health_economist"))["score"].alias("economist"), F.when(F.col("typed_entities").isNotNull(), F.size("typed_entities")).alias("entities"), F.col("quality_assessment.is_ambiguous").alias("ambiguous"), "chunk_type", "error")
 
 
-@query("quarantine_split", f"WITH {_C}, {_MODEL} SELECT chunk_id, 'ValueError: no answer' AS error_message FROM e WHERE NOT low AND fails")
+@query("quarantine_split", f"WITH {_C}, {_MODEL} SELECT chunk_id, error AS error_message, CASE WHEN nth % 4 = 3 THEN 'table_summary' ELSE 'semantic_text' END AS chunk_type, md5(text) AS h FROM r WHERE error IS NOT NULL")
 def quarantine(spark, d):
-    return E.quarantine_split(E.enrich(chunks(spark, d)))[1].select("chunk_id", "error_message")
+    q = E.quarantine_split(E.enrich(titled_chunks(spark, d)))[1]
+    return q.select("chunk_id", "error_message", F.get_json_object("original_chunk", "$.chunk_type").alias("chunk_type"), F.md5(F.get_json_object("original_chunk", "$.text")).alias("h"))
+
+
+@query("save_enriched", f"WITH {_C}, {_MODEL} SELECT CASE WHEN error IS NULL THEN 'enriched' ELSE 'failed' END AS part, doc_id, count(*) AS n FROM r GROUP BY ALL")
+def save_enriched(spark, d):
+    from ..sources import sinks
+    from .flow_queries import scratch
+
+    root = scratch(spark)
+    sinks.save_enriched(E.enrich(titled_chunks(spark, d)), root)
+    count = lambda part: spark.read.schema("chunk_id string, doc_id long").json(f"{root}/{part}").groupBy("doc_id").agg(F.count("*").alias("n")).withColumn("part", F.lit(part))
+    return count("enriched").unionByName(count("failed"))
 
 
 @query("ordered_chunks", f"WITH {_C} SELECT chunk_id, row_number() OVER (ORDER BY CASE WHEN nth % 6 = 5 THEN NULL ELSE nth // 5 + 1 END NULLS LAST, chunk_id) AS rank FROM l")
@@ -156,9 +178,9 @@ def merged(spark, d):
     return E.first_nonnull_merge(p, ["title", "drug_name"])
 
 
-@query("status_counts", f"WITH {_C}, {_MODEL} SELECT CASE WHEN NOT low AND fails THEN 'failed' ELSE 'success' END AS status, count(*) AS n FROM e GROUP BY 1")
+@query("status_counts", f"WITH {_C}, {_MODEL} SELECT CASE WHEN error IS NOT NULL THEN 'failed' ELSE 'success' END AS status, count(*) AS n FROM r GROUP BY 1")
 def statuses(spark, d):
-    return E.status_counts(E.enrich(chunks(spark, d)).withColumn("status", F.when(F.col("error").isNull(), "success").otherwise("failed")))
+    return E.status_counts(E.enrich(titled_chunks(spark, d)).withColumn("status", F.when(F.col("error").isNull(), "success").otherwise("failed")))
 
 
 @query("incremental_anti", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -173,6 +195,20 @@ def cached(spark, d):
     return I.by_content(docs.select("doc_id", "text"), done, "text").select("doc_id")
 
 
+@query("trim_strings", r"""SELECT doc_id, source AS a, source || '|' || lang AS b, lang AS c, ' k ' AS k, source AS v FROM documents""")
+def trimmed(spark, d):
+    pad = lambda c: F.concat(F.lit(" \t\u00a0"), F.col(c), F.lit(" \n"))
+    raw = table(spark, d, "documents").select("doc_id", pad("source").alias("a"), F.array(F.struct(pad("source").alias("x")), F.struct(pad("lang").alias("x"))).alias("b"), F.struct(F.struct(pad("lang").alias("z")).alias("y")).alias("c"), F.create_map(F.lit(" k "), pad("source")).alias("m"))
+    t = T.trim_table(raw)
+    return t.select("doc_id", "a", F.array_join(F.transform("b", lambda x: x["x"]), "|").alias("b"), F.col("c.y.z").alias("c"), F.map_keys("m")[0].alias("k"), F.map_values("m")[0].alias("v"))
+
+
+@query("iso_dates", """SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '2024-03-05 00:00:00' WHEN 1 THEN '2024-03-05 10:20:30' ELSE '1970-01-01 00:00:00' END AS day FROM documents""")
+def iso_dates(spark, d):
+    c = F.expr("CASE doc_id % 4 WHEN 0 THEN '2024-03-05' WHEN 1 THEN '2024-03-05T10:20:30' WHEN 2 THEN 'May 2024' END")
+    return table(spark, d, "documents").select("doc_id", F.date_format(D.iso_or_default(c), "yyyy-MM-dd HH:mm:ss").alias("day"))
+
+
 @query("state_update", "SELECT doc_id FROM labels UNION SELECT doc_id FROM documents")
 def state(spark, d):
     return I.state_update(table(spark, d, "labels").select("doc_id"), table(spark, d, "documents"))
@@ -225,6 +261,17 @@ def entities(spark, d):
     return G.entities(graph_docs(spark, d)).groupBy("name").agg(F.count("*").alias("n"))
 
 
+@query("graph_merge", f"WITH {_G} SELECT 'node' AS kind, id, label AS what FROM (SELECT conv_id::VARCHAR AS id, 'Document' AS label FROM conversations UNION SELECT conv_id || '_page_' || turn, 'Page' FROM conversations UNION SELECT name, 'Entity' FROM m UNION SELECT 'old', 'Document') UNION ALL SELECT 'edge', src || '>' || dst, type FROM (SELECT conv_id::VARCHAR AS src, conv_id || '_page_' || turn AS dst, 'HAS_PAGE' AS type FROM conversations UNION SELECT conv_id || '_page_' || turn, name, 'MENTIONS' FROM m)")
+def graph_merge(spark, d):
+    """Half of the documents are in the graph already, with a node of no document here and an edge whose page isn't there; all are merged."""
+    docs = graph_docs(spark, d)
+    half = docs.filter("document_id % 2 = 0")
+    old = spark.createDataFrame([("old", "Document")], "id string, label string")
+    loose = spark.createDataFrame([("old", "old_page_9", "HAS_PAGE")], "src string, dst string, type string")
+    n, e = G.merge(G.nodes(half).unionByName(old), G.edges(half).unionByName(loose), docs)
+    return n.select(F.lit("node").alias("kind"), "id", F.col("label").alias("what")).unionByName(e.select(F.lit("edge").alias("kind"), F.concat("src", F.lit(">"), "dst").alias("id"), F.col("type").alias("what")))
+
+
 # evaluation: quality labels against a rule on the number of characters
 _P = "g AS (SELECT doc_id AS file, CASE quality WHEN 1 THEN 'good' ELSE 'bad' END AS truth, CASE WHEN n_chars < 200 THEN 'short' WHEN n_chars % 3 = 0 THEN 'bad' ELSE 'good' END AS guess FROM labels JOIN documents USING (doc_id))"
 
@@ -260,6 +307,12 @@ def report(spark, d):
     return r.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
+@query("label_order", f"WITH {_P}, k AS (SELECT truth AS label FROM g UNION SELECT guess FROM g) SELECT label, row_number() OVER (ORDER BY label)::INT AS nth FROM k")
+def label_order(spark, d):
+    ls = V.labels(V.join_labels(*label_sides(spark, d))).agg(F.array_sort(F.collect_list("label")).alias("ls"))
+    return ls.select(F.posexplode("ls").alias("nth", "label")).select("label", (F.col("nth") + 1).alias("nth"))
+
+
 @query("confusion_matrix", f"WITH {_P}, k AS (SELECT truth AS label FROM g UNION SELECT guess FROM g) SELECT a.label AS truth, b.label AS guess, count(g.file) AS n FROM k a CROSS JOIN k b LEFT JOIN g ON g.truth = a.label AND g.guess = b.label GROUP BY ALL")
 def confusion(spark, d):
     return V.confusion(V.join_labels(*label_sides(spark, d)))

@@ -85,7 +85,28 @@ def sents(spark, d):
     return table(spark, d, "documents").select("doc_id", T.sentences(F.concat(F.lit("Dr. A met Mr. B. "), "text")).alias("s")).select("doc_id", F.size("s").cast("long").alias("n"), F.md5(F.array_join("s", "|")).alias("h"))
 
 
-@query("sentence_chunks")
+def packing_sql(source: str, keys: str, result: str) -> str:
+    """SQL for sentences packed greedily. source: a table of (keys, sents, size, overlap); result: the CTE (keys, nth, chunk). For WITH RECURSIVE."""
+    k = ", ".join(f"q.{x.strip()}" for x in keys.split(","))
+    return f"""fold_{result} AS (
+  SELECT {k}, 0 AS i, []::VARCHAR[] AS cur, 0::BIGINT AS width, NULL::VARCHAR AS done FROM {source} q
+  UNION ALL
+  SELECT {keys}, i + 1, list_append(CASE WHEN is_full THEN rest ELSE cur END, x), CASE WHEN is_full THEN coalesce(list_sum(list_transform(rest, lambda y: length(y) + 1)), 0)::BIGINT ELSE width + CASE WHEN len(cur) > 0 THEN 1 ELSE 0 END END + length(x), CASE WHEN is_full THEN array_to_string(cur, ' ') END
+  FROM (SELECT *, cur[list_filter(range(1, len(cur) + 2), lambda n: coalesce(list_sum(list_transform(cur[n:], lambda y: length(y) + 1)), 0) < overlap)[1]:] AS rest FROM (
+    SELECT {k}, f.i, f.cur, f.width, q.sents[f.i + 1] AS x, q.overlap, len(f.cur) > 0 AND f.width + length(q.sents[f.i + 1]) + 1 > q.size AS is_full FROM fold_{result} f JOIN {source} q USING ({keys}) WHERE f.i < len(q.sents)))),
+{result} AS (SELECT {keys}, row_number() OVER (PARTITION BY {keys} ORDER BY i) - 1 AS nth, chunk FROM (
+  SELECT {keys}, i, done AS chunk FROM fold_{result} WHERE done IS NOT NULL
+  UNION ALL SELECT {k}, f.i + 1, array_to_string(f.cur, ' ') FROM fold_{result} f JOIN {source} q USING ({keys}) WHERE f.i = len(q.sents) AND len(f.cur) > 0))"""
+
+
+def sentences_sql(x: str) -> str:
+    return _SENT.format(x, strip_sql("x"))
+
+
+@query("sentence_chunks", f"""
+WITH RECURSIVE s AS (SELECT doc_id, {sentences_sql('text')} AS sents, 1024 AS size, 200 AS overlap FROM documents),
+{packing_sql('s', 'doc_id', 'c')}
+SELECT doc_id, nth::INT AS nth, length(chunk)::INT AS n, md5(chunk) AS h FROM c""")
 def packed(spark, d):
     c = T.sentence_chunks(T.sentences(F.col("text")), 1024, 200)
     return table(spark, d, "documents").select("doc_id", F.posexplode(c).alias("nth", "chunk")).select("doc_id", "nth", F.length("chunk").alias("n"), F.md5("chunk").alias("h"))

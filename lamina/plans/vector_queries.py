@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import vectors as V
+from ..operators.enrich import PROMPTS
 from .registry import query, table
 
 _PURPOSE = "['Efficacy Results', 'Miscellaneous', 'Regulatory History']"
@@ -53,13 +54,57 @@ def multi(spark, d):
     return V.multi_vectors(c).select("id", "namespace", "vector_type")
 
 
+def toy_embedder():
+    """Two numbers of a text; an error for texts whose length is a multiple of 13."""
+    def embed(text: str) -> list[float]:
+        if len(text) % 13 == 0:
+            raise ValueError("no vector")
+        return [float(len(text)), 1.0]
+
+    return embed
+
+
+def toy_summarizer():
+    """By the length of the prompt: an error, no JSON, a missing summary, one or two summaries."""
+    def answer(prompt: str) -> str:
+        n = len(prompt)
+        if n % 6 == 0:
+            raise TimeoutError("busy")
+        return {1: "text", 2: '{"clinical_summary": "c"}', 3: '{"clinical_summary": "cc", "economic_summary": " "}', 4: '{"clinical_summary": "", "economic_summary": "eee"}', 5: '{"clinical_summary": "cc", "economic_summary": "thirteen long"}'}[n % 6]
+
+    return answer
+
+
+_ASPECT = len(PROMPTS["aspect_summaries"].replace("{text}", ""))
+
+
+@query("vector_payload", f"""
+WITH c AS (SELECT doc_id, length('DOCUMENT: ' || source || chr(10) || 'SECTION: ' || source || ' > ' || lang || chr(10) || 'TYPE: ' || chr(10) || 'CONTENT: ' || text) AS n, ({_ASPECT} + length(text)) % 6 AS k FROM documents)
+SELECT 'c' || doc_id || '::' || v.t AS id, v.t AS vector_type, v.x AS x FROM (SELECT doc_id, unnest([{{'t': 'base', 'x': n::DOUBLE}}, {{'t': 'clinical', 'x': CASE WHEN k IN (3, 5) THEN 2.0::DOUBLE END}}, {{'t': 'economic', 'x': CASE WHEN k = 4 THEN 3.0::DOUBLE END}}]) AS v FROM c WHERE n % 13 > 0) WHERE v.x IS NOT NULL""")
+def payload_vectors(spark, d):
+    c = table(spark, d, "documents").select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("chunk_id"), F.col("source").alias("doc_id"), F.array("source", "lang").alias("section_path"), F.lit(None).cast("string").alias("purpose"), "text")
+    return V.vector_payload(c, toy_embedder, toy_summarizer).select("id", "vector_type", F.get("values", F.lit(0)).alias("x"))
+
+
+@query("persona_columns", "SELECT 'c' || doc_id AS chunk_id, doc_id / 1000.0 AS persona_clinical_analyst_score, CASE WHEN doc_id % 3 = 0 THEN 0.5 END::DOUBLE AS persona_patient_score FROM documents")
+def persona_columns(spark, d):
+    """Columns for the personas that occur, known ones or not."""
+    e = enriched(spark, d)
+    more = F.when(F.col("doc_id") % 3 == 0, F.map_concat("metadata.persona_relevance_scores", F.create_map(F.lit("patient"), F.struct(F.lit(0.5).alias("score"), F.lit("j").alias("justification"))))).otherwise(F.col("metadata.persona_relevance_scores"))
+    e = e.withColumn("doc_id", F.substring("chunk_id", 2, 20).cast("long")).withColumn("metadata", F.col("metadata").withField("persona_relevance_scores", more)).drop("doc_id")
+    f = V.flatten_metadata(e, V.persona_names(e))
+    return f.select("chunk_id", *[c for c in f.columns if c.startswith("persona_")])
+
+
 @query("page_vectors", "SELECT vec_id::VARCHAR AS id, label::VARCHAR AS document_id, (vec_id % 7 + 1)::INT AS page_number, round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings WHERE vec_id % 5 > 0")
 def page_vectors(spark, d):
     e = table(spark, d, "embeddings").withColumn("embedding", F.when(F.col("vec_id") % 5 > 0, F.col("embedding")).otherwise(F.array().cast("array<float>")))
     chunk = F.struct(F.col("vec_id").cast("string").alias("chunk_id"), F.lit("t").alias("text"), F.lit("text").alias("chunk_type"), "embedding")
-    p = e.groupBy("label", (F.col("vec_id") % 7 + 1).cast("int").alias("page_number")).agg(F.collect_list(chunk).alias("chunks"))
+    # a label's vectors in documents of 700 at most: a processed document is one row
+    e = e.withColumn("part", F.expr("vec_id div 700"))
+    p = e.groupBy("label", "part", (F.col("vec_id") % 7 + 1).cast("int").alias("page_number")).agg(F.collect_list(chunk).alias("chunks"))
     meta = F.struct(F.lit("s").alias("summary"), F.lit("ct").alias("content_type"))
-    docs = p.groupBy(F.col("label").cast("string").alias("document_id")).agg(F.collect_list(F.struct("page_number", meta.alias("page_metadata"), "chunks")).alias("pages")).withColumn("source_file", F.lit("f"))
+    docs = p.groupBy(F.col("label").cast("string").alias("document_id"), "part").agg(F.collect_list(F.struct("page_number", meta.alias("page_metadata"), "chunks")).alias("pages")).withColumn("source_file", F.lit("f"))
     total = F.aggregate("values", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return V.page_vectors(docs).select("id", "document_id", "page_number", F.round(total, 4).alias("total"))
 

@@ -76,7 +76,7 @@ def pdf_text(content: bytes) -> str:
     return "\n".join(p.extract_text() for p in pypdf.PdfReader(io.BytesIO(content)).pages)
 
 
-READERS = {".docx": docx_text, ".xlsx": xlsx_text, ".xls": xlsx_text, ".pdf": pdf_text}
+READERS = {".docx": docx_text, ".xlsx": xlsx_text, ".pdf": pdf_text}
 
 
 def texts(df: DataFrame, readers=None) -> tuple[DataFrame, DataFrame]:
@@ -119,6 +119,36 @@ def text_lines(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return whole.select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
 
 
+def head_files(spark: SparkSession, root: str, n: int, pattern: str = "*.json", exclude: str | None = None) -> DataFrame:
+    """(file, line_no, line): the first n lines of all files under a folder, but for those in its folder `exclude`; file is the path in it with _ for /."""
+    base = re.sub(r"^file:/*|/+$", "", root).lstrip("/")
+    lines = text_lines(spark, root, pattern)
+    rel = F.regexp_replace(F.regexp_replace(F.url_decode("file"), r"^\w+:/+", ""), "^" + re.escape(base) + "/", "")
+    lines = lines.withColumn("file", rel).filter(F.col("line_no") < n)
+    if exclude:
+        lines = lines.filter(~F.col("file").startswith(exclude.strip("/") + "/"))
+    return lines.withColumn("file", F.replace("file", F.lit("/"), F.lit("_")))
+
+
+ARTIFACTS = "_artifacts"
+
+
+def artifacts(spark: SparkSession, root: str) -> DataFrame:
+    """(doc_id, name, path, length) of the files in folders <doc_id>_artifacts; none at all is an error."""
+    f = files(spark, root).select("path", "length", "name")
+    folder = F.regexp_extract(F.url_decode("path"), rf"([^/]+){ARTIFACTS}/[^/]+$", 1)
+    found = f.withColumn("doc_id", folder).filter("doc_id <> ''").select("doc_id", "name", "path", "length")
+    if found.isEmpty():
+        raise FileNotFoundError(f"no folder ending with {ARTIFACTS} in {root}")
+    return found
+
+
+def to_enrich(found: DataFrame, force: bool = False, source: str = "chunks.json", result: str = "enriched_chunks.json") -> DataFrame:
+    """(doc_id) of the artifacts that have chunks and no result of more than the two bytes of an empty list; with force, all that have chunks."""
+    have = found.filter(F.col("name") == source).select("doc_id").distinct()
+    return have if force else have.join(found.filter((F.col("name") == result) & (F.col("length") > 2)).select("doc_id"), "doc_id", "left_anti")
+
+
 def html_blocks(pages: DataFrame) -> DataFrame:
     """Blocks of HTML pages (page_id, html): (page_id, ord, tag, text), headings, paragraphs, list items, cells and footers in their order. No markup parser: the tags' contents by pattern."""
     clean = F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>", "")
@@ -126,3 +156,10 @@ def html_blocks(pages: DataFrame) -> DataFrame:
     b = pages.select("page_id", F.posexplode(hits).alias("ord", "block"))
     text = F.regexp_replace(F.regexp_replace("block", r"(?s)<[^>]*>", " "), r"\s+", " ")
     return b.select("page_id", "ord", F.lower(F.regexp_extract("block", r"^<(\w+)", 1)).alias("tag"), F.trim(text).alias("text"))
+
+
+def html_layout(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(headings, blocks) of HTML pages as chunk_documents() takes them: a page is a document of one page, a block's place its number, a heading's level that of its tag; page furniture (title, footer) isn't text."""
+    b = html_blocks(pages).select(F.col("page_id").alias("doc_id"), "ord", F.lit(1).alias("page"), F.col("ord").cast("double").alias("y0"), (F.col("ord") + 0.5).alias("y1"), "text", "tag", F.when(F.col("tag").isin("title", "footer"), "furniture").otherwise("text").alias("block_type"))
+    heads = b.filter(F.col("tag").rlike("^h[1-6]$") & (F.col("text") != "")).withColumn("level", F.substring("tag", 2, 1).cast("int"))
+    return heads.select("doc_id", "ord", "text", "level", "page", "y0", "y1"), b.drop("tag")

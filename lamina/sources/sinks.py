@@ -1,15 +1,36 @@
-"""Sinks: outputs by format, artifacts, loads into a vector table with its state."""
+"""Sinks: outputs by format, artifacts, a vector table with versions and the state of its loads."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.enrich import quarantine_split
 from ..operators.incremental import unprocessed
-from ..operators.vectors import write_upsert
+from ..operators.vectors import upsert
 
 FORMATS = {"json": "json", "txt": "text", "md": "text", "parquet": "parquet", "csv": "csv"}
 
 
+def filesystem(spark: SparkSession, path: str):
+    """(the file system of a path, a function that makes its paths), whatever store it is in."""
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = filesystem(spark, path)
+    return fs.exists(p(path))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = filesystem(spark, path)
+    fs.delete(p(path), True)
+
+
 def save(df: DataFrame, path: str, fmt: str, text_column: str = "text") -> None:
     """Write by format; an unknown one is refused before anything runs."""
     if fmt not in FORMATS:
@@ -20,6 +41,138 @@ def save(df: DataFrame, path: str, fmt: str, text_column: str = "text") -> None:
         df.write.mode("overwrite").format(FORMATS[fmt]).option("header", "true").save(path)
 
 
+def save_per_document(df: DataFrame, path: str, fmt: str = "json", document: str = "doc_id") -> bool:
+    """Artifacts in a folder for each document; an empty table writes nothing. Returns whether it wrote."""
+    if df.isEmpty():
+        return False
+    # a document's rows meet in one task, so a folder has few files; large documents are split again by Spark's own limit of records
+    df.repartition(document).write.mode("overwrite").partitionBy(document).format(FORMATS[fmt]).save(path)
+    return True
+
+
+def save_valid(validated: DataFrame, path: str, fmt: str = "json") -> DataFrame:
+    """Write documents whose status isn't error; what was left out, with its errors."""
+    save(validated.filter("status <> 'error'").drop("errors"), path, fmt)
+    return validated.filter("status = 'error'")
+
+
+def save_enriched(enriched: DataFrame, path: str) -> tuple[bool, bool]:
+    """Enriched chunks under <path>/enriched and the quarantine under <path>/failed, each a folder for a document, each only if it has rows.
+
+    What the model answered is written once to <path>/all and split from there: two writes of the plan would ask it twice.
+    """
+    spark = enriched.sparkSession
+    enriched.write.mode("overwrite").parquet(f"{path}/all")
+    whole = spark.read.schema(enriched.schema).parquet(f"{path}/all")
+    good, bad = quarantine_split(whole)
+    bad = bad.join(whole.select("chunk_id", "doc_id"), "chunk_id")
+    wrote = save_per_document(good, f"{path}/enriched"), save_per_document(bad, f"{path}/failed")
+    delete(spark, f"{path}/all")
+    return wrote
+
+
+def save_embeddings(vectors: DataFrame, path: str) -> bool:
+    """The map from file to vector as a table: (filename, embedding), without empty vectors; nothing is written if none is left."""
+    good = vectors.filter(F.size("embedding") > 0).select("filename", "embedding")
+    if good.isEmpty():
+        return False
+    good.write.mode("overwrite").parquet(path)
+    return True
+
+
+# A vector table: <path>/data/run=<id>/namespace=<n> holds files that never change, and <path>/manifest/<n> says which run is current for
+# each namespace. A load writes its data, then the next manifest; the last one that is complete counts. So a run
+# that dies at any point leaves the table as it was, and readers never see half of one.
+
+
+def _manifests(spark: SparkSession, path: str) -> list[int]:
+    fs, p = filesystem(spark, path)
+    if not fs.exists(p(f"{path}/manifest")):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(p(f"{path}/manifest"))]
+    return sorted(int(n) for n in names if n.isdigit() and fs.exists(p(f"{path}/manifest/{n}/_SUCCESS")))
+
+
+def _manifest(spark: SparkSession, path: str) -> DataFrame:
+    known = _manifests(spark, path)
+    if not known:
+        raise FileNotFoundError(f"no vector table at {path}")
+    return spark.read.schema("run string, namespace string").parquet(f"{path}/manifest/{known[-1]}")
+
+
+def _commit(spark: SparkSession, path: str, manifest: DataFrame) -> None:
+    nth = (_manifests(spark, path) or [0])[-1] + 1
+    manifest.select("run", "namespace").write.mode("overwrite").parquet(f"{path}/manifest/{nth}")
+
+
+def create_table(spark: SparkSession, path: str, dims: int, metric: str = "cosine") -> None:
+    """An empty table with its settings; one that is there already is an error."""
+    if _manifests(spark, path):
+        raise FileExistsError(f"a vector table is at {path} already")
+    spark.createDataFrame([(dims, metric)], "dims int, metric string").coalesce(1).write.mode("overwrite").json(f"{path}/settings")
+    _commit(spark, path, spark.createDataFrame([], "run string, namespace string"))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of a vector table; namespaces are texts."""
+    current = _manifest(spark, path)
+    if not exists(spark, f"{path}/data"):
+        return spark.createDataFrame([], "id string, namespace string")
+    data = spark.read.parquet(f"{path}/data").withColumns({"run": F.col("run").cast("string"), "namespace": F.col("namespace").cast("string")})
+    return data.join(current, ["run", "namespace"], "left_semi").drop("run")
+
+
+def write_upsert(updates: DataFrame, path: str, keys: list[str]) -> None:
+    """Upsert by keys; only the namespaces that occur in the updates are written anew."""
+    spark, run = updates.sparkSession, f"r{uuid.uuid4().hex}"
+    updates = updates.withColumn("namespace", F.col("namespace").cast("string"))
+    names = updates.select("namespace").distinct()
+    if known := bool(_manifests(spark, path)) and exists(spark, f"{path}/data"):
+        touched = read_table(spark, path).join(names, "namespace", "left_semi").select(updates.columns)
+        merged = upsert(touched, updates, keys)
+    else:
+        merged = upsert(updates.limit(0), updates, keys)
+    merged.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run", "namespace").parquet(f"{path}/data")
+    new = names.select(F.lit(run).alias("run"), "namespace")
+    _commit(spark, path, _manifest(spark, path).join(names, "namespace", "left_anti").select("run", "namespace").unionByName(new) if known else new)
+
+
+def clear_table(spark: SparkSession, path: str, namespace: str | None = None) -> None:
+    """Forget a namespace, or all of them; files stay until vacuum()."""
+    rest = _manifest(spark, path).filter(F.lit(False) if namespace is None else F.col("namespace") != namespace)
+    _commit(spark, path, rest)
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Delete runs that the current manifest doesn't name and older manifests; how many runs went. Not while another job reads or loads."""
+    known = _manifests(spark, path)
+    fs, p = filesystem(spark, path)
+    gone = 0
+    if fs.exists(p(f"{path}/data")):
+        current = _manifest(spark, path).select("run").distinct()
+        listed = [f.getPath().getName().removeprefix("run=") for f in fs.listStatus(p(f"{path}/data")) if f.isDirectory()]  # one for each load
+        if listed:
+            for r in spark.createDataFrame([(x,) for x in listed], "run string").join(current, "run", "left_anti").collect():
+                delete(spark, f"{path}/data/run={r.run}")
+                gone += 1
+    for n in known[:-1]:
+        delete(spark, f"{path}/manifest/{n}")
+    return gone
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    delete(spark, path)
+
+
+def list_tables(spark: SparkSession, root: str) -> list[str]:
+    """Names of the vector tables in a folder, in order."""
+    fs, p = filesystem(spark, root)
+    if not fs.exists(p(root)):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(p(root)) if f.isDirectory()]
+    return sorted(n for n in names if _manifests(spark, f"{root}/{n}"))
+
+
 def load_vectors(vectors: DataFrame, table_path: str, state_path: str) -> int:
     """Upsert the vectors that the state doesn't have, then add them to it; how many there were.
 
@@ -27,12 +180,7 @@ def load_vectors(vectors: DataFrame, table_path: str, state_path: str) -> int:
     upsert, which changes nothing: at least once, and idempotent.
     """
     spark = vectors.sparkSession
-    try:
-        new = unprocessed(vectors, spark.read.parquet(state_path), ["filename", "chunk_id"])
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        new = vectors
+    new = unprocessed(vectors, spark.read.parquet(state_path), ["filename", "chunk_id"]) if exists(spark, state_path) else vectors
     n = new.count()
     if n:
         write_upsert(new, table_path, ["namespace", "id"])
