@@ -36,7 +36,7 @@ def load_prompts(folder: str) -> dict[str, str]:
     return {p.stem: p.read_text(encoding="utf-8") for p in sorted(Path(folder).glob("*.txt"))}
 
 
-def render(name: str, registry: dict[str, str] | None = None, **values: Column) -> Column:
+def render(name: str, registry: dict[str, str] | None = None, /, **values: Column) -> Column:
     """A prompt of the registry with its {marks} replaced, null as nothing; an unknown name is an error."""
     prompts = PROMPTS if registry is None else registry
     if name not in prompts:

@@ -41,7 +41,7 @@ def checked_edges(found: DataFrame, known: DataFrame) -> DataFrame:
     ends = lambda kind, name: known.filter(F.col("label") == kind).select(F.col("id").alias(name))
     page = found.filter("type = 'HAS_PAGE'").join(ends("Document", "src"), "src", "left_semi").join(ends("Page", "dst"), "dst", "left_semi")
     mention = found.filter("type = 'MENTIONS'").join(ends("Page", "src"), "src", "left_semi").join(ends("Entity", "dst"), "dst", "left_semi")
-    return page.unionByName(mention)
+    return page.unionByName(mention).select("src", "dst", "type")
 
 
 def merge(old_nodes: DataFrame, old_edges: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.config import Config
+from ..operators import layout as L
 from ..operators import structure as S
+from ..sources import pdf
 
 
 def table_chunks(tables: DataFrame) -> DataFrame:
@@ -64,3 +66,23 @@ def flagship(docs: DataFrame) -> DataFrame:
 
     w = docs.select("lang", F.explode(T.word_windows(T.normalize_text(F.col("text")), 128, 32)).alias("chunk"))
     return w.groupBy("lang").agg(F.count("*").alias("chunks"), F.count_if(low_value(F.col("chunk"))).alias("low_value"), F.sum(F.length("chunk")).alias("chars"))
+
+
+def pdf_layout(read: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(headings, blocks, tables) of the pages that sources.pdf.pages() read, as chunk_documents() takes them.
+
+    Repeated headers and footers and what lies in a table are no text; headings come from the bookmarks and from rare, large fonts, merged. The
+    file's path stands for the document. Tables have no summary yet (operators.models.table_summaries() makes them).
+    """
+    blocks, toc, tables = pdf.page_blocks(read), pdf.contents(read), pdf.page_tables(read)
+    counts = read.filter("error is null").groupBy(F.col("path").alias("doc_id")).agg(F.count("*").alias("n_pages"))
+    repeated = L.repeated_lines(blocks.join(counts, "doc_id"))
+    body = L.spatial_anti(L.strip_repeated(blocks, repeated), tables)
+    found = L.font_levels(L.rare_font_headers(body, pdf.page_spans(read)), toc)
+    place = L.toc_resolve(toc, body)
+    entry = place.select("doc_id", "page", F.coalesce("y0", F.lit(0.0)).alias("y0"), "text", F.col("level").cast("int").alias("level"), F.col("y0").isNull().alias("dummy"), F.col("nth").alias("tie"))
+    entry = entry.unionByName(found.select("doc_id", "page", "y0", "text", F.col("level").cast("int").alias("level"), F.lit(False).alias("dummy"), (F.col("ord") + 1_000_000).alias("tie")))
+    merged = S.merge_headers(entry)
+    ends = body.groupBy("doc_id", "page", "y0").agg(F.max("y1").alias("y1"))
+    heads = merged.join(ends, ["doc_id", "page", "y0"], "left").select("doc_id", F.col("nth").alias("ord"), "text", "level", "page", "y0", F.coalesce("y1", "y0").alias("y1"))
+    return heads, body, tables

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from .pdf import pdf_text
+
 SUPPORTED = (".pdf", ".docx", ".txt", ".md")
 
 
@@ -68,14 +70,6 @@ def xlsx_text(content: bytes) -> str:
     return "\n".join(out)
 
 
-def pdf_text(content: bytes) -> str:
-    try:
-        import pypdf  # optional
-    except ImportError as e:
-        raise RuntimeError("no PDF reader is installed") from e
-    return "\n".join(p.extract_text() for p in pypdf.PdfReader(io.BytesIO(content)).pages)
-
-
 READERS = {".docx": docx_text, ".xlsx": xlsx_text, ".pdf": pdf_text}
 
 
@@ -105,7 +99,7 @@ def texts(df: DataFrame, readers=None) -> tuple[DataFrame, DataFrame]:
 
 def json_files(spark: SparkSession, root: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(file and rows, bad files as file and text) of JSON artifacts, an object or an array of objects in each file."""
-    whole = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root)
+    whole = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root, wholetext=True)
     whole = whole.select(F.input_file_name().alias("file"), F.trim("value").alias("value"))
     good = F.try_parse_json("value").isNotNull()
     rows = F.when(F.col("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
@@ -115,7 +109,7 @@ def json_files(spark: SparkSession, root: str, schema: str) -> tuple[DataFrame,
 
 def text_lines(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """(file, line_no, line): lines of all files in their order."""
-    whole = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root)
+    whole = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root, wholetext=True)
     return whole.select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
 
 

@@ -146,21 +146,6 @@ def test_validation_order(spark):
     assert len(r[0].errors) == 1 and len(r[2].warnings) == 2
 
 
-def test_model_errors_are_rows(spark):
-    def factory():
-        def answer(t):
-            if t == "b" * 30:
-                raise RuntimeError("down")
-            return "Efficacy Results"
-
-        return answer
-
-    df = spark.createDataFrame([("1", "a" * 30, "semantic_text"), ("2", "b" * 30, "semantic_text"), ("3", "..", "semantic_text")], "chunk_id string, text string, chunk_type string")
-    good, bad = enrich.quarantine_split(enrich.enrich(df, factory))
-    assert {r.chunk_id: r.chunk_type for r in good.collect()} == {"1": "efficacy_results", "3": "miscellaneous"}
-    assert [r.error_message for r in bad.collect()] == ["RuntimeError: down"]
-
-
 def test_report_of_nothing(spark):
     df = spark.createDataFrame([], "file string, truth string, guess string")
     assert evaluate.confusion(df).count() == 0 and evaluate.report(df).count() == 3
@@ -198,7 +183,7 @@ def test_sources_and_sinks(spark, tmp_path):
     assert sinks.load_vectors(v, table, state) == 2 and sinks.load_vectors(v, table, state) == 0
     more = spark.createDataFrame([(1, 2, "f", "c3", "n1")], v.schema)
     assert sinks.load_vectors(more, table, state) == 1
-    assert sorted((r.id, r.version) for r in spark.read.parquet(table).collect()) == [(1, 2), (2, 1)]
+    assert sorted((r.id, r.version) for r in sinks.read_table(spark, table).collect()) == [(1, 2), (2, 1)]
     (tmp_path / "j").mkdir()
     (tmp_path / "j" / "a.json").write_text('[{"k": 1}, {"k": 2}]')
     (tmp_path / "j" / "b.json").write_text("{oops")
