@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 _own: dict[str, str] = {}
+#: Tables of each application that spill() wrote and nothing has deleted.
+_written: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or, on a local master only, one of our own where it is unset (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="lamina-")
@@ -57,6 +61,7 @@ def spill(df: DataFrame, label: str, partition_by: list[str] | None = None, tidy
     del df, writer
     out = spark.read.schema(schema).parquet(path)
     out._lamina_path = path
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return out
 
 
@@ -72,12 +77,29 @@ def spill_bucketed(df: DataFrame, label: str, column: str, buckets: int) -> Data
     return out
 
 
-def drop_spilled(df: DataFrame) -> None:
-    """Delete a table that spill() wrote and nothing reads any more."""
-    spark, path = df.sparkSession, df._lamina_path
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+def drop_spilled(*tables: DataFrame) -> None:
+    """Delete tables that spill() wrote and nothing reads any more: what was made of them is written itself."""
+    for df in tables:
+        _delete(df.sparkSession, df._lamina_path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    with contextlib.suppress(ValueError):
+        _written.get(spark.sparkContext.applicationId, []).remove(path)
+
+
+def spilled(spark: SparkSession) -> list[str]:
+    """Tables that spill() wrote and nothing has deleted, oldest first."""
+    return list(_written.get(spark.sparkContext.applicationId, []))
+
+
+def drop_all_but(spark: SparkSession, keep: list[str]) -> None:
+    """Delete all of spilled() but these: when a result is written, what its steps wrote can go."""
+    for path in spilled(spark):
+        if path not in keep:
+            _delete(spark, path)
 
 
 def trim() -> None:
@@ -119,8 +141,7 @@ def components(edges: DataFrame) -> DataFrame:
         low2 = spill(nxt.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
         small = nxt.join(low2, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low2.select("u", F.col("m").alias("v")))
         after = spill(canonical(small), "cc")
-        for x in (cur, low, nxt, low2):
-            drop_spilled(x)
+        drop_spilled(cur, low, nxt, low2)
         cur, new = after, digest(after)
         if new == old:
             break

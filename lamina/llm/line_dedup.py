@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spill
+from .common import drop_spilled, row_key, spill
 
 #: A repeated passage has MIN_LINES lines in a row or is one line of MIN_WORDS words; with short_runs, any run of lines of MIN_WORDS words together.
 MIN_LINES, MIN_WORDS = 3, 50
@@ -82,11 +82,12 @@ def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int =
     windows around each joined fingerprint overlap to both sides. Blank lines don't count as lines; one goes if
     the line before it goes. Passages are judged on the input, not on what is left. Null texts stay null, empty ones
     empty; a document may end empty. A null doc_id comes before all others. Rows that repeat doc_id and text are the same document:
-    they are treated alike and don't delete each other. An empty table gives an empty result.
+    they are treated alike and don't delete each other. An empty table gives an empty result. Texts and lines of any length are read whole; columns
+    but doc_id, text and those in keep are not read, and keep can't hold names of the result but text.
     """
     keep = list(keep or ["doc_id"])
     # what stands for a row in joins
-    docs = docs.select(*keep, *[c for c in ("doc_id", "text") if c not in keep]).withColumn("__key", F.xxhash64("doc_id", "text"))
+    docs = docs.select(*keep, *[c for c in ("doc_id", "text") if c not in keep]).withColumn("__key", row_key("doc_id", "text"))
     src = docs.select("doc_id", "__key", "text")
     id_type = src.schema["doc_id"].dataType.simpleString()
 
@@ -102,7 +103,7 @@ def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int =
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(hs, pa.int64()), pa.array(grams, grams_type)], ["doc_id", "__key", "h", "grams"])
 
-    marks = spill(src.mapInArrow(select, f"doc_id {id_type}, __key long, h long, grams {_GRAMS}"), "lines-marks")
+    marks = spill(src.mapInArrow(select, f"doc_id {id_type}, __key binary, h long, grams {_GRAMS}"), "lines-marks")
     again = spill(marks.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "lines-again")
     spots = marks.join(again.hint("merge"), "h").select("doc_id", "__key", F.explode("grams").alias("g"))
     spots = spill(spots.select("doc_id", "__key", "g.at", "g.lines", "g.gram"), "lines-spots")
@@ -110,7 +111,9 @@ def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int =
     first = spill(spots.groupBy("gram").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "lines-first")
     later = spots.join(first.hint("merge"), "gram").filter(~place.eqNullSafe(F.col("first")))
     spans = later.groupBy("__key").agg(F.collect_set(F.struct("at", "lines")).alias("__spans"))  # of one document
-    joined = docs.join(spill(spans, "lines-spans").hint("merge"), "__key", "left").select(*keep, *[F.col("text").alias("__text")], "__spans")
+    spans = spill(spans, "lines-spans")
+    drop_spilled(marks, again, spots, first)
+    joined = docs.join(spans.hint("merge"), "__key", "left").select(*keep, *[F.col("text").alias("__text")], "__spans")
     names = [c for c in keep if c != "text"]
     joined = joined.select(*names, "__text", "__spans")
     k = len(names)

@@ -67,7 +67,8 @@ def shard(docs: DataFrame, shards: int, vnodes: int = VNODES, seed: int = 11) ->
     A row stands on the ring at the hash of its doc_id and belongs to the first shard clockwise
     (ring_shard) unless that is full; see place(). Within an arc, rows go in the order of a hash of the
     row. size: UTF-8 bytes of the text plus 8; a null text has size 8 and the checksum of no bytes. A null doc_id is a
-    key like any other. Rows that repeat are dealt one by one. An empty table gives an empty result.
+    key like any other. Rows that repeat are dealt one by one, and equal texts of several documents by their ids: the law `rows` asks for equal
+    counts, not for equal texts to meet. An empty table gives an empty result. Very long texts count by their bytes; other columns are not read.
     The driver gets one count for each of the shards * vnodes arcs.
     """
     ring = Ring(shards, vnodes, seed)
