@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, components, spill, union_find
+from .common import buckets_for, components, drop_spilled, spill, union_find
 
 SEED = 42
 #: Bits of a segment. A fingerprint is a point with one coordinate, the number of 1 bits, for each segment.
@@ -191,7 +191,8 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, distance: in
 
     Rows with equal fingerprints are one point, so groups of copies of any size cost one. Null and empty texts have the
     fingerprint zero and link like any other. A row without a doc_id has its group's component_id, null
-    if no row of the group has an id; repeated rows are alike; an empty table gives an empty result.
+    if no row of the group has an id; repeated rows are alike; an empty table gives an empty result. Whole texts of any length are
+    read; of other columns those in keep pass, whatever their names but fp, fingerprint and component_id.
     """
     keep = list(keep or ["doc_id"])
     rows = spill(with_fingerprint(docs, keep), "sim-rows")
@@ -256,14 +257,12 @@ def similar_pairs(sets: list[np.ndarray], fp: np.ndarray, one: np.ndarray, two:
     The sum of differences of segments' popcounts bounds the fingerprints' distance from below; what that and the distance leave is
     compared exactly, by the products of the sets' rows over those shingles that at least two sets hold.
     """
-    same = one is two
-    size = np.array([len(s) for s in sets], np.int64)
-    u = unary(fp)
-    far = np.bitwise_count(u[one][:, None] ^ u[two]) <= FAR
+    na, nb = (np.array([len(sets[i]) for i in side], np.int64) for side in (one, two))
+    far = np.bitwise_count(unary(fp[one])[:, None] ^ unary(fp[two])) <= FAR
     far &= np.bitwise_count(fp[one][:, None] ^ fp[two]) <= FAR
-    far |= np.minimum(size[one][:, None], size[two]) < FEW
-    far &= 5 * np.minimum(size[one][:, None], size[two]) >= 4 * np.maximum(size[one][:, None], size[two])
-    if same:
+    far |= np.minimum(na[:, None], nb) < FEW
+    far &= 5 * np.minimum(na[:, None], nb) >= 4 * np.maximum(na[:, None], nb)
+    if one is two:
         far = np.triu(far, 1)
     a, b = np.nonzero(far)
     if len(a) <= 16:
@@ -272,7 +271,7 @@ def similar_pairs(sets: list[np.ndarray], fp: np.ndarray, one: np.ndarray, two:
         rows, cols = np.unique(a), np.unique(b)
         used = np.unique(np.concatenate([one[rows], two[cols]]))
         values, at, count = np.unique(np.concatenate([sets[i] for i in used]), return_inverse=True, return_counts=True)
-        owner = np.repeat(np.arange(len(used)), size[used])
+        owner = np.repeat(np.arange(len(used)), [len(sets[i]) for i in used])
         shared = np.cumsum(count > 1) - 1
         live = count[at] > 1
         owner, at = owner[live], shared[at[live]]
@@ -286,7 +285,7 @@ def similar_pairs(sets: list[np.ndarray], fp: np.ndarray, one: np.ndarray, two:
             m[owner[part], at[part] - lo] = 1
             product += m[left] @ m[right].T
         both = product[np.searchsorted(rows, a), np.searchsorted(cols, b)].astype(np.int64)
-    ok = 9 * both >= 4 * (size[one[a]] + size[two[b]])
+    ok = 9 * both >= 4 * (na[a] + nb[b])
     return one[a[ok]], two[b[ok]]
 
 
@@ -354,4 +353,5 @@ def similar_texts(docs: DataFrame, keep: list[str], shingle: int = 5) -> DataFra
     piece = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"), F.lit("pair")).alias("piece")
     rest = links(other.select("sid", "n", piece, (F.col("block") > F.col("other")).cast("int").alias("side")))
     groups = spill(components(tied.unionByName(rest)), "sim-cc")
+    drop_spilled(points, cells, members, texts, tied, cc, large, rest)
     return rows.join(groups.hint("merge"), rows["sid"] == groups["id"], "left").select(*keep, F.coalesce("component", "sid").alias("group"))
