@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import spill
+from .common import buckets_for, drop_spilled, spill, spill_bucketed
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -31,8 +31,8 @@ PRIOR = 100
 REWEIGHT, OUTLIERS = 0.975, 1e-6
 #: Bins of squared distances: BIN_STEPS to a factor of e.
 BINS, BIN_STEPS = 2400, 100
-#: Groups whose estimates are broadcast at most (some 600 bytes each), and salts of a join with more.
-SMALL, SALTS = 20_000, 32
+#: Rows of a bucket of statistics, about, and salts of the join of documents with their group's estimate.
+BUCKET, SALTS = 100_000, 8
 #: Starts of the concentration steps.
 STARTS = 4
 
@@ -122,13 +122,6 @@ def with_features(stats: DataFrame) -> DataFrame:
     return stats.withColumns({f"x{i}": F.round(x * SCALE).cast("long") for i, x in enumerate(raw)})
 
 
-def _moments(rows: DataFrame, keys: list[str], p: int) -> DataFrame:
-    """(keys, n, sums, products): counts, sums and sums of products of x0.. by group, whole numbers."""
-    pairs = list(combinations_with_replacement(range(p), 2))
-    out = rows.groupBy(*keys).agg(F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(p)], *[F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}_{j}") for i, j in pairs])
-    return out.select(*keys, "n", F.array(*[f"s{i}" for i in range(p)]).alias("sums"), F.array(*[f"s{i}_{j}" for i, j in pairs]).alias("products"))
-
-
 def mean_and_cov(n: int, sums: list[int], products: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Of n rows, from their sums and sums of products in units of 1/SCALE; n = 0: zeros."""
     p = len(sums)
@@ -201,30 +194,81 @@ def _distance(p: int):
     return total
 
 
-def _join(a: DataFrame, b: DataFrame, few: bool) -> DataFrame:
-    """Left rows with the right columns by key; b has a row for each key and start.
-
-    Few keys are broadcast: their number is counted. More are joined by key and salt, so that a group with a third of the rows is
-    spread over tasks, and a sum by group that follows still starts within each task.
-    """
-    if few:
-        return a.join(F.broadcast(b), "key")
-    a = a.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    b = b.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return a.join(b, ["key", "__salt"]).drop("__salt")
+def distances(x: np.ndarray, mu: list[float], prec: list[float]) -> np.ndarray:
+    """Squared distances of rows in units of 1/SCALE; term by term, so that a row's is the same in any company."""
+    d = (x / SCALE - np.array(mu)).T
+    p, total = len(mu), np.zeros(len(x))
+    for i in range(p):
+        for j in range(i, p):
+            total += (1.0 if i == j else 2.0) * prec[i * p + j] * d[i] * d[j]
+    return total
 
 
-def _bin(d):
+def bins(d: np.ndarray) -> np.ndarray:
     """Logarithmic bins of squared distances."""
-    return F.least(F.lit(BINS), F.greatest(F.lit(0), F.floor((F.log(d + 1e-9) + 6.0) * BIN_STEPS))).cast("int")
+    return np.clip(np.floor((np.log(np.maximum(d, 0) + 1e-9) + 6.0) * BIN_STEPS), 0, BINS).astype(np.int32)
+
+
+def sums_of(x: np.ndarray) -> tuple[int, list[int], list[int]]:
+    """Count, sums and sums of products of rows of whole numbers."""
+    pairs = combinations_with_replacement(range(x.shape[1]), 2)
+    return len(x), x.sum(0).tolist(), [int((x[:, i] * x[:, j]).sum()) for i, j in pairs]
 
 
-def _quantile(far: DataFrame, share: float) -> DataFrame:
-    """(key, start, q): the first bin up to which a group has the share of its rows."""
-    hist = far.groupBy("key", "start", "bin").agg(F.count("*").alias("c"))
-    pairs = hist.groupBy("key", "start").agg(F.sum("c").alias("t"), F.array_sort(F.collect_list(F.struct("bin", "c"))).alias("h"))  # BINS + 1 entries at most
-    folded = F.aggregate("h", F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).alias("q")), lambda a, x: F.struct((a["sum"] + x["c"]).alias("sum"), F.when((a["q"] < 0) & (a["sum"] + x["c"] >= share * F.col("t")), x["bin"]).otherwise(a["q"]).alias("q")))
-    return pairs.select("key", "start", folded["q"].alias("q"))
+_SUMS = "key string, start int, n long, sums array<long>, products array<long>"
+_SUMS_TYPES = pa.schema([("key", pa.string()), ("start", pa.int32()), ("n", pa.int64()), ("sums", pa.list_(pa.int64())), ("products", pa.list_(pa.int64()))])
+
+
+class Rows:
+    """Rows (grp, lang, x0..) in buckets of bounded size, and what is asked of them: all rows of a group, a language, or the whole (key `*`).
+
+    Buckets take rows as they come, so a group of any size is spread over many, and a pass is a task for each. A bucket
+    meets those keys that it has rows of, with their parameters; what it answers are counts and sums.
+    """
+
+    def __init__(self, rows: DataFrame, p: int):
+        self.p, n = p, buckets_for(rows.count(), BUCKET, 12)
+        dealt = rows.select("grp", "lang", *[f"x{i}" for i in range(p)], F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int").alias("bucket"))
+        self.rows = spill_bucketed(dealt.repartition(n, "bucket"), "mcd-buckets", "bucket", n)
+        self.needs = spill(self.rows.select("bucket", F.explode(F.array("grp", "lang", F.lit("*"))).alias("key")).distinct(), "mcd-needs", tidy=False)
+
+    def ask(self, side: DataFrame, each, schema: str, types: pa.Schema) -> DataFrame:
+        """What `each`(x, row of side) lists, for every bucket and every row of side (key, ...) whose key it holds."""
+        p = self.p
+
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            x = np.stack([left.column(f"x{i}").to_numpy() for i in range(p)], 1) if left.num_rows else np.zeros((0, p), np.int64)
+            where: dict[str, np.ndarray] = {"*": np.arange(len(x))}
+            for c in ("grp", "lang"):
+                names = left.column(c).to_numpy(zero_copy_only=False).astype(str)
+                values, codes = np.unique(names, return_inverse=True)
+                order = np.argsort(codes, kind="stable")
+                cuts = np.searchsorted(codes[order], np.arange(len(values) + 1))
+                where |= {v: order[cuts[k] : cuts[k + 1]] for k, v in enumerate(values.tolist())}
+            rows = [r for q in right.to_pylist() if q["key"] in where for r in each(x[where[q["key"]]], q)]
+            cols = list(zip(*rows, strict=True)) or [()] * len(types)
+            return pa.table([pa.array(c, f.type) for c, f in zip(cols, types, strict=True)], schema=types)
+
+        return self.rows.groupBy("bucket").cogroup(side.join(self.needs, "key").groupBy("bucket")).applyInArrow(run, schema)
+
+    def moments(self, side: DataFrame, each) -> DataFrame:
+        """(key, start, n, sums, products) added up over buckets; each: lists (key, start, n, sums, products)."""
+        p, q = self.p, self.p * (self.p + 1) // 2
+        parts = self.ask(side, each, _SUMS, _SUMS_TYPES)
+        add = lambda c, k: F.array(*[F.sum(F.col(c)[i]) for i in range(k)]).alias(c)
+        return parts.groupBy("key", "start").agg(F.sum("n").alias("n"), add("sums", p), add("products", q))
+
+    def quantile(self, side: DataFrame, share: float) -> DataFrame:
+        """(key, start, q): the first bin of distances up to which a key has the share of its rows."""
+        def each(x, r):
+            at, n = np.unique(bins(distances(x, r["mu"], r["prec"])), return_counts=True)
+            return [(r["key"], r["start"], b, c) for b, c in zip(at.tolist(), n.tolist(), strict=True)]
+
+        hist = self.ask(side, each, "key string, start int, bin int, c long", pa.schema([("key", pa.string()), ("start", pa.int32()), ("bin", pa.int32()), ("c", pa.int64())]))
+        hist = hist.groupBy("key", "start", "bin").agg(F.sum("c").alias("c"))
+        pairs = hist.groupBy("key", "start").agg(F.sum("c").alias("t"), F.array_sort(F.collect_list(F.struct("bin", "c"))).alias("h"))  # BINS + 1 entries at most
+        folded = F.aggregate("h", F.struct(F.lit(0).cast("long").alias("sum"), F.lit(-1).alias("q")), lambda a, x: F.struct((a["sum"] + x["c"]).alias("sum"), F.when((a["q"] < 0) & (a["sum"] + x["c"] >= share * F.col("t")), x["bin"]).otherwise(a["q"]).alias("q")))
+        return pairs.select("key", "start", folded["q"].alias("q"))
 
 
 def fit_mcd(rows: DataFrame, p: int = len(FEATURES)) -> DataFrame:
@@ -236,25 +280,26 @@ def fit_mcd(rows: DataFrame, p: int = len(FEATURES)) -> DataFrame:
     FIRST_STEPS concentration steps each (Rousseeuw and Van Driessen 1999): the SUPPORT share nearest by Mahalanobis distance gives the next
     mean and covariance. The start with the least determinant goes on until determinants are still. The estimate is then made
     consistent with a normal sample and reweighted once: mean and covariance of all documents within the REWEIGHT quantile.
-    A step is two passes over small integers: a histogram of distances by group finds the share's bound (to 1 % of the distance), then
-    sums are taken within it; a group of any size is only ever pre-aggregated.
+    A step is two passes over small integers (see Rows): a histogram of distances by group finds the share's bound (to 1 % of the distance), then
+    sums are taken within it; a group of any size is only ever summed up in parts.
     """
     floors = np.array(list(FEATURES.values()))[:p]
     xs = [f"x{i}" for i in range(p)]
-    tree = rows.select(F.explode(F.array(F.struct(F.col("grp").alias("key"), F.col("lang").alias("above"), F.lit(2).alias("level")), F.struct(F.col("lang").alias("key"), F.lit("*").alias("above"), F.lit(1).alias("level")), F.struct(F.lit("*").alias("key"), F.lit(None).cast("string").alias("above"), F.lit(0).alias("level")))).alias("t")).select("t.*").distinct()
-    tree = spill(tree, "mcd-tree", tidy=False)
-    few = tree.count() * STARTS <= SMALL
+    up = lambda key, above, level: F.struct(key.alias("key"), above.alias("above"), F.lit(level).alias("level"))
+    none = F.lit(None).cast("string")
+    tree = spill(rows.select("grp", "lang").distinct().select(F.explode(F.array(up(F.col("grp"), F.col("lang"), 2), up(F.col("lang"), F.lit("*"), 1), up(F.lit("*"), none, 0))).alias("t")).select("t.*").distinct(), "mcd-tree", tidy=False)
+    held = Rows(rows, p)
     every = rows.select(F.explode(F.array("grp", "lang", F.lit("*"))).alias("key"), *xs)
     # values are integers, so the exact median needs a count for each distinct value only
     med = spill(every.groupBy("key").agg(F.array(*[F.median(x).cast("double") for x in xs]).alias("m")), "mcd-median", tidy=False)
-    dev = _join(every, med, few).select("key", *[F.abs(F.col(x) - F.col("m")[i]).alias(x) for i, x in enumerate(xs)])
-    mad = dev.groupBy("key").agg(F.array(*[F.greatest(F.median(x) * 1.4826, F.lit(float(floors[i] * SCALE))) for i, x in enumerate(xs)]).alias("s"))
+    mad = every.join(med, "key").groupBy("key").agg(F.array(*[F.greatest(F.median(F.abs(F.col(x) - F.col("m")[i])) * 1.4826, F.lit(float(floors[i] * SCALE))) for i, x in enumerate(xs)]).alias("s"))
     med = spill(med.join(mad, "key"), "mcd-scale", tidy=False)
-    z = [(F.col(x) - F.col("m")[i]) / F.col("s")[i] for i, x in enumerate(xs)]
-    size = F.sqrt(sum((v * v for v in z), F.lit(0.0)))
-    views = [[F.tanh(v) for v in z], [F.when(size > 0, v / size).otherwise(0.0) for v in z], [F.col(x) / SCALE for x in xs]]
-    seen = _join(every, med, few).select("key", F.explode(F.array(*[F.struct(F.lit(k + 1).alias("start"), *[F.round(v * SCALE).cast("long").alias(x) for v, x in zip(view, xs, strict=True)]) for k, view in enumerate(views)])).alias("v")).select("key", "v.*")
-    seen = _moments(seen, ["key", "start"], p).join(med, "key")
+
+    def views(x: np.ndarray, r: dict) -> list[tuple]:
+        z = (x - np.array(r["m"])) / np.array(r["s"])
+        size = np.sqrt((z * z).sum(1, keepdims=True))
+        seen = np.tanh(z), np.divide(z, size, out=np.zeros_like(z), where=size > 0), x / SCALE
+        return [(r["key"], k + 1, *sums_of(np.rint(v * SCALE).astype(np.int64))) for k, v in enumerate(seen)]
 
     def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -268,13 +313,14 @@ def fit_mcd(rows: DataFrame, p: int = len(FEATURES)) -> DataFrame:
                     out.append((r["key"], r["start"], r["n"], m, scaled(s, cov + (np.outer(mu, mu) if r["start"] == 2 else 0))))
             yield _params(out, floors)
 
-    params = spill(seen.mapInArrow(begin, _PARAMS), "mcd-start", tidy=False)
+    def near(x: np.ndarray, r: dict) -> list[tuple]:
+        return [(r["key"], r["start"], *sums_of(x[bins(distances(x, r["mu"], r["prec"])) <= r["q"]]))]
+
+    params = spill(held.moments(med, views).join(med, "key").mapInArrow(begin, _PARAMS), "mcd-start", tidy=False)
     for step in range(STEPS):
         at = params.select("key", "start", "mu", "prec")
-        bound = _quantile(_join(every, at, few).select("key", "start", _bin(_distance(p)).alias("bin")), SUPPORT).join(at, ["key", "start"])
-        near = _join(every, bound, few).filter(_bin(_distance(p)) <= F.col("q"))
-        # only the sums are written: parameters are made from them where they are asked for
-        after = _estimates(spill(_moments(near, ["key", "start"], p), "mcd-moments", tidy=False), tree, floors)
+        bound = held.quantile(at, SUPPORT).join(at, ["key", "start"])
+        after = spill(_estimates(spill(held.moments(bound, near), "mcd-moments", tidy=False), tree, floors), "mcd-step", tidy=False)
         if step == FIRST_STEPS - 1:  # only the best start of each group goes on
             rest = [c for c in after.columns if c not in ("key", "start")]
             after = spill(after.groupBy("key").agg(F.min_by(F.struct(*rest), F.struct("logdet", "start")).alias("b")).select("key", F.lit(0).alias("start"), *[f"b.{c}" for c in rest]), "mcd-best", tidy=False)
@@ -282,19 +328,17 @@ def fit_mcd(rows: DataFrame, p: int = len(FEATURES)) -> DataFrame:
         params = after
         if still:
             break
-    params = spill(params, "mcd-params", tidy=False)
-    scale = consistency(SUPPORT, p)
+    scale, reach = consistency(SUPPORT, p), chi2_quantile(REWEIGHT, p)
 
     def widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield _params([(r["key"], 0, r["n"], np.array(r["mu"]), np.array(r["cov"]).reshape(p, p)) for r in b.to_pylist()], floors, scale)
 
-    wide = params.mapInArrow(widened, _PARAMS).select("key", "start", "mu", "prec")
-    inside = _join(every, wide, few).filter(_distance(p) <= chi2_quantile(REWEIGHT, p))
+    def inside(x: np.ndarray, r: dict) -> list[tuple]:
+        return [(r["key"], 0, *sums_of(x[distances(x, r["mu"], r["prec"]) <= reach]))]
+
     # a group without a document inside has its estimate from above alone
-    moments = _moments(inside, ["key", "start"], p)
-    none = F.array(*[F.lit(0).cast("long")] * p), F.array(*[F.lit(0).cast("long")] * (p * (p + 1) // 2))
-    moments = tree.select("key").join(moments, "key", "left").select("key", F.lit(0).alias("start"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("sums", none[0]).alias("sums"), F.coalesce("products", none[1]).alias("products"))
+    moments = held.moments(params.mapInArrow(widened, _PARAMS).select("key", "mu", "prec"), inside)
     return spill(_estimates(spill(moments, "mcd-moments", tidy=False), tree, floors, consistency(REWEIGHT, p)).select("key", "mu", "prec"), "mcd", tidy=False)
 
 
@@ -324,8 +368,11 @@ def judge(docs: DataFrame, keep: list[str] | None = None, outliers: float = OUTL
     xs = [f"x{i}" for i in range(len(FEATURES))]
     rows = spill(good.select("grp", F.col("lang_key").alias("lang"), *xs), "mcd-rows")
     params = fit_mcd(rows)
-    few = params.count() <= SMALL
-    judged = _join(good.withColumn("key", F.col("grp")), params, few).withColumn("distance", _distance(len(xs)))
+    drop_spilled(rows)
+    # salted, so that a group with a third of the rows is spread over tasks; where the estimates are few Spark broadcasts them
+    salted = params.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    good = good.withColumn("key", F.col("grp")).withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    judged = good.join(salted, ["key", "__salt"]).withColumn("distance", _distance(len(xs)))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     out = judged.select(*keep, *names, "distance").unionByName(stats.filter("base_failed").select(*keep, *names, F.lit(None).cast("double").alias("distance")))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= chi2_quantile(1 - outliers, len(xs))))
