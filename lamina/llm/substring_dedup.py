@@ -22,12 +22,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import buckets_for, spill
+from .common import buckets_for, drop_spilled, spill
 from .katz import mix
 
 LENGTH, GRAM = 400, 120
-#: Segments of a task's bucket, about.
-BUCKET = 3000
+#: Segments of a task's bucket, about, and parts that the occurrences of a segment are dealt to.
+BUCKET, SALTS = 3000, 8
 #: An anchor with more distinct segments than this is left to plain grouping of its strings, which has no bound.
 WIDE = 20_000
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -168,55 +168,59 @@ def dedup_substrings(docs: DataFrame, keep: list[str] | None = None, length: int
 
     Strings are of one text's UTF-8 bytes, judged on the input; overlapping occurrences count, within a text or across. A null text has
     no bytes. A row that repeats doc_id and text is one more occurrence. Texts shorter than `length` stay whole. An empty table
-    gives an empty result. kept: the remaining bytes, which can cut characters.
+    gives an empty result. kept: the remaining bytes, which can cut characters. Texts of any length are read whole, one at a time; columns but
+    doc_id, text and those in keep are not read, and keep can't hold names of the result.
     """
     keep = list(keep or ["doc_id"])
-    key = F.xxhash64("doc_id", "text")
-    texts = docs.select(key.alias("key"), F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("data"))
+    # 96 bits stand for a row's id and text
+    key, check = F.xxhash64("doc_id", "text"), F.hash(F.lit(7), "text", "doc_id")
+    texts = docs.select(key.alias("key"), check.alias("k2"), F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("data"))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[] for _ in range(6)]
-            for k, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            cols: list[list] = [[] for _ in range(7)]
+            for k, k2, data in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 h, p, lo, hi = anchors(data, length, gram)
-                part = (h.view(np.int64).tolist(), [k] * len(h), p.tolist(), lo.tolist(), hi.tolist())
+                part = (h.view(np.int64).tolist(), [k] * len(h), [k2] * len(h), p.tolist(), lo.tolist(), hi.tolist())
                 for c, x in zip(cols, part, strict=False):
                     c.extend(x)
-                cols[5].extend(xxhash.xxh3_128_digest(data[a : z + length], q - a) for q, a, z in zip(*part[2:], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.binary()], strict=True)], ["h", "key", "p", "lo", "hi", "seg"])
+                cols[6].extend(xxhash.xxh3_128_digest(data[a : z + length], q - a) for q, a, z in zip(*part[3:], strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 3 + [pa.binary()], strict=True)], ["h", "key", "k2", "p", "lo", "hi", "seg"])
 
-    marked = spill(texts.filter(F.length("data") >= length).mapInArrow(mark, "h long, key long, p long, lo long, hi long, seg binary"), "sub-anchors")
+    marked = spill(texts.filter(F.length("data") >= length).mapInArrow(mark, "h long, key long, k2 int, p long, lo long, hi long, seg binary"), "sub-anchors")
     # equal segments are summed up before anything is joined: a passage in a third of all documents is one row from each task
-    one = F.min(F.struct("key", "lo", "hi", "p")).alias("one")
+    one = F.min(F.struct("key", "k2", "lo", "hi", "p")).alias("one")
     segs = spill(marked.groupBy("h", "seg").agg(F.count("*").alias("n"), one), "sub-segs")
-    # segments found twice: every string in them is repeated. The left side is in the documents' order, so a frequent
-    # segment comes from many tasks and its part of the join can be split
-    twice = marked.join(segs.filter("n > 1").select("h", "seg").hint("merge"), ["h", "seg"]).select("key", F.col("lo").alias("a"), F.col("hi").alias("b"))
+    # segments found twice: every string in them is repeated. A frequent one is dealt to SALTS parts: what a task writes of
+    # it can't be split any more, and a file of repeated rows is small, so one task may read very many
+    salt = F.pmod(F.xxhash64("key", "p"), F.lit(SALTS)).cast("int").alias("salt")
+    again = segs.filter("n > 1").select("h", "seg", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    twice = marked.select("h", "seg", salt, "key", "k2", "lo", "hi").join(again.hint("merge"), ["h", "seg", "salt"]).select("key", "k2", F.col("lo").alias("a"), F.col("hi").alias("b"))
     # segments found once are compared with the other segments of their anchor
-    sizes = segs.groupBy("h").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter("m > 1 and least = 1").select("h", "m")
-    open_ = spill(segs.join(spill(sizes, "sub-sizes").hint("merge"), "h").select("h", "m", "n", "one.*"), "sub-open")
-    wanted = open_.groupBy("key").agg(F.collect_list(F.struct("h", "m", "n", "lo", "hi", "p")).alias("segs"))  # of one document
+    sizes = spill(segs.groupBy("h").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter("m > 1 and least = 1").select("h", "m"), "sub-sizes")
+    open_ = spill(segs.join(sizes.hint("merge"), "h").select("h", "m", "n", "one.*"), "sub-open")
+    wanted = open_.groupBy("key", "k2").agg(F.collect_list(F.struct("h", "m", "n", "lo", "hi", "p")).alias("segs"))  # of one document
     n = buckets_for(open_.count(), BUCKET)
-    fetched = texts.join(wanted.hint("merge"), "key")
+    fetched = texts.join(wanted.hint("merge"), ["key", "k2"])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                rows = [(s["h"], s["m"], s["n"], k, s["lo"], s["p"], data[s["lo"] : s["hi"] + length]) for k, data, segs in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True) for s in segs]
-                cols = list(zip(*rows, strict=True)) or [()] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 6 + [pa.binary()], strict=True)], ["h", "m", "n", "key", "lo", "p", "data"])
+                rows = [(s["h"], s["m"], s["n"], k, k2, s["lo"], s["p"], data[s["lo"] : s["hi"] + length]) for k, k2, data, segs in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True) for s in segs]
+                cols = list(zip(*rows, strict=True)) or [()] * 8
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.int32()] + [pa.int64()] * 2 + [pa.binary()], strict=True)], ["h", "m", "n", "key", "k2", "lo", "p", "data"])
 
     # anchors with many segments have a bucket each, so that several of them don't meet in one task
     bucket = F.when(F.col("m") > BUCKET // 4, n + F.pmod(F.xxhash64("h"), F.lit(1 << 30))).otherwise(F.pmod(F.xxhash64("h"), F.lit(n))).cast("int")
-    cutout = spill(fetched.select("key", "data", "segs").mapInArrow(fetch, "h long, m long, n long, key long, lo long, p long, data binary").withColumn("bucket", bucket), "sub-segments")
+    cutout = spill(fetched.select("key", "k2", "data", "segs").mapInArrow(fetch, "h long, m long, n long, key long, k2 int, lo long, p long, data binary").withColumn("bucket", bucket), "sub-segments")
 
     def build(t: pa.Table) -> pa.Table:
-        h, count, key, lo, p = (t.column(c).to_numpy() for c in ("h", "n", "key", "lo", "p"))
+        h, count, key, k2, lo, p = (t.column(c).to_numpy() for c in ("h", "n", "key", "k2", "lo", "p"))
         data = t.column("data").to_pylist()
         _, group = np.unique(h, return_inverse=True)
         before = length - gram  # a string starts at most this far before its anchor
-        rows: list[tuple[int, int, int]] = []
+        rows: list[tuple[int, int, int, int]] = []
         order = np.argsort(group, kind="stable")
         at = 0
         while at < len(order):
@@ -233,30 +237,31 @@ def dedup_substrings(docs: DataFrame, keep: list[str] | None = None, length: int
             for r, i in enumerate(part.tolist()):
                 if count[i] == 1 and flags[r].any():
                     shift = int(p[i]) - before
-                    rows.extend((int(key[i]), a + shift, b + shift) for a, b in spans_of(flags[r]))
+                    rows.extend((int(key[i]), int(k2[i]), a + shift, b + shift) for a, b in spans_of(flags[r]))
             at = end
-        cols = list(zip(*rows, strict=True)) or [()] * 3
-        return pa.table({c: pa.array(x, pa.int64()) for c, x in zip("kab", cols, strict=True)}).rename_columns(["key", "a", "b"])
+        cols = list(zip(*rows, strict=True)) or [()] * 4
+        return pa.table({c: pa.array(x, pa.int32() if c == "k2" else pa.int64()) for c, x in zip(("key", "k2", "a", "b"), cols, strict=True)})
 
-    built = cutout.filter(F.col("m") <= wide).groupBy("bucket").applyInArrow(build, "key long, a long, b long")
+    built = cutout.filter(F.col("m") <= wide).groupBy("bucket").applyInArrow(build, "key long, k2 int, a long, b long")
 
     # anchors with very many different segments: group the strings themselves
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, lo, count, data in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+            for k, k2, lo, count, data in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
                 at = range(len(data) - length + 1)
-                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(data[i : i + length]) for i in at]), pa.array([k] * len(at)), pa.array([lo + i for i in at]), pa.array([count] * len(at))], ["s", "key", "a", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(data[i : i + length]) for i in at]), pa.array([k] * len(at)), pa.array([k2] * len(at), pa.int32()), pa.array([lo + i for i in at]), pa.array([count] * len(at))], ["s", "key", "k2", "a", "n"])
 
-    loose = cutout.filter(F.col("m") > wide).select("key", "lo", "n", "data").mapInArrow(strings, "s binary, key long, a long, n long")
+    loose = cutout.filter(F.col("m") > wide).select("key", "k2", "lo", "n", "data").mapInArrow(strings, "s binary, key long, k2 int, a long, n long")
     loose = spill(loose, "sub-strings")
     often = spill(loose.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1").select("s"), "sub-often")
-    apart = loose.filter("n = 1").join(often.hint("merge"), "s").select("key", "a", F.col("a").alias("b"))
+    apart = loose.filter("n = 1").join(often.hint("merge"), "s").select("key", "k2", "a", F.col("a").alias("b"))
 
     starts = twice.unionByName(built).unionByName(apart)
-    starts = spill(starts.groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("starts")), "sub-starts")  # of one document
+    starts = spill(starts.groupBy("key", "k2").agg(F.collect_set(F.struct("a", "b")).alias("starts")), "sub-starts")  # of one document
+    drop_spilled(marked, segs, sizes, open_, cutout, loose, often)
     names = [c for c in keep if c != "text"]
-    whole = docs.select(*names, key.alias("__key"), F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("__data"))
-    joined = whole.join(starts.withColumnRenamed("key", "__key").hint("merge"), "__key", "left").select(*names, "__data", "starts")
+    whole = docs.select(*names, key.alias("__key"), check.alias("__k2"), F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("__data"))
+    joined = whole.join(starts.withColumnsRenamed({"key": "__key", "k2": "__k2"}).hint("merge"), ["__key", "__k2"], "left").select(*names, "__data", "starts")
     k = len(names)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
