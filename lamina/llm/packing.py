@@ -6,6 +6,7 @@ import json
 import os
 import re
 import sys
+import warnings
 import zlib
 from bisect import insort
 from collections.abc import Iterator
@@ -19,10 +20,10 @@ from .common import spill
 
 CAPACITY, END = 1024, 2
 #: Pieces over CAPACITY // LARGE are large; they are grouped into at most GROUPS sizes, and the configurations are
-#: improved for at most PIVOTS steps.
-LARGE, GROUPS, PIVOTS = 16, 128, 800
-#: Pieces of a length fall into 2**8 cells when they are ranked, so that no sort holds a whole length.
-CELL_BITS = 8
+#: improved until no other helps; after PIVOTS steps with a warning.
+LARGE, GROUPS, PIVOTS = 16, 128, 5000
+#: Pieces of a cell, about: pieces of a length fall into cells when they are ranked, so that no sort holds a whole length.
+CELL = 50_000
 RANK_BITS = 48
 #: Fixed value: how byte-level BPE of this kind cuts text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -140,7 +141,10 @@ def configurations(sizes: list[int], demand: np.ndarray, capacity: int, pivots:
     inv = np.diag(1 / np.diag(basis))
     # einsum, as threaded linear algebra can hang in a process that has forked (the JVM's start)
     times = lambda v: np.einsum("ij,j->i", inv, v)
-    for _ in range(pivots):
+    for step in range(pivots + 1):
+        if step == pivots:
+            warnings.warn(f"configurations not improved further after {pivots} steps", stacklevel=2)
+            break
         duals = inv.sum(0)
         column = best_config(sizes, duals, capacity)
         if (duals * column).sum() <= 1 + 1e-7:
@@ -265,19 +269,27 @@ def pack(docs: DataFrame, tokenizer: str, keep: list[str] | None = None, capacit
 
     A null or empty text is its end token alone. Rows that repeat are packed one by one. An empty table gives
     an empty result. The driver gets the number of pieces of each length, at most `capacity` numbers, and plans on
-    these; a piece finds its place by its rank among the pieces of its length.
+    these; a piece finds its place by its rank among the pieces of its length. A piece of the whole capacity is a sequence by itself, and is
+    neither ranked nor moved. Of very long texts one at a time is held, with its ids. Columns of keep can't have names of the result.
     """
     keep = list(keep or ["doc_id"])
     key = F.xxhash64(*keep, "piece", "start", "ids_crc32")
-    cut = spill(pieces(docs, tokenizer, keep, capacity, with_ids).withColumn("h", key).withColumn("cell", F.shiftrightunsigned("h", 64 - CELL_BITS).cast("int")), "pack-pieces")
-    cells = spill(cut.groupBy("length", "cell").agg(F.count("*").alias("n")), "pack-cells")
-    hist = {r.length: r.n for r in cells.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    runs = plan(hist, capacity)
+    every = spill(pieces(docs, tokenizer, keep, capacity, with_ids).withColumn("h", key), "pack-pieces")
+    counts = {r["length"]: r["n"] for r in every.groupBy("length").agg(F.count("*").alias("n")).collect()}  # `capacity` numbers at most
+    names = [*keep, "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
+    full = counts.pop(capacity, 0)
+    runs = plan(counts, capacity)
     keys = (runs[:, 0] << RANK_BITS) + runs[:, 1]
+    # pieces that fill a sequence need no rank: any number after the planned ones that no other has
+    planned = int((runs[:, 3] + (runs[:, 2] + runs[:, 4] - 1) // runs[:, 4]).max(initial=0))
+    alone = every.filter(F.col("length") == capacity).select(*names, (F.monotonically_increasing_id() + planned).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    bits = max(0, (max(counts.values(), default=0) // CELL).bit_length())
+    cell = F.shiftrightunsigned("h", 64 - bits).cast("int") if bits else F.lit(0)
+    cut = every.filter(F.col("length") < capacity).withColumn("cell", cell)
+    cells = spill(cut.groupBy("length", "cell").agg(F.count("*").alias("n")), "pack-cells")
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cells = cells.select("length", "cell", before.alias("before"))
     nth = F.row_number().over(Window.partitionBy("length", "cell").orderBy("h")) - 1
-    names = [*keep, "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
     ranked = cut.withColumn("nth", nth).join(cells, ["length", "cell"]).select(*names, (F.col("nth") + F.col("before")).cast("long").alias("rank"))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,4 +300,5 @@ def pack(docs: DataFrame, tokenizer: str, keep: list[str] | None = None, capacit
             yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(r[:, 3] + nth // r[:, 4]), pa.array(r[:, 5] + nth % r[:, 4] * size)], [*names, "sequence_id", "offset"])
 
     head = ", ".join(f"`{c}` {ranked.schema[c].dataType.simpleString()}" for c in names)
-    return ranked.mapInArrow(deal, f"{head}, sequence_id long, offset long")
+    packed = ranked.mapInArrow(deal, f"{head}, sequence_id long, offset long")
+    return packed.unionByName(alone) if full else packed
