@@ -22,37 +22,47 @@ def word_count(text: str = "text"):
 def fill(sources: DataFrame, max_epochs: float) -> DataFrame:
     """Capped water-filling over rows (source, source_size, weight): adds target.
 
-    All sizes together are shared out by weight; a source above max_epochs times its size stops there and
-    the excess goes to the others by weight, until none is above. That fixed point is
-    min(level * weight, cap) at the one level where the targets add up to the total. Sources saturate in the order
-    of cap / weight, so running sums in this order find the level. One row per source.
+    All sizes together are shared out by weight; a source above max_epochs times its size is clamped there and
+    its excess goes to the others by weight, again until none is above. So targets are min(level * weight, cap), and the level rises
+    from round to round, each of which clamps another source at least; a round is one sum over the sources. One row per source.
     """
-    total = F.sum("source_size").over(Window.partitionBy())
     cap = F.col("source_size") * F.lit(float(max_epochs))
-    order = Window.orderBy(cap / F.col("weight"), "nth")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    after = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    s = sources.withColumn("cap", cap).withColumn("total", total)
-    # the level if exactly the sources before this one were at their caps
-    level = (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(after)
-    s = s.withColumn("level", level)
-    s = s.withColumn("level", F.max(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.col("level"))).over(Window.partitionBy()))
-    return s.withColumn("target", F.coalesce(F.least(F.col("level") * F.col("weight"), F.col("cap")), F.col("cap"))).drop("cap", "total", "level")
+    total, weight = sources.agg(F.sum("source_size").cast("double"), F.sum("weight")).first()
+    level = total / weight if weight else 0.0
+    while weight:
+        full = F.col("weight") * F.lit(level) > cap
+        held, free = sources.agg(F.sum(F.when(full, cap).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("weight")))).first()
+        new = (total - held) / free if free else level
+        if new <= level:
+            break
+        level = new
+    return sources.withColumn("target", F.least(F.col("weight") * F.lit(level), cap))
+
+
+def numbered(sources: DataFrame) -> DataFrame:
+    """Adds nth, from 0 by code point, null last: rows are sorted over the tasks, and a task's first number is the count of those before it."""
+    placed = spill(sources.orderBy(F.col("source").asc_nulls_last()).withColumn("__task", F.spark_partition_id()), "mix-order", tidy=False)
+    counts = placed.groupBy("__task").agg(F.count("*").alias("n"))  # a row for each task of the sort
+    first = counts.select("__task", (F.sum("n").over(Window.orderBy("__task")) - F.col("n")).alias("first"))
+    own = F.row_number().over(Window.partitionBy("__task").orderBy(F.col("source").asc_nulls_last())) - 1
+    return placed.withColumn("own", own).join(first, "__task").withColumn("nth", F.col("first") + F.col("own")).drop("__task", "own", "first")
 
 
 def _shares(docs: DataFrame, keep: list[str], seed: int = 7, max_epochs: float = 3.0, weights=(1.0, 2.0, 3.0)) -> tuple[DataFrame, DataFrame]:
     """Rows with size, source_size, target, repeats, part, again: those outside their source's cut cell, and those in it."""
-    h = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
+    # 60 bits of a digest that SQL has too
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit("")))), 1, 15), 16, 10).cast("long")
     rows = docs.select(*keep, F.col("doc_id").alias("__id"), F.col("source").alias("__source"), h.alias("__h"), word_count().alias("size"))
-    rows = rows.withColumn("__cell", F.shiftrightunsigned("__h", 64 - CELL_BITS).cast("int"))
+    rows = rows.withColumn("__cell", F.shiftrightunsigned("__h", 60 - CELL_BITS).cast("int"))
     if "text" not in keep:
         rows = spill(rows, "mix-sizes")
     base = rows.select(F.col("__source").alias("source"), F.col("__cell").alias("cell"), "size")
     by_cell = spill(base.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"), F.count("*").alias("n")), "mix-cells")
     sources = by_cell.groupBy("source").agg(F.sum("cell_size").alias("source_size"))
-    nth = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    sources = sources.withColumn("nth", nth - 1).withColumn("weight", F.get(F.array(*map(F.lit, weights)), F.col("nth") % len(weights)))
-    plan = spill(fill(sources, max_epochs), "mix-plan")
+    sources = numbered(sources)
+    sources = sources.withColumn("weight", F.get(F.array(*map(F.lit, weights)), (F.col("nth") % len(weights)).cast("int")))
+    sources = spill(sources, "mix-sources", tidy=False)
+    plan = spill(fill(sources, max_epochs), "mix-plan", tidy=False)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = plan.select(F.col("source").alias("s"), "source_size", "target", F.floor(ratio).cast("long").alias("repeats"))
     plan = plan.withColumn("cut", F.floor(F.col("target") - F.col("repeats") * F.col("source_size")).cast("long"))
@@ -60,7 +70,7 @@ def _shares(docs: DataFrame, keep: list[str], seed: int = 7, max_epochs: float =
     running = F.coalesce(F.sum("cell_size").over(Window.partitionBy("s").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     cells = by_cell.join(plan, by_cell["source"].eqNullSafe(plan["s"])).withColumn("room", F.col("cut") - running)
     cells = cells.filter("room >= 0 and room < cell_size").select(F.col("s").alias("__s"), F.col("cell").alias("cut_cell"), "room")
-    plan = spill(plan.join(cells, plan["s"].eqNullSafe(cells["__s"]), "left").select("s", "source_size", "target", "repeats", F.coalesce("cut_cell", F.lit(-1)).alias("cut_cell"), "room"), "mix-cut")
+    plan = spill(plan.join(cells, plan["s"].eqNullSafe(cells["__s"]), "left").select("s", "source_size", "target", "repeats", F.coalesce("cut_cell", F.lit(-1)).alias("cut_cell"), "room"), "mix-cut", tidy=False)
     # one row for each source: Spark broadcasts it while it is small, and else splits the large sources of a merge join
     j = rows.join(plan, F.col("__source").eqNullSafe(F.col("s"))).drop("s")
     whole = j.filter("__cell <> cut_cell").withColumn("part", F.when(F.col("__cell") < F.col("cut_cell"), F.col("size")).otherwise(0).cast("long"))
@@ -83,7 +93,8 @@ def mix(docs: DataFrame, keep: list[str] | None = None, **options) -> DataFrame:
     taken as often as others, for no words.
 
     Null sources are a source of their own. Rows that repeat (doc_id, text) stand next to each other in the order, each
-    counting by itself. An empty table gives an empty result. The result depends on the rows and the seed only.
+    counting by itself. An empty table gives an empty result. The result depends on the rows and the seed only. Texts of any length are read
+    whole; of other columns only those in keep are read, which can't have names of the result.
 
     A source's order is not sorted as a whole: its documents fall into 2**12 cells by the hash's first
     bits, sizes are summed by (source, cell), and only the cell that holds the cut is sorted. Texts are not shuffled.

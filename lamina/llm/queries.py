@@ -97,15 +97,40 @@ FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id LEFT JOIN n_runs ON n_
 _OP9 = r"""
 WITH u AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 s AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(rest, '^[^?#]*(\?[^#]*)', 1) AS query FROM u),
 rules(rhost, rpath, rverdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
 fit AS (SELECT s.page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(rverdict, length(rhost || rpath)) AS rverdict
         FROM s JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY s.page_id)
 SELECT s.page_id, host, path, rule,
        CASE WHEN rule IS NOT NULL THEN rverdict
-            WHEN GLOBS THEN 'block' ELSE 'allow' END AS verdict
-FROM s LEFT JOIN fit ON fit.page_id = s.page_id
-""".replace("GLOBS", " OR ".join(f"host || path GLOB '{g}'" for g in url_filters.DEFAULT_BLOCK))
+            WHEN EXISTS (SELECT 1 FROM globs WHERE c.address GLOB globs.g) THEN 'block' ELSE 'allow' END AS verdict
+FROM s JOIN c ON c.page_id = s.page_id LEFT JOIN fit ON fit.page_id = s.page_id
+"""
+
+
+def _plain(x: str) -> str:
+    """SQL that undoes escapes of unreserved characters."""
+    for c in url_filters.UNRESERVED:
+        x = f"regexp_replace({x}, '(?i)%{ord(c):02x}', '{c}', 'g')"
+    return x
+
+
+_OP9 = _OP9.replace("fit AS (", f"""c AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '[.]+$', '') || regexp_replace({_plain('path')}, '/+', '/', 'g') || {_plain('query')} AS address FROM s),
+globs(g) AS (VALUES {', '.join(f"('{g}')" for g in url_filters.DEFAULT_BLOCK)}),
+fit AS (""")
+
+_OP10 = r"""
+WITH d AS (SELECT doc_id, source, md5(concat_ws('|', '7', coalesce(doc_id::VARCHAR, ''), coalesce(text, ''))) AS h, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, [1.0, 2.0, 3.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight FROM d GROUP BY source),
+o AS (SELECT *, 3.0::DOUBLE * source_size AS cap, sum(source_size) OVER ()::DOUBLE AS total FROM s),
+l AS (SELECT *, (total - coalesce(sum(cap) OVER before, 0)) / sum(weight) OVER after AS level FROM o WINDOW before AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), after AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+f AS (SELECT *, max(level) FILTER (level * weight <= cap) OVER () AS best FROM l),
+t AS (SELECT source, source_size, coalesce(least(best * weight, cap), cap) AS target FROM f),
+p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS repeats FROM t),
+c AS (SELECT *, floor(target - repeats * source_size)::BIGINT AS cut FROM p),
+r AS (SELECT doc_id, size, source_size, target, repeats, cut, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM d JOIN c ON c.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, size, source_size, target, repeats * size + greatest(0, least(size, cut - before))::BIGINT AS taken, repeats, greatest(0, least(size, cut - before))::BIGINT AS part FROM r
+"""
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,4 +145,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": _OP1, "op9_url_filters": _OP9}
+    return {"op1_line_dedup": _OP1, "op9_url_filters": _OP9, "op10_mixing": _OP10}

@@ -101,6 +101,41 @@ def test_shards(spark):
     assert sharding.shard(spark.createDataFrame([(1, "a")] * 50, "doc_id long, text string"), 7).groupBy("shard").count().count() == 7
 
 
+def direct_places(ring, hashes):
+    """Row by row: a round for each hop, arcs in order, each row to its shard while that has room."""
+    n, points = len(hashes), len(ring.points)
+    free = [n // ring.shards + (s < n % ring.shards) for s in range(ring.shards)]
+    waiting = [sorted(i for i, h in enumerate(hashes) if int(np.searchsorted(ring.points, np.uint64(h))) % points == a) for a in range(points)]
+    counts, hops = Counter(), 0
+    while any(waiting):
+        for a, rows in enumerate(waiting):
+            s = int(ring.owners[(a + hops) % points])
+            for _ in range(min(len(rows), free[s])):
+                rows.pop(0)
+                free[s] -= 1
+                counts[a, s, hops] += 1
+        hops += 1
+    return counts
+
+
+def test_places_equal_a_direct_ring():
+    rng = np.random.default_rng(14)
+    for shards, n in ((5, 83), (24, 400), (3, 2)):
+        ring = sharding.Ring(shards, 8)
+        hashes = rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)
+        counts = np.bincount(ring.arc(hashes), minlength=len(ring.points))
+        got, slots, ranks = Counter(), defaultdict(list), defaultdict(list)
+        segments = sharding.place(ring, counts)
+        ends = {(a, r): None for a, r, *_ in segments}
+        for k, (a, r, s, slot, hops) in enumerate(segments):
+            end = segments[k + 1][1] if k + 1 < len(segments) and segments[k + 1][0] == a else counts[a]
+            got[a, s, hops] += end - r
+            slots[s] += range(slot, slot + end - r)
+            ranks[a] += range(r, end)
+        assert got == direct_places(ring, hashes.tolist()) and ends
+        assert all(sorted(x) == list(range(len(x))) for x in slots.values()) and all(x == list(range(counts[a])) for a, x in ranks.items())
+
+
 def test_ring_moves_little(spark):
     df = spark.range(20000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     a, b = ({r.doc_id: r.shard for r in sharding.shard(df, n).select("doc_id", "shard").collect()} for n in (24, 25))
@@ -409,6 +444,17 @@ def test_urls(spark):
     assert url_filters.filter_urls(df.limit(0)).count() == 0
 
 
+def test_canonical_addresses(spark):
+    long = "http://a.net/" + "x" * 100_000 + "/ads/"
+    urls = {"http://u:p@CASINO.net:8080./x": "block", "http://a.net//%63asino//y": "block", "http://a.net/x?a=1&ads=2#f": "block", "http://a.net/x#/ads/": "allow", "http://a.net/%2Fads%2f": "allow", "http://a.net/loads/1": "allow", long: "block", "http://a.net/" + "b" * 100_000: "allow"}
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert {urls_[r.page_id]: r.verdict for urls_ in [list(urls)] for r in url_filters.filter_urls(df).collect()} == urls
+    assert len(url_filters.DEFAULT_BLOCK) > 1000 and len(set(url_filters.DEFAULT_BLOCK)) == len(url_filters.DEFAULT_BLOCK)
+    machine = url_filters.ShiftAnd([g.encode() for g in url_filters.DEFAULT_BLOCK])
+    texts = [url_filters.canonical("a.net", "/", ""), "ads.b.net/", "a.net/x/wp-login.php"]
+    assert machine.match_any([t.encode() for t in texts]).tolist() == [any(fnmatchcase(t, g) for g in url_filters.DEFAULT_BLOCK) for t in texts] == [False, True, True]
+
+
 # mixing
 
 
