@@ -89,7 +89,7 @@ def with_fingerprint(docs: DataFrame, keep: list[str]) -> DataFrame:
 def unary(fp: np.ndarray, segment: int = SEGMENT) -> np.ndarray:
     """Each segment's popcount in unary, as low bits of the segment: Manhattan distance of popcounts is the Hamming distance of these words."""
     bits = np.unpackbits(fp.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    counts = bits.reshape(len(fp), -1, segment).sum(2)
+    counts = bits.reshape(len(fp), 64 // segment, segment).sum(2)
     out = (np.arange(segment) < counts[:, :, None]).astype(np.uint8).reshape(len(fp), 64)
     return np.packbits(out, axis=1, bitorder="little").view("<u8").ravel()
 

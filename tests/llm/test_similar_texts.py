@@ -83,6 +83,7 @@ def test_pairs_equal_direct_count():
     want = {(a, b) for a in at for b in at if a < b and 5 * len(np.intersect1d(sets[a], sets[b])) >= 4 * len(np.union1d(sets[a], sets[b]))}
     a, b = simhash.similar_pairs(sets, fp, at, at)
     assert want and set(zip(a.tolist(), b.tolist(), strict=True)) == want
+    assert [len(x) for x in simhash.similar_pairs(sets, fp, at[:0], at[:0])] == [0, 0]
     a, b = simhash.similar_pairs(sets, fp, at[:50], at[50:])
     assert set(zip(a.tolist(), b.tolist(), strict=True)) == {(x, y) for x, y in want if x < 50 <= y}
 
