@@ -28,7 +28,7 @@ from .katz import mix
 LENGTH, GRAM = 400, 120
 #: Segments of a task's bucket, about, and parts that the occurrences of a segment are dealt to.
 BUCKET, SALTS = 3000, 8
-#: An anchor with more distinct segments than this is left to plain grouping of its strings, which has no bound.
+#: An anchor with more distinct segments than this is divided by longer grams.
 WIDE = 20_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: list[np.ndarray] = []
@@ -163,57 +163,54 @@ def cut(data: bytes, starts: list[tuple[int, int]], length: int) -> tuple[int, i
     return removed, runs, b"".join([*keep, data[at:]])
 
 
-def dedup_substrings(docs: DataFrame, keep: list[str] | None = None, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE, with_text: bool = False) -> DataFrame:
-    """Remove every byte that lies in a string of `length` bytes found more than once: (keep..., n_bytes, n_removed, n_spans, kept_sha256[, kept]).
+def _level(texts: DataFrame, length: int, gram: int, wide: int) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """(ranges of repeated starts, segments of anchors with over `wide` of them, tables to delete at last) of texts (key, k2, off, n, data).
 
-    Strings are of one text's UTF-8 bytes, judged on the input; overlapping occurrences count, within a text or across. A null text has
-    no bytes. A row that repeats doc_id and text is one more occurrence. Texts shorter than `length` stay whole. An empty table
-    gives an empty result. kept: the remaining bytes, which can cut characters. Texts of any length are read whole, one at a time; columns but
-    doc_id, text and those in keep are not read, and keep can't hold names of the result.
+    off: where data begins in its document; n: how often data occurs. The ranges (key, k2, a, b) are of texts with n = 1: what a text that
+    occurs more often holds is known to be repeated. Segments come as texts, to be divided by longer grams.
     """
-    keep = list(keep or ["doc_id"])
-    # 96 bits stand for a row's id and text
-    key, check = F.xxhash64("doc_id", "text"), F.hash(F.lit(7), "text", "doc_id")
-    texts = docs.select(key.alias("key"), check.alias("k2"), F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("data"))
+    names = ["h", "key", "k2", "off", "n", "p", "lo", "hi", "seg"]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[] for _ in range(7)]
-            for k, k2, data in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+            cols: list[list] = [[] for _ in names]
+            for k, k2, off, n, data in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
                 h, p, lo, hi = anchors(data, length, gram)
-                part = (h.view(np.int64).tolist(), [k] * len(h), [k2] * len(h), p.tolist(), lo.tolist(), hi.tolist())
-                for c, x in zip(cols, part, strict=False):
+                part = [[x] * len(h) for x in (k, k2, off, n)]
+                for c, x in zip(cols, (h.view(np.int64).tolist(), *part, (p + off).tolist(), (lo + off).tolist(), (hi + off).tolist()), strict=False):
                     c.extend(x)
-                cols[6].extend(xxhash.xxh3_128_digest(data[a : z + length], q - a) for q, a, z in zip(*part[3:], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 3 + [pa.binary()], strict=True)], ["h", "key", "k2", "p", "lo", "hi", "seg"])
+                cols[8].extend(xxhash.xxh3_128_digest(data[a : z + length], q - a) for q, a, z in zip(p.tolist(), lo.tolist(), hi.tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if x == "k2" else pa.binary() if x == "seg" else pa.int64()) for x, c in zip(names, cols, strict=True)], names)
 
-    marked = spill(texts.filter(F.length("data") >= length).mapInArrow(mark, "h long, key long, k2 int, p long, lo long, hi long, seg binary"), "sub-anchors")
+    found = texts.filter(F.length("data") >= length).select("key", "k2", "off", "n", "data").mapInArrow(mark, "h long, key long, k2 int, off long, n long, p long, lo long, hi long, seg binary")
+    marked = spill(found, "sub-anchors")
     # equal segments are summed up before anything is joined: a passage in a third of all documents is one row from each task
-    one = F.min(F.struct("key", "k2", "lo", "hi", "p")).alias("one")
-    segs = spill(marked.groupBy("h", "seg").agg(F.count("*").alias("n"), one), "sub-segs")
+    one = F.min(F.struct("key", "k2", "off", "lo", "hi", "p")).alias("one")
+    segs = spill(marked.groupBy("h", "seg").agg(F.sum("n").alias("n"), one), "sub-segs")
     # segments found twice: every string in them is repeated. A frequent one is dealt to SALTS parts: what a task writes of
     # it can't be split any more, and a file of repeated rows is small, so one task may read very many
     salt = F.pmod(F.xxhash64("key", "p"), F.lit(SALTS)).cast("int").alias("salt")
     again = segs.filter("n > 1").select("h", "seg", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    twice = marked.select("h", "seg", salt, "key", "k2", "lo", "hi").join(again.hint("merge"), ["h", "seg", "salt"]).select("key", "k2", F.col("lo").alias("a"), F.col("hi").alias("b"))
+    twice = marked.filter("n = 1").select("h", "seg", salt, "key", "k2", "lo", "hi").join(again.hint("merge"), ["h", "seg", "salt"]).select("key", "k2", F.col("lo").alias("a"), F.col("hi").alias("b"))
     # segments found once are compared with the other segments of their anchor
     sizes = spill(segs.groupBy("h").agg(F.count("*").alias("m"), F.min("n").alias("least")).filter("m > 1 and least = 1").select("h", "m"), "sub-sizes")
     open_ = spill(segs.join(sizes.hint("merge"), "h").select("h", "m", "n", "one.*"), "sub-open")
-    wanted = open_.groupBy("key", "k2").agg(F.collect_list(F.struct("h", "m", "n", "lo", "hi", "p")).alias("segs"))  # of one document
+    wanted = open_.groupBy("key", "k2", "off").agg(F.collect_list(F.struct("h", "m", "n", "lo", "hi", "p")).alias("segs"))  # of one text
     n = buckets_for(open_.count(), BUCKET)
-    fetched = texts.join(wanted.hint("merge"), ["key", "k2"])
+    fetched = texts.select("key", "k2", "off", "data").join(wanted.hint("merge"), ["key", "k2", "off"])
+    cut_names = ["h", "m", "n", "key", "k2", "lo", "p", "data"]
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                rows = [(s["h"], s["m"], s["n"], k, k2, s["lo"], s["p"], data[s["lo"] : s["hi"] + length]) for k, k2, data, segs in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True) for s in segs]
-                cols = list(zip(*rows, strict=True)) or [()] * 8
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.int32()] + [pa.int64()] * 2 + [pa.binary()], strict=True)], ["h", "m", "n", "key", "k2", "lo", "p", "data"])
+                rows = [(s["h"], s["m"], s["n"], k, k2, s["lo"], s["p"], data[s["lo"] - off : s["hi"] - off + length]) for k, k2, off, data, segs in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True) for s in segs]
+                cols = list(zip(*rows, strict=True)) or [()] * len(cut_names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if x == "k2" else pa.binary() if x == "data" else pa.int64()) for x, c in zip(cut_names, cols, strict=True)], cut_names)
 
     # anchors with many segments have a bucket each, so that several of them don't meet in one task
     bucket = F.when(F.col("m") > BUCKET // 4, n + F.pmod(F.xxhash64("h"), F.lit(1 << 30))).otherwise(F.pmod(F.xxhash64("h"), F.lit(n))).cast("int")
-    cutout = spill(fetched.select("key", "k2", "data", "segs").mapInArrow(fetch, "h long, m long, n long, key long, k2 int, lo long, p long, data binary").withColumn("bucket", bucket), "sub-segments")
+    cutout = spill(fetched.select("key", "k2", "off", "data", "segs").mapInArrow(fetch, "h long, m long, n long, key long, k2 int, lo long, p long, data binary").withColumn("bucket", bucket), "sub-segments")
 
     def build(t: pa.Table) -> pa.Table:
         h, count, key, k2, lo, p = (t.column(c).to_numpy() for c in ("h", "n", "key", "k2", "lo", "p"))
@@ -243,25 +240,56 @@ def dedup_substrings(docs: DataFrame, keep: list[str] | None = None, length: int
         return pa.table({c: pa.array(x, pa.int32() if c == "k2" else pa.int64()) for c, x in zip(("key", "k2", "a", "b"), cols, strict=True)})
 
     built = cutout.filter(F.col("m") <= wide).groupBy("bucket").applyInArrow(build, "key long, k2 int, a long, b long")
+    rest = cutout.filter(F.col("m") > wide).select("key", "k2", F.col("lo").alias("off"), "n", "data")
+    return twice.unionByName(built), rest, [marked, segs, sizes, open_, cutout]
 
-    # anchors with very many different segments: group the strings themselves
+
+def _digests(texts: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, k2, a, b) of the repeated strings of texts, each by its digest, and tables to delete at last."""
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k, k2, lo, count, data in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+            for k, k2, off, n, data in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
                 at = range(len(data) - length + 1)
-                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(data[i : i + length]) for i in at]), pa.array([k] * len(at)), pa.array([k2] * len(at), pa.int32()), pa.array([lo + i for i in at]), pa.array([count] * len(at))], ["s", "key", "k2", "a", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(data[i : i + length]) for i in at]), pa.array([k] * len(at)), pa.array([k2] * len(at), pa.int32()), pa.array([off + i for i in at]), pa.array([n] * len(at))], ["s", "key", "k2", "a", "n"])
+
+    every = spill(texts.select("key", "k2", "off", "n", "data").mapInArrow(strings, "s binary, key long, k2 int, a long, n long"), "sub-strings")
+    often = spill(every.groupBy("s").agg(F.sum("n").alias("c")).filter("c > 1").select("s"), "sub-often")
+    return every.filter("n = 1").join(often.hint("merge"), "s").select("key", "k2", "a", F.col("a").alias("b")), [every, often]
 
-    loose = cutout.filter(F.col("m") > wide).select("key", "k2", "lo", "n", "data").mapInArrow(strings, "s binary, key long, k2 int, a long, n long")
-    loose = spill(loose, "sub-strings")
-    often = spill(loose.groupBy("s").agg(F.count("*").alias("c")).filter("c > 1").select("s"), "sub-often")
-    apart = loose.filter("n = 1").join(often.hint("merge"), "s").select("key", "k2", "a", F.col("a").alias("b"))
 
-    starts = twice.unionByName(built).unionByName(apart)
+def dedup_substrings(docs: DataFrame, keep: list[str] | None = None, length: int = LENGTH, gram: int = GRAM, wide: int = WIDE, with_text: bool = False) -> DataFrame:
+    """Remove every byte that lies in a string of `length` bytes found more than once: (keep..., n_bytes, n_removed, n_spans, kept_sha256[, kept]).
+
+    Strings are of one text's UTF-8 bytes, judged on the input; overlapping occurrences count, within a text or across. A null text has
+    no bytes. A row that repeats doc_id and text is one more occurrence. Texts shorter than `length` stay whole. An empty table
+    gives an empty result. kept: the remaining bytes, which can cut characters. Texts of any length are read whole, one at a time; columns but
+    doc_id, text and those in keep are not read, and keep can't hold names of the result.
+
+    An anchor that more than `wide` different segments have is divided: its segments are texts again, with anchors of longer grams, so that
+    fewer share one; twice, if need be. Only strings that are still in wide groups then, equal in all but a twentieth of their possible
+    bytes with very many others, are told apart by digests.
+    """
+    keep = list(keep or ["doc_id"])
+    # 96 bits stand for a row's id and text
+    key, check = F.xxhash64("doc_id", "text"), F.hash(F.lit(7), "text", "doc_id")
+    whole = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
+    texts = docs.select(key.alias("key"), check.alias("k2"), F.lit(0).cast("long").alias("off"), F.lit(1).cast("long").alias("n"), whole.alias("data"))
+    rest, used = texts, []
+    starts = None
+    for g in (gram, length - (length - gram) // 3, length - (length - gram) // 14):
+        found, rest, tables = _level(rest, length, g, wide)
+        starts = found if starts is None else starts.unionByName(found)
+        used += tables
+        if rest.isEmpty():
+            break
+    else:
+        found, tables = _digests(rest, length)
+        starts = starts.unionByName(found)
+        used += tables
     starts = spill(starts.groupBy("key", "k2").agg(F.collect_set(F.struct("a", "b")).alias("starts")), "sub-starts")  # of one document
-    drop_spilled(marked, segs, sizes, open_, cutout, loose, often)
+    drop_spilled(*used)
     names = [c for c in keep if c != "text"]
-    whole = docs.select(*names, key.alias("__key"), check.alias("__k2"), F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")).alias("__data"))
-    joined = whole.join(starts.withColumnsRenamed({"key": "__key", "k2": "__k2"}).hint("merge"), ["__key", "__k2"], "left").select(*names, "__data", "starts")
+    joined = docs.select(*names, key.alias("__key"), check.alias("__k2"), whole.alias("__data")).join(starts.withColumnsRenamed({"key": "__key", "k2": "__k2"}).hint("merge"), ["__key", "__k2"], "left").select(*names, "__data", "starts")
     k = len(names)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

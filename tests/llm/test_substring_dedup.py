@@ -42,7 +42,7 @@ def corpus(seed, n=60):
     return docs
 
 
-@pytest.mark.parametrize("wide", [10_000, 3])
+@pytest.mark.parametrize("wide", [10_000, 8, 1])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_equals_direct_count(spark, seed, wide):
     docs = [*corpus(seed), (900, None), (901, ""), (902, "a" * 300), (903, "xyz" * 90), (904, "q" * 25), (904, "q" * 25), (None, "w" * 41)]
@@ -72,3 +72,29 @@ def test_anchors_are_few_and_follow_the_text():
     assert len(h) < 3 * len(data) / (400 - 120 + 2) and len(set(h.tolist())) == len(h)
     h2, p2, _, _ = S.anchors(b"xyz" + data[5000:], 400, 120)
     assert set(h2[p2 > 400].tolist()) <= set(h.tolist())
+
+
+def test_whole_table_at_full_length(spark):
+    """The query on 1000 documents against a direct count of all strings of 400 bytes."""
+    import pyarrow.parquet as pq
+    import xxhash
+
+    from lamina.llm.queries import queries
+
+    sf = "/root/testdata/sf0.01"
+    t = pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"])
+    docs = [(i, (x or "").encode()) for i, x in zip(t.column(0).to_pylist(), t.column(1).to_pylist(), strict=True)]
+    each = [np.fromiter((xxhash.xxh3_64_intdigest(d[a : a + 400]) for a in range(len(d) - 399)), np.uint64, max(0, len(d) - 399)) for _, d in docs]
+    values, counts = np.unique(np.concatenate(each), return_counts=True)
+    again = values[counts > 1]
+    want = []
+    for (i, d), h in zip(docs, each, strict=True):
+        flag = np.zeros(len(d) + 1, np.int64)
+        at = np.flatnonzero(np.isin(h, again))
+        np.add.at(flag, at, 1)
+        np.add.at(flag, at + 400, -1)
+        gone = np.cumsum(flag)[: len(d)] > 0
+        left = np.frombuffer(d, np.uint8)[~gone].tobytes()
+        want.append((i, len(d), int(gone.sum()), int((np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1).sum()), hashlib.sha256(left).hexdigest()))
+    assert sum(w[2] for w in want) > 0
+    assert sorted(map(tuple, queries()["op7_substring_dedup"](spark, sf).collect())) == sorted(want)
