@@ -32,7 +32,7 @@ REWEIGHT, OUTLIERS = 0.975, 1e-6
 #: Bins of squared distances: BIN_STEPS to a factor of e.
 BINS, BIN_STEPS = 2400, 100
 #: Rows of a bucket of statistics, about, and salts of the join of documents with their group's estimate.
-BUCKET, SALTS = 100_000, 8
+BUCKET, SALTS = 50_000, 8
 #: Starts of the concentration steps.
 STARTS = 4
 
@@ -227,7 +227,7 @@ class Rows:
     """
 
     def __init__(self, rows: DataFrame, p: int):
-        self.p, n = p, buckets_for(rows.count(), BUCKET, 12)
+        self.p, n = p, buckets_for(rows.count(), BUCKET, 4)
         dealt = rows.select("grp", "lang", *[f"x{i}" for i in range(p)], F.pmod(F.monotonically_increasing_id(), F.lit(n)).cast("int").alias("bucket"))
         self.rows = spill_bucketed(dealt.repartition(n, "bucket"), "mcd-buckets", "bucket", n)
         self.needs = spill(self.rows.select("bucket", F.explode(F.array("grp", "lang", F.lit("*"))).alias("key")).distinct(), "mcd-needs", tidy=False)
@@ -240,11 +240,13 @@ class Rows:
             x = np.stack([left.column(f"x{i}").to_numpy() for i in range(p)], 1) if left.num_rows else np.zeros((0, p), np.int64)
             where: dict[str, np.ndarray] = {"*": np.arange(len(x))}
             for c in ("grp", "lang"):
-                names = left.column(c).to_numpy(zero_copy_only=False).astype(str)
-                values, codes = np.unique(names, return_inverse=True)
+                if not left.num_rows:
+                    break
+                coded = left.column(c).combine_chunks().dictionary_encode()
+                codes, values = coded.indices.to_numpy(), coded.dictionary.to_pylist()
                 order = np.argsort(codes, kind="stable")
                 cuts = np.searchsorted(codes[order], np.arange(len(values) + 1))
-                where |= {v: order[cuts[k] : cuts[k + 1]] for k, v in enumerate(values.tolist())}
+                where |= {v: order[cuts[k] : cuts[k + 1]] for k, v in enumerate(values)}
             rows = [r for q in right.to_pylist() if q["key"] in where for r in each(x[where[q["key"]]], q)]
             cols = list(zip(*rows, strict=True)) or [()] * len(types)
             return pa.table([pa.array(c, f.type) for c, f in zip(cols, types, strict=True)], schema=types)
