@@ -15,7 +15,7 @@ from .common import buckets_for, components, spill, union_find
 #: The codebooks are fitted, and the number of visits chosen, on at most this many vectors; all vectors are indexed.
 SAMPLE = 10_000
 #: Vectors for each cell of the grid, about, and the least and most words of a codebook.
-PER_CELL, CODES = 64, (6, 512)
+PER_CELL, CODES = 64, (6, 2048)
 #: Share of links, at exactly the threshold's cosine, whose cells must be visited from one end or the other.
 TARGET_RECALL = 0.99
 #: Vectors of one side of a comparison; larger groups are compared block by block.
@@ -189,13 +189,51 @@ def link_vectors(rows: DataFrame, index: MultiIndex, dim: int, cosine: float, bl
     return dealt.groupBy("bucket").applyInArrow(compare, "u long, v long, n long")
 
 
+def link_exactly(rows: DataFrame, cosine: float, block: int = BLOCK) -> DataFrame:
+    """link_vectors() for vectors of odd lengths: all of one label and length, in pairs of blocks of bounded size. rows also has dims."""
+    sizes = rows.groupBy("label", "dims").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    placed = rows.join(spill(sizes, "emb-odd", tidy=False), ["label", "dims"]).withColumn("mine", F.pmod(F.xxhash64(F.lit(9), "rid"), "blocks").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = placed.select("rid", "label", "dims", "embedding", "mine", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
+
+    def compare(t: pa.Table) -> pa.Table:
+        rid, mine, a, b, dims = (t.column(c).to_numpy() for c in ("rid", "mine", "a", "b", "dims"))
+        x = _matrix(t.column("embedding").combine_chunks(), int(dims[0]))
+        one, two = np.flatnonzero(mine == a), np.flatnonzero(mine == b)
+        links, us, vs = np.zeros(len(rid), np.int64), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at in range(0, len(one), 1024):
+            p, q = np.nonzero(x[one[at : at + 1024]] @ x[two].T >= cosine)
+            p, q = one[at : at + 1024][p], two[q]
+            keep = rid[p] < rid[q] if a[0] == b[0] else np.ones(len(p), bool)
+            p, q = p[keep], q[keep]
+            links += np.bincount(p, minlength=len(rid)) + np.bincount(q, minlength=len(rid))
+            us.append(p)
+            vs.append(q)
+        order = np.argsort(rid)  # roots are the smallest rows
+        rank = np.empty(len(rid), np.int64)
+        rank[order] = np.arange(len(rid))
+        root = union_find(len(rid), rank[np.concatenate(us)], rank[np.concatenate(vs)])
+        tied, some = np.flatnonzero(root != np.arange(len(rid))), np.flatnonzero(links)
+        u = np.concatenate([rid[order][tied], rid[some]])
+        v = pa.array(np.concatenate([rid[order][root[tied]], np.zeros(len(some), np.int64)]), mask=np.arange(len(u)) >= len(tied))
+        return pa.table({"u": u, "v": v, "n": np.concatenate([np.zeros(len(tied), np.int64), links[some]])})
+
+    return dealt.groupBy("label", "dims", "a", "b").applyInArrow(compare, "u long, v long, n long")
+
+
+def _indexed(good: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
+    sample = good.orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE).select("embedding").toArrow().column(0).combine_chunks()
+    k = int(min(max((n / PER_CELL) ** 0.5, CODES[0]), CODES[1]))
+    return link_vectors(good, MultiIndex(_matrix(sample, dim), k, cosine), dim, cosine)
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     """Near-duplicate vectors of equal label: (vec_id, n_links, component_id, kept), one row per row.
 
     Links are pairs with cosine >= `cosine` in double precision; those that the index finds, about 99 % or more (the target
-    holds for links at the threshold, the hardest). Vectors that are null, zero, of another length than most,
-    hold null or non-finite components, or have no label link with nothing. Rows that repeat are
-    vectors of their own. component_id is the smallest vec_id reachable, kept where that is the row's own. An
+    holds for links at the threshold, the hardest). The index is of the most frequent length; vectors of other lengths are compared with
+    those of their own, exactly and in blocks. Vectors that are null, zero, hold null or non-finite components, or have no label link with nothing. Rows that repeat are
+    vectors of their own. Other columns are not read. component_id is the smallest vec_id reachable, kept where that is the row's own. An
     empty table gives an empty result. The driver holds a sample of at most SAMPLE vectors and the two codebooks.
     """
     src = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding")).withColumn("rid", F.monotonically_increasing_id())
@@ -203,14 +241,14 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     src = spill(src.withColumn("sound", F.coalesce(F.col("label").isNotNull() & sound, F.lit(False))), "emb-rows")
     lengths = src.filter("sound").groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
     every = src.select("rid", "vec_id")
-    if lengths is None or lengths["d"] < 2:
+    if lengths is None:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     dim, n = lengths["d"], lengths["count"]
-    good = src.filter("sound").filter(F.size("embedding") == dim)
-    sample = good.orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE).select("embedding").toArrow().column(0).combine_chunks()
-    k = int(min(max((n / PER_CELL) ** 0.5, CODES[0]), CODES[1]))
-    index = MultiIndex(_matrix(sample, dim), k, cosine)
-    found = spill(link_vectors(good, index, dim, cosine), "emb-links")
+    odd = src.filter("sound").withColumn("dims", F.size("embedding")).filter((F.col("dims") != dim) | (F.col("dims") < 2))
+    found = link_exactly(odd, cosine)
+    if dim > 1:
+        found = found.unionByName(_indexed(src.filter("sound").filter(F.size("embedding") == dim), dim, n, cosine))
+    found = spill(found, "emb-links")
     links = found.filter("v is null").groupBy("u").agg(F.sum("n").alias("n_links"))
     cc = components(found.filter("v is not null").select("u", "v"))
     named = every.join(cc, every["rid"] == cc["id"], "left").select("rid", "vec_id", F.coalesce("component", "rid").alias("c"))
