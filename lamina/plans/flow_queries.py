@@ -67,14 +67,16 @@ def flag(spark, d):
 
 _JOINED = "array_to_string(list(l.text ORDER BY l.page, l.ord), chr(10) || chr(10)) AS text, array_to_string(list_sort(list(DISTINCT l.page)), ',') AS pages"
 _size = lambda key, default: "CASE WHEN header_ord < 0 THEN " + str(default) + " " + " ".join(f"WHEN regexp_matches(lower(array_to_string(path, ' ')), '{'|'.join(r['keywords'])}') THEN {r[key]}" for r in Config().rules) + f" ELSE {default} END"
-_CHUNKS = f"""{_S}, {_ASSIGN}, {_PATHS},
+_FLOW = f"""{_ASSIGN}, {_PATHS},
 orphans AS (SELECT l.* FROM l ANTI JOIN h ON h.doc_id = l.doc_id AND h.page = l.page AND h.y0 = l.y0 ANTI JOIN a ON a.doc_id = l.doc_id AND a.ord = l.ord),
 sections AS (SELECT a.doc_id, a.header_ord, {_JOINED} FROM a JOIN l USING (doc_id, ord) GROUP BY ALL UNION ALL SELECT l.doc_id, -1, {_JOINED} FROM orphans l GROUP BY l.doc_id),
-named AS (SELECT s.*, CASE WHEN header_ord < 0 THEN ['Miscellaneous Content'] ELSE list_filter(path, lambda x, i: i = 1 OR x <> path[i - 1]) END AS path FROM sections s LEFT JOIN paths p ON p.doc_id = s.doc_id AND p.ord = s.header_ord),
+named AS (SELECT s.*, CASE WHEN header_ord < 0 THEN [CASE WHEN s.doc_id IN (SELECT doc_id FROM h) THEN 'Miscellaneous Content' ELSE 'Unstructured Document' END] ELSE list_filter(path, lambda x, i: i = 1 OR x <> path[i - 1]) END AS path FROM sections s LEFT JOIN paths p ON p.doc_id = s.doc_id AND p.ord = s.header_ord),
 sized AS (SELECT doc_id, header_ord, pages, path, {sentences_sql('text')} AS sents, {_size('chunk_size', Config().default_chunk[0])} AS size, {_size('overlap', Config().default_chunk[1])} AS overlap FROM named),
 {packing_sql('sized', 'doc_id, header_ord', 'packed')},
 chunks AS (SELECT sha256(concat_ws('|', doc_id, array_to_string(path, '>'), header_ord, nth, chunk)) AS chunk_id, doc_id, array_to_string(path, ' > ') AS section_path, pages, chunk AS text FROM packed JOIN sized USING (doc_id, header_ord))"""
 
+_CHUNKS = f"{_S}, {_FLOW}"
+
 
 @query("chunk_documents", f"WITH RECURSIVE {_CHUNKS} SELECT chunk_id, doc_id, section_path, pages, 'semantic_text' AS chunk_type, md5(text) AS h FROM chunks")
 def chunked(spark, d):
@@ -123,15 +125,20 @@ def content_complete(spark, d):
     return Q.content_completeness(source, t, chunks).drop("ratio")
 
 
-@query("html_blocks", r"""
-WITH c AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>', '', 'g'), '(?is)(<(?:h[1-6]|p|li|td|th|footer|title)\b[^>]*>.*?</(?:h[1-6]|p|li|td|th|footer|title)>)', 1) AS bs FROM pages),
-b AS (SELECT page_id, unnest(bs) AS b, generate_subscripts(bs, 1) - 1 AS ord FROM c)
-SELECT page_id, ord::INT AS ord, lower(regexp_extract(b, '^<(\w+)', 1)) AS tag, md5(trim(regexp_replace(regexp_replace(b, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS h FROM b""")
+_HTML = r"""c AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>', '', 'g'), '(?is)(<(?:h[1-6]|p|li|td|th|footer|title)\b[^>]*>.*?</(?:h[1-6]|p|li|td|th|footer|title)>)', 1) AS bs FROM pages),
+b AS (SELECT page_id, unnest(bs) AS b, generate_subscripts(bs, 1) - 1 AS ord FROM c),
+blocks AS (SELECT page_id, ord::INT AS ord, lower(regexp_extract(b, '^<(\w+)', 1)) AS tag, trim(regexp_replace(regexp_replace(b, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS text FROM b)"""
+
+
+@query("html_blocks", f"WITH {_HTML} SELECT page_id, ord, tag, md5(text) AS h FROM blocks")
 def html(spark, d):
     return scan.html_blocks(table(spark, d, "pages")).select("page_id", "ord", "tag", F.md5("text").alias("h"))
 
 
-@query("html_chunks")
+@query("html_chunks", f"""
+WITH RECURSIVE {_HTML}, l AS (SELECT page_id AS doc_id, ord, text, 1 AS page, ord::DOUBLE AS y0, ord + 0.5::DOUBLE AS y1, tag FROM blocks WHERE tag NOT IN ('title', 'footer')),
+h AS (SELECT doc_id, ord, text, substr(tag, 2, 1)::INT AS level, page, y0, y1 FROM l WHERE regexp_matches(tag, '^h[1-6]$') AND text <> ''), {_FLOW}
+SELECT doc_id, section_path, md5(text) AS h FROM chunks""")
 def html_chunks(spark, d):
     """HTML pages to chunks: headings and texts of their blocks through the same flow."""
     h, b = scan.html_layout(table(spark, d, "pages"))
