@@ -40,7 +40,9 @@ def row_key(*columns: str):
 
 
 def free(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of finished jobs (it does so when their plans are collected)."""
+    """Let Spark delete shuffle files of finished jobs (it does so when their plans are collected). In a local session, where they are small, that can wait."""
+    if spark.sparkContext.master.startswith("local["):
+        return
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
