@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, katz, line_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, url_filters
+from . import embedding_dedup, hard_negatives, katz, line_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "repeats", "part")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh vector first takes the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 _OP1 = r"""
 WITH l AS (SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 s AS (SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
@@ -133,6 +139,17 @@ SELECT doc_id, size, source_size, target, repeats * size + greatest(0, least(siz
 """
 
 
+_OP12 = r"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS anchor_label, v.vec_id, v.label, list_inner_product(a.c, v.c)::BIGINT AS score FROM v a JOIN v ON v.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = anchor_label QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE label <> anchor_label AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over documents."""
     import corpus_pipeline
@@ -141,8 +158,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_katz, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op7_substring_dedup, op8_packing, op9_url_filters, op10_mixing, pipeline)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_katz, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op7_substring_dedup, op8_packing, op9_url_filters, op10_mixing, op12_hard_negatives, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": _OP1, "op9_url_filters": _OP9, "op10_mixing": _OP10}
+    return {"op1_line_dedup": _OP1, "op9_url_filters": _OP9, "op10_mixing": _OP10, "op12_hard_negatives": _OP12}
