@@ -36,7 +36,7 @@ class Selection:
 
     def _times(self, rows: slice, plane: np.ndarray) -> np.ndarray:
         if self.a.dtype == object:
-            return self.a[rows] @ plane.T.astype(object)
+            return self.a[rows] @ plane.T.astype(np.int64).astype(object)
         return (self.a[rows].astype(np.float64) @ plane.T.astype(np.float64)).astype(np.int64)  # exact: sums are far under 2**53
 
     def _bounds(self, at, partial, left: int, rest: np.ndarray | None):
@@ -90,7 +90,7 @@ class Selection:
             partial, i = partial[i, j], i + start
             while left and len(i):
                 left -= 1
-                bit = plane(left).astype(self.a.dtype)
+                bit = plane(left).astype(np.int64).astype(self.a.dtype)
                 partial = partial + np.concatenate([(self.a[i[c : c + CHUNK]] * bit[j[c : c + CHUNK]]).sum(1) for c in range(0, len(i), CHUNK)]) * (1 << left)
                 q = rest(left)
                 low, high = self._bounds(i, partial, left, None if q is None else q[j])
@@ -103,7 +103,7 @@ class Selection:
         """Pairs that are surely in a window lift its k-th best score to the k-th of their lower ends."""
         for w in range(self.low.shape[1]):
             sure = (low >= self.low[i, w]) & (high <= self.high[i, w])
-            a, s = i[sure], low[sure]
+            a, s = i[sure], low[sure].astype(np.int64)
             o = np.lexsort((-s, a))
             a, s = a[o], s[o]
             new = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, int)
@@ -114,7 +114,7 @@ class Selection:
     def _take(self, i, number, ids, score) -> None:
         for w in range(self.low.shape[1]):
             inside = (score >= np.maximum(self.low[i, w], self.best[i, w, 0])) & (score <= self.high[i, w])
-            self.found.append((i[inside], np.full(int(inside.sum()), w), number[inside], score[inside], ids[inside]))
+            self.found.append((i[inside], np.full(int(inside.sum()), w), number[inside], score[inside].astype(np.int64), ids[inside]))
         self.found = [self._reduced()]
         a, w, _, s, _ = self.found[0]
         if not len(a):

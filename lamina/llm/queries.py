@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_dedup, hard_negatives, katz, line_dedup, mixing, packing, quality, sharding, simhash, substring_dedup, url_filters
+from . import embedding_dedup, hard_negatives, katz, line_dedup, mixing, packing, pii, quality, sharding, simhash, substring_dedup, url_filters
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "repeats", "part")
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, and all spans."""
+    out = pii.find(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [of(k) for k in pii.KINDS]
+    return out.select("doc_id", *counts, F.sha2(pii.shown(F.col("base")), 256).alias("base_sha256"), pii.shown(F.col("spans")).alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_added"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector; every seventh vector first takes the next label."""
     label = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
@@ -158,7 +166,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_katz, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op7_substring_dedup, op8_packing, op9_url_filters, op10_mixing, op12_hard_negatives, pipeline)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_katz, op3_sharding, op4_embedding_dedup, op5_quality_rules, op6_simhash, op7_substring_dedup, op8_packing, op9_url_filters, op10_mixing, op11_pii, op12_hard_negatives, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
