@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -86,3 +86,15 @@ def pdf_layout(read: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     ends = body.groupBy("doc_id", "page", "y0").agg(F.max("y1").alias("y1"))
     heads = merged.join(ends, ["doc_id", "page", "y0"], "left").select("doc_id", F.col("nth").alias("ord"), "text", "level", "page", "y0", F.coalesce("y1", "y0").alias("y1"))
     return heads, body, tables
+
+
+def packed_chunks(text: Column, doc_id: Column, size: int, overlap: int) -> Column:
+    """A text's chunks in its own row: an array of (nth, chunk_id, text, n_chars, low_value). The text is cleaned and its sentences are packed; ids are digests of document, ordinal and text."""
+    from ..operators.predicates import low_value
+
+    def one(t: Column, nth: Column) -> Column:
+        ident = F.sha2(F.concat_ws("|", doc_id.cast("string"), nth.cast("string"), t), 256)
+        return F.struct(nth.alias("nth"), ident.alias("chunk_id"), t.alias("text"), F.length(t).alias("n_chars"), low_value(t).alias("low_value"))
+
+    packed = T.sentence_chunks(T.sentences(T.normalize_text(F.coalesce(text, F.lit("")))), size, overlap)
+    return F.transform(packed, one)
