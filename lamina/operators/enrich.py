@@ -4,20 +4,17 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from pathlib import Path
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import fenced
 from ..functions.text import chunk_type_snake
+from .calls import Calls, Factory, call_model
 from .predicates import low_value
-from .quality import ENTITY_TYPES, PAYLOAD, PERSONAS, PURPOSES, payload_errors
-
-#: A model is made once in each Python worker by its factory, and answers a text or raises.
-Factory = Callable[[], Callable[[str], str]]
+from .quality import ENTITY_TYPES, PAYLOAD, PERSONAS, PURPOSES, checked_payload
 
 #: Prompts by name; {name} marks are filled in.
 PROMPTS = {"chunk_enrichment": "DOCUMENT: {title}\nSECTION: {section}\nTEXT: {text}", "table_summary": "Summarise this table:\n{table}", "global_metadata": "Extract metadata:\n{text}",
@@ -47,24 +44,6 @@ def render(name: str, registry: dict[str, str] | None = None, /, **values: Colum
     return c
 
 
-def call_model(df: DataFrame, prompt: str, factory: Factory, answer: str = "answer", error: str = "error") -> DataFrame:
-    """Adds the model's answer and the error text, one of them null. A failing row never fails the task."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = factory()
-        for b in batches:
-            out, err = [], []
-            for p in b[prompt]:
-                try:
-                    out.append(model(p))
-                    err.append(None)
-                except Exception as e:  # noqa: BLE001  errors are data here
-                    out.append(None)
-                    err.append(f"{type(e).__name__}: {e}")
-            yield b.assign(**{answer: pd.Series(out, dtype=object), error: pd.Series(err, dtype=object)})
-
-    return df.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", `{answer}` string, `{error}` string")
-
-
 def offline_model() -> Callable[[str], str]:
     """A model for tests and dry runs: a payload with a purpose from the prompt's digest, in a code fence for one prompt in 7; an
     error for one in 23, and a purpose that isn't in the vocabulary for one in 11."""
@@ -85,15 +64,15 @@ def offline_model() -> Callable[[str], str]:
     return answer
 
 
-def specialist(df: DataFrame, prompt: str, factory: Factory, schema: str, problems: Callable[[Column], Column]) -> DataFrame:
-    """Adds payload (struct by the schema) and error, one of them null: the model's answer, out of its fence, checked before it is parsed.
+def specialist(df: DataFrame, prompt: str, factory: Factory, check: Callable[[Column], Column], calls: Calls | None = None) -> DataFrame:
+    """Adds payload and error, one of them null: the model's answer, out of its fence, parsed and checked. Rows with a null prompt aren't asked, and have neither.
 
-    problems: of a JSON column, an array of what is wrong with it.
+    check: of a JSON column, a struct of payload and problems (what is wrong with it), made of one parse.
     """
-    asked = call_model(df, prompt, factory, "__answer", "__error").withColumn("__json", fenced(F.col("__answer"))).withColumn("__bad", problems(F.col("__json")))
-    wrong = F.concat(F.lit("invalid payload: "), F.array_join("__bad", ", "))
-    error = F.when(F.col("__error").isNotNull(), F.col("__error")).when(F.size("__bad") > 0, wrong)
-    return asked.withColumn("payload", F.when(error.isNull(), F.from_json("__json", schema))).withColumn("error", error).drop("__answer", "__error", "__json", "__bad")
+    asked = call_model(df, prompt, factory, "__answer", "__error", calls).withColumn("__checked", F.when(F.col("__answer").isNotNull(), check(fenced(F.col("__answer")))))
+    wrong = F.concat(F.lit("invalid payload: "), F.array_join("__checked.problems", ", "))
+    bad = F.size("__checked.problems") > 0
+    return asked.withColumn("payload", F.when(~bad, F.col("__checked.payload"))).withColumn("error", F.when(F.col("__error").isNotNull(), F.col("__error")).when(bad, wrong)).drop("__answer", "__error", "__checked")
 
 
 def default_payload() -> Column:
@@ -107,33 +86,33 @@ def default_payload() -> Column:
     )
 
 
-def enrich(chunks: DataFrame, factory: Factory = offline_model) -> DataFrame:
+def enrich(chunks: DataFrame, factory: Factory = offline_model, calls: Calls | None = None) -> DataFrame:
     """Chunks (chunk_id, text, chunk_type, [doc_title, section_path], ...) with semantic_purpose, persona_relevance_scores, typed_entities,
     quality_assessment, the chunk type that follows, and error.
 
     The model sees the document's title, the section's path and the text, and answers with a payload in JSON. What breaks its rules
-    (payload_errors()) is an error of the row, as a failing call is; such rows keep their type and have no payload. Low-value chunks get the default
-    payload without a call; a filter and a union, as a model inside a CASE would be called for all rows. Only chunks of the
+    (checked_payload()) is an error of the row, as a failing call is; such rows keep their type and have no payload. Low-value chunks get the default
+    payload and have no prompt, so no call is made for them: chunks are read once, and judged once. Only chunks of the
     type semantic_text take the purpose as their new type.
     """
-    low = F.coalesce(low_value(F.col("text")), F.lit(True))
-    parts = [f.split(" ", 1)[0] for f in PAYLOAD.split(", ")]
-    take = lambda df: df.withColumns({c: F.col(f"payload.{c}") for c in parts}).drop("payload")
-    junk = chunks.filter(low).withColumns({"payload": default_payload().cast(_struct(PAYLOAD)), "error": F.lit(None).cast("string"), "chunk_type": F.lit("miscellaneous")})
     title = F.coalesce(F.col("doc_title"), F.lit(UNKNOWN_TITLE)) if "doc_title" in chunks.columns else F.lit(UNKNOWN_TITLE)
     path = F.array_join("section_path", " -> ") if "section_path" in chunks.columns else F.lit("")
-    asked = chunks.filter(~low).withColumn("__prompt", render("chunk_enrichment", title=title, section=path, text=F.col("text")))
-    asked = specialist(asked, "__prompt", factory, PAYLOAD, payload_errors).drop("__prompt")
+    marked = chunks.withColumn("__low", F.coalesce(low_value(F.col("text")), F.lit(True)))
+    asked = specialist(marked.withColumn("__prompt", F.when(~F.col("__low"), render("chunk_enrichment", title=title, section=path, text=F.col("text")))), "__prompt", factory, checked_payload, calls)
+    asked = asked.withColumn("payload", F.when(F.col("__low"), default_payload().cast(_struct(PAYLOAD))).otherwise(F.col("payload")))
     value = F.col("payload.semantic_purpose.value")
-    asked = asked.withColumn("chunk_type", F.when((F.col("chunk_type") == "semantic_text") & value.isNotNull(), chunk_type_snake(value)).otherwise(F.col("chunk_type")))
-    return take(junk).unionByName(take(asked))
+    kind = F.when(F.col("__low"), "miscellaneous").when((F.col("chunk_type") == "semantic_text") & value.isNotNull(), chunk_type_snake(value)).otherwise(F.col("chunk_type"))
+    parts = [f.split(" ", 1)[0] for f in PAYLOAD.split(", ")]
+    return asked.withColumns({"chunk_type": kind, **{c: F.col(f"payload.{c}") for c in parts}}).select(*chunks.columns, *parts, "error")
 
 
-def quarantine_split(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantine of chunk_id, error_message, original_chunk as JSON)."""
-    bad = enriched.filter("error is not null")
+def quarantine_split(enriched: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantine of chunk_id, error_message, original_chunk as JSON). Rows are written to `store` first and both halves read them there, so that no model is asked twice."""
+    enriched.write.mode("overwrite").parquet(store)
+    whole = enriched.sparkSession.read.schema(enriched.schema).parquet(store)
     keep = [c for c in enriched.columns if c not in ("error", "semantic_purpose", "persona_relevance_scores", "typed_entities", "quality_assessment")]
-    return enriched.filter("error is null").drop("error"), bad.select("chunk_id", F.col("error").alias("error_message"), F.to_json(F.struct(*keep)).alias("original_chunk"))
+    bad = whole.filter("error is not null")
+    return whole.filter("error is null").drop("error"), bad.select("chunk_id", F.col("error").alias("error_message"), F.to_json(F.struct(*keep)).alias("original_chunk"))
 
 
 def ordered_chunks(chunks: DataFrame) -> DataFrame:

@@ -5,14 +5,15 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_hierarchy
 from ..functions.jsonx import fenced, is_json, or_fallback, repair_stage
 from ..functions.text import parse_page_name, strip, title_guess
-from .enrich import Factory, call_model, render
+from .calls import Asker, Calls, Factory, call_model
+from .enrich import render
 
 #: Fixed values.
 FIELDS = ("doc_title", "drug_name", "indication", "sponsor")
@@ -42,20 +43,20 @@ def page_counts(docs: DataFrame, pages: DataFrame) -> DataFrame:
     return docs.select("doc_id").join(n, "doc_id", "left").na.fill(0, ["n_pages"])
 
 
-def global_metadata(pages: DataFrame, factory: Factory) -> DataFrame:
+def global_metadata(pages: DataFrame, factory: Factory, calls: Calls | None = None) -> DataFrame:
     """(doc_id, metadata, error): a document's metadata from its first pages; on an error the placeholder, and the run goes on."""
-    asked = call_model(first_pages(pages).withColumn("prompt", render("global_metadata", text=F.col("context"))).select("doc_id", "prompt"), "prompt", factory)
+    asked = call_model(first_pages(pages).withColumn("prompt", render("global_metadata", text=F.col("context"))).select("doc_id", "prompt"), "prompt", factory, calls=calls)
     raw = fenced(F.col("answer"))
     bad = F.col("error").isNotNull() | ~F.coalesce(is_json(raw), F.lit(False))
     empty = F.struct(*[F.struct(F.lit(PLACEHOLDER).alias("value"), F.lit(0.0).alias("confidence"), F.lit("error").alias("justification")).alias(f) for f in FIELDS])
     return asked.select("doc_id", F.when(bad, empty).otherwise(F.from_json(raw, METADATA)).alias("metadata"), F.when(F.col("error").isNotNull(), F.col("error")).when(bad, "not JSON").alias("error"))
 
 
-def table_summaries(tables: DataFrame, factory: Factory) -> DataFrame:
+def table_summaries(tables: DataFrame, factory: Factory, calls: Calls | None = None) -> DataFrame:
     """Tables (doc_id, table_id, markdown) with llm_summary: without markdown a note, no call; an error's text stands for the summary."""
     blank = strip(F.coalesce("markdown", F.lit(""))) == ""
     none = tables.filter(blank).withColumn("llm_summary", F.lit("N/A (no table content)"))
-    asked = call_model(tables.filter(~blank).withColumn("prompt", render("table_summary", table=F.col("markdown"))), "prompt", factory)
+    asked = call_model(tables.filter(~blank).withColumn("prompt", render("table_summary", table=F.col("markdown"))), "prompt", factory, calls=calls)
     asked = asked.withColumn("llm_summary", F.coalesce("answer", "error")).drop("prompt", "answer", "error")
     return asked.unionByName(none)
 
@@ -73,28 +74,26 @@ def offline_embedder(dims: int = 8) -> Callable[[], Callable[[str], list[float]]
     return factory
 
 
-def embed(df: DataFrame, column: str, factory: Callable[[], Callable[[str], list[float]]]) -> DataFrame:
-    """Adds embedding: empty for blank texts, which the model isn't asked about, and for those it fails on."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = factory()
-        for b in batches:
-            out = []
-            for t in b[column]:
-                try:
-                    out.append([float(x) for x in model(t)])
-                except Exception:  # noqa: BLE001  an empty vector is retried by the next run
-                    out.append([])
-            yield b.assign(embedding=out)
+def embed(df: DataFrame, column: str, factory: Callable[[], Callable[[str], list[float]]], calls: Calls | None = None) -> DataFrame:
+    """Adds embedding: empty for blank texts, which the model isn't asked about, and for those it fails on. Calls run by the rules of `calls`."""
+    calls, at = calls or Calls(), len(df.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asker = Asker(factory, calls)
+        for b, results in asker.batches((b, b.column(at).to_pylist()) for b in batches):
+            # an empty vector is retried by the next run
+            out = pa.array([[float(x) for x in v or []] for v, _ in results], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:at], out], [*b.schema.names[:at], "embedding"])
 
     blank = strip(F.coalesce(column, F.lit(""))) == ""
-    asked = df.filter(~blank).mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", embedding array<double>")
-    return asked.unionByName(df.filter(blank).withColumn("embedding", F.array().cast("array<double>")))
+    asked = df.withColumn("__text", F.when(~blank, F.col(column)))
+    return asked.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", embedding array<double>")
 
 
-def classify(docs: DataFrame, factory: Factory, chars: int = 1500, least: int = 100) -> DataFrame:
+def classify(docs: DataFrame, factory: Factory, chars: int = 1500, least: int = 100, calls: Calls | None = None) -> DataFrame:
     """(doc_id, summary, tags, classification): texts of `least` characters or more are shown to the model up to `chars`; what isn't JSON is for manual review."""
     long = docs.filter(F.length("text") >= least).select("doc_id", F.substring("text", 1, chars).alias("shown"))
-    asked = call_model(long, "shown", factory)
+    asked = call_model(long, "shown", factory, calls=calls)
     out = or_fallback(F.coalesce("answer", F.lit("")))
     return asked.select("doc_id", out.alias("o")).select("doc_id", "o.*")
 
@@ -105,34 +104,33 @@ SHOWN = {"classifier": (1500, 100), "summary": (4000, 30), "labeller": (600, 0)}
 TOO_SHORT, NOT_ASKED, CALL_FAILED = "Text too short for classification", "n/a", "gemini_error"
 
 
-def summarise(docs: DataFrame, factory: Factory) -> DataFrame:
+def summarise(docs: DataFrame, factory: Factory, calls: Calls | None = None) -> DataFrame:
     """(doc_id, summary, tags, classification) of every document: short texts aren't shown to the model; a failing call and an answer that isn't JSON have their marks."""
     chars, least = SHOWN["summary"]
     short = F.length(strip(F.coalesce("text", F.lit("")))) < least
     none = lambda why: (F.lit("").alias("summary"), F.array().cast("array<string>").alias("tags"), F.lit(why).alias("classification"))
-    asked = call_model(docs.filter(~short).select("doc_id", F.substring("text", 1, chars).alias("shown")), "shown", factory)
+    asked = call_model(docs.filter(~short).select("doc_id", F.substring("text", 1, chars).alias("shown")), "shown", factory, calls=calls)
     read = F.when(F.col("error").isNull(), or_fallback(F.col("answer"))).otherwise(F.struct(*none(CALL_FAILED)))
     return asked.select("doc_id", read.alias("o")).select("doc_id", "o.*").unionByName(docs.filter(short).select("doc_id", *none(NOT_ASKED)))
 
 
-def classify_typed(docs: DataFrame, factory: Factory) -> DataFrame:
+def classify_typed(docs: DataFrame, factory: Factory, calls: Calls | None = None) -> DataFrame:
     """(doc_id, doc_type, topics, error): the classifier; too short a text, a failing call and an answer that isn't JSON are errors."""
     chars, least = SHOWN["classifier"]
     short = F.length(strip(F.coalesce("text", F.lit("")))) < least
-    asked = call_model(docs.filter(~short).select("doc_id", F.substring("text", 1, chars).alias("shown")), "shown", factory)
+    asked = call_model(docs.filter(~short).select("doc_id", F.substring("text", 1, chars).alias("shown")), "shown", factory, calls=calls)
     j = F.from_json("answer", "`Document Type` string, Topics array<string>")
     error = F.when(F.col("error").isNotNull(), F.col("error")).when(~F.coalesce(is_json(F.col("answer")), F.lit(False)), "not JSON")
     out = asked.select("doc_id", j["Document Type"].alias("doc_type"), j["Topics"].alias("topics"), error.alias("error"))
     return out.unionByName(docs.filter(short).select("doc_id", F.lit(None).cast("string").alias("doc_type"), F.lit(None).cast("array<string>").alias("topics"), F.lit(TOO_SHORT).alias("error")))
 
 
-def label(docs: DataFrame, factory: Factory) -> tuple[DataFrame, DataFrame]:
-    """(labelled documents: detected_type, topics, llm_reasoning; errors as doc_id and error): the labeller of golden files, on a preview."""
-    asked = call_model(docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SHOWN["labeller"][0]).alias("shown")), "shown", factory)
-    asked = asked.withColumn("error", F.when(F.col("error").isNotNull(), F.col("error")).when(~F.coalesce(is_json(F.col("answer")), F.lit(False)), "not JSON"))
-    kind = first_label(F.get_json_object("answer", "$.document_type"))
-    good = asked.filter("error is null").select("doc_id", kind.alias("detected_type"), F.from_json(F.get_json_object("answer", "$.topics"), "array<string>").alias("topics"), F.get_json_object("answer", "$.reasoning").alias("llm_reasoning"))
-    return good, asked.filter("error is not null").select("doc_id", "error")
+def label(docs: DataFrame, factory: Factory, calls: Calls | None = None) -> DataFrame:
+    """(doc_id, detected_type, topics, llm_reasoning, error) of every document, asked once: the labeller of golden files, on a preview. A failing call and an answer that isn't JSON are errors."""
+    asked = call_model(docs.select("doc_id", F.substring(F.coalesce("text", F.lit("")), 1, SHOWN["labeller"][0]).alias("shown")), "shown", factory, calls=calls)
+    error = F.when(F.col("error").isNotNull(), F.col("error")).when(~F.coalesce(is_json(F.col("answer")), F.lit(False)), "not JSON")
+    read = lambda path: F.when(F.col("error").isNull(), F.get_json_object("answer", path))
+    return asked.withColumn("error", error).select("doc_id", first_label(read("$.document_type")).alias("detected_type"), F.from_json(read("$.topics"), "array<string>").alias("topics"), read("$.reasoning").alias("llm_reasoning"), "error")
 
 
 def with_defaults(docs: DataFrame, extracted: DataFrame) -> DataFrame:
@@ -153,14 +151,14 @@ PAGE_FIELDS = ("title", "doc_type", "pbac_meeting_date", "drug_name", "sponsor",
 NOTHING_READ = "No data could be extracted from any page."
 
 
-def extract_pages(docs: DataFrame, pages: DataFrame, factory: Factory) -> DataFrame:
+def extract_pages(docs: DataFrame, pages: DataFrame, factory: Factory, calls: Calls | None = None) -> DataFrame:
     """(doc_id, fields..., sections, error): every page with text goes to the model, and the pages' answers are merged.
 
     Of a field the first page's value that isn't empty counts; section lists are joined, each section with the number of its page among those
     that were read. Pages whose call or JSON fails are left out; a document without a page left has an error.
     """
     shown = pages.filter(strip(F.coalesce("text", F.lit(""))) != "").withColumn("__prompt", render("page_extraction", page=F.col("page").cast("string"), text=F.col("text")))
-    asked = call_model(shown.select("doc_id", "page", "__prompt"), "__prompt", factory)
+    asked = call_model(shown.select("doc_id", "page", "__prompt"), "__prompt", factory, calls=calls)
     ok = asked.filter(F.col("error").isNull() & F.coalesce(is_json(F.col("answer")), F.lit(False)))
     schema = ", ".join(f"{f} string" for f in PAGE_FIELDS) + ", page_sections array<struct<heading:string,text:string>>"
     read = ok.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("page")).alias("page"), F.from_json("answer", schema).alias("a")).select("doc_id", "page", "a.*")
@@ -172,27 +170,27 @@ def extract_pages(docs: DataFrame, pages: DataFrame, factory: Factory) -> DataFr
     return docs.select("doc_id").join(merged, "doc_id", "left").withColumn("error", F.when(F.col("sections").isNull(), NOTHING_READ))
 
 
-def extract_documents(files: DataFrame, factory: Factory, schema: str) -> DataFrame:
+def extract_documents(files: DataFrame, factory: Factory, schema: str, calls: Calls | None = None) -> DataFrame:
     """(path, fields of the schema, error): whole files of a known MIME type go to the model at once; unknown types, failing calls and answers that aren't JSON are errors.
 
     files: path, ext, text.
     """
     good, bad = mime_split(files)
-    asked = call_model(good.withColumn("__prompt", render("document_extraction", text=F.col("text"))), "__prompt", factory)
+    asked = call_model(good.withColumn("__prompt", render("document_extraction", text=F.col("text"))), "__prompt", factory, calls=calls)
     raw = fenced(F.col("answer"))
     error = F.when(F.col("error").isNotNull(), F.col("error")).when(~F.coalesce(is_json(raw), F.lit(False)), "not JSON")
     out = asked.select("path", F.when(error.isNull(), F.from_json(raw, schema)).alias("fields"), error.alias("error"))
     return out.unionByName(bad.select("path", F.lit(None).cast(out.schema["fields"].dataType).alias("fields"), F.concat(F.lit("Unsupported file type: "), "ext").alias("error")))
 
 
-def repair_with_model(df: DataFrame, column: str, factory: Factory) -> DataFrame:
+def repair_with_model(df: DataFrame, column: str, factory: Factory, calls: Calls | None = None) -> DataFrame:
     """repair_stage() with a third try: what mending can't make JSON is shown to the model; stage is then 'model', or 'failed'."""
     staged = repair_stage(df, column)
-    asked = call_model(staged.filter("stage = 'failed'").withColumn("__prompt", render("json_repair", text=F.col(column))), "__prompt", factory, "__answer", "__error")
+    # rows that need no third try have no prompt, and pass unasked
+    asked = call_model(staged.withColumn("__prompt", F.when(F.col("stage") == "failed", render("json_repair", text=F.col(column)))), "__prompt", factory, "__answer", "__error", calls)
     fixed = fenced(F.col("__answer"))
     ok = F.coalesce(is_json(fixed), F.lit(False))
-    asked = asked.withColumn(column, F.when(ok, fixed).otherwise(F.col(column))).withColumn("stage", F.when(ok, "model").otherwise("failed"))
-    return staged.filter("stage <> 'failed'").unionByName(asked.select(staged.columns))
+    return asked.withColumns({column: F.when(ok, fixed).otherwise(F.col(column)), "stage": F.when(ok, "model").otherwise(F.col("stage"))}).select(staged.columns)
 
 
 def page_type_text(page_type: Column, content: Column) -> Column:
@@ -230,12 +228,12 @@ def merge_sections(pages: DataFrame) -> DataFrame:
     return g.select("doc_id", F.transform("all", lambda x: F.struct(x["heading"].alias("heading"), x["text"].alias("text"), x["page"].alias("page_start"))).alias("sections"))
 
 
-def ocr_blank(pages: DataFrame, factory: Factory, enabled: bool = True) -> DataFrame:
+def ocr_blank(pages: DataFrame, factory: Factory, enabled: bool = True, calls: Calls | None = None) -> DataFrame:
     """Pages whose text is blank get it from the OCR model (asked with the page's image reference); the others pass."""
     blank = strip(F.coalesce("text", F.lit(""))) == ""
     if not enabled:
         return pages
-    read = call_model(pages.filter(blank), "image", factory)
+    read = call_model(pages.filter(blank), "image", factory, calls=calls)
     return pages.filter(~blank).unionByName(read.withColumn("text", F.coalesce("answer", F.lit(""))).select(pages.columns))
 
 

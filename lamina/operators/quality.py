@@ -63,22 +63,31 @@ def _empty(c: Column, name: str) -> Column:
     return c.isNull() | ((F.size(c) == 0) if name == "sections" else (c == ""))
 
 
-def payload_errors(raw: Column) -> Column:
-    """What is wrong with a model's answer in JSON: an array of reasons, empty if it is valid. Unknown top-level keys are wrong."""
-    p = F.from_json(raw, PAYLOAD)
-    parsed = F.try_parse_json(raw).isNotNull()
-    keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
+def checked_payload(raw: Column) -> Column:
+    """struct(payload, problems) of a model's answer in JSON: the parsed payload, and an array of reasons, empty if it is valid. Unknown top-level keys are wrong. The answer is parsed once by its schema."""
     known = F.array(*map(F.lit, ("semantic_purpose", "persona_relevance_scores", "typed_entities", "quality_assessment")))
     unit = lambda c: c.isNotNull() & (c >= 0) & (c <= 1)
     text = lambda c: F.coalesce(F.length(c) > 0, F.lit(False))
-    sp, qa, pr, te = (p[k] for k in ("semantic_purpose", "quality_assessment", "persona_relevance_scores", "typed_entities"))
-    rules = [
-        (~parsed, "not JSON"),
-        (parsed & (F.size(F.array_except(keys, known)) > 0), "unknown key"),
-        (parsed & ~F.coalesce(sp["value"].isin(*PURPOSES), F.lit(False)), "semantic_purpose.value"),
-        (parsed & ~(unit(sp["confidence"]) & text(sp["justification"])), "semantic_purpose"),
-        (parsed & ~F.coalesce(F.forall(F.array(*map(F.lit, PERSONAS)), lambda k: unit(F.try_element_at(pr, k)["score"]) & text(F.try_element_at(pr, k)["justification"])), F.lit(False)), "persona_relevance_scores"),
-        (parsed & ~F.coalesce(F.forall(te, lambda e: e["name"].isNotNull() & F.coalesce(e["type"].isin(*ENTITY_TYPES), F.lit(False))), F.lit(False)), "typed_entities"),
-        (parsed & ~(unit(qa["confidence"]) & qa["is_ambiguous"].isNotNull() & text(qa["justification"])), "quality_assessment"),
-    ]
-    return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(True)), F.lit(why)) for c, why in rules]))
+
+    def problems(x: Column) -> Column:
+        parsed = x["parsed"]
+        sp, qa, pr, te = (x["payload"][k] for k in ("semantic_purpose", "quality_assessment", "persona_relevance_scores", "typed_entities"))
+        rules = [
+            (~parsed, "not JSON"),
+            (parsed & (F.size(F.array_except(x["keys"], known)) > 0), "unknown key"),
+            (parsed & ~F.coalesce(sp["value"].isin(*PURPOSES), F.lit(False)), "semantic_purpose.value"),
+            (parsed & ~(unit(sp["confidence"]) & text(sp["justification"])), "semantic_purpose"),
+            (parsed & ~F.coalesce(F.forall(F.array(*map(F.lit, PERSONAS)), lambda k: unit(F.try_element_at(pr, k)["score"]) & text(F.try_element_at(pr, k)["justification"])), F.lit(False)), "persona_relevance_scores"),
+            (parsed & ~F.coalesce(F.forall(te, lambda e: e["name"].isNotNull() & F.coalesce(e["type"].isin(*ENTITY_TYPES), F.lit(False))), F.lit(False)), "typed_entities"),
+            (parsed & ~(unit(qa["confidence"]) & qa["is_ambiguous"].isNotNull() & text(qa["justification"])), "quality_assessment"),
+        ]
+        return F.struct(x["payload"].alias("payload"), F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(True)), F.lit(why)) for c, why in rules])).alias("problems"))
+
+    read = F.struct(F.from_json(raw, PAYLOAD).alias("payload"), F.try_parse_json(raw).isNotNull().alias("parsed"), F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>")).alias("keys"))
+    # bound as the only element of an array: named in the rules it would be parsed anew for each
+    return F.transform(F.array(read), problems)[0]
+
+
+def payload_errors(raw: Column) -> Column:
+    """What is wrong with a model's answer in JSON: an array of reasons, empty if it is valid."""
+    return checked_payload(raw)["problems"]

@@ -6,11 +6,11 @@ import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .calls import Asker, Calls
 from .enrich import PROMPTS
 from .quality import PERSONAS
 
@@ -82,38 +82,37 @@ def summaries_of(answer: str) -> dict[str, str]:
     return {a: got[f"{a}_summary"] for a in ASPECTS}
 
 
-def vector_payload(chunks: DataFrame, embedder: Callable[[], Callable[[str], list[float]]], summarizer: Callable[[], Callable[[str], str]]) -> DataFrame:
+def vector_payload(chunks: DataFrame, embedder: Callable[[], Callable[[str], list[float]]], summarizer: Callable[[], Callable[[str], str]], calls: Calls | None = None) -> DataFrame:
     """(id, namespace, vector_type, values) of chunks (chunk_id, doc_id, section_path, purpose, text): the base vector of the chunk's template, and one for each aspect.
 
     A chunk whose base vector fails has no vectors at all, and its summaries are not asked for. Where the summaries fail or are blank, or an
-    aspect's vector fails, that vector alone is missing. One pass, so that no model is asked twice.
+    aspect's vector fails, that vector alone is missing. One pass, so that no model is asked twice; chunks are worked on side by side, and
+    every call is tried again, by the rules of `calls`.
     """
+    calls = calls or Calls()
     text = embedding_text(F.col("doc_id").cast("string"), F.array_join("section_path", " > "), F.col("purpose"), F.col("text"))
     src = chunks.select(F.col("chunk_id").cast("string").alias("chunk_id"), F.col("doc_id").cast("string").alias("doc_id"), text.alias("base"), F.coalesce("text", F.lit("")).alias("text"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        embed, summarise = embedder(), summarizer()
-
-        def attempt(f, *args):
-            try:
-                return f(*args)
-            except Exception:  # noqa: BLE001  a missing vector is retried by the next run
-                return None
-
-        for b in batches:
-            rows = []
-            for chunk, doc, base, own in zip(b["chunk_id"], b["doc_id"], b["base"], b["text"], strict=True):
-                vector = attempt(embed, base)
-                if vector is None:
-                    continue
-                rows.append((f"{chunk}::base", doc, "base", vector))
-                said = attempt(lambda t: summaries_of(summarise(aspect_prompt(t))), own) or {}
-                for aspect in ASPECTS:
-                    if said.get(aspect, "").strip() and (vector := attempt(embed, said[aspect])) is not None:
-                        rows.append((f"{chunk}::{aspect}", doc, aspect, vector))
-            yield pd.DataFrame(rows, columns=["id", "namespace", "vector_type", "values"])
-
-    return src.mapInPandas(run, "id string, namespace string, vector_type string, values array<double>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        embed, summarise = Asker(embedder, calls), Asker(lambda: (lambda model: lambda t: summaries_of(model(aspect_prompt(t))))(summarizer()), calls)
+
+        def vectors(row: tuple) -> list[tuple]:
+            chunk, doc, base, own = row
+            vector, _ = embed.one(base)  # a missing vector is retried by the next run
+            if vector is None:
+                return []
+            said = summarise.one(own)[0] or {}
+            more = ((aspect, embed.one(said[aspect])[0]) for aspect in ASPECTS if said.get(aspect, "").strip())
+            return [(f"{chunk}::{kind}", doc, kind, [float(x) for x in v]) for kind, v in (("base", vector), *more) if v is not None]
+
+        rows = Asker(lambda: vectors, calls)
+        names = ["id", "namespace", "vector_type", "values"]
+        kinds = [pa.string(), pa.string(), pa.string(), pa.list_(pa.float64())]
+        for _, made in rows.batches((b, list(zip(*(c.to_pylist() for c in b.columns), strict=True))) for b in batches):
+            flat = [v for found, _ in made for v in found or []]
+            yield pa.RecordBatch.from_arrays([pa.array([v[i] for v in flat], k) for i, k in enumerate(kinds)], names)
+
+    return src.mapInArrow(run, "id string, namespace string, vector_type string, values array<double>")
 
 
 def page_vectors(docs: DataFrame) -> DataFrame:

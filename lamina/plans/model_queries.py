@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import models as M
+from ..operators.calls import ONE_BY_ONE, Calls, answers, cached_call
 from .registry import query, table
 from .text_queries import strip_sql
 
@@ -54,7 +55,7 @@ def metadata_model():
 WITH {_P}, c AS (SELECT doc_id, length('Extract metadata:' || chr(10) || string_agg(text, chr(10) ORDER BY page)) AS n FROM p WHERE page <= 3 GROUP BY doc_id)
 SELECT doc_id, CASE WHEN n % 4 < 2 THEN 'Extraction Failed' ELSE n::VARCHAR END AS title, CASE WHEN n % 4 < 2 THEN 0.0 ELSE 0.5 END::DOUBLE AS confidence, CASE n % 4 WHEN 0 THEN 'TimeoutError: busy' WHEN 1 THEN 'not JSON' END AS error FROM c""")
 def metadata(spark, d):
-    m = M.global_metadata(pages(spark, d), metadata_model)
+    m = M.global_metadata(pages(spark, d), metadata_model, calls=ONE_BY_ONE)
     return m.select("doc_id", F.col("metadata.doc_title.value").alias("title"), F.col("metadata.doc_title.confidence").alias("confidence"), "error")
 
 
@@ -65,13 +66,17 @@ def length_model():
 @query("table_summaries", "SELECT p_partkey AS table_id, CASE WHEN p_size > 25 THEN 'N/A (no table content)' ELSE (length(p_name) + length('Summarise this table:') + 1) || ' characters' END AS llm_summary FROM part")
 def summaries(spark, d):
     t = table(spark, d, "part").select(F.lit("d").alias("doc_id"), F.col("p_partkey").alias("table_id"), F.expr("CASE WHEN p_size > 40 THEN NULL WHEN p_size > 25 THEN ' \n' ELSE p_name END").alias("markdown"))
-    return M.table_summaries(t, length_model).select("table_id", "llm_summary")
+    return M.table_summaries(t, length_model, calls=ONE_BY_ONE).select("table_id", "llm_summary")
 
 
-@query("embed_texts", "SELECT conv_id, turn, 8::INT AS dims FROM conversations")
+#: The stand-in's vector: the first 8 bytes of the text's SHA-256, scaled to length 1.
+_UNIT = "list_transform(range(0, 8), lambda i: ('0x' || substr(sha256(text), (2 * i + 1)::INT, 2))::INT)"
+
+
+@query("embed_texts", f"WITH b AS (SELECT conv_id, turn, {strip_sql('text')} AS t, {_UNIT} AS bytes FROM conversations) SELECT conv_id, turn, CASE WHEN t = '' THEN '' ELSE array_to_string(list_transform(bytes, lambda x: round(x / greatest(sqrt(list_sum(list_transform(bytes, lambda y: y * y))), 1) * 1000000)::BIGINT), ',') END AS vector FROM b")
 def embed(spark, d):
-    e = M.embed(table(spark, d, "conversations").select("conv_id", "turn", "text"), "text", M.offline_embedder())
-    return e.select("conv_id", "turn", F.size("embedding").alias("dims"))
+    e = M.embed(table(spark, d, "conversations").select("conv_id", "turn", "text"), "text", M.offline_embedder(), ONE_BY_ONE)
+    return e.select("conv_id", "turn", F.array_join(F.transform("embedding", lambda x: F.round(x * 1_000_000).cast("long").cast("string")), ",").alias("vector"))
 
 
 def class_model():
@@ -80,7 +85,7 @@ def class_model():
 
 @query("classify", "SELECT doc_id, CASE WHEN n_chars >= 1500 THEN 's' ELSE 'short text' END AS summary, CASE WHEN n_chars >= 1500 THEN 'long' ELSE 'manual_review_required' END AS classification FROM documents WHERE n_chars >= 100")
 def classify(spark, d):
-    return M.classify(table(spark, d, "documents"), class_model).select("doc_id", "summary", "classification")
+    return M.classify(table(spark, d, "documents"), class_model, calls=ONE_BY_ONE).select("doc_id", "summary", "classification")
 
 
 @query("enrich_defaults", rf"""
@@ -117,7 +122,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY page) AS nth FRO
 m AS (SELECT doc_id, 'T' || (arg_min(n, page) FILTER (n % 5 > 2)) AS title, 'D' || arg_min(n, page) AS drug_name, string_agg('H' || n || ':' || nth, ',' ORDER BY page) AS sections FROM r GROUP BY doc_id)
 SELECT d.doc_id, title, drug_name, sections, CASE WHEN m.doc_id IS NULL THEN 'No data could be extracted from any page.' END AS error FROM d LEFT JOIN m ON m.doc_id = d.doc_id""")
 def page_wise(spark, d):
-    e = M.extract_pages(documents(spark, d), pages(spark, d), page_model)
+    e = M.extract_pages(documents(spark, d), pages(spark, d), page_model, calls=ONE_BY_ONE)
     return e.select("doc_id", "title", "drug_name", F.array_join(F.transform("sections", lambda s: F.concat_ws(":", s["heading"], s["page_start"].cast("string"))), ",").alias("sections"), "error")
 
 
@@ -137,7 +142,7 @@ SELECT '/in/' || doc_id || ext AS path, CASE WHEN ext <> '.xyz' AND n % 3 = 2 TH
 def whole_documents(spark, d):
     ext = F.expr("CASE doc_id % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.txt' ELSE '.xyz' END")
     files = table(spark, d, "documents").select(F.concat(F.lit("/in/"), F.col("doc_id").cast("string"), ext).alias("path"), ext.alias("ext"), "text")
-    return M.extract_documents(files, document_model, "title string").select("path", "fields.title", "error")
+    return M.extract_documents(files, document_model, "title string", ONE_BY_ONE).select("path", "fields.title", "error")
 
 
 def summary_model():
@@ -153,7 +158,7 @@ def summary_model():
 WITH s AS (SELECT doc_id, length({strip_sql('text')}) < 30 AS short, least(length(text), 4000) AS n FROM documents)
 SELECT doc_id, CASE WHEN short OR n % 7 = 0 THEN '' WHEN n % 7 < 4 THEN n::VARCHAR ELSE 'prose' END AS summary, CASE WHEN short THEN 'n/a' WHEN n % 7 = 0 THEN 'gemini_error' WHEN n % 7 < 4 THEN 'c' ELSE 'manual_review_required' END AS classification FROM s""")
 def summarised(spark, d):
-    return M.summarise(table(spark, d, "documents"), summary_model).select("doc_id", "summary", "classification")
+    return M.summarise(table(spark, d, "documents"), summary_model, calls=ONE_BY_ONE).select("doc_id", "summary", "classification")
 
 
 def type_model():
@@ -169,13 +174,12 @@ def type_model():
 WITH s AS (SELECT doc_id, length({strip_sql('text')}) < 100 AS short, least(length(text), 1500) AS n FROM documents)
 SELECT doc_id, CASE WHEN NOT short AND n % 6 BETWEEN 1 AND 3 THEN 'PSD' END AS doc_type, CASE WHEN short THEN 'Text too short for classification' WHEN n % 6 = 0 THEN 'TimeoutError: busy' WHEN n % 6 > 3 THEN 'not JSON' END AS error FROM s""")
 def typed(spark, d):
-    return M.classify_typed(table(spark, d, "documents"), type_model).select("doc_id", "doc_type", "error")
+    return M.classify_typed(table(spark, d, "documents"), type_model, calls=ONE_BY_ONE).select("doc_id", "doc_type", "error")
 
 
 @query("label_golden", "SELECT doc_id, CASE WHEN least(length(text), 600) % 6 BETWEEN 1 AND 3 THEN 'PSD' END AS detected_type, CASE WHEN least(length(text), 600) % 6 = 0 THEN 'TimeoutError: busy' WHEN least(length(text), 600) % 6 > 3 THEN 'not JSON' END AS error FROM documents")
 def golden(spark, d):
-    good, bad = M.label(table(spark, d, "documents"), type_model)
-    return good.select("doc_id", "detected_type", F.lit(None).cast("string").alias("error")).unionByName(bad.select("doc_id", F.lit(None).cast("string").alias("detected_type"), "error"))
+    return M.label(table(spark, d, "documents"), type_model, calls=ONE_BY_ONE).select("doc_id", "detected_type", "error")
 
 
 def fixing_model():
@@ -185,7 +189,7 @@ def fixing_model():
 @query("json_repair_model", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'repaired' WHEN 1 THEN CASE WHEN (length('Return this as valid JSON and nothing else:') + 1 + length('no ' || event_id)) % 2 = 1 THEN 'model' ELSE 'failed' END ELSE 'strict' END AS stage FROM events")
 def model_repair(spark, d):
     raw = F.expr("CASE event_id % 4 WHEN 0 THEN concat(substring(props, 1, length(props) - 1), ',}') WHEN 1 THEN concat('no ', event_id) ELSE props END")
-    return M.repair_with_model(table(spark, d, "events").select("event_id", raw.alias("raw")), "raw", fixing_model).select("event_id", "stage")
+    return M.repair_with_model(table(spark, d, "events").select("event_id", raw.alias("raw")), "raw", fixing_model, calls=ONE_BY_ONE).select("event_id", "stage")
 
 
 @query("page_type_text", "SELECT page_id, CASE WHEN page_id % 3 > 0 THEN 'This page is classified as `' || CASE WHEN page_id % 2 = 0 THEN 'table' ELSE 'unknown' END || '` and contains the following content: ' || url ELSE '' END AS text FROM pages")
@@ -228,7 +232,7 @@ def sections(spark, d):
 @query("ocr_blank", "SELECT page_id, CASE WHEN contains(url, '?') THEN length(url) || ' characters' ELSE url END AS text FROM pages")
 def ocr(spark, d):
     p = table(spark, d, "pages").select("page_id", F.expr("CASE WHEN contains(url, '?') THEN ' ' ELSE url END").alias("text"), F.col("url").alias("image"))
-    return M.ocr_blank(p, length_model).select("page_id", "text")
+    return M.ocr_blank(p, length_model, calls=ONE_BY_ONE).select("page_id", "text")
 
 
 @query("first_label", "SELECT doc_id, source AS label FROM documents")
@@ -248,3 +252,23 @@ def mime(spark, d):
 def ids(spark, d):
     b = table(spark, d, "conversations").select("conv_id", "turn", F.col("conv_id").alias("doc_id"), F.expr("1 + turn div 4").alias("page"), F.col("turn").alias("ord"), F.expr("CASE role WHEN 'user' THEN 'table' ELSE 'text' END").alias("block_type"))
     return M.element_ids(b).select("conv_id", "turn", "element_id")
+
+
+def counting_model():
+    return lambda prompt: f"{len(prompt)} characters"
+
+
+@query("cached_answers", """
+WITH p AS (SELECT source, lang, 'Describe ' || lang || ' of ' || source AS prompt FROM documents WHERE doc_id % 10 > 0 UNION ALL SELECT source, lang, NULL FROM documents WHERE doc_id % 10 = 0)
+SELECT source, lang, count(*) AS n, count(prompt) AS answered, coalesce(max(length(prompt) || ' characters'), '') AS answer, (SELECT count(DISTINCT prompt) FROM p) AS calls_first, 0::BIGINT AS calls_second FROM p GROUP BY source, lang""")
+def cached(spark, d):
+    """A prompt for most documents, few different ones; the second run over all of them asks nothing."""
+    from .flow_queries import scratch
+
+    cache = f"{scratch(spark)}/answers"
+    asked = table(spark, d, "documents").select("source", "lang", F.expr("CASE WHEN doc_id % 10 > 0 THEN concat('Describe ', lang, ' of ', source) END").alias("prompt"))
+    first, second = (cached_call(asked, "prompt", counting_model, cache, "counting", calls=Calls(concurrency=4)) for _ in range(2))
+    runs = answers(spark, cache).groupBy("run").agg(F.count("*").alias("n")).agg(F.max("n").alias("calls_first"), (F.sum("n") - F.max("n")).alias("calls_second"))
+    n = lambda df: df.groupBy("source", "lang").agg(F.count("*").alias("n"), F.count("answer").alias("answered"), F.coalesce(F.max("answer"), F.lit("")).alias("answer"))
+    same = n(first).join(n(second), ["source", "lang", "n", "answered", "answer"])
+    return same.join(F.broadcast(runs))  # one row

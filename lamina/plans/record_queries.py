@@ -12,6 +12,7 @@ from ..operators import evaluate as V
 from ..operators import graph as G
 from ..operators import incremental as I
 from ..operators import quality as Q
+from ..operators.calls import ONE_BY_ONE
 from .registry import query, table
 from .text_queries import strip_sql
 
@@ -133,13 +134,15 @@ def titled_chunks(spark, d):
 @query("enrich_chunks", f"""WITH {_C}, {_MODEL} SELECT chunk_id, CASE WHEN low THEN 'Miscellaneous' WHEN error IS NULL THEN purpose END AS purpose, CASE WHEN low THEN 1.0 WHEN error IS NULL THEN n[4] % 5 / 4 END::DOUBLE AS confidence, CASE WHEN low THEN 0.0 WHEN error IS NULL THEN 0.5 END::DOUBLE AS economist,
  CASE WHEN low THEN 0 WHEN error IS NULL THEN 1 END::INT AS entities, CASE WHEN low THEN true WHEN error IS NULL THEN false END AS ambiguous, CASE WHEN low THEN 'miscellaneous' WHEN nth % 4 = 3 THEN 'table_summary' WHEN error IS NULL THEN {_SNAKE} ELSE 'semantic_text' END AS chunk_type, error FROM r""")
 def enriched(spark, d):
-    e = E.enrich(titled_chunks(spark, d))
+    e = E.enrich(titled_chunks(spark, d), calls=ONE_BY_ONE)
     return e.select("chunk_id", F.col("semantic_purpose.value").alias("purpose"), F.col("semantic_purpose.confidence").alias("confidence"), F.try_element_at("persona_relevance_scores", F.lit("health_economist"))["score"].alias("economist"), F.when(F.col("typed_entities").isNotNull(), F.size("typed_entities")).alias("entities"), F.col("quality_assessment.is_ambiguous").alias("ambiguous"), "chunk_type", "error")
 
 
 @query("quarantine_split", f"WITH {_C}, {_MODEL} SELECT chunk_id, error AS error_message, CASE WHEN nth % 4 = 3 THEN 'table_summary' ELSE 'semantic_text' END AS chunk_type, md5(text) AS h FROM r WHERE error IS NOT NULL")
 def quarantine(spark, d):
-    q = E.quarantine_split(E.enrich(titled_chunks(spark, d)))[1]
+    from .flow_queries import scratch
+
+    q = E.quarantine_split(E.enrich(titled_chunks(spark, d), calls=ONE_BY_ONE), scratch(spark))[1]
     return q.select("chunk_id", "error_message", F.get_json_object("original_chunk", "$.chunk_type").alias("chunk_type"), F.md5(F.get_json_object("original_chunk", "$.text")).alias("h"))
 
 
@@ -149,7 +152,7 @@ def save_enriched(spark, d):
     from .flow_queries import scratch
 
     root = scratch(spark)
-    sinks.save_enriched(E.enrich(titled_chunks(spark, d)), root)
+    sinks.save_enriched(E.enrich(titled_chunks(spark, d), calls=ONE_BY_ONE), root)
     count = lambda part: spark.read.schema("chunk_id string, doc_id long").json(f"{root}/{part}").groupBy("doc_id").agg(F.count("*").alias("n")).withColumn("part", F.lit(part))
     return count("enriched").unionByName(count("failed"))
 
@@ -180,7 +183,7 @@ def merged(spark, d):
 
 @query("status_counts", f"WITH {_C}, {_MODEL} SELECT CASE WHEN error IS NOT NULL THEN 'failed' ELSE 'success' END AS status, count(*) AS n FROM r GROUP BY 1")
 def statuses(spark, d):
-    return E.status_counts(E.enrich(titled_chunks(spark, d)).withColumn("status", F.when(F.col("error").isNull(), "success").otherwise("failed")))
+    return E.status_counts(E.enrich(titled_chunks(spark, d), calls=ONE_BY_ONE).withColumn("status", F.when(F.col("error").isNull(), "success").otherwise("failed")))
 
 
 @query("incremental_anti", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")

@@ -62,9 +62,8 @@ def save_enriched(enriched: DataFrame, path: str) -> tuple[bool, bool]:
     What the model answered is written once to <path>/all and split from there: two writes of the plan would ask it twice.
     """
     spark = enriched.sparkSession
-    enriched.write.mode("overwrite").parquet(f"{path}/all")
+    good, bad = quarantine_split(enriched, f"{path}/all")
     whole = spark.read.schema(enriched.schema).parquet(f"{path}/all")
-    good, bad = quarantine_split(whole)
     bad = bad.join(whole.select("chunk_id", "doc_id"), "chunk_id")
     wrote = save_per_document(good, f"{path}/enriched"), save_per_document(bad, f"{path}/failed")
     delete(spark, f"{path}/all")

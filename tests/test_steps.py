@@ -94,7 +94,7 @@ GOOD = {
 }
 
 
-def test_enrichment_checks_every_answer(spark):
+def test_enrichment_checks_every_answer(spark, tmp_path):
     cases = {
         "good answer of the model": json.dumps(GOOD),
         "fenced answer of the model": f"Here:\n```json\n{json.dumps(GOOD)}\n```",
@@ -121,7 +121,7 @@ def test_enrichment_checks_every_answer(spark):
     assert [got[i].chunk_type for i in range(9)] == ["efficacy_results"] * 2 + ["semantic_text"] * 4 + ["miscellaneous"] * 3
     assert [got[i].error for i in range(9)] == [None, None, "invalid payload: unknown key", "invalid payload: persona_relevance_scores", got[4].error, "RuntimeError: busy", None, None, None]
     assert got[4].error.startswith("invalid payload: not JSON") and got[2].semantic_purpose is None and got[6].quality_assessment.is_ambiguous
-    good, bad = enrich.quarantine_split(enrich.enrich(df, model))
+    good, bad = enrich.quarantine_split(enrich.enrich(df, model), f"file://{tmp_path}/store")
     assert good.count() == 5 and json.loads(bad.filter("chunk_id = 2").first().original_chunk)["text"] == texts[2]
 
 
