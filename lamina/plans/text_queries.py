@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.config import Config
+from ..operators import boundaries as B
 from ..operators import predicates as P
 from .registry import query, table
 
@@ -186,3 +187,48 @@ def adaptive(spark, d):
     titles = F.array(*map(F.lit, ["Metadata of Trial", "Introduction", "Safety and Conclusion", "Other", "APPENDIX A"]))
     size, over = T.adaptive_size(F.array("source", F.get(titles, (F.col("doc_id") % 5).cast("int"))), c.rules, c.default_chunk)
     return table(spark, d, "documents").select("doc_id", size.alias("size"), over.alias("overlap"))
+
+
+def abbreviated(df):
+    """Documents with abbreviations before some of their words, and an initial in front."""
+    n = F.col("doc_id") % 3
+    t = F.when(n == 0, F.regexp_replace("text", r" (the|die|les|los) ", " approx. $1 ")).when(n == 1, F.regexp_replace("text", r" (of|in|de|en) ", " e.g. $1 ")).otherwise(F.col("text"))
+    return df.select("doc_id", F.concat(F.lit("J. Smith "), t).alias("text"))
+
+
+_ABBREVIATED = r"""x AS (SELECT doc_id, 'J. Smith ' || CASE doc_id % 3 WHEN 0 THEN regexp_replace(text, ' (the|die|les|los) ', ' approx. \1 ', 'g') WHEN 1 THEN regexp_replace(text, ' (of|in|de|en) ', ' e.g. \1 ', 'g') ELSE text END AS text FROM documents)"""
+_BARE = "regexp_replace(x, '^[\"''(\\[{«“‘]+|[\"'')\\]}»”’]+$', '', 'g')"
+_TOKENS = rf"""{_ABBREVIATED},
+w AS (SELECT list_transform(list_filter(string_split_regex(text, '\s+'), lambda x: x <> ''), lambda x: {_BARE}) AS w FROM x),
+o AS (SELECT unnest(w) AS w, unnest(list_prepend(NULL, w[:-2])) AS p FROM w),
+t AS (SELECT lower(regexp_replace(w, '\.+$', '')) AS type, ends_with(w, '.') AND NOT ends_with(w, '..') AS dot, lower(regexp_replace(p, '\.+$', '')) AS prev, coalesce(ends_with(p, '.') AND NOT ends_with(p, '..'), false) AS prev_dot, coalesce(regexp_matches(p, '[!?]$'), false) AS prev_end FROM o),
+s AS (SELECT type, count(*) FILTER (dot) AS c, count(*) AS n FROM t GROUP BY type),
+g AS (SELECT sum(n)::DOUBLE AS total, sum(c)::DOUBLE AS dots FROM s),
+a AS (SELECT type, -2 * (c * ln(dots / total) + CASE WHEN n = c THEN 0 ELSE (n - c) * ln(1 - dots / total) END - c * ln(0.99) - (n - c) * ln(0.01)) * exp(-(length(replace(type, '.', '')))) * (length(type) - length(replace(type, '.', '')) + 1) * pow(length(replace(type, '.', ''))::DOUBLE, -(n - c)::DOUBLE) AS score
+      FROM s, g WHERE c > 0 AND regexp_matches(type, '^\p{{L}}[\p{{L}}.\-]*$')),
+short AS (SELECT * FROM a WHERE score >= 0.3)"""
+
+
+@query("abbreviations_trained", f"WITH {_TOKENS} SELECT type, round(score, 4) AS score FROM short")
+def abbreviations(spark, d):
+    return B.abbreviations(B.counts(B.tokens(abbreviated(table(spark, d, "documents"))))).select("type", F.round("score", 4).alias("score"))
+
+
+@query("starters_trained", rf"""WITH {_TOKENS},
+b AS (SELECT type, count(*)::DOUBLE AS k FROM t WHERE prev_end OR (prev_dot AND NOT regexp_matches(prev, '^(\p{{Nd}}+|\p{{L}})$') AND prev NOT IN (SELECT type FROM short)) GROUP BY type),
+z AS (SELECT b.type, k, s.n::DOUBLE AS n, total, (SELECT sum(k) FROM b) AS breaks FROM b JOIN s ON s.type = b.type, g WHERE regexp_matches(b.type, '^\p{{L}}+$')),
+l AS (SELECT *, n / total AS p, k / breaks AS p1, (n - k) / (total - breaks) AS p2 FROM z WHERE total / breaks > n / k),
+r AS (SELECT type, -2 * (k * ln(p) + (breaks - k) * ln(1 - p) + (n - k) * ln(p) + (total - breaks - n + k) * ln(1 - p) - CASE WHEN breaks = k THEN 0 ELSE k * ln(p1) + (breaks - k) * ln(1 - p1) END
+      - CASE WHEN p2 <= 0 OR p2 >= 1 THEN 0 ELSE (n - k) * ln(p2) + (total - breaks - n + k) * ln(1 - p2) END) AS score FROM l)
+SELECT type, round(score, 4) AS score FROM r WHERE score >= 30""")
+def sentence_starters(spark, d):
+    toks = B.tokens(abbreviated(table(spark, d, "documents")))
+    stats = B.counts(toks)
+    return B.starters(stats, B.pairs(toks), B.abbreviations(stats)).select("type", F.round("score", 4).alias("score"))
+
+
+@query("sentences_trained")
+def trained(spark, d):
+    """All documents cut by what they teach themselves."""
+    docs = abbreviated(table(spark, d, "documents"))
+    return B.sentences_trained(docs, B.learn(docs)).select("doc_id", F.size("sentences").alias("n"), F.md5(F.array_join("sentences", "|")).alias("h"))
