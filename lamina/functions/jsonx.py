@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .jsonrepair import mend
+
 #: Fixed values.
 FENCE = r"(?s)```(?:json)?\s*(\{.*?\}|\[.*?\])\s*```"
 MANUAL = "manual_review_required"
@@ -51,23 +53,8 @@ def first_object(text: str | None) -> str | None:
 
 
 def repair(text: str | None) -> str | None:
-    """Common slips mended: fences, single quotes, trailing commas, Python's constants, missing closing brackets. None if that isn't enough."""
-    if text is None:
-        return None
-    t = re.sub(r"^\s*```(?:json)?|```\s*$", "", text).strip()
-    t = re.sub(r",\s*([}\]])", r"\1", t)
-    t = re.sub(r"\bNone\b", "null", re.sub(r"\bTrue\b", "true", re.sub(r"\bFalse\b", "false", t)))
-    if '"' not in t:
-        t = t.replace("'", '"')
-    opened = [{"{": "}", "[": "]"}[c] for c in re.findall(r"[{}\[\]]", re.sub(r'"(?:\\.|[^"\\])*"', '""', t)) if c in "{["]
-    closed = len(re.findall(r"[}\]]", re.sub(r'"(?:\\.|[^"\\])*"', '""', t)))
-    for tail in ("", "".join(reversed(opened[: len(opened) - closed]))):
-        try:
-            json.loads(re.sub(r",\s*$", "", t) + tail)
-            return re.sub(r",\s*$", "", t) + tail
-        except ValueError:
-            continue
-    return first_object(text)
+    """JSON of a text that nearly is (jsonrepair.mend()), else the first object in it that parses, else None."""
+    return mend(text) or first_object(text)
 
 
 def repair_stage(df: DataFrame, column: str) -> DataFrame:
@@ -75,10 +62,10 @@ def repair_stage(df: DataFrame, column: str) -> DataFrame:
     good = df.filter(is_json(F.col(column))).withColumn("stage", F.lit("strict"))
     bad = df.filter(~F.coalesce(is_json(F.col(column)), F.lit(False)))
 
-    def mend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fixed = b[column].map(repair)
             yield b.assign(**{column: fixed.where(fixed.notna(), b[column]), "stage": fixed.notna().map({True: "repaired", False: "failed"})})
 
-    mended = bad.mapInPandas(mend, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", stage string")
+    mended = bad.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", stage string")
     return good.unionByName(mended)

@@ -83,6 +83,38 @@ def section_assign(headers: DataFrame, blocks: DataFrame, keep_all: bool = False
     return j.select(*blocks.columns, F.when(F.col("inside"), F.col("header_ord")).alias("header_ord"))
 
 
+def section_asof(headers: DataFrame, blocks: DataFrame, keep_all: bool = False) -> DataFrame:
+    """section_assign() for headings in order of their place, (page, y0) with y0 <= y1, as merge_headers() gives them: an as-of join, with no row for a leaf and page.
+
+    Then a block can only be in the section of the last heading that ends above it: a running maximum over headings and blocks in one order. Where that heading's section ends
+    early, at the first block in the order given that lies at or after the next heading, is a running minimum over that page. Rows are those of headings and
+    blocks, once each; the text of blocks is shuffled once.
+    """
+    w = Window.partitionBy("doc_id").orderBy("ord")
+    h = headers.select("doc_id", F.col("ord").alias("header_ord"), F.col("page").cast("int").alias("hp"), F.col("y1").cast("double").alias("hy"), F.lead("page").over(w).cast("int").alias("np"), F.lead("y0").over(w).cast("double").alias("ny"), F.lead("level").over(w).alias("nl"), "level")
+    h = h.select("doc_id", "header_ord", "hp", "hy", "np", "ny", (F.col("nl").isNull() | (F.col("nl") <= F.col("level"))).alias("leaf"))
+    # ends: the place from which a block on the next heading's page ends the section; blocks come first where they are level with it
+    ends = h.filter("leaf and np is not null").select("doc_id", F.col("np").alias("page"), F.when(F.col("np") == F.col("hp"), F.greatest("ny", "hy")).otherwise(F.col("ny")).alias("y"), F.lit(1).alias("is_end"), F.lit(None).cast(blocks.schema["ord"].dataType).alias("ord"), "header_ord")
+    marks = blocks.select("doc_id", F.col("page").cast("int").alias("page"), F.col("y0").cast("double").alias("y"), F.lit(0).alias("is_end"), "ord", F.lit(None).cast(headers.schema["ord"].dataType).alias("header_ord"))
+    below = Window.partitionBy("doc_id", "page").orderBy(F.desc("y"), "is_end").rowsBetween(Window.unboundedPreceding, 0)
+    stops = marks.unionByName(ends).withColumn("stop", F.min("ord").over(below)).filter("is_end = 1").select("doc_id", "header_ord", "stop")
+    h = h.join(stops, ["doc_id", "header_ord"], "left")
+    mark = F.struct("header_ord", "leaf", "np", "ny", "stop")
+    b = blocks if keep_all else blocks.select("doc_id", "ord", "page", "y0")
+    box = F.struct(*b.columns)
+    none = F.lit(None).cast(b.select(box.alias("b")).schema["b"].dataType)
+    starts = h.select("doc_id", F.col("hp").alias("__page"), F.col("hy").alias("__y"), F.lit(0).alias("__kind"), mark.alias("__h"), none.alias("__b"))
+    rows = b.select("doc_id", F.col("page").cast("int").alias("__page"), F.col("y0").cast("double").alias("__y"), F.lit(1).alias("__kind"), F.lit(None).cast(starts.schema["__h"].dataType).alias("__h"), box.alias("__b"))
+    above = Window.partitionBy("doc_id").orderBy("__page", "__y", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    j = starts.unionByName(rows).withColumn("__in", F.max("__h").over(above)).filter("__kind = 1")
+    s = F.col("__in")
+    before = s["np"].isNull() | (F.col("__page") < s["np"]) | ((F.col("__page") == s["np"]) & (F.col("__y") < s["ny"]))
+    stopped = (F.col("__page") == s["np"]) & (F.col("__b.ord") > s["stop"])
+    inside = F.coalesce(s["leaf"] & before & ~F.coalesce(stopped, F.lit(False)), F.lit(False))
+    out = j.select("__b.*", F.when(inside, s["header_ord"]).alias("header_ord"))
+    return out.select(*b.columns, "header_ord") if keep_all else out.filter("header_ord is not null").select("doc_id", "ord", "header_ord")
+
+
 def section_text(assigned: DataFrame, blocks: DataFrame) -> DataFrame:
     """Text and pages of each section: (doc_id, header_ord, text, pages)."""
     j = assigned.join(blocks, ["doc_id", "ord"])

@@ -154,6 +154,11 @@ def assign(spark, d):
     return S.section_assign(*headed(spark, d))
 
 
+@query("section_asof", f"WITH {_S}, {_ASSIGN} SELECT * FROM a")
+def asof(spark, d):
+    return S.section_asof(*headed(spark, d))
+
+
 @query("section_text", f"WITH {_S}, {_ASSIGN} SELECT a.doc_id, a.header_ord, md5(string_agg(l.text, chr(10) || chr(10) ORDER BY l.page, l.ord)) AS h, string_agg(DISTINCT l.page::VARCHAR, ',' ORDER BY l.page::VARCHAR) AS pages FROM a JOIN l USING (doc_id, ord) GROUP BY ALL")
 def sections(spark, d):
     h, b = headed(spark, d)

@@ -101,6 +101,21 @@ def repair(spark, d):
     return J.repair_stage(table(spark, d, "events").select("event_id", raw.alias("raw")), "raw").groupBy("stage").agg(F.count("*").alias("n"))
 
 
+#: Ways in which an answer about an event is broken; {i} and {t} are its id and type.
+_SLIPS = ("{'id': {i}, 'type': '{t}',}", '{id: {i}, type: "{t}"', 'Here:\n```json\n{"id": {i} "type": "{t}"}\n```', '{"id": {i}, // the id\n "type": "{t}", "more": [1, 2}', '{"id" = +{i}, "type" => "{t}", "x', '[{"id": {i}, "type": "{t}"}', '{"id": {i}, "said": "so "it" is", "type": "{t}"}', 'no answer')
+
+
+@query("json_mended", "SELECT event_id, CASE WHEN event_id % 8 = 7 THEN 'failed' ELSE 'repaired' END AS stage, CASE WHEN event_id % 8 < 7 THEN event_id END AS id, CASE WHEN event_id % 8 < 7 THEN event_type END AS type FROM events")
+def mended(spark, d):
+    """Answers about events, each broken in one of several ways, and read again."""
+    slip = F.get(F.array(*map(F.lit, _SLIPS)), (F.col("event_id") % 8).cast("int"))
+    raw = F.replace(F.replace(slip, F.lit("{i}"), F.col("event_id").cast("string")), F.lit("{t}"), F.col("event_type"))
+    done = J.repair_stage(table(spark, d, "events").select("event_id", raw.alias("raw")), "raw")
+    at = lambda k: F.coalesce(F.get_json_object("raw", f"$.{k}"), F.get_json_object("raw", f"$[0].{k}"))
+    ok = F.col("stage") != "failed"
+    return done.select("event_id", "stage", F.when(ok, at("id").cast("long")).alias("id"), F.when(ok, at("type")).alias("type"))
+
+
 @query("balanced_object", "SELECT event_id, props AS j FROM events")
 def balanced(spark, d):
     @F.pandas_udf("string")

@@ -100,6 +100,26 @@ def test_section_assign_equals_model(spark):
     assert len(got) + rest + at == b.count()
 
 
+def test_section_asof_equals_range_join(spark):
+    """Headings in order of place, some over one another, some without a place; blocks in any order, level with headings, on pages without one."""
+    rng = random.Random(8)
+    heads, blocks = [], []
+    for d in range(120):
+        hs = sorted((rng.randrange(1, 5), float(rng.choice([0, rng.randrange(0, 60)]))) for _ in range(rng.randrange(0, 7)))
+        heads += [(d, i, f"h{i}", rng.randrange(1, 4), p, y, y + rng.choice([0.0, 3.0, 20.0])) for i, (p, y) in enumerate(hs)]
+        n = rng.randrange(0, 25)
+        blocks += [(d, o, p, float(rng.randrange(0, 70)), f"t{o}") for o, p in enumerate(sorted(rng.randrange(1, 7) for _ in range(n)))]
+        blocks += [(d, n + k, p, y, "heading") for k, (p, y) in enumerate(hs) if rng.random() < 0.7]
+    h = spark.createDataFrame(heads, "doc_id long, ord int, text string, level int, page int, y0 double, y1 double")
+    b = spark.createDataFrame(blocks, "doc_id long, ord int, page int, y0 double, text string")
+    for keep_all in (False, True):
+        want, got = (sorted((tuple(r) for r in f(h, b, keep_all).collect()), key=str) for f in (structure.section_assign, structure.section_asof))
+        assert len(got) > 500 and got == want
+    plan = structure.section_asof(h, b)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "sequence(" not in plan
+    assert structure.section_asof(h.limit(0), b).count() == 0 and structure.section_asof(h, b.limit(0)).count() == 0
+
+
 def test_flatten_metadata(spark):
     meta = "named_struct('doc_id', 'd', 'chunk_type', 'table_summary', 'section_path', array('A', 'B'), 'raw_table_content', '|r|', 'semantic_purpose', named_struct('value', 'Efficacy Results', 'confidence', 0.9D, 'justification', 'j'), 'persona_relevance_scores', map('health_economist', named_struct('score', 1D, 'justification', 'j')), 'typed_entities', array(named_struct('name', 'n', 'type', 'DRUG')), 'quality_assessment', cast(null as struct<confidence:double,is_ambiguous:boolean,justification:string>))"
     df = spark.range(1).select(F.lit("c1").alias("chunk_id"), F.lit("summary").alias("text"), F.expr(meta).alias("metadata"), F.lit("2024-11-01").cast("timestamp").alias("published"))
