@@ -37,7 +37,7 @@ def chunk_documents(headers: DataFrame, blocks: DataFrame, config: Config | None
         blocks = blocks.filter("block_type = 'text'")
     paths = S.section_hierarchy(headers).select("doc_id", F.col("ord").alias("header_ord"), "path")
     # one pass over the blocks: each with its section, if it has one, and whether it is a heading itself
-    placed = S.section_assign(headers, blocks, keep_all=True)
+    placed = S.section_asof(headers, blocks, keep_all=True)
     box = ["doc_id", "page", *[c for c in ("x0", "y0", "x1", "y1") if c in blocks.columns and c in headers.columns]]
     marked = placed.join(headers.select(*box).distinct().withColumn("is_header", F.lit(True)), box, "left")
     marked = marked.filter(F.col("header_ord").isNotNull() | F.col("is_header").isNull())
