@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
@@ -18,6 +20,11 @@ def strip(c: Column) -> Column:
     return F.regexp_extract(c, r"(?Us)^\s*(.*\S)?", 1)
 
 
+def bound(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f of c, where c is computed once: as the only element of an array. Named several times in an expression it would be computed as often."""
+    return F.transform(F.array(c), f)[0]
+
+
 def count_of(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern))
 
@@ -28,12 +35,17 @@ def alnum_count(c: Column) -> Column:
 
 
 def normalize_text(c: Column) -> Column:
-    """Line ends, blank lines, blanks, page markers and boilerplate, in this order; then stripped."""
-    c = F.regexp_replace(c, r"\r\n|\r", "\n")
-    c = F.regexp_replace(c, r"\n{3,}", "\n\n")
-    c = F.regexp_replace(c, r"[ \t]+", " ")
-    c = F.regexp_replace(c, PAGE_MARKER, "\n")
-    return strip(F.regexp_replace(c, BOILERPLATE, ""))
+    """Line ends, blank lines, blanks, page markers and boilerplate, in this order; then stripped. Most texts have few of them: a plain search comes before each costly replacement."""
+    def rule(c: Column, there: Callable[[Column], Column], pattern: str, to: str) -> Column:
+        return bound(c, lambda x: F.when(there(x), F.regexp_replace(x, pattern, to)).otherwise(x))
+
+    c = rule(c, lambda x: x.contains("\r"), r"\r\n|\r", "\n")
+    c = rule(c, lambda x: x.contains("\n\n\n"), r"\n{3,}", "\n\n")
+    c = rule(c, lambda x: x.contains("\t") | x.contains("  "), r"[ \t]+", " ")
+    c = rule(c, lambda x: x.contains("--- Page "), PAGE_MARKER, "\n")
+    c = rule(c, lambda x: bound(F.lower(x), lambda y: y.contains("confidential") | y.contains("pbac public summary document") | (y.contains("page ") & y.contains(" of "))), BOILERPLATE, "")
+    edge = r"(?U)^\s"
+    return bound(c, lambda x: F.when(F.left(x, F.lit(1)).rlike(edge) | F.right(x, F.lit(1)).rlike(edge), strip(x)).otherwise(x))
 
 
 def markdown_headings(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.text import alnum_count, count_of, strip
+from ..functions.text import alnum_count, bound, count_of, strip
 
 #: Fixed values.
 NOT_DATA = ("foreword", "contents", "table of contents", "record of updates", "abbreviations and acronyms")
@@ -37,20 +37,23 @@ def is_header(c: Column) -> Column:
 
 def noncontent_reason(text: Column, page: Column, y0: Column, y1: Column, height: Column, repeated: Column) -> Column:
     """Why a text block isn't content, null if it is: the first rule that applies."""
-    t = strip(text)
-    n = F.length(t)
-    number = t.rlike(r"^\p{Nd}+$") | t.rlike(r"(?i)^\p{Nd}+\s+of\s+\p{Nd}+$") | t.rlike("^[ivxIVX]+$")
     margin = (height - y1 < 100) | (y0 < 100)
-    title = t.rlike(COMPANY) | ((n > 15) & (F.try_divide(count_of(t, r"\p{Lu}"), n) > 0.7)) | t.rlike(r"^\s*\(?[\p{L}\p{N}_]+\s+([A-Z\s]+)\)?$")
-    return (
-        F.when(n == 0, "blank")
-        .when(repeated, "repeated")
-        .when((n < 15) & number, "page_number")
-        .when((n <= 3) & ~t.rlike(r"[\p{L}\p{N}]"), "noise")
-        .when(margin & (n > 30) & t.rlike(MARGIN), "margin")
-        .when((n < 300) & t.rlike(CAPTION), "caption")
-        .when((page <= 5) & (y0 < height * 0.3) & (n > 10) & (n < 150) & title, "title")
-    )
+
+    def reason(t: Column) -> Column:
+        n = F.length(t)
+        number = t.rlike(r"^\p{Nd}+$") | t.rlike(r"(?i)^\p{Nd}+\s+of\s+\p{Nd}+$") | t.rlike("^[ivxIVX]+$")
+        title = t.rlike(COMPANY) | ((n > 15) & (F.try_divide(count_of(t, r"\p{Lu}"), n) > 0.7)) | t.rlike(r"^\s*\(?[\p{L}\p{N}_]+\s+([A-Z\s]+)\)?$")
+        return (
+            F.when(n == 0, "blank")
+            .when(repeated, "repeated")
+            .when((n < 15) & number, "page_number")
+            .when((n <= 3) & ~t.rlike(r"[\p{L}\p{N}]"), "noise")
+            .when(margin & (n > 30) & t.rlike(MARGIN), "margin")
+            .when((n < 300) & t.rlike(CAPTION), "caption")
+            .when((page <= 5) & (y0 < height * 0.3) & (n > 10) & (n < 150) & title, "title")
+        )
+
+    return bound(strip(text), reason)
 
 
 def is_data_table(markdown: Column) -> Column:
