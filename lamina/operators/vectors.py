@@ -123,8 +123,8 @@ def page_vectors(docs: DataFrame) -> DataFrame:
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Target rows whose key has no update, and the updates; the last of several updates (by `version`) wins."""
-    w = Window.partitionBy(*keys).orderBy(F.desc("version"))
+    """Target rows whose key has no update, and the updates; the last of several updates (by `version`) wins, of several of one version that of the greatest digest of its columns."""
+    w = Window.partitionBy(*keys).orderBy(F.desc("version"), F.desc(F.sha2(F.to_json(F.struct(*updates.columns)), 256)))
     last = updates.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
     return target.join(last.select(*keys), keys, "left_anti").unionByName(last)
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ..functions.config import Config
 from ..operators import quality as Q
+from ..operators import records as R
 from ..sources import scan, sinks
-from ..streaming import incremental
+from ..streaming import incremental, keyed
 from .ingestion import chunk_documents, flagship, table_chunks
 from .layout_queries import _ASSIGN, _PATHS, _S, headed
 from .registry import query, table
@@ -246,3 +247,112 @@ def stream(spark, d):
     q = incremental.ingest(incremental.stream_table(spark, f"{root}/in", "doc_id long, text string"), lambda b: b.select("doc_id", F.length("text").alias("n")), f"{root}/out", f"{root}/ck")
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("doc_id", "n")
+
+
+def event_stream(spark, d, files: int | None = None):
+    """The events as a stream; a table of one file is given as a glob, as streams take folders."""
+    reader = spark.readStream.schema("event_id long, ts timestamp_ntz, user_id long, event_type string, value double")
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(f"{d}/{{events.parquet}}")
+
+
+def drained(spark, stream):
+    root = scratch(spark)
+    keyed.append_stream(stream, f"{root}/out", f"{root}/ck").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/out")
+
+
+#: Windows and sessions are final when the watermark, the latest time less the delay, has reached their end.
+_MARK = "m AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR AS mark FROM events)"
+
+
+@query("stream_sessions", f"""
+WITH {_MARK}, o AS (SELECT *, coalesce(ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 6 HOUR, true)::INT AS opens FROM events),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nth FROM o)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, strftime(max(ts) + INTERVAL 6 HOUR, '%Y-%m-%d %H:%M:%S') AS "end", count(*) AS n, round(sum(value), 4) AS total FROM s, m GROUP BY user_id, nth, mark HAVING max(ts) + INTERVAL 6 HOUR <= mark""")
+def stream_sessions(spark, d):
+    out = drained(spark, keyed.sessions(event_stream(spark, d), "ts", ["user_id"], "6 hours", "1 hour", total=F.sum("value")))
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return out.select("user_id", at("start"), at("end"), "n", F.round("total", 4).alias("total"))
+
+
+@query("stream_windows", f"WITH {_MARK}, w AS (SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL) SELECT strftime(start, '%Y-%m-%d') AS start, event_type, n FROM w, m WHERE start + INTERVAL 1 DAY <= mark")
+def stream_windows(spark, d):
+    out = drained(spark, incremental.windowed_counts(event_stream(spark, d), "ts", ["event_type"], "1 day", "1 hour"))
+    return out.withColumn("start", F.date_format("start", "yyyy-MM-dd"))
+
+
+@query("stream_repeats", "SELECT DISTINCT user_id, event_type FROM events")
+def stream_repeats(spark, d):
+    return drained(spark, incremental.drop_repeats(event_stream(spark, d), ["user_id", "event_type"], "ts", "1 day").select("user_id", "event_type"))
+
+
+@query("stream_upsert", """
+WITH v AS (SELECT vec_id, label, embedding, unnest([1, 2, 3]) AS version FROM embeddings),
+l AS (SELECT vec_id, label, max(CASE WHEN version = 1 OR (vec_id % 3 = version - 2 AND vec_id % 5 > 0) THEN version END) AS version FROM v GROUP BY ALL)
+SELECT label::VARCHAR AS namespace, vec_id AS id, version, CASE WHEN version = 1 THEN 0 ELSE vec_id % 5 END AS mark FROM l""")
+def stream_upsert(spark, d):
+    """All vectors in three deliveries, the later ones with some changed rows, some newer of the same content, and stale ones; upserted as they come, with a restart between."""
+    root = scratch(spark)
+    v = table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").alias("namespace"), "embedding")
+    parts = [v.withColumns({"version": F.lit(1), "mark": F.lit(0).cast("long")})]
+    for n in (2, 3):
+        changed = v.filter(F.col("id") % 3 == n - 2).withColumns({"version": F.lit(n), "mark": F.col("id") % 5})
+        parts.append(changed.unionByName(v.filter(F.col("id") % 3 != n - 2).withColumns({"version": F.lit(0), "mark": F.lit(-1).cast("long")})))
+    for n, p in enumerate(parts):
+        p.write.parquet(f"{root}/in/{n}")
+        stream = incremental.stream_table(spark, f"{root}/in/*", "id long, namespace int, embedding array<float>, version int, mark long")
+        keyed.upsert_stream(keyed.changes(stream, ["namespace", "id"]), f"{root}/vectors", ["namespace", "id"], f"{root}/ck").awaitTermination()
+    return sinks.read_table(spark, f"{root}/vectors").select("namespace", "id", "version", "mark")
+
+
+#: Conversations as documents, their turns as chunks, every fourth one of a table; every third conversation has tables, the last of two with one id counts.
+_RECORDS = """
+d AS (SELECT DISTINCT conv_id AS doc_id FROM conversations),
+c AS (SELECT conv_id AS doc_id, turn AS chunk_no, conv_id || '-' || turn AS chunk_id, text, CASE WHEN turn % 4 = 3 THEN 'table_summary' ELSE 'semantic_text' END AS chunk_type, CASE WHEN turn % 4 = 3 THEN 't' || (turn % 8) END AS table_id, CASE WHEN turn % 8 = 7 THEN 'own' END AS raw FROM conversations),
+t AS (SELECT doc_id, '|' || doc_id || '|' AS markdown FROM d WHERE doc_id % 3 = 0),
+f AS (SELECT c.doc_id, chunk_no, chunk_id, text, CASE WHEN chunk_type = 'table_summary' AND table_id = 't3' AND markdown IS NOT NULL THEN markdown ELSE raw END AS raw FROM c LEFT JOIN t ON t.doc_id = c.doc_id),
+n AS (SELECT doc_id, (chunk_no // 3)::INT AS part, count(*)::INT AS n_chunks, md5(string_agg(concat_ws('|', chunk_id, text, coalesce(raw, '-')), chr(10) ORDER BY chunk_no)) AS h FROM f GROUP BY ALL)"""
+
+
+def record_parts(spark, d):
+    """(masters, chunks, tables) of the conversations."""
+    c = table(spark, d, "conversations")
+    masters = c.select(F.col("conv_id").alias("doc_id")).distinct()
+    is_table = F.col("turn") % 4 == 3
+    ident = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    of_table = F.when(is_table, F.concat(F.lit("t"), (F.col("turn") % 8).cast("string")))
+    chunks = c.select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("chunk_no"), ident.alias("chunk_id"), "text", F.when(is_table, "table_summary").otherwise("semantic_text").alias("chunk_type"), of_table.alias("table_id"), F.when(F.col("turn") % 8 == 7, "own").alias("raw_table_content"))
+    some = masters.filter("doc_id % 3 = 0")
+    row = lambda nth, name, text: some.select("doc_id", F.lit(nth).alias("ord"), F.lit(name).cast("string").alias("table_id"), F.lit(1).alias("page_number"), text.cast("string").alias("markdown_representation"), F.lit("s").alias("llm_summary"))
+    tables = row(1, "t3", F.lit("old")).unionByName(row(2, "t3", F.concat(F.lit("|"), F.col("doc_id").cast("string"), F.lit("|")))).unionByName(row(3, "t7", F.lit(None))).unionByName(row(4, None, F.lit("x")))
+    return masters, chunks, tables
+
+
+def contents(chunks):
+    return F.md5(F.array_join(F.transform(chunks, lambda c: F.concat_ws("|", c["chunk_id"], c["text"], F.coalesce(c["raw_table_content"], F.lit("-")))), "\n"))
+
+
+@query("reconcile", f"WITH {_RECORDS} SELECT n.doc_id, part, (max(part) OVER (PARTITION BY n.doc_id) + 1)::INT AS n_parts, CASE WHEN t.doc_id IS NULL THEN 0 ELSE 4 END AS n_tables, n_chunks, h FROM n LEFT JOIN t ON t.doc_id = n.doc_id")
+def reconcile(spark, d):
+    """Documents assembled from masters, chunks and tables, in parts of three chunks."""
+    out = R.assemble(*record_parts(spark, d), per_part=3)
+    return out.select("doc_id", "part", "n_parts", F.size("document_level_metadata.tables").alias("n_tables"), F.size("chunks").alias("n_chunks"), contents("chunks").alias("h"))
+
+
+@query("load_records", f"""WITH {_RECORDS}
+SELECT n.doc_id, part, CASE n.doc_id % 5 WHEN 1 THEN 'Missing ''document_level_metadata'' or ''chunks'' keys.' WHEN 2 THEN 'not JSON' WHEN 3 THEN '''chunks'' is no list' END AS error,
+  CASE WHEN n.doc_id % 5 IN (0, 4) THEN '1970-01-01' END AS published, CASE n.doc_id % 5 WHEN 0 THEN 'default_fallback' WHEN 4 THEN 'unknown' END AS date_source, CASE WHEN n.doc_id % 5 IN (0, 4) THEN n_chunks END AS n_chunks, CASE WHEN n.doc_id % 5 IN (0, 4) THEN h END AS h FROM n""")
+def load_records(spark, d):
+    """Records written as JSON text, some of another shape, and read again by the loader."""
+    root = scratch(spark)
+    r = R.assemble(*record_parts(spark, d), per_part=3)
+    kind, meta = F.col("doc_id") % 5, F.col("document_level_metadata")
+    whole = F.to_json(F.struct("document_level_metadata", "chunks"))
+    undated = F.to_json(F.struct(F.struct(meta["doc_id"].alias("doc_id"), F.lit("soon").alias("publication_date"), meta["tables"].alias("tables")).alias("document_level_metadata"), "chunks"))
+    other = F.to_json(F.struct("document_level_metadata", F.lit("none").alias("chunks")))
+    line = F.when(kind == 0, whole).when(kind == 1, F.to_json(F.struct("chunks"))).when(kind == 2, F.substring(whole, 1, 40)).when(kind == 3, other).otherwise(undated)
+    r.select(F.col("doc_id").alias("key"), "part", line.alias("line")).write.parquet(f"{root}/records")
+    good, bad = R.load_records(spark.read.parquet(f"{root}/records"), "line", "struct<chunk_no:int,chunk_id:string,text:string,chunk_type:string,table_id:string,raw_table_content:string>")
+    good = good.select(F.col("key").alias("doc_id"), "part", F.lit(None).cast("string").alias("error"), F.date_format("published", "yyyy-MM-dd").alias("published"), "date_source", F.size("chunks").alias("n_chunks"), contents("chunks").alias("h"))
+    none = {"published": "string", "date_source": "string", "n_chunks": "int", "h": "string"}
+    return good.unionByName(bad.select(F.col("key").alias("doc_id"), "part", "error", *[F.lit(None).cast(k).alias(c) for c, k in none.items()]))
