@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_spilled, row_key, spill
+from .common import drop_spilled, row_key, spill, trim
 
 #: A repeated passage has MIN_LINES lines in a row or is one line of MIN_WORDS words; with short_runs, any run of lines of MIN_WORDS words together.
 MIN_LINES, MIN_WORDS = 3, 50
@@ -73,6 +73,14 @@ def cut_lines(text: str | None, spans: list[tuple[int, int]]) -> tuple[str | Non
     return "\n".join(x for x, g in zip(lines, gone, strict=True) if not g), len(lines), sum(gone), runs
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches in slices: what Python makes of a slice is freed before the next, and given back when the task ends, as workers live on."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+    trim()
+
+
 def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, short_runs: bool = False) -> DataFrame:
     """Delete later repeats of passages: (keep..., text, n_lines, n_removed, n_runs), one row for each row.
 
@@ -93,7 +101,7 @@ def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int =
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_type = pa.list_(pa.struct([("at", pa.int32()), ("lines", pa.int32()), ("gram", pa.binary())]))
-        for b in batches:
+        for b in sliced(batches):
             rows, hs, grams = [], [], []
             for r, text in enumerate(b.column(2).to_pylist()):
                 for h, _, g in fingerprints(text, min_lines, min_words, short_runs):
@@ -120,7 +128,7 @@ def dedup_lines(docs: DataFrame, keep: list[str] | None = None, min_lines: int =
     # merge joins at every size: a broadcast where the right side happens to be small would hide what a large input costs
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts, spans = b.column(k).to_pylist(), b.column(k + 1).to_pylist()
             got = [cut_lines(t, [(x["at"], x["lines"]) for x in s or ()]) for t, s in zip(texts, spans, strict=True)]
             cols = list(zip(*got, strict=True)) or [()] * 4
