@@ -141,23 +141,13 @@ def index_stats(vectors: DataFrame) -> DataFrame:
     return vectors.rollup("namespace").agg(F.count("*").alias("n"))
 
 
-def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int, block: int = 16_384) -> DataFrame:
-    """The k nearest by cosine for each query, exactly: (query_id, vec_id, rank, cosine), cosines to six places. Ties go to the smaller id; a vector
-    isn't its own neighbour. Vectors that are null, zero or hold null or non-finite parts neither ask nor answer; lengths are apart.
+def sound(embedding: str = "embedding") -> Column:
+    """Whether a vector has a direction: it isn't null or zero, and holds no null or non-finite part."""
+    return F.coalesce(F.exists(embedding, lambda v: v != 0) & ~F.exists(embedding, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))), F.lit(False))
 
-    A stated set of queries against all rows: queries and vectors are dealt into blocks of about `block`, and each pair of blocks is a
-    task of bounded size, one product of matrices; it returns the k best of its block for each of its queries, and the best of those are
-    the result. Nothing is broadcast, and no row for a pair of vectors leaves a task.
-    """
-    sound = F.coalesce(F.exists("embedding", lambda v: v != 0) & ~F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))), F.lit(False))
-    take = lambda df, side: df.filter(sound).select(F.lit(side).alias("side"), F.col("vec_id").alias("id"), F.size("embedding").alias("dims"), F.col("embedding").cast("array<double>").alias("v"))
-    q, v = take(queries, 0), take(vectors, 1)
-    nq, nv = (max(1, -(-df.count() // block)) for df in (q, v))
-    deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    both = q.withColumn("a", deal(nq)).withColumn("b", every(nv)).unionByName(v.withColumn("b", deal(nv)).withColumn("a", every(nq)))
-    id_type = both.schema["id"].dataType.simpleString()
 
+def _best(k: int) -> Callable[[pa.Table], pa.Table]:
+    """For a table of queries (side 0) and vectors (side 1): the k best vectors of each query, cosines to six places, ties by smaller id; not the query itself."""
     def best(t: pa.Table) -> pa.Table:
         side, ids = t.column("side").to_numpy(), t.column("id").to_numpy(zero_copy_only=False)
         x = t.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
@@ -176,11 +166,35 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int, block: int = 16_
                     o.extend(y)
         return pa.table({"query_id": pa.array(out[0], t.schema.field("id").type), "vec_id": pa.array(out[1], t.schema.field("id").type), "cosine": pa.array(out[2], pa.float64())})
 
-    scored = both.groupBy("dims", "a", "b").applyInArrow(best, f"query_id {id_type}, vec_id {id_type}, cosine double")
+    return best
+
+
+def _ranked(scored: DataFrame, k: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def _taken(df: DataFrame, side: int) -> DataFrame:
+    return df.filter(sound()).select(F.lit(side).alias("side"), F.col("vec_id").alias("id"), F.size("embedding").alias("dims"), F.col("embedding").cast("array<double>").alias("v"))
+
+
+def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int, block: int = 16_384) -> DataFrame:
+    """The k nearest by cosine for each query, exactly: (query_id, vec_id, rank, cosine), cosines to six places. Ties go to the smaller id; a vector
+    isn't its own neighbour. Vectors that are null, zero or hold null or non-finite parts neither ask nor answer; lengths are apart.
+
+    A stated set of queries against all rows: queries and vectors are dealt into blocks of about `block`, and each pair of blocks is a
+    task of bounded size, one product of matrices; it returns the k best of its block for each of its queries, and the best of those are
+    the result. Nothing is broadcast, and no row for a pair of vectors leaves a task.
+    """
+    q, v = _taken(queries, 0), _taken(vectors, 1)
+    nq, nv = (max(1, -(-df.count() // block)) for df in (q, v))
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    both = q.withColumn("a", deal(nq)).withColumn("b", every(nv)).unionByName(v.withColumn("b", deal(nv)).withColumn("a", every(nq)))
+    id_type = both.schema["id"].dataType.simpleString()
+    return _ranked(both.groupBy("dims", "a", "b").applyInArrow(_best(k), f"query_id {id_type}, vec_id {id_type}, cosine double"), k)
+
+
 def batches(df: DataFrame, order: list[str], size: int = 100) -> DataFrame:
     """Adds batch: number of the block of `size` rows of a namespace, in order; namespaces are batched apart, so no sort is over all rows."""
     n = F.row_number().over(Window.partitionBy("namespace").orderBy(*order))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import ann as A
 from ..operators import vectors as V
 from ..operators.enrich import PROMPTS
 from .registry import query, table
@@ -138,6 +139,20 @@ def topk(spark, d):
     return V.cosine_topk(e.filter("vec_id % 20 = 0"), e, 10)
 
 
+@query("ann_topk", "SELECT vec_id AS query_id, 10 AS found, true AS good FROM embeddings WHERE vec_id % 20 = 0")
+def ann_topk(spark, d):
+    """Every twentieth vector against all of them through the index; good: at least 9 of 10 exact neighbours over all queries were found."""
+    from .flow_queries import scratch
+
+    e = table(spark, d, "embeddings")
+    queries, path = e.filter("vec_id % 20 = 0"), f"{scratch(spark)}/cells"
+    near = A.search(queries, path, A.build(e, path), 10)
+    exact = V.cosine_topk(queries, e, 10).select("query_id", "vec_id", F.lit(1).alias("hit"))
+    each = near.join(exact, ["query_id", "vec_id"], "left").groupBy("query_id").agg(F.count("*").cast("int").alias("found"), F.count("hit").alias("hits"))
+    share = each.agg((F.sum("hits") / (F.count("*") * 10) >= 0.9).alias("good"))
+    return each.join(F.broadcast(share)).select("query_id", "found", "good")  # one row
+
+
 @query("batching", "SELECT vec_id, label AS namespace, ((row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1) // 100)::INT AS batch FROM embeddings")
 def batching(spark, d):
     return V.batches(table(spark, d, "embeddings").select("vec_id", F.col("label").alias("namespace")), ["vec_id"])
