@@ -30,6 +30,8 @@ class Cells:
 
     def nearest(self, x: np.ndarray, n: int) -> np.ndarray:
         """The n nearest centres of each row of x, nearest first; ties by number."""
+        if len(self.centres) == 1:
+            return np.zeros((len(x), 1), int)
         near = -(x / np.sqrt((x * x).sum(1, keepdims=True))) @ self.centres.T
         return np.argsort(near, 1, kind="stable")[:, :n]
 
@@ -86,10 +88,10 @@ def search(queries: DataFrame, path: str, cells: Cells, k: int, block: int = 16_
     """cosine_topk() by the index: (query_id, vec_id, rank, cosine), exact cosines of what the visited cells hold.
 
     A query goes to its cells, and meets what rests there in tasks of bounded size: cells with many vectors or many visitors are cut into blocks on either side, so that one that
-    holds a third of all vectors is no task of its own.
+    holds a third of all vectors is no task of its own. Queries of another length than the index find nothing.
     """
     placed = queries.sparkSession.read.parquet(path)
-    asked = _in_cells(_taken(queries, 0), cells, cells.visits)
+    asked = _in_cells(_taken(queries, 0).filter(F.col("dims") == cells.centres.shape[1]), cells, cells.visits)
     blocks = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
     # one row for each cell; the root of the number of vectors
     sizes = blocks(placed, "rest").join(blocks(asked, "call"), "cell")

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -107,21 +107,30 @@ def json_files(spark: SparkSession, root: str, schema: str) -> tuple[DataFrame,
     return parsed.select("file", "r.*"), whole.filter(~good)
 
 
+def _lines(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """(file, block, nth, line): lines, ended by \\n, with the place of the split of the file that they were read from, and a number that grows within it. No file is a row: large ones are read in splits."""
+    read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").text(root)
+    return read.select(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("nth"), F.col("value").alias("line"))
+
+
 def text_lines(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """(file, line_no, line): lines of all files in their order."""
-    whole = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root, wholetext=True)
-    return whole.select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
+    """(file, line_no, line): lines of all files in their order, from 0. Numbers are those within a split and the counts of the splits before; lines themselves aren't sorted or shuffled for it, unless Spark joins so."""
+    lines = _lines(spark, root, pattern)
+    splits = lines.groupBy("file", "block").agg(F.min("nth").alias("from"), F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")
+    splits = splits.select("file", "block", (before - F.col("from")).alias("shift"))
+    return lines.join(splits, ["file", "block"]).select("file", (F.col("nth") + F.col("shift")).cast("int").alias("line_no"), "line")
 
 
 def head_files(spark: SparkSession, root: str, n: int, pattern: str = "*.json", exclude: str | None = None) -> DataFrame:
-    """(file, line_no, line): the first n lines of all files under a folder, but for those in its folder `exclude`; file is the path in it with _ for /."""
+    """(file, line_no, line): the first n lines of all files under a folder, but for those in its folder `exclude`; file is the path in it with _ for /. Each task gives at most n lines of a file to be ordered."""
     base = re.sub(r"^file:/*|/+$", "", root).lstrip("/")
-    lines = text_lines(spark, root, pattern)
     rel = F.regexp_replace(F.regexp_replace(F.url_decode("file"), r"^\w+:/+", ""), "^" + re.escape(base) + "/", "")
-    lines = lines.withColumn("file", rel).filter(F.col("line_no") < n)
+    lines = _lines(spark, root, pattern).withColumn("file", rel)
     if exclude:
         lines = lines.filter(~F.col("file").startswith(exclude.strip("/") + "/"))
-    return lines.withColumn("file", F.replace("file", F.lit("/"), F.lit("_")))
+    no = F.row_number().over(Window.partitionBy("file").orderBy("block", "nth"))
+    return lines.withColumn("line_no", no - 1).filter(F.col("line_no") < n).select(F.replace("file", F.lit("/"), F.lit("_")).alias("file"), "line_no", "line")
 
 
 ARTIFACTS = "_artifacts"

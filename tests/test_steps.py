@@ -94,6 +94,30 @@ GOOD = {
 }
 
 
+def test_lines_of_files_in_splits(spark, tmp_path):
+    """Files are read in splits, and their lines numbered over them."""
+    texts = {"a.txt": [f"line {i} " + "x" * (i % 50) for i in range(3000)], "sub/b.txt": ["", "one", "", "two\r"], "c.txt": []}
+    for name, lines in texts.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes("".join(x + "\n" for x in lines).encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "10")
+    try:
+        got = scan.text_lines(spark, f"{tmp_path}", "*.txt")
+        assert got.rdd.getNumPartitions() > 1
+        rows = {}
+        for r in got.collect():
+            rows.setdefault(r.file.rsplit("/", 1)[1], []).append((r.line_no, r.line))
+        assert {k: [x for _, x in sorted(v)] for k, v in rows.items()} == {"a.txt": texts["a.txt"], "b.txt": texts["sub/b.txt"]}
+        assert all([n for n, _ in sorted(v)] == list(range(len(v))) for v in rows.values())
+        heads = scan.head_files(spark, f"{tmp_path}", 700, "*.txt").filter("file = 'a.txt'").orderBy("line_no").collect()
+        assert [r.line for r in heads] == texts["a.txt"][:700]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_enrichment_checks_every_answer(spark, tmp_path):
     cases = {
         "good answer of the model": json.dumps(GOOD),
