@@ -138,14 +138,21 @@ _NEXT = re.compile(r"\S{1,200}")
 def learn(texts: DataFrame, column: str = "text") -> Boundaries:
     """The boundaries of a corpus. All texts count, whole; the driver gets at most MOST words or pairs of each kind, those of the highest scores."""
     toks = tokens(texts, column)
-    stats, two = counts(toks), pairs(toks)
-    short = abbreviations(stats)
-    top = lambda df: df.orderBy(F.desc("score"), *[c for c in df.columns if c != "score"]).limit(MOST).collect()
-    words = frozenset(r["type"] for r in top(short))
-    # ambiguous places only: words after an abbreviation or an initial
-    after = two.filter(F.col("prev").rlike(r"^\p{L}$")).unionByName(two.join(short.select(F.col("type").alias("prev")), "prev", "left_semi").select(two.columns))
-    small = after.groupBy("type").agg(F.sum("n").cast("double").alias("score")).join(stats.filter("lower > 0 and upper_inside = 0").select("type"), "type", "left_semi")
-    return Boundaries(words, frozenset(r["type"] for r in top(starters(stats, two, short))), frozenset((r["prev"], r["type"]) for r in top(collocations(stats, two, short))), frozenset(r["type"] for r in top(small)))
+    # of the size of the vocabulary; texts are read once for each
+    stats, two = counts(toks).persist(), pairs(toks).persist()
+    short = abbreviations(stats).persist()
+    try:
+        top = lambda df: df.orderBy(F.desc("score"), *[c for c in df.columns if c != "score"]).limit(MOST).collect()
+        words = frozenset(r["type"] for r in top(short))
+        begins = frozenset(r["type"] for r in top(starters(stats, two, short)))
+        together = frozenset((r["prev"], r["type"]) for r in top(collocations(stats, two, short)))
+        # ambiguous places only: words after an abbreviation or an initial
+        after = two.filter(F.col("prev").rlike(r"^\p{L}$")).unionByName(two.join(short.select(F.col("type").alias("prev")), "prev", "left_semi").select(two.columns))
+        small = after.groupBy("type").agg(F.sum("n").cast("double").alias("score")).join(stats.filter("lower > 0 and upper_inside = 0").select("type"), "type", "left_semi")
+        return Boundaries(words, begins, together, frozenset(r["type"] for r in top(small)))
+    finally:
+        for t in (short, two, stats):
+            t.unpersist()
 
 
 def sentences_trained(df: DataFrame, model: Boundaries, column: str = "text", name: str = "sentences") -> DataFrame:

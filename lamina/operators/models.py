@@ -141,7 +141,8 @@ def with_defaults(docs: DataFrame, extracted: DataFrame) -> DataFrame:
 
 def extraction_envelope(docs: DataFrame, extracted: DataFrame, pages: DataFrame) -> DataFrame:
     """(doc_id, metadata, text): source file, page count, time and what was extracted, for every document. docs: doc_id, source, text."""
-    j = with_defaults(page_counts(docs, pages).join(docs, "doc_id"), extracted)
+    n = pages.groupBy("doc_id").agg(F.count("*").alias("n_pages"))
+    j = with_defaults(docs.join(n, "doc_id", "left").na.fill(0, ["n_pages"]), extracted)
     meta = F.struct(F.col("source").alias("source_file"), F.col("n_pages").alias("page_count"), "extracted_at", "title", "doc_type")
     return j.select("doc_id", meta.alias("metadata"), "text")
 
