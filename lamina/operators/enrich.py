@@ -69,10 +69,11 @@ def specialist(df: DataFrame, prompt: str, factory: Factory, check: Callable[[Co
 
     check: of a JSON column, a struct of payload and problems (what is wrong with it), made of one parse.
     """
-    asked = call_model(df, prompt, factory, "__answer", "__error", calls).withColumn("__checked", F.when(F.col("__answer").isNotNull(), check(fenced(F.col("__answer")))))
+    asked = call_model(df, prompt, factory, "__answer", "__error", calls).withColumn("__json", fenced(F.col("__answer")))
+    asked = asked.withColumn("__checked", F.when(F.col("__json").isNotNull(), check(F.col("__json"))))
     wrong = F.concat(F.lit("invalid payload: "), F.array_join("__checked.problems", ", "))
     bad = F.size("__checked.problems") > 0
-    return asked.withColumn("payload", F.when(~bad, F.col("__checked.payload"))).withColumn("error", F.when(F.col("__error").isNotNull(), F.col("__error")).when(bad, wrong)).drop("__answer", "__error", "__checked")
+    return asked.withColumn("payload", F.when(~bad, F.col("__checked.payload"))).withColumn("error", F.when(F.col("__error").isNotNull(), F.col("__error")).when(bad, wrong)).drop("__answer", "__error", "__json", "__checked")
 
 
 def default_payload() -> Column:
