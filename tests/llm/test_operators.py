@@ -499,7 +499,7 @@ def test_mix(spark):
 
 
 def test_sql_and_names():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries() if q != "pipeline") == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries() if q != "pipeline") == list(range(1, 13))
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -509,7 +509,7 @@ def test_queries_equal_sql(spark, name):
 
     sf = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     cur = con.execute(oracle_sql()[name])
     cols = [c[0] for c in cur.description]
