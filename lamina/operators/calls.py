@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import asyncio
 import threading
 import time
 import uuid
 import zlib
 from collections import deque
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Awaitable, Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: A model is made by its factory, once in each thread that calls it, and answers a text or raises. It sets its own time limits.
 Factory = Callable[[], Callable[[str], str]]
+#: What side_by_side() gives to run a function in a thread of its own.
+Call = Callable[..., Awaitable]
 
 
 class Transient(Exception):
@@ -62,9 +65,19 @@ class Asker:
             self.free_at = at + 1 / self.calls.per_second
         time.sleep(max(0.0, at - time.monotonic()))
 
-    def _wait(self, prompt: str, attempt: int) -> None:
+    def _pause(self, prompt: str, attempt: int) -> float:
         spread = 0.5 + zlib.crc32(f"{attempt}{prompt}".encode(errors="replace")) / 2**32  # so that many don't come back at once
-        time.sleep(min(self.calls.longest, self.calls.wait * 2**attempt) * spread)
+        return min(self.calls.longest, self.calls.wait * 2**attempt) * spread
+
+    def _try(self, prompt: str) -> tuple[str | None, str | None, bool]:
+        """(answer, error, whether a later try may succeed) of one call."""
+        self._slot()
+        try:
+            if not hasattr(self.own, "model"):
+                self.own.model = self.factory()
+            return self.own.model(prompt), None, False
+        except Exception as e:  # noqa: BLE001  errors are data here
+            return None, f"{type(e).__name__}: {e}", isinstance(e, RETRIED)
 
     def one(self, prompt: str | None) -> tuple[str | None, str | None]:
         """(answer, error): one of them null; both for a null prompt, which isn't asked."""
@@ -72,38 +85,63 @@ class Asker:
             return None, None
         attempt = 0
         while True:
-            self._slot()
-            try:
-                if not hasattr(self.own, "model"):
-                    self.own.model = self.factory()
-                return self.own.model(prompt), None
-            except Exception as e:  # noqa: BLE001  errors are data here
-                if not isinstance(e, RETRIED) or attempt >= self.calls.retries:
-                    return None, f"{type(e).__name__}: {e}"
-            self._wait(prompt, attempt)
+            answer, error, again = self._try(prompt)
+            if not again or attempt >= self.calls.retries:
+                return answer, error
+            time.sleep(self._pause(prompt, attempt))
+            attempt += 1
+
+    async def later(self, prompt: str | None, call: Call) -> tuple[str | None, str | None]:
+        """As one(), by `call` of side_by_side(): what waits for its next try holds no thread."""
+        if prompt is None:
+            return None, None
+        attempt = 0
+        while True:
+            answer, error, again = await call(self._try, prompt)
+            if not again or attempt >= self.calls.retries:
+                return answer, error
+            await asyncio.sleep(self._pause(prompt, attempt))
             attempt += 1
 
     def batches(self, batches: Iterable[tuple[pa.RecordBatch, list]]) -> Iterator[tuple[pa.RecordBatch, list]]:
-        """Each batch with the answers to its prompts, in order. While a batch's last calls run, those of the next are started; no more than two batches are held."""
+        """Each batch with the answers to its prompts, in order, as side_by_side() has it."""
         if self.calls.concurrency == 1:
             for b, prompts in batches:
                 yield b, [self.one(p) for p in prompts]
             return
-        waiting: deque = deque()
-        pool = ThreadPoolExecutor(self.calls.concurrency)
-        try:
-            for b, prompts in batches:
-                waiting.append((b, [None if p is None else pool.submit(self.one, p) for p in prompts]))
-                if len(waiting) > 1:
-                    yield self._done(*waiting.popleft())
-            while waiting:
-                yield self._done(*waiting.popleft())
-        finally:
-            pool.shutdown(wait=True, cancel_futures=True)
-
-    @staticmethod
-    def _done(batch: pa.RecordBatch, futures: list) -> tuple[pa.RecordBatch, list]:
-        return batch, [(None, None) if f is None else f.result() for f in futures]
+        yield from side_by_side(batches, self.later, self.calls.concurrency)
+
+
+def side_by_side(batches: Iterable[tuple[pa.RecordBatch, list]], work: Callable[[object, Call], Awaitable], concurrency: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Each batch with the results of work(item, call) for its items, in order. `await call(f, ...)` runs f in one of `concurrency` threads.
+
+    Items of a batch are worked on side by side, and those that wait for a later try hold no thread: a batch with many such items takes as long as
+    one's waits, not their sum. While a batch's last calls run, those of the next are started; no more than two batches are held.
+    """
+    loop, pool, waiting = asyncio.new_event_loop(), ThreadPoolExecutor(concurrency), deque()
+
+    def call(f, *args):
+        return loop.run_in_executor(pool, f, *args)
+
+    async def whole(items: list) -> list:
+        return await asyncio.gather(*(work(x, call) for x in items))
+
+    try:
+        for b, items in batches:
+            waiting.append((b, loop.create_task(whole(items))))
+            if len(waiting) > 1:
+                first, task = waiting.popleft()
+                yield first, loop.run_until_complete(task)
+        while waiting:
+            first, task = waiting.popleft()
+            yield first, loop.run_until_complete(task)
+    finally:
+        pool.shutdown(wait=True, cancel_futures=True)
+        if left := asyncio.all_tasks(loop):  # of a reader that stops early
+            for task in left:
+                task.cancel()
+            loop.run_until_complete(asyncio.wait(left))
+        loop.close()
 
 
 def call_model(df: DataFrame, prompt: str, factory: Factory, answer: str = "answer", error: str = "error", calls: Calls | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .calls import Asker, Calls
+from .calls import Asker, Call, Calls, side_by_side
 from .enrich import PROMPTS
 from .quality import PERSONAS
 
@@ -87,29 +87,30 @@ def vector_payload(chunks: DataFrame, embedder: Callable[[], Callable[[str], lis
 
     A chunk whose base vector fails has no vectors at all, and its summaries are not asked for. Where the summaries fail or are blank, or an
     aspect's vector fails, that vector alone is missing. One pass, so that no model is asked twice; chunks are worked on side by side, and
-    every call is tried again, by the rules of `calls`.
+    every call is tried again, by the rules of `calls`; a chunk that waits for its next try holds up no other.
     """
     calls = calls or Calls()
     text = embedding_text(F.col("doc_id").cast("string"), F.array_join("section_path", " > "), F.col("purpose"), F.col("text"))
     src = chunks.select(F.col("chunk_id").cast("string").alias("chunk_id"), F.col("doc_id").cast("string").alias("doc_id"), text.alias("base"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        embed, summarise = Asker(embedder, calls), Asker(lambda: (lambda model: lambda t: summaries_of(model(aspect_prompt(t))))(summarizer()), calls)
+        embed = Asker(lambda: (lambda model: lambda t: [float(x) for x in model(t)])(embedder()), calls)
+        summarise = Asker(lambda: (lambda model: lambda t: summaries_of(model(aspect_prompt(t))))(summarizer()), calls)
 
-        def vectors(row: tuple) -> list[tuple]:
+        async def vectors(row: tuple, call: Call) -> list[tuple]:
             chunk, doc, base, own = row
-            vector, _ = embed.one(base)  # a missing vector is retried by the next run
+            vector, _ = await embed.later(base, call)  # a missing vector is retried by the next run
             if vector is None:
                 return []
-            said = summarise.one(own)[0] or {}
-            more = ((aspect, embed.one(said[aspect])[0]) for aspect in ASPECTS if said.get(aspect, "").strip())
-            return [(f"{chunk}::{kind}", doc, kind, [float(x) for x in v]) for kind, v in (("base", vector), *more) if v is not None]
+            said = (await summarise.later(own, call))[0] or {}
+            more = [(aspect, (await embed.later(said[aspect], call))[0]) for aspect in ASPECTS if said.get(aspect, "").strip()]
+            return [(f"{chunk}::{kind}", doc, kind, v) for kind, v in (("base", vector), *more) if v is not None]
 
-        rows = Asker(lambda: vectors, calls)
         names = ["id", "namespace", "vector_type", "values"]
         kinds = [pa.string(), pa.string(), pa.string(), pa.list_(pa.float64())]
-        for _, made in rows.batches((b, list(zip(*(c.to_pylist() for c in b.columns), strict=True))) for b in batches):
-            flat = [v for found, _ in made for v in found or []]
+        rows = ((b, list(zip(*(c.to_pylist() for c in b.columns), strict=True))) for b in batches)
+        for _, made in side_by_side(rows, vectors, calls.concurrency):
+            flat = [v for found in made for v in found]
             yield pa.RecordBatch.from_arrays([pa.array([v[i] for v in flat], k) for i, k in enumerate(kinds)], names)
 
     return src.mapInArrow(run, "id string, namespace string, vector_type string, values array<double>")
