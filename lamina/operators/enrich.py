@@ -107,13 +107,13 @@ def enrich(chunks: DataFrame, factory: Factory = offline_model, calls: Calls | N
     return asked.withColumns({"chunk_type": kind, **{c: F.col(f"payload.{c}") for c in parts}}).select(*chunks.columns, *parts, "error")
 
 
-def quarantine_split(enriched: DataFrame, store: str) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantine of chunk_id, error_message, original_chunk as JSON). Rows are written to `store` first and both halves read them there, so that no model is asked twice."""
+def quarantine_split(enriched: DataFrame, store: str, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantine of chunk_id, the columns in more, error_message, original_chunk as JSON). Rows are written to `store` first and both halves read them there, so that no model is asked twice."""
     enriched.write.mode("overwrite").parquet(store)
     whole = enriched.sparkSession.read.schema(enriched.schema).parquet(store)
     keep = [c for c in enriched.columns if c not in ("error", "semantic_purpose", "persona_relevance_scores", "typed_entities", "quality_assessment")]
     bad = whole.filter("error is not null")
-    return whole.filter("error is null").drop("error"), bad.select("chunk_id", F.col("error").alias("error_message"), F.to_json(F.struct(*keep)).alias("original_chunk"))
+    return whole.filter("error is null").drop("error"), bad.select("chunk_id", *more, F.col("error").alias("error_message"), F.to_json(F.struct(*keep)).alias("original_chunk"))
 
 
 def ordered_chunks(chunks: DataFrame) -> DataFrame:
