@@ -32,13 +32,15 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts with 5-word shingles of Jaccard similarity >= 0.8 the document with the smallest doc_id stays; of rows that repeat it, one.
+    """Of each group of near copies the document with the smallest doc_id stays; of rows that repeat it, one.
 
+    Near copies: SimHash fingerprints of 5-word shingles that differ in 4 bits at most (the grid of segment popcounts, as in op6), and, where fingerprints are
+    farther apart, sets of these shingles with a Jaccard similarity of 0.8 at least.
     A row without a doc_id stays only where its group has none, one for each group. Of rows with one doc_id the one
     whose columns have the smallest digest stays, so the order of rows doesn't matter.
     """
     key = row_key(*COLUMNS).alias("__key")
-    out = simhash.similar_texts(docs.select("doc_id", "text", key), ["doc_id", "__key"])
+    out = simhash.similar_texts(docs.select("doc_id", "text", key), ["doc_id", "__key"], distance=4)
     first = out.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "__key")).alias("first"))
     first = spill(first.select(F.col("first.__key").alias("__key")), "pipeline-first")
     # texts move once, by the key; the rows of a key are then together

@@ -234,21 +234,23 @@ def cells_of(hashes: np.ndarray) -> list[int]:
 
 
 def with_sketch(docs: DataFrame, keep: list[str], shingle: int) -> DataFrame:
-    """(keep..., sid, n, cells): 128 bits that stand for the set of shingle hashes, its size and its cells (none for a text without a word)."""
+    """(keep..., sid, n, cells, fp): 128 bits that stand for the set of shingle hashes, its size and its cells (none for a text without a word); the text's fingerprint."""
     src = docs.select(*keep, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sid, n, cells = [], [], []
+            sid, n, cells, fp = [], [], [], []
             for t in b.column(len(keep)).to_pylist():
-                h = np.unique(shingle_hashes(t, shingle))
+                every = shingle_hashes(t, shingle)
+                fp.append(majority(every))
+                h = np.unique(every)
                 sid.append(xxhash.xxh3_128_digest(h.tobytes()))
                 n.append(len(h))
                 cells.append(cells_of(h))
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(sid, pa.binary()), pa.array(n, pa.int64()), pa.array(cells, pa.list_(pa.int64()))], [*keep, "sid", "n", "cells"])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(sid, pa.binary()), pa.array(n, pa.int64()), pa.array(cells, pa.list_(pa.int64())), pa.array(np.array(fp, np.uint64).view(np.int64))], [*keep, "sid", "n", "cells", "fp"])
 
     head = ", ".join(f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep)
-    return src.mapInArrow(run, f"{head}, sid binary, n long, cells array<long>")
+    return src.mapInArrow(run, f"{head}, sid binary, n long, cells array<long>, fp long")
 
 
 def similar_pairs(sets: list[np.ndarray], fp: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -318,7 +320,19 @@ def _links_of(pieces: DataFrame, shingle: int) -> DataFrame:
     return pieces.groupBy("bucket").applyInArrow(compare, "u binary, v binary")
 
 
-def similar_texts(docs: DataFrame, keep: list[str], shingle: int = 5) -> DataFrame:
+def _alike(rows: DataFrame, distance: int) -> DataFrame:
+    """Links (u, v) of sets whose texts' fingerprints differ in `distance` bits at most, of rows (sid, fp): those of a fingerprint with its least set, and such sets of linked fingerprints."""
+    own = spill(rows.select("sid", "fp").distinct(), "sim-fp")
+    least = spill(own.groupBy("fp").agg(F.min("sid").alias("rep")), "sim-rep")
+    found = link_fingerprints(least.select("fp", F.col("fp").alias("id")), distance)
+    end = lambda c: least.select(F.col("fp").alias(c), F.col("rep").alias(f"{c}_rep"))
+    near = found.join(end("u"), "u").join(end("v"), "v").select(F.col("u_rep").alias("u"), F.col("v_rep").alias("v"))
+    out = spill(own.join(least, "fp").select(F.col("sid").alias("u"), F.col("rep").alias("v")).unionByName(near).filter("u <> v"), "sim-alike")
+    drop_spilled(own, least)
+    return out
+
+
+def similar_texts(docs: DataFrame, keep: list[str], shingle: int = 5, distance: int | None = None) -> DataFrame:
     """Groups of similar texts: (keep..., group) for each row; keep has a column __key that stands for a row.
 
     Texts are linked whose sets of shingles have a Jaccard similarity of 0.8 at least, computed on whole texts; a
@@ -326,6 +340,8 @@ def similar_texts(docs: DataFrame, keep: list[str], shingle: int = 5) -> DataFra
     of min-hashes; cells with the same points are one. A cell is cut into blocks of bounded size: each is compared
     with itself and with the cell's head, which ties a group of copies of any size at a cost that grows with its members, and in
     cells that hold more than one group after that, each block with each other. Tasks return spanning forests, no pairs.
+
+    distance: texts whose SimHash fingerprints (of the same shingles, repeats included) differ in so many bits at most are linked too, found on the grid of link_fingerprints().
     """
     rows = spill(with_sketch(docs, keep, shingle), "sim-sketch")
     points = spill(rows.groupBy("sid").agg(F.min("__key").alias("__key"), F.first("n").alias("n"), F.first("cells").alias("cells")), "sim-points")
@@ -352,6 +368,10 @@ def similar_texts(docs: DataFrame, keep: list[str], shingle: int = 5) -> DataFra
     other = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("other <> block")
     piece = F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"), F.lit("pair")).alias("piece")
     rest = links(other.select("sid", "n", piece, (F.col("block") > F.col("other")).cast("int").alias("side")))
-    groups = spill(components(tied.unionByName(rest)), "sim-cc")
-    drop_spilled(points, cells, members, texts, tied, cc, large, rest)
+    found = tied.unionByName(rest)
+    alike = [] if distance is None else [_alike(rows, distance)]
+    for more in alike:
+        found = found.unionByName(more)
+    groups = spill(components(found), "sim-cc")
+    drop_spilled(*alike, points, cells, members, texts, tied, cc, large, rest)
     return rows.join(groups.hint("merge"), rows["sid"] == groups["id"], "left").select(*keep, F.coalesce("component", "sid").alias("group"))
