@@ -108,9 +108,9 @@ def json_files(spark: SparkSession, root: str, schema: str) -> tuple[DataFrame,
 
 
 def _lines(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """(file, block, nth, line): lines, ended by \\n, with the place of the split of the file that they were read from, and a number that grows within it. No file is a row: large ones are read in splits."""
+    """(file, size, block, nth, line): lines, ended by \\n, with the bytes of their file, the place of the split that they were read from, and a number that grows within it. No file is a row: large ones are read in splits."""
     read = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").text(root)
-    return read.select(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("nth"), F.col("value").alias("line"))
+    return read.select(F.input_file_name().alias("file"), F.col("_metadata.file_size").alias("size"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("nth"), F.col("value").alias("line"))
 
 
 def text_lines(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -123,14 +123,23 @@ def text_lines(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 
 def head_files(spark: SparkSession, root: str, n: int, pattern: str = "*.json", exclude: str | None = None) -> DataFrame:
-    """(file, line_no, line): the first n lines of all files under a folder, but for those in its folder `exclude`; file is the path in it with _ for /. Each task gives at most n lines of a file to be ordered."""
+    """(file, line_no, line): the first n lines of all files under a folder, but for those in its folder `exclude`; file is the path in it with _ for /. Each task gives at most n lines of a file to be ordered.
+
+    What follows the last \\n is a line too, an empty one where the file ends with it (not seen in compressed files).
+    """
     base = re.sub(r"^file:/*|/+$", "", root).lstrip("/")
     rel = F.regexp_replace(F.regexp_replace(F.url_decode("file"), r"^\w+:/+", ""), "^" + re.escape(base) + "/", "")
     lines = _lines(spark, root, pattern).withColumn("file", rel)
     if exclude:
         lines = lines.filter(~F.col("file").startswith(exclude.strip("/") + "/"))
     no = F.row_number().over(Window.partitionBy("file").orderBy("block", "nth"))
-    return lines.withColumn("line_no", no - 1).filter(F.col("line_no") < n).select(F.replace("file", F.lit("/"), F.lit("_")).alias("file"), "line_no", "line")
+    heads = lines.withColumn("no", no).filter(F.col("no") <= n).withColumn("line_no", F.col("no") - 1)
+    # the bytes of all lines, each with its end, are those of the file (less a byte order mark) if it ends with \n, else one more
+    whole = Window.partitionBy("file")
+    left = F.col("size") - F.sum(F.octet_length("line") + 1).over(whole)
+    last = (F.col("line_no") + 1 == F.count("*").over(whole)) & (F.col("line_no") + 1 < n)
+    parts = heads.withColumn("parts", F.when(last & left.isin(0, 3), F.array("line", F.lit(""))).otherwise(F.array("line")))
+    return parts.select(F.replace("file", F.lit("/"), F.lit("_")).alias("file"), "line_no", F.posexplode("parts").alias("more", "line")).select("file", (F.col("line_no") + F.col("more")).alias("line_no"), "line")
 
 
 ARTIFACTS = "_artifacts"

@@ -86,6 +86,21 @@ def test_head_files(spark, tmp_path):
     assert got == [("a.json", 0, "1"), ("a.json", 1, "2"), ("sub_b.json", 0, "1"), ("sub_b.json", 1, "2")]
 
 
+def test_head_files_end(spark, tmp_path):
+    """What follows a file's last line end is a line, as string_split() has it; none beyond the first n."""
+    texts = {"a.txt": "1\n2\n", "b.txt": "1\n2", "c.txt": "1\n2\n3\n", "d.txt": "\n", "e.txt": "", "f.txt": "\ufeffé\n", "g.txt": "\ufeffé", "h.txt": "1\r\n\n"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    (tmp_path / "i.txt").write_bytes(b"\xff\xfe\n")
+    got = {}
+    for r in scan.head_files(spark, f"{tmp_path}", 3, "*.txt").orderBy("file", "line_no").collect():
+        got.setdefault(r.file, []).append((r.line_no, r.line))
+    bad = [x for _, x in got.pop("i.txt")]
+    assert len(bad) == 2 and bad[1] == ""
+    assert {k: [x for _, x in v] for k, v in got.items()} == {k: t.removeprefix("\ufeff").split("\n")[:3] for k, t in texts.items() if t}
+    assert all([n for n, _ in v] == list(range(len(v))) for v in got.values())
+
+
 GOOD = {
     "semantic_purpose": {"value": "Efficacy Results", "confidence": 0.5, "justification": "j"},
     "persona_relevance_scores": {p: {"score": 0.1, "justification": "j"} for p in quality.PERSONAS},
