@@ -51,6 +51,22 @@ def test_equals_direct_count(spark, seed, wide):
     assert sorted([tuple(r) for r in got], key=str) == brute(docs, 40)
 
 
+def test_planted_passages(spark):
+    """Passages of over 50 words in two documents each: those of 400 bytes go wholly from both, shorter ones stay, and so do clean documents."""
+    rng = np.random.default_rng(7)
+    words = lambda n, size: " ".join("".join(rng.choice(list("abcdefghij"), size)) for _ in range(n))
+    docs, want = [], {}
+    for i in range(40):
+        planted = words(51 + i, 8) if i % 2 else words(51 + i // 4, 5)  # 467 bytes or more, 359 or fewer
+        for j, mark in ((3 * i, "x"), (3 * i + 1, "y")):
+            docs.append((j, f"{words(40 + i, 6)} {mark} {planted} {mark} {words(30, 6)}"))
+            want[j] = len(planted) + 2 if i % 2 else 0  # with a space on either side
+        docs.append((3 * i + 2, words(150, 6)))
+        want[3 * i + 2] = 0
+    got = S.dedup_substrings(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == want
+
+
 def test_empty(spark):
     assert S.dedup_substrings(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
